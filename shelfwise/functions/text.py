@@ -38,7 +38,7 @@ def parse_price_any(price: Column, scale: int = PRICE_SCALE) -> Column:
     are grouped integers; everything else (``1,99``, ``0.500``) is a decimal.
     """
     text = price.cast("string")
-    joined = F.regexp_replace(text, "([0-9])[ '’  ]([0-9]{3})", "$1$2")
+    joined = F.regexp_replace(text, r"(?<=[0-9])[ '’\u00a0\u202f](?=[0-9]{3}(?![0-9]))", "")
     number = F.regexp_extract(joined, "[0-9]+([.,][0-9]+)*", 0)
     grouped = number.rlike(r"^[1-9][0-9]{0,2}((,[0-9]{3})+|(\.[0-9]{3})+)$")
     has_mark = number.rlike("[.,]")
