@@ -1,0 +1,98 @@
+"""What the physical plans must and must not contain."""
+
+import contextlib
+import io
+import re
+
+import pytest
+from pyspark.sql import functions as F
+
+from shelfwise.operators import gold, kpi, positioning as pos, quality, series, silver
+from shelfwise.operators.context import Period, apply_period
+from shelfwise.plans import registry
+from shelfwise.sources import trade_tables as tables
+
+YEAR = Period.of_year(2000)
+
+
+def plan_of(df):
+    text = io.StringIO()
+    with contextlib.redirect_stdout(text):
+        df.explain("formatted")
+    return text.getvalue()
+
+
+@pytest.mark.parametrize("name", sorted(set(registry.queries()) - {
+    "forecast_6m", "forecast_series", "forecast_direction", "forecast_panel", "forecast_tuning",
+}))
+def test_no_cross_join_and_no_python(spark, testdata, name):
+    plan = plan_of(registry.queries()[name](spark, testdata))
+    for operator in ("CartesianProduct", "BroadcastNestedLoopJoin", "Python", "Pandas"):
+        assert operator not in plan
+
+
+def test_year_reads_only_its_partitions(table_wide):
+    plan = plan_of(apply_period(table_wide, YEAR).agg(F.sum("Revenue")))
+    assert re.search(r"PartitionFilters: \[[^\n]*\(Ano#\d+ = 2000\)", plan)
+    assert re.search(r"ReadSchema: struct<StoreID:string,ITEMCODE:string,DateKey:string,Vendas Valor:decimal", plan)
+
+
+def test_growth_of_a_year_reads_two_years(table_wide):
+    assert re.search(r"PartitionFilters: \[[^\n]*Ano#\d+ IN \(1999,2000\)", plan_of(kpi.yoy(table_wide, YEAR)))
+
+
+def test_bridge_prunes_by_the_days_of_both_sides(table_wide):
+    assert re.search(r"PartitionFilters: \[[^\n]*dynamicpruningexpression\(Ano", plan_of(pos.yoy_bridge(table_wide)))
+
+
+def test_one_read_of_the_fact_per_tile(table_wide):
+    for df in (
+        kpi.yoy(table_wide), kpi.gauge(table_wide, YEAR), kpi.tile_reference(table_wide), pos.insights(table_wide),
+        series.training_months(table_wide, ["Brand"]),
+    ):
+        assert len(re.findall(r"Location: [^\n]*Fact_Sales", plan_of(df))) == 1
+
+
+def test_ranking_shares_one_shuffle(table_wide):
+    df = pos.pareto(table_wide)
+    df.collect()
+    executed = plan_of(df).split("== Initial Plan ==")[0]
+    assert "ReusedExchange" in executed
+
+
+def test_sale_lines_are_added_up_before_they_are_shuffled(table_wide):
+    plan = plan_of(pos.price_volume(table_wide, ["SKU", "Brand"]))
+    assert plan.index("partial_sum") < plan.index("hashpartitioning(SKU")
+
+
+def test_cleaning_does_not_shuffle(spark, testdata):
+    assert "Exchange" not in plan_of(silver.clean_sales(tables.sales_feed(spark, testdata)))
+
+
+def test_sort_merge_joins_give_the_same_results(spark, testdata, table_wide):
+    """The path for dimensions too large to broadcast, with one item holding most of the lines."""
+    threshold = "spark.sql.autoBroadcastJoinThreshold"
+    before = spark.conf.get(threshold)
+    stored = registry.star(spark, testdata)
+    hot = stored["Fact_Sales"].withColumn(
+        "ITEMCODE", F.when(F.col("Vendas Unidades") % 3 == 0, F.lit("IT000001")).otherwise(F.col("ITEMCODE"))
+    )
+    wide = registry.wide_frame({**stored, "Fact_Sales": hot})
+    expected = pos.pareto(wide, "SKU").orderBy("Position").collect()
+    orphans = quality.audit_orphans(hot, {"Item": (stored["Dim_Item"], "ITEMCODE")}).collect()
+    try:
+        spark.conf.set(threshold, "-1")
+        joined = registry.wide_frame({**stored, "Fact_Sales": hot})
+        assert "SortMergeJoin" in plan_of(joined)
+        assert pos.pareto(joined, "SKU").orderBy("Position").collect() == expected
+        assert quality.audit_orphans(hot, {"Item": (stored["Dim_Item"], "ITEMCODE")}).collect() == orphans
+    finally:
+        spark.conf.set(threshold, before)
+
+
+def test_unmapped_codes_are_distinct_before_the_anti_join(spark, testdata):
+    cleaned = silver.clean_sales(tables.sales_feed(spark, testdata))
+    items = silver.clean_items(tables.items_feed(spark, testdata))
+    plan = plan_of(gold.unmapped_items(cleaned, items))
+    # Inputs are printed below the join they feed.
+    assert plan.index("LeftAnti") < plan.index("HashAggregate")

@@ -1,0 +1,116 @@
+from shelfwise import schemas
+from shelfwise.operators import positioning as pos, quality, silver
+from shelfwise.operators.context import Period
+from shelfwise.settings import UNMAPPED_LABEL
+
+
+def bars(df):
+    return [(row.Position, row.Brand, row.Measure, float(row.Revenue)) for row in df.orderBy("Position").collect()]
+
+
+def test_leaders_break_ties_alphabetically_and_skip_null_and_unmapped(make_wide):
+    p = make_wide(
+        ("2020-01-01", 5, {"City": "Oslo", "SKU": "b"}), ("2020-01-02", 5, {"City": "Bergen", "SKU": "a"}),
+        ("2020-01-03", 9, {"City": None, "SKU": None}), ("2020-01-04", 4, {"City": "Voss", "SKU": UNMAPPED_LABEL}),
+        ("2020-01-05", 4, {"City": "Bodo", "SKU": UNMAPPED_LABEL}),
+    )
+    assert [str(v) for v in pos.top_city(p).first()] == ["Bergen", "5.00"]
+    assert pos.top_sku(p).first().Top_SKU == "a"
+    assert float(pos.unmapped_revenue(p).first()[0]) == 8
+    row = pos.insights(p).first()
+    assert (row.Top_City, float(row.Top_City_Revenue), row.Top_SKU, float(row.Unmapped_Revenue), row.Data_Quality_Warning) == (
+        "Bergen", 5.0, "a", 8.0, True
+    )
+
+
+def test_leaders_of_nothing(make_wide):
+    nothing = make_wide(("2020-01-01", 5)).where("false")
+    assert [str(v) for v in pos.top_city(nothing).first()] == ["N/A", "0.00"]
+    row = pos.insights(nothing).first()
+    assert (row.Top_City, row.Top_SKU, row.Data_Quality_Warning) == ("N/A", "N/A", False)
+
+
+def test_bridge_counts_a_missing_side_as_zero(make_wide):
+    s = make_wide(
+        ("2019-01-01", 10, {"Brand": "gone"}), ("2019-01-01", 20, {"Brand": "up"}), ("2019-01-02", 5, {"Brand": "tie"}),
+        ("2019-12-01", 99, {"Brand": "late"}), ("2020-01-02", 7, {"Brand": "new"}), ("2020-01-01", 50, {"Brand": "up"}),
+        ("2020-01-01", 12, {"Brand": "tie"}), ("2020-01-01", 3, {"Brand": None}),
+    )
+    assert bars(pos.yoy_bridge(s)) == [
+        (0, "Previous Year", "absolute", 35.0), (1, "up", "relative", 30.0), (2, "new", "relative", 7.0),
+        (3, "tie", "relative", 7.0), (4, "gone", "relative", -10.0), (5, "Current Year", "total", 72.0),
+    ]
+    whole = bars(pos.yoy_bridge(s, Period.of_year(2020)))
+    assert whole[0][3] == 134.0 and (5, "late", "relative", -99.0) in whole
+    assert bars(pos.yoy_bridge(s, Period.of_month())) == bars(pos.yoy_bridge(s, Period.of_month("2020-01")))
+
+
+def test_bridge_needs_revenue_on_both_sides(make_wide):
+    s = make_wide(("2020-01-01", 10), ("2018-01-01", 10))
+    for period in (Period(), Period.of_year(2020), Period.of_month()):
+        assert pos.yoy_bridge(s, period).count() == 0
+    assert pos.yoy_bridge(s.where("false")).count() == 0
+
+
+def test_pareto(make_wide):
+    p = make_wide(
+        ("2020-01-01", 20, {"Brand": "b"}), ("2020-01-01", 20, {"Brand": "a"}), ("2020-01-01", 60, {"Brand": "c"}),
+        ("2020-01-01", 500, {"Brand": None}),
+    )
+    rows = pos.pareto(p).orderBy("Position").collect()
+    assert [(row.Brand, row.Cumulative_Pct) for row in rows] == [("c", 60.0), ("a", 80.0), ("b", 100.0)]
+    free = pos.pareto(make_wide(("2020-01-01", 0))).first()
+    assert free.Cumulative_Pct is None
+
+
+def test_map_and_positioning(spark, make_wide):
+    p = make_wide(
+        ("2020-01-01", 20, {"City": "Omaha", "Brand": "Unknown", "Volume": 2}),
+        ("2020-01-01", 30, {"City": "Oslo", "SKU": "x", "Volume": 4}),
+        ("2020-01-01", 0, {"City": None, "SKU": None, "Volume": 0}),
+    )
+    expected = {"Omaha": (41.2565, -95.9345), "Oslo": (39.82, -98.57)}
+    assert {row.City: (row.lat, row.lon) for row in pos.city_map(p).collect()} == expected
+    frame = spark.createDataFrame([("Omaha", *expected["Omaha"])], "city string, lat double, lon double")
+    assert sorted(pos.city_map(p, frame).collect()) == sorted(pos.city_map(p).collect())
+    assert {row.lat for row in pos.city_map(p, {}).collect()} == {39.82}
+    assert [(row.Brand, row.Avg_Price) for row in pos.brand_positioning(p).collect()] == [("B1", 7.5)]
+    assert sorted((row.SKU, row.Brand, row.Avg_Price) for row in pos.sku_positioning(p).collect()) == [
+        ("Cola", "Unknown", 10.0), ("x", "B1", 7.5)
+    ]
+
+
+def test_key_and_row_duplicates(spark):
+    table = spark.createDataFrame([("a", 1), ("a", 2), ("b", 1), ("b", 1), (None, 1), (None, 1)], "k string, `v v` int")
+    keys = quality.audit_keys({"t": (table, ["k"]), "both": (table, ["k", "`v v`"])}).collect()
+    assert [tuple(row) for row in keys] == [("t", 6, 2, 2), ("both", 6, 2, 1)]
+    assert [tuple(row) for row in quality.audit_duplicates({"t": table}).collect()] == [("t", 6, 2)]
+    assert [tuple(row) for row in quality.audit_keys({"t": (table.where("false"), ["k"])}).collect()] == [("t", 0, 0, 0)]
+
+
+def test_orphans_and_grain(spark):
+    rows = [("S1", "I1", "D1", 5), ("S1", "I1", "D1", 6), ("S9", "I1", "D1", 7), ("S9", "I2", None, 8), (None, "I1", "D1", 9)]
+    fact = spark.createDataFrame(rows, "StoreID string, ITEMCODE string, DateKey string, `Vendas Valor` int")
+
+    def dim(key, *values):
+        return spark.createDataFrame([(value,) for value in values], f"{key} string"), key
+
+    result = quality.audit_orphans(
+        fact, {"Store": dim("StoreID", "S1", "S1", None), "Item": dim("ITEMCODE", "I1", "I2"), "Date": dim("DateKey", "D1")}
+    )
+    assert sorted(tuple(row) for row in result.collect()) == [("Date", 1, 1, 8), ("Item", 0, 0, 0), ("Store", 3, 2, 24)]
+    assert [tuple(row) for row in quality.audit_grain(fact).collect()] == [("S1", "I1", "D1", 2)]
+
+
+def test_rejects_by_reason_and_control_totals(spark, make_wide):
+    lines = [("1", "2"), ("0", "2"), ("0.4", "2"), ("-1", "2"), ("x", "2"), (None, "2"), ("1", "-2"), ("1", "bad")]
+    bronze = spark.createDataFrame([("20200101", "S1", "I1", units, price) for units, price in lines], schemas.SALES)
+    assert {row.Reason: row.Lines for row in quality.audit_rejects(bronze).collect()} == {
+        "zero units": 2, "returned units": 1, "unreadable units": 1, "missing units": 1, "negative revenue": 1
+    }
+    wide = make_wide(("2020-01-01", 2), ("2020-01-01", 0, {"ITEMCODE": "I2", "SKU": UNMAPPED_LABEL}))
+    totals = {row.Layer: tuple(row)[1:] for row in quality.control_totals(silver.clean_sales(bronze), wide).collect()}
+    assert {name: (lines, codes, units, float(revenue)) for name, (lines, codes, units, revenue) in totals.items()} == {
+        "silver": (8, 1, 2, -2.0), "rejected": (6, 1, 0, -4.0), "fact": (2, 1, 2, 2.0), "wide": (2, 2, 2, 2.0),
+        "unmapped": (1, 1, 1, 0.0),
+    }
