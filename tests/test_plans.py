@@ -69,30 +69,48 @@ def test_cleaning_does_not_shuffle(spark, testdata):
     assert "Exchange" not in plan_of(silver.clean_sales(tables.sales_feed(spark, testdata)))
 
 
-def test_sort_merge_joins_give_the_same_results(spark, testdata, table_wide):
-    """The path for dimensions too large to broadcast, with one item holding most of the lines."""
+@pytest.fixture()
+def no_broadcast(spark):
+    """Every dimension too large to broadcast."""
     threshold = "spark.sql.autoBroadcastJoinThreshold"
     before = spark.conf.get(threshold)
+
+    @contextlib.contextmanager
+    def switched():
+        spark.conf.set(threshold, "-1")
+        try:
+            yield
+        finally:
+            spark.conf.set(threshold, before)
+
+    return switched
+
+
+def test_sort_merge_joins_with_a_hot_item_give_the_same_results(spark, testdata, no_broadcast):
     stored = registry.star(spark, testdata)
     hot = stored["Fact_Sales"].withColumn(
         "ITEMCODE", F.when(F.col("Vendas Unidades") % 3 == 0, F.lit("IT000001")).otherwise(F.col("ITEMCODE"))
     )
-    wide = registry.wide_frame({**stored, "Fact_Sales": hot})
-    expected = pos.pareto(wide, "SKU").orderBy("Position").collect()
-    orphans = quality.audit_orphans(hot, {"Item": (stored["Dim_Item"], "ITEMCODE")}).collect()
-    try:
-        spark.conf.set(threshold, "-1")
-        joined = registry.wide_frame({**stored, "Fact_Sales": hot})
-        assert "SortMergeJoin" in plan_of(joined)
-        assert pos.pareto(joined, "SKU").orderBy("Position").collect() == expected
-        assert quality.audit_orphans(hot, {"Item": (stored["Dim_Item"], "ITEMCODE")}).collect() == orphans
-    finally:
-        spark.conf.set(threshold, before)
-
-
-def test_unmapped_codes_are_distinct_before_the_anti_join(spark, testdata):
-    cleaned = silver.clean_sales(tables.sales_feed(spark, testdata))
-    items = silver.clean_items(tables.items_feed(spark, testdata))
-    plan = plan_of(gold.unmapped_items(cleaned, items))
-    # Inputs are printed below the join they feed.
-    assert plan.index("LeftAnti") < plan.index("HashAggregate")
+    items = {"Item": (stored["Dim_Item"], "ITEMCODE")}
+
+    def results():
+        wide = registry.wide_frame({**stored, "Fact_Sales": hot})
+        return wide, pos.pareto(wide, "SKU").orderBy("Position").collect(), quality.audit_orphans(hot, items).collect()
+
+    _, *expected = results()
+    with no_broadcast():
+        wide, *merged = results()
+        assert "SortMergeJoin" in plan_of(wide)
+    assert merged == expected
+
+
+def test_unmapped_codes_are_combined_before_they_are_shuffled(spark, testdata, no_broadcast):
+    def plan():
+        cleaned = silver.clean_sales(tables.sales_feed(spark, testdata))
+        return plan_of(gold.unmapped_items(cleaned, silver.clean_items(tables.items_feed(spark, testdata))))
+
+    # A tree prints inputs below what they feed: shuffle, then the aggregate on its map side.
+    tree = plan().split("\n\n")[0]
+    assert re.search(r"Exchange[^\n]*\n[^\n]*HashAggregate", tree)
+    with no_broadcast():
+        assert re.search(r"SortMergeJoin LeftAnti(.|\n)*HashAggregate[^\n]*\n[^\n]*Exchange[^\n]*\n[^\n]*HashAggregate", plan())
