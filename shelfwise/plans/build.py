@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 
 from ..operators import gold, silver
-from ..sources.gold_store import read_star, write_gold
+from ..sources.gold_store import read_gold, read_star, write_gold
 
 
 def silver_layer(feeds: dict[str, DataFrame], **options) -> dict[str, DataFrame]:
@@ -24,20 +24,27 @@ def gold_layer(feeds: dict[str, DataFrame], sales: DataFrame | None = None, **la
     }
 
 
+def wide_frame(star: dict[str, DataFrame]) -> DataFrame:
+    return gold.sales_wide(star["Fact_Sales"], star["Dim_Date"], star["Dim_Store"], star["Dim_Item"])
+
+
 def build_gold(
     spark: SparkSession, feeds: dict[str, DataFrame], root: str, **labels: str
 ) -> dict[str, DataFrame]:
-    """Full refresh of all gold tables below ``root``; returns them as stored.
+    """Full refresh of all gold tables below ``root``; returns the star as stored.
 
     Cleaned sales are stored once as Parquet: the item dimension then reads its one code column and the calendar
-    its one date column, instead of parsing the whole text feed once per table.
+    its one date column, instead of parsing the whole text feed once per table. The wide frame is stored last, from
+    the stored star, whose dimension sizes Spark knows: this is the only join of sale lines there is.
     """
     staged = f"{root}/Silver_Sales"
     silver.clean_sales(feeds["Sales"]).write.mode("overwrite").parquet(staged)
     for name, table in gold_layer(feeds, spark.read.parquet(staged), **labels).items():
         write_gold(table, root, name)
-    return read_star(spark, root)
+    star = read_star(spark, root)
+    write_gold(wide_frame(star), root, "Sales_Wide")
+    return star
 
 
-def wide_frame(star: dict[str, DataFrame]) -> DataFrame:
-    return gold.sales_wide(star["Fact_Sales"], star["Dim_Date"], star["Dim_Store"], star["Dim_Item"])
+def read_wide(spark: SparkSession, root: str) -> DataFrame:
+    return read_gold(spark, root, "Sales_Wide")

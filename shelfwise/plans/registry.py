@@ -20,7 +20,7 @@ from ..sources.feeds import read_bronze, read_bronze_strict
 from ..sources.gold_store import read_gold, read_star, write_gold
 from ..sources.shared import shared_path
 from ..streaming.feed_stream import load_available, read_streamed_fact, sales_stream
-from .build import build_gold, gold_layer, wide_frame
+from .build import build_gold, gold_layer, read_wide, wide_frame
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -45,15 +45,18 @@ def _once(spark: SparkSession, folder: str, name: str, write: Callable[[str], ob
     return _stored[key]
 
 
-def star(spark: SparkSession, folder: str) -> dict[str, DataFrame]:
-    path = _once(
+def _gold_root(spark: SparkSession, folder: str) -> str:
+    return _once(
         spark, folder, "gold", lambda root: build_gold(spark, tables.feeds(spark, folder), root, **LABELS)
     )
-    return read_star(spark, path)
+
+
+def star(spark: SparkSession, folder: str) -> dict[str, DataFrame]:
+    return read_star(spark, _gold_root(spark, folder))
 
 
 def wide(spark: SparkSession, folder: str) -> DataFrame:
-    return wide_frame(star(spark, folder))
+    return read_wide(spark, _gold_root(spark, folder))
 
 
 def _silver(spark: SparkSession, folder: str) -> DataFrame:
@@ -212,7 +215,8 @@ def _queries() -> dict[str, Query]:
         "gold_dim_date": _gold("Dim_Date"),
         "gold_roundtrip": _gold_roundtrip,
         "store_city": _store_city,
-        "sales_wide": wide,
+        "sales_wide": lambda spark, folder: wide_frame(star(spark, folder)),
+        "sales_wide_stored": wide,
         "sales_wide_city_fallback": _wide_city_fallback,
         # Filter context and period
         "filter_options": _on_wide(context.filter_options),

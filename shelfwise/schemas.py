@@ -45,6 +45,19 @@ DIM_DATE = T.StructType([
     T.StructField("AnoMes", T.StringType()),
 ])
 
-GOLD = {"Fact_Sales": FACT_SALES, "Dim_Item": DIM_ITEM, "Dim_Store": DIM_STORE, "Dim_Date": DIM_DATE}
-# The fact is the only table that grows with sales, so the only one split into partitions.
-GOLD_PARTITIONS = {"Fact_Sales": ["Ano", "Mes"]}
+# The star joined once per load, so that no dashboard query joins or shuffles sale lines again.
+SALES_WIDE = T.StructType([
+    *_text("DateKey", "StoreID", "ITEMCODE"),
+    T.StructField("Revenue", REVENUE),
+    T.StructField("Volume", T.IntegerType()),
+    T.StructField("Date", T.DateType()),
+    T.StructField("YearMonth", T.StringType()),
+    T.StructField("Month", T.IntegerType()),
+    T.StructField("Year", T.IntegerType()),
+    *_text("MonthName", "Store", "Client", "StoreType", "City", "SKU", "Category", "Brand", "Segment"),
+])
+
+STAR = {"Fact_Sales": FACT_SALES, "Dim_Item": DIM_ITEM, "Dim_Store": DIM_STORE, "Dim_Date": DIM_DATE}
+GOLD = {**STAR, "Sales_Wide": SALES_WIDE}
+# Only tables that grow with sales are split into partitions.
+GOLD_PARTITIONS = {"Fact_Sales": ["Ano", "Mes"], "Sales_Wide": ["Year", "Month"]}

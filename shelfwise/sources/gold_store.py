@@ -10,7 +10,7 @@ from .. import schemas
 def write_gold(df: DataFrame, root: str, name: str, mode: str = "overwrite") -> None:
     """Full refresh (or, with ``mode='append'``, an addition) of one gold table.
 
-    The partitioned fact is rebalanced first: every output file then holds one month, small months end in one
+    A partitioned table is rebalanced first: every output file then holds one month, small months end in one
     file and large ones are split over many tasks at the advisory partition size.
     """
     partitions = schemas.GOLD_PARTITIONS.get(name, [])
@@ -21,8 +21,9 @@ def write_gold(df: DataFrame, root: str, name: str, mode: str = "overwrite") ->
 
 
 def read_gold(spark: SparkSession, root: str, name: str) -> DataFrame:
-    return spark.read.schema(schemas.GOLD[name]).parquet(f"{root}/{name}")
+    stored = spark.read.schema(schemas.GOLD[name]).parquet(f"{root}/{name}")
+    return stored.select([f"`{column}`" for column in schemas.GOLD[name].fieldNames()])
 
 
 def read_star(spark: SparkSession, root: str) -> dict[str, DataFrame]:
-    return {name: read_gold(spark, root, name) for name in schemas.GOLD}
+    return {name: read_gold(spark, root, name) for name in schemas.STAR}
