@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import re
 from collections.abc import Sequence
 from dataclasses import dataclass
 
@@ -24,6 +25,10 @@ class Period:
     def __post_init__(self) -> None:
         if self.kind not in ("all", "year", "month"):
             raise ValueError(f"unknown period {self.kind!r}")
+        if self.kind == "year" and self.year is None:
+            raise ValueError("a year period needs its year")
+        if self.month is not None and not re.fullmatch(r"\d{4}-\d{2}", self.month):
+            raise ValueError(f"month {self.month!r} is not YYYY-MM")
 
     @classmethod
     def of_year(cls, year: int = LAST_YEAR) -> Period:
@@ -33,19 +38,27 @@ class Period:
     def of_month(cls, month: str | None = None) -> Period:
         return cls("month", month=month)
 
-    def selects(self, last_month: Column) -> Column:
-        """Whether a row of a sales frame is in the period."""
+    def _month_parts(self, last_date: Column) -> tuple[Column, Column]:
+        if self.month is None:
+            return F.year(last_date), F.month(last_date)
+        year, month = self.month.split("-")
+        return F.lit(int(year)), F.lit(int(month))
+
+    def selects(self, last_date: Column) -> Column:
+        """Whether a row of a sales frame is in the period. ``last_date`` is any day of the latest month."""
         if self.kind == "year":
             return F.col("Year") == self.year
         if self.kind == "month":
-            return F.col("YearMonth") == (last_month if self.month is None else F.lit(self.month))
+            # Compared as year and month, by which sales are stored, so that only that month's files are read.
+            year, month = self._month_parts(last_date)
+            return (F.col("Year") == year) & (F.col("Month") == month)
         return F.lit(True)
 
-    def current(self, last_date: Column, last_month: Column) -> Column:
+    def current(self, last_date: Column) -> Column:
         """Rows of the current side of a year-over-year comparison."""
-        return F.col("Year") == F.year(last_date) if self.kind == "all" else self.selects(last_month)
+        return F.col("Year") == F.year(last_date) if self.kind == "all" else self.selects(last_date)
 
-    def previous(self, last_date: Column, last_month: Column) -> Column:
+    def previous(self, last_date: Column) -> Column:
         """Rows of the previous side. All-time compares up to the day of the year of the last sale."""
         if self.kind == "all":
             return (F.col("Year") == F.year(last_date) - 1) & (
@@ -53,12 +66,11 @@ class Period:
             )
         if self.kind == "year":
             return F.col("Year") == self.year - 1
-        month = last_month if self.month is None else F.lit(self.month)
-        year_part, month_part = F.split_part(month, F.lit("-"), F.lit(1)), F.split_part(month, F.lit("-"), F.lit(2))
-        return (F.col("Year") == year_part.cast("int") - 1) & (F.col("Month") == month_part.cast("int"))
+        year, month = self._month_parts(last_date)
+        return (F.col("Year") == year - 1) & (F.col("Month") == month)
 
-    def scan_years(self) -> list[int] | None:
-        """Years both sides can lie in, where that is known without looking at the data."""
+    def years(self) -> list[int] | None:
+        """Years both sides lie in, where that is known without looking at the data."""
         if self.kind == "year":
             return [self.year - 1, self.year]
         if self.kind == "month" and self.month is not None:
@@ -67,32 +79,42 @@ class Period:
         return None
 
 
-def with_bounds(days: DataFrame) -> DataFrame:
-    """Add the last sale date and month to a frame of at most one row per calendar day."""
-    all_days = Window.partitionBy(F.lit(0))
-    return days.withColumns({
-        "_last_date": F.max("Date").over(all_days), "_last_month": F.max("YearMonth").over(all_days)
-    })
+def compared_years(s: DataFrame, period: Period) -> DataFrame:
+    """Rows of the two years a comparison can involve, so that the files of all others are skipped. The last year
+    comes from a scalar subquery, which on stored sales without a filter reads no column, only partition values."""
+    years = period.years()
+    if years is not None:
+        return s.where(F.col("Year").isin(years))
+    return s.where(F.col("Year") >= s.select(F.max("Year") - 1).scalar())
+
+
+def latest_month(s: DataFrame) -> Column:
+    """First day of the latest month with sales, as a scalar subquery that reads partition values only."""
+    return s.select(F.max(F.make_date(F.col("Year"), F.col("Month"), F.lit(1)))).scalar()
+
+
+def with_last_date(days: DataFrame) -> DataFrame:
+    """Add the date of the last sale to a frame of at most one row per calendar day."""
+    return days.withColumn("_last_date", F.max("Date").over(Window.partitionBy(F.lit(0))))
 
 
 def with_sides(s: DataFrame, period: Period) -> DataFrame:
     """Rows of a year-over-year comparison, with ``_is_current`` and ``_is_previous``.
 
     Where the period itself names its year this is a plain filter. Where it depends on the last sale, the days of
-    both sides (at most two years of days, hence the broadcast) are found first and joined; as ``Year`` is one of
-    the join keys, the files of all other years are skipped.
+    both sides are found first and joined; there are at most two years of days, hence the broadcast.
     """
-    last_date, last_month = F.col("_last_date"), F.col("_last_month")
-    current, previous = period.current(last_date, last_month), period.previous(last_date, last_month)
+    last_date = F.col("_last_date")
+    current, previous = period.current(last_date), period.previous(last_date)
     flags = {"_is_current": current, "_is_previous": previous}
-    years = period.scan_years()
-    if years is not None:
-        return s.where(F.col("Year").isin(years)).where(current | previous).withColumns(flags)
-    days = with_bounds(s.select("Date", "Year", "Month", "YearMonth").distinct())
+    recent = compared_years(s, period)
+    if period.years() is not None:
+        return recent.where(current | previous).withColumns(flags)
+    days = with_last_date(recent.select("Date", "Year", "Month").distinct())
     sides = days.where(current | previous).select(
-        "Year", "Date", *[condition.alias(name) for name, condition in flags.items()]
+        "Date", *[condition.alias(name) for name, condition in flags.items()]
     )
-    return s.join(F.broadcast(sides), ["Year", "Date"])
+    return recent.join(F.broadcast(sides), "Date")
 
 
 def filter_options(wide: DataFrame) -> DataFrame:
@@ -105,9 +127,9 @@ def filter_options(wide: DataFrame) -> DataFrame:
     for column, bits in by_set.items():
         dimension = F.when(F.col("_set") == bits, F.lit(column)).otherwise(dimension)
         value = F.when(F.col("_set") == bits, F.col(column)).otherwise(value)
-    last_month = wide.select(F.max("YearMonth")).scalar()
+    is_last = F.col("Value") == F.date_format(latest_month(wide), "yyyy-MM")
     return sets.select(dimension.alias("Dimension"), value.alias("Value")).withColumn(
-        "Is_Default", (F.col("Dimension") != "YearMonth") | (F.col("Value") == last_month)
+        "Is_Default", (F.col("Dimension") != "YearMonth") | is_last
     )
 
 
@@ -140,6 +162,4 @@ def apply_context(
 
 
 def apply_period(s: DataFrame, period: Period = Period()) -> DataFrame:
-    if period.kind == "all":
-        return s
-    return s.where(period.selects(s.select(F.max("YearMonth")).scalar()))
+    return s if period.kind == "all" else s.where(period.selects(latest_month(s)))

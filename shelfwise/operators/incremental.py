@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, functions as F
 
-from ..sources.gold_store import write_gold
+from ..sources.store import write_table
 from .gold import fact_sales
 
 
@@ -19,4 +19,4 @@ def incremental_rows(silver_sales: DataFrame, stored_fact: DataFrame) -> DataFra
 
 def append_fact(silver_sales: DataFrame, stored_fact: DataFrame, root: str) -> None:
     """Add the new sale lines to the stored fact below ``root``; files already there are not rewritten."""
-    write_gold(fact_sales(incremental_rows(silver_sales, stored_fact)), root, "Fact_Sales", mode="append")
+    write_table(fact_sales(incremental_rows(silver_sales, stored_fact)), root, "Fact_Sales", mode="append")

@@ -10,7 +10,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, functions as F
 
 from ..functions.measures import growth_pct, ratio, total, total_where
-from .context import Period, with_bounds
+from .context import Period, compared_years, with_last_date
 
 
 def day_totals(s: DataFrame) -> DataFrame:
@@ -20,8 +20,8 @@ def day_totals(s: DataFrame) -> DataFrame:
 
 
 def _sides(period: Period) -> tuple[Column, Column, Column]:
-    last_date, last_month = F.col("_last_date"), F.col("_last_month")
-    return period.selects(last_month), period.current(last_date, last_month), period.previous(last_date, last_month)
+    last_date = F.col("_last_date")
+    return period.selects(last_date), period.current(last_date), period.previous(last_date)
 
 
 def kpi_totals(p: DataFrame) -> DataFrame:
@@ -51,11 +51,9 @@ def yoy(s: DataFrame, period: Period = Period()) -> DataFrame:
     All-time compares the last year with the one before it up to the same day of the year; a year or a month
     compares with the whole year or month before.
     """
-    years = period.scan_years()
-    if years is not None:
-        s = s.where(F.col("Year").isin(years))
     _, current, previous = _sides(period)
-    return _growth(with_bounds(day_totals(s)).agg(*_side_sums(current, previous)))
+    days = with_last_date(day_totals(compared_years(s, period)))
+    return _growth(days.agg(*_side_sums(current, previous)))
 
 
 def best_year(s: DataFrame) -> DataFrame:
@@ -67,7 +65,7 @@ def best_year(s: DataFrame) -> DataFrame:
 def gauge(s: DataFrame, period: Period = Period()) -> DataFrame:
     """Revenue of the period against the best year of all time, with the end of the gauge's axis."""
     selected, _, _ = _sides(period)
-    years = with_bounds(day_totals(s)).groupBy("Year").agg(
+    years = with_last_date(day_totals(s)).groupBy("Year").agg(
         total("Revenue").alias("_year"), total_where(selected, "Revenue").alias("_period")
     )
     totals = years.agg(
@@ -97,7 +95,7 @@ def tile_reference(s: DataFrame, period: Period = Period()) -> DataFrame:
     the two as they are. Growth of -100 % has no reference value (NULL).
     """
     selected, current, previous = _sides(period)
-    totals = _growth(with_bounds(day_totals(s)).agg(
+    totals = _growth(with_last_date(day_totals(s)).agg(
         *_side_sums(current, previous),
         total_where(selected, "Revenue").alias("_revenue"),
         total_where(selected, "Volume").alias("_volume"),

@@ -5,11 +5,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 
 from ..operators import gold, silver
-from ..sources.gold_store import read_gold, read_star, write_gold
-
-
-def silver_layer(feeds: dict[str, DataFrame], **options) -> dict[str, DataFrame]:
-    return {"Sales": silver.clean_sales(feeds["Sales"], **options), "Items": silver.clean_items(feeds["Items"])}
+from ..settings import PRICE_SCALE
+from ..sources.store import read_star, read_table, write_table
 
 
 def gold_layer(feeds: dict[str, DataFrame], sales: DataFrame | None = None, **labels: str) -> dict[str, DataFrame]:
@@ -29,22 +26,32 @@ def wide_frame(star: dict[str, DataFrame]) -> DataFrame:
 
 
 def build_gold(
-    spark: SparkSession, feeds: dict[str, DataFrame], root: str, **labels: str
+    spark: SparkSession,
+    feeds: dict[str, DataFrame],
+    root: str,
+    *,
+    lenient_dates: bool = False,
+    price_scale: int = PRICE_SCALE,
+    **labels: str,
 ) -> dict[str, DataFrame]:
-    """Full refresh of all gold tables below ``root``; returns the star as stored.
+    """Full refresh of all tables below ``root``; returns the star as stored.
 
     Cleaned sales are stored once as Parquet: the item dimension then reads its one code column and the calendar
     its one date column, instead of parsing the whole text feed once per table. The wide frame is stored last, from
     the stored star, whose dimension sizes Spark knows: this is the only join of sale lines there is.
     """
-    staged = f"{root}/Silver_Sales"
-    silver.clean_sales(feeds["Sales"]).write.mode("overwrite").parquet(staged)
-    for name, table in gold_layer(feeds, spark.read.parquet(staged), **labels).items():
-        write_gold(table, root, name)
-    star = read_star(spark, root)
-    write_gold(wide_frame(star), root, "Sales_Wide")
+    cleaned = silver.clean_sales(feeds["Sales"], lenient_dates=lenient_dates, price_scale=price_scale)
+    write_table(cleaned, root, "Silver_Sales")
+    for name, table in gold_layer(feeds, read_silver(spark, root, price_scale), **labels).items():
+        write_table(table, root, name)
+    star = read_star(spark, root, price_scale)
+    write_table(wide_frame(star), root, "Sales_Wide")
     return star
 
 
-def read_wide(spark: SparkSession, root: str) -> DataFrame:
-    return read_gold(spark, root, "Sales_Wide")
+def read_silver(spark: SparkSession, root: str, price_scale: int = PRICE_SCALE) -> DataFrame:
+    return read_table(spark, root, "Silver_Sales", price_scale)
+
+
+def read_wide(spark: SparkSession, root: str, price_scale: int = PRICE_SCALE) -> DataFrame:
+    return read_table(spark, root, "Sales_Wide", price_scale)

@@ -17,10 +17,10 @@ from ..operators import (
 from ..operators.context import Period
 from ..sources import trade_tables as tables
 from ..sources.feeds import read_bronze, read_bronze_strict
-from ..sources.gold_store import read_gold, read_star, write_gold
+from ..sources.store import read_table, read_star, write_table
 from ..sources.shared import shared_path
 from ..streaming.feed_stream import load_available, read_streamed_fact, sales_stream
-from .build import build_gold, gold_layer, read_wide, wide_frame
+from .build import build_gold, gold_layer, read_silver, read_wide, wide_frame
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -153,7 +153,8 @@ def _dq_orphans(spark: SparkSession, folder: str) -> DataFrame:
 
 
 def _control_totals(spark: SparkSession, folder: str) -> DataFrame:
-    return quality.control_totals(_silver(spark, folder), wide(spark, folder))
+    root = _gold_root(spark, folder)
+    return quality.control_totals(read_silver(spark, root), read_wide(spark, root))
 
 
 def _contract_violations(spark: SparkSession, folder: str) -> DataFrame:
@@ -168,7 +169,7 @@ def _price_regex(spark: SparkSession, folder: str) -> DataFrame:
 
 def _loaded_before(spark: SparkSession, folder: str) -> tuple[DataFrame, DataFrame]:
     """Cleaned sales, and the part of them an earlier load has already stored."""
-    cleaned = _silver(spark, folder)
+    cleaned = read_silver(spark, _gold_root(spark, folder))
     return cleaned, cleaned.where(F.col("Data") <= F.lit(tables.LOADED_UNTIL).cast("date"))
 
 
@@ -180,13 +181,13 @@ def _incremental_rows(spark: SparkSession, folder: str) -> DataFrame:
 def _incremental_load(spark: SparkSession, folder: str) -> DataFrame:
     def write(root: str) -> None:
         cleaned, earlier = _loaded_before(spark, folder)
-        write_gold(gold.fact_sales(earlier), root, "Fact_Sales")
+        write_table(gold.fact_sales(earlier), root, "Fact_Sales")
         # Twice: the second run must find nothing left to add.
         for _ in range(2):
-            incremental.append_fact(cleaned, read_gold(spark, root, "Fact_Sales"), root)
+            incremental.append_fact(cleaned, read_table(spark, root, "Fact_Sales"), root)
 
     path = _once(spark, folder, "incremental", write)
-    return read_gold(spark, path, "Fact_Sales")
+    return read_table(spark, path, "Fact_Sales")
 
 
 def _stream_load(spark: SparkSession, folder: str) -> DataFrame:

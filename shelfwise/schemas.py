@@ -18,46 +18,39 @@ CLIENT = _text("BannerID", "BannerName", "Cliente", "Store Type")
 
 FEEDS = {"Sales": SALES, "Items": ITEMS, "Store": STORE, "Client": CLIENT}
 
-PRICE = T.DecimalType(PRICE_PRECISION, PRICE_SCALE)
-# units (int) x price: Spark's own result type for the product, so no sale line can overflow it.
-REVENUE = T.DecimalType(PRICE_PRECISION + 11, PRICE_SCALE)
-
-FACT_SALES = T.StructType([
-    T.StructField("StoreID", T.StringType()),
-    T.StructField("ITEMCODE", T.StringType()),
-    T.StructField("DateKey", T.StringType()),
-    T.StructField("Vendas Unidades", T.IntegerType()),
-    T.StructField("PVP", PRICE),
-    T.StructField("Vendas Valor", REVENUE),
-    T.StructField("Ano", T.IntegerType()),
-    T.StructField("Mes", T.IntegerType()),
-])
-DIM_ITEM = ITEMS
-DIM_STORE = _text("StoreID", "Store", "City", "Cliente", "Client_Name", "Store Type")
-DIM_DATE = T.StructType([
-    T.StructField("Data", T.DateType()),
-    T.StructField("DateKey", T.StringType()),
-    T.StructField("Ano", T.IntegerType()),
-    T.StructField("Mes", T.IntegerType()),
-    T.StructField("Dia", T.IntegerType()),
-    T.StructField("Trimestre", T.IntegerType()),
-    T.StructField("Nome_Mes", T.StringType()),
-    T.StructField("AnoMes", T.StringType()),
-])
-
-# The star joined once per load, so that no dashboard query joins or shuffles sale lines again.
-SALES_WIDE = T.StructType([
-    *_text("DateKey", "StoreID", "ITEMCODE"),
-    T.StructField("Revenue", REVENUE),
-    T.StructField("Volume", T.IntegerType()),
-    T.StructField("Date", T.DateType()),
-    T.StructField("YearMonth", T.StringType()),
-    T.StructField("Month", T.IntegerType()),
-    T.StructField("Year", T.IntegerType()),
-    *_text("MonthName", "Store", "Client", "StoreType", "City", "SKU", "Category", "Brand", "Segment"),
-])
-
-STAR = {"Fact_Sales": FACT_SALES, "Dim_Item": DIM_ITEM, "Dim_Store": DIM_STORE, "Dim_Date": DIM_DATE}
-GOLD = {**STAR, "Sales_Wide": SALES_WIDE}
+STAR = ["Fact_Sales", "Dim_Item", "Dim_Store", "Dim_Date"]
 # Only tables that grow with sales are split into partitions.
-GOLD_PARTITIONS = {"Fact_Sales": ["Ano", "Mes"], "Sales_Wide": ["Year", "Month"]}
+PARTITIONS = {"Fact_Sales": ["Ano", "Mes"], "Sales_Wide": ["Year", "Month"]}
+
+
+def tables(price_scale: int = PRICE_SCALE) -> dict[str, T.StructType]:
+    """Contracts of the stored tables: cleaned sales, star schema, and the star joined once per load."""
+    price = T.DecimalType(PRICE_PRECISION, price_scale)
+    # units (int) x price: Spark's own result type for the product, so no sale line can overflow it.
+    revenue = T.DecimalType(PRICE_PRECISION + 11, price_scale)
+
+    def fields(**types: T.DataType) -> list[T.StructField]:
+        return [T.StructField(name.replace("__", " "), kind) for name, kind in types.items()]
+
+    whole, date = T.IntegerType(), T.DateType()
+    return {
+        "Silver_Sales": T.StructType([
+            *_text("DateKey"), *fields(Data=date), *_text("StoreID", "ITEMCODE"),
+            *fields(Vendas_Unidades=whole, PVP=price, Vendas_Valor=revenue),
+        ]),
+        "Fact_Sales": T.StructType([
+            *_text("StoreID", "ITEMCODE", "DateKey"),
+            *fields(Vendas__Unidades=whole, PVP=price, Vendas__Valor=revenue, Ano=whole, Mes=whole),
+        ]),
+        "Dim_Item": ITEMS,
+        "Dim_Store": _text("StoreID", "Store", "City", "Cliente", "Client_Name", "Store Type"),
+        "Dim_Date": T.StructType([
+            *fields(Data=date), *_text("DateKey"),
+            *fields(Ano=whole, Mes=whole, Dia=whole, Trimestre=whole), *_text("Nome_Mes", "AnoMes"),
+        ]),
+        "Sales_Wide": T.StructType([
+            *_text("DateKey", "StoreID", "ITEMCODE"),
+            *fields(Revenue=revenue, Volume=whole, Date=date), *_text("YearMonth"), *fields(Month=whole, Year=whole),
+            *_text("MonthName", "Store", "Client", "StoreType", "City", "SKU", "Category", "Brand", "Segment"),
+        ]),
+    }

@@ -36,8 +36,33 @@ PRICE_PRECISION = 18
 PRICE_SCALE = 2
 
 
-def session(app_name: str = "shelfwise", master: str | None = None, **conf: str) -> SparkSession:
-    """A session with the settings the operators rely on for speed (none is needed for right results)."""
+# Bytes a shuffle partition should hold: sorts and hash tables of that size stay in executor memory.
+SHUFFLE_PARTITION_BYTES = 200 * 1024 * 1024
+# More partitions than this would cut each map task's output into blocks too small to fetch well; beyond it,
+# partitions grow instead and their sorts spill.
+MAX_SHUFFLE_PARTITIONS = 20_000
+# Above this input size tasks read larger splits, as a tile reads only a few columns of each.
+LARGE_INPUT_BYTES = 1024**4
+LARGE_SPLIT_BYTES = 512 * 1024 * 1024
+
+
+def size_settings(input_bytes: int) -> dict[str, str]:
+    """Settings that depend on the size of the sales feed. Adaptive execution merges partitions that end up small,
+    so the number only has to be large enough."""
+    partitions = min(MAX_SHUFFLE_PARTITIONS, max(200, -(-input_bytes // SHUFFLE_PARTITION_BYTES)))
+    settings = {"spark.sql.shuffle.partitions": str(partitions)}
+    if input_bytes > LARGE_INPUT_BYTES:
+        settings["spark.sql.files.maxPartitionBytes"] = str(LARGE_SPLIT_BYTES)
+    return settings
+
+
+def session(
+    app_name: str = "shelfwise", master: str | None = None, input_bytes: int | None = None, **conf: str
+) -> SparkSession:
+    """A session with the settings the operators rely on for speed (none is needed for right results).
+
+    Pass ``input_bytes``, the size of the sales feed, where the default of 200 shuffle partitions is too few.
+    """
     builder = SparkSession.builder.appName(app_name)
     if master:
         builder = builder.master(master)
@@ -49,6 +74,7 @@ def session(app_name: str = "shelfwise", master: str | None = None, **conf: str)
         # Dimensions are read from Parquet, so Spark knows their size; above this it sort-merges instead.
         "spark.sql.autoBroadcastJoinThreshold": str(128 * 1024 * 1024),
         "spark.sql.execution.arrow.pyspark.enabled": "true",
+        **(size_settings(input_bytes) if input_bytes is not None else {}),
         **conf,
     }
     for key, value in settings.items():

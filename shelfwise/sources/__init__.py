@@ -1,5 +1,7 @@
-from .feeds import read_bronze, read_bronze_strict
-from .gold_store import read_gold, write_gold
+from .feeds import read_bronze, read_bronze_strict, read_feeds
 from .shared import shared_path
+from .store import read_star, read_table, write_table
 
-__all__ = ["read_bronze", "read_bronze_strict", "read_gold", "shared_path", "write_gold"]
+__all__ = [
+    "read_bronze", "read_bronze_strict", "read_feeds", "read_star", "read_table", "shared_path", "write_table",
+]

@@ -33,7 +33,7 @@ def load_available(stream: DataFrame, root: str, checkpoint: str) -> StreamingQu
         fact_sales(clean_sales(stream))
         .writeStream.format("parquet")
         .outputMode("append")
-        .partitionBy(*schemas.GOLD_PARTITIONS["Fact_Sales"])
+        .partitionBy(*schemas.PARTITIONS["Fact_Sales"])
         .option("path", f"{root}/{STREAMED_FACT}")
         .option("checkpointLocation", checkpoint)
         .trigger(availableNow=True)
@@ -42,4 +42,4 @@ def load_available(stream: DataFrame, root: str, checkpoint: str) -> StreamingQu
 
 
 def read_streamed_fact(spark: SparkSession, root: str) -> DataFrame:
-    return spark.read.schema(schemas.FACT_SALES).parquet(f"{root}/{STREAMED_FACT}")
+    return spark.read.schema(schemas.tables()["Fact_Sales"]).parquet(f"{root}/{STREAMED_FACT}")

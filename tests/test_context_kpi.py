@@ -49,8 +49,9 @@ def test_periods(mixed):
     assert revenues(apply_period(mixed, Period.of_year())) == [10, 20]
     assert revenues(apply_period(mixed, Period.of_month("2020-01"))) == [30]
     assert revenues(apply_period(mixed, Period.of_month())) == [40]
-    with pytest.raises(ValueError):
-        Period("week")
+    for wrong in (("week",), ("year",), ("month", None, "2020-1")):
+        with pytest.raises(ValueError):
+            Period(*wrong)
 
 
 def test_totals(mixed):

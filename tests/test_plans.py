@@ -44,17 +44,29 @@ def test_a_year_of_the_star_reads_only_its_partitions(spark, testdata):
     assert re.search(r"ReadSchema: struct<StoreID:string,ITEMCODE:string,DateKey:string,Vendas Valor:decimal", plan)
 
 
+def test_a_month_reads_only_its_partition(table_wide):
+    chosen = plan_of(apply_period(table_wide, Period.of_month("2000-06")).agg(F.sum("Revenue")))
+    assert re.search(r"PartitionFilters: \[[^\n]*\(Year#\d+ = 2000\)[^\n]*\(Month#\d+ = 6\)", chosen)
+    latest = plan_of(apply_period(table_wide, Period.of_month()).agg(F.sum("Revenue")))
+    assert re.search(r"PartitionFilters: \[[^\n]*\(Year#\d+ = year\(Subquery", latest)
+    assert "ReadSchema: struct<>" in latest and "ReadSchema: struct<Revenue:decimal(29,2)>" in latest
+
+
 def test_growth_of_a_year_reads_two_years(table_wide):
     assert re.search(r"PartitionFilters: \[[^\n]*Year#\d+ IN \(1999,2000\)", plan_of(kpi.yoy(table_wide, YEAR)))
 
 
-def test_bridge_prunes_by_the_days_of_both_sides(table_wide):
-    assert re.search(r"PartitionFilters: \[[^\n]*dynamicpruningexpression\(Year", plan_of(pos.yoy_bridge(table_wide)))
+def test_all_time_growth_and_bridge_read_the_last_two_years(table_wide):
+    for df in (kpi.yoy(table_wide), pos.yoy_bridge(table_wide)):
+        plan = plan_of(df)
+        assert re.search(r"PartitionFilters: \[[^\n]*\(Year#\d+ >= Subquery", plan)
+        # The subquery for the last year reads partition values only.
+        assert "ReadSchema: struct<>" in plan
 
 
 def test_one_read_of_the_fact_per_tile(table_wide):
     for df in (
-        kpi.yoy(table_wide), kpi.gauge(table_wide, YEAR), kpi.tile_reference(table_wide), pos.insights(table_wide),
+        kpi.yoy(table_wide, YEAR), kpi.gauge(table_wide, YEAR), kpi.tile_reference(table_wide), pos.insights(table_wide),
         series.training_months(table_wide, ["Brand"]),
     ):
         assert len(re.findall(r"Location: [^\n]*Sales_Wide", plan_of(df))) == 1

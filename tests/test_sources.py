@@ -6,7 +6,7 @@ from shelfwise import schemas
 from shelfwise.operators import contracts, gold, incremental, silver
 from shelfwise.plans.build import build_gold, gold_layer, wide_frame
 from shelfwise.sources.feeds import read_bronze, read_bronze_strict, read_feeds
-from shelfwise.sources.gold_store import read_gold, write_gold
+from shelfwise.sources.store import read_table, write_table
 from shelfwise.sources.shared import shared_path
 from shelfwise.streaming.feed_stream import load_available, read_streamed_fact, sales_stream
 
@@ -73,11 +73,11 @@ def cleaned(spark, *days):
 
 def test_incremental_load_adds_only_newer_days_once(spark, tmp_path):
     root = str(tmp_path)
-    write_gold(gold.fact_sales(cleaned(spark, "20200101", "20200110")), root, "Fact_Sales")
+    write_table(gold.fact_sales(cleaned(spark, "20200101", "20200110")), root, "Fact_Sales")
     feed = cleaned(spark, "20200101", "20200109", "20200110", "20200111", "20200201", "20200201")
     for _ in range(2):
-        incremental.append_fact(feed, read_gold(spark, root, "Fact_Sales"), root)
-        days = sorted(row.DateKey for row in read_gold(spark, root, "Fact_Sales").collect())
+        incremental.append_fact(feed, read_table(spark, root, "Fact_Sales"), root)
+        days = sorted(row.DateKey for row in read_table(spark, root, "Fact_Sales").collect())
         assert days == ["20200101", "20200110", "20200111", "20200201", "20200201"]
 
 
