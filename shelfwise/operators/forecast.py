@@ -5,13 +5,15 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Callable, Sequence
+from typing import Any
 
+import pandas as pd
 from pyspark.ml import Estimator, Model
 from pyspark.ml.evaluation import RegressionEvaluator
 from pyspark.ml.feature import VectorAssembler
 from pyspark.ml.regression import GBTRegressor
-from pyspark.sql import DataFrame, functions as F
+from pyspark.sql import DataFrame, functions as F, types as T
 
 from ..settings import (
     ACTUAL_TYPE, CONTRACTION, FORECAST_DEPTH, FORECAST_SEED, FORECAST_STEPS, FORECAST_TREES, FORECAST_TYPE,
@@ -178,6 +180,53 @@ def forecast(
     return _predict(model, s, series_keys, steps)
 
 
+def forecast_per_series(
+    s: DataFrame,
+    make_regressor: Callable[[], Any],
+    series_keys: Sequence[str] = (),
+    steps: int = FORECAST_STEPS,
+    leak_free: bool = False,
+) -> DataFrame:
+    """As :func:`forecast`, with a model of its own for every series.
+
+    ``make_regressor`` returns an object with ``fit(X, y)`` and ``predict(X)``, such as
+    ``lambda: XGBRegressor(n_estimators=100, max_depth=3, random_state=42)`` where that package is installed on the
+    executors. Series are fitted side by side, each in one task: its input is one row per calendar month.
+    """
+    whole = series_window(series_keys)
+    observed = observed_months(s, series_keys).withColumns({
+        "_last_month": F.max("YearMonth").over(whole), "_months": F.count_if("Is_Complete").over(whole)
+    })
+    train = observed.where(F.col("Is_Complete") & (F.col("_months") >= MIN_TRAINING_MONTHS))
+    keys = list(series_keys)
+    # The last observed month is the same for all rows of a series, so it can be one more key of it.
+    features = forecast_features(train, [*keys, "_last_month"], leak_free).withColumns(
+        {name: F.col(name).cast("double") for name in ["Revenue", *FEATURES]}
+    )
+
+    def fit_and_predict(history: pd.DataFrame) -> pd.DataFrame:
+        history = history.sort_values("Time_Index")
+        model = make_regressor()
+        model.fit(history[FEATURES], history["Revenue"])
+        known, rows = list(history["Revenue"]), []
+        last_month = pd.Timestamp(history["_last_month"].iloc[0])
+        for step in range(1, steps + 1):
+            month = last_month + pd.DateOffset(months=step)
+            values = [month.month, month.year, len(known), known[-1], known[-2], sum(known[-3:]) / 3]
+            known.append(float(model.predict(pd.DataFrame([values], columns=FEATURES, dtype=float))[0]))
+            rows.append([*history[keys].iloc[0], step, month.date(), known[-1]])
+        return pd.DataFrame(rows, columns=[*keys, "Step", "YearMonth", "Revenue"])
+
+    key_fields = [field for field in s.schema.fields if field.name in keys]
+    schema = T.StructType([
+        *sorted(key_fields, key=lambda field: keys.index(field.name)),
+        T.StructField("Step", T.IntegerType()),
+        T.StructField("YearMonth", T.DateType()),
+        T.StructField("Revenue", T.DoubleType()),
+    ])
+    return features.groupBy(*keys, "_last_month").applyInPandas(fit_and_predict, schema)
+
+
 def forecast_series(s: DataFrame, predicted: DataFrame, series_keys: Sequence[str] = ()) -> DataFrame:
     """History, its incomplete last month included, followed by the forecast."""
     columns = [*series_keys, "YearMonth", "Revenue", "Type"]

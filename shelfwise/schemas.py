@@ -1,4 +1,4 @@
-"""Contracts of the raw feeds (all text) and of the gold tables."""
+"""Contracts of the raw feeds (all text) and of the stored tables."""
 
 from __future__ import annotations
 
@@ -6,9 +6,15 @@ from pyspark.sql import types as T
 
 from .settings import PRICE_PRECISION, PRICE_SCALE
 
+TEXT, WHOLE, DATE = T.StringType(), T.IntegerType(), T.DateType()
+
+
+def _struct(fields: dict[str, T.DataType]) -> T.StructType:
+    return T.StructType([T.StructField(name, kind, True) for name, kind in fields.items()])
+
 
 def _text(*names: str) -> T.StructType:
-    return T.StructType([T.StructField(name, T.StringType(), True) for name in names])
+    return _struct({name: TEXT for name in names})
 
 
 SALES = _text("SALESDATE", "StoreID", "ITEMCODE", "Vendas Unidades", "PVP")
@@ -24,33 +30,29 @@ PARTITIONS = {"Fact_Sales": ["Ano", "Mes"], "Sales_Wide": ["Year", "Month"]}
 
 
 def tables(price_scale: int = PRICE_SCALE) -> dict[str, T.StructType]:
-    """Contracts of the stored tables: cleaned sales, star schema, and the star joined once per load."""
+    """Cleaned sales, star schema, and the star joined once per load."""
     price = T.DecimalType(PRICE_PRECISION, price_scale)
     # units (int) x price: Spark's own result type for the product, so no sale line can overflow it.
     revenue = T.DecimalType(PRICE_PRECISION + 11, price_scale)
-
-    def fields(**types: T.DataType) -> list[T.StructField]:
-        return [T.StructField(name.replace("__", " "), kind) for name, kind in types.items()]
-
-    whole, date = T.IntegerType(), T.DateType()
     return {
-        "Silver_Sales": T.StructType([
-            *_text("DateKey"), *fields(Data=date), *_text("StoreID", "ITEMCODE"),
-            *fields(Vendas_Unidades=whole, PVP=price, Vendas_Valor=revenue),
-        ]),
-        "Fact_Sales": T.StructType([
-            *_text("StoreID", "ITEMCODE", "DateKey"),
-            *fields(Vendas__Unidades=whole, PVP=price, Vendas__Valor=revenue, Ano=whole, Mes=whole),
-        ]),
+        "Silver_Sales": _struct({
+            "DateKey": TEXT, "Data": DATE, "StoreID": TEXT, "ITEMCODE": TEXT,
+            "Vendas_Unidades": WHOLE, "PVP": price, "Vendas_Valor": revenue,
+        }),
+        "Fact_Sales": _struct({
+            "StoreID": TEXT, "ITEMCODE": TEXT, "DateKey": TEXT,
+            "Vendas Unidades": WHOLE, "PVP": price, "Vendas Valor": revenue, "Ano": WHOLE, "Mes": WHOLE,
+        }),
         "Dim_Item": ITEMS,
         "Dim_Store": _text("StoreID", "Store", "City", "Cliente", "Client_Name", "Store Type"),
-        "Dim_Date": T.StructType([
-            *fields(Data=date), *_text("DateKey"),
-            *fields(Ano=whole, Mes=whole, Dia=whole, Trimestre=whole), *_text("Nome_Mes", "AnoMes"),
-        ]),
-        "Sales_Wide": T.StructType([
-            *_text("DateKey", "StoreID", "ITEMCODE"),
-            *fields(Revenue=revenue, Volume=whole, Date=date), *_text("YearMonth"), *fields(Month=whole, Year=whole),
-            *_text("MonthName", "Store", "Client", "StoreType", "City", "SKU", "Category", "Brand", "Segment"),
-        ]),
+        "Dim_Date": _struct({
+            "Data": DATE, "DateKey": TEXT, "Ano": WHOLE, "Mes": WHOLE, "Dia": WHOLE, "Trimestre": WHOLE,
+            "Nome_Mes": TEXT, "AnoMes": TEXT,
+        }),
+        "Sales_Wide": _struct({
+            "DateKey": TEXT, "StoreID": TEXT, "ITEMCODE": TEXT, "Revenue": revenue, "Volume": WHOLE,
+            "Date": DATE, "YearMonth": TEXT, "Month": WHOLE, "Year": WHOLE, "MonthName": TEXT,
+            "Store": TEXT, "Client": TEXT, "StoreType": TEXT, "City": TEXT,
+            "SKU": TEXT, "Category": TEXT, "Brand": TEXT, "Segment": TEXT,
+        }),
     }

@@ -1,6 +1,7 @@
 from shelfwise import schemas
 from shelfwise.operators import gold, silver
 from shelfwise.plans.build import gold_layer, wide_frame
+from shelfwise.settings import UNMAPPED_BRAND
 
 
 def sales(spark, *rows):
@@ -95,7 +96,7 @@ def test_wide_frame_drops_orphans_and_fans_out(spark):
     star = gold_layer(raw)
     wide = wide_frame(star).collect()
     assert sorted((row.ITEMCODE, float(row.Revenue), row.City, row.Brand) for row in wide) == [
-        ("I1", 5.0, "Oslo", "B1"), ("new", 10.0, "Oslo", "Beverama")
+        ("I1", 5.0, "Oslo", "B1"), ("new", 10.0, "Oslo", UNMAPPED_BRAND)
     ]
     twice = {**star, "Dim_Store": star["Dim_Store"].unionByName(star["Dim_Store"])}
     assert wide_frame(twice).count() == 4
