@@ -2,6 +2,9 @@
 
 from __future__ import annotations
 
+from functools import reduce
+from operator import or_
+
 from pyspark.sql import Column, DataFrame, functions as F
 
 from ..functions.text import parse_day, parse_price, parse_units
@@ -17,24 +20,28 @@ def contract_violations(bronze_sales: DataFrame) -> DataFrame:
     ``read_bronze_strict``, a line with too few or too many fields is one violation of its own.
     """
 
-    def broken(field: str, parsed: Column | None) -> Column:
+    fields = {
+        "SALESDATE": parse_day(F.col("SALESDATE"), lenient=True),
+        "StoreID": F.col("StoreID"),
+        "ITEMCODE": F.col("ITEMCODE"),
+        "Vendas Unidades": parse_units(F.col("Vendas Unidades")),
+        "PVP": parse_price(F.col("PVP")),
+    }
+
+    def check(field: str, parsed: Column) -> Column:
         value = F.col(f"`{field}`")
-        rule = F.when(value.isNull(), F.lit(MISSING))
-        if parsed is not None:
-            rule = rule.when(parsed.isNull(), F.lit(UNREADABLE))
+        rule = F.when(value.isNull(), F.lit(MISSING)).when(parsed.isNull(), F.lit(UNREADABLE))
         return F.struct(F.lit(field).alias("Field"), value.alias("Value"), rule.alias("Rule"))
 
-    checks = [
-        broken("SALESDATE", parse_day(F.col("SALESDATE"), lenient=True)),
-        broken("StoreID", None),
-        broken("ITEMCODE", None),
-        broken("Vendas Unidades", parse_units(F.col("Vendas Unidades"))),
-        broken("PVP", parse_price(F.col("PVP"))),
-    ]
-    found = F.filter(F.array(*checks), lambda check: check["Rule"].isNotNull())
+    found = F.filter(
+        F.array(*[check(field, parsed) for field, parsed in fields.items()]), lambda one: one["Rule"].isNotNull()
+    )
+    # A missing value has no parsed one either, so this alone finds the broken lines; the list is for them only.
+    is_broken = reduce(or_, [parsed.isNull() for parsed in fields.values()])
     if CORRUPT in bronze_sales.columns:
         line = F.struct(
             F.lit("line").alias("Field"), F.col(CORRUPT).alias("Value"), F.lit(WRONG_FIELD_COUNT).alias("Rule")
         )
+        is_broken = F.col(CORRUPT).isNotNull() | is_broken
         found = F.when(F.col(CORRUPT).isNotNull(), F.array(line)).otherwise(found)
-    return bronze_sales.select("SALESDATE", "StoreID", "ITEMCODE", F.inline(found))
+    return bronze_sales.where(is_broken).select("SALESDATE", "StoreID", "ITEMCODE", F.inline(found))

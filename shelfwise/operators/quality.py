@@ -81,26 +81,22 @@ def audit_orphans(fact: DataFrame, dims: Mapping[str, tuple[DataFrame, str]]) ->
 
 
 def audit_rejects(bronze_sales: DataFrame) -> DataFrame:
-    """Lines the fact leaves out, by reason. Read from the raw feed, where a zero and an unreadable text differ."""
+    """Lines the fact leaves out, by reason. Read from the raw feed, where a zero and an unreadable text differ.
+
+    Rejected lines are filtered out first, so that only those few are parsed again for their reason.
+    """
     raw = F.col("Vendas Unidades")
-    lines = bronze_sales.select(
-        raw.alias("_raw"),
-        parse_units(raw).alias("_units"),
-        F.coalesce(parse_price(F.col("PVP")), F.lit(0)).alias("_price"),
-    )
+    units, price = parse_units(raw), F.coalesce(parse_price(F.col("PVP")), F.lit(0))
+    known = F.coalesce(units, F.lit(0))
     reason = (
-        F.when(F.col("_raw").isNull(), F.lit("missing units"))
-        .when(F.col("_units").isNull(), F.lit("unreadable units"))
-        .when(F.col("_units") < 0, F.lit("returned units"))
-        .when(F.col("_units") == 0, F.lit("zero units"))
-        .when(F.col("_price") < 0, F.lit("negative revenue"))
-    )
-    return (
-        lines.select(reason.alias("Reason"))
-        .where(F.col("Reason").isNotNull())
-        .groupBy("Reason")
-        .agg(F.count(F.lit(1)).alias("Lines"))
+        F.when(raw.isNull(), F.lit("missing units"))
+        .when(units.isNull(), F.lit("unreadable units"))
+        .when(units < 0, F.lit("returned units"))
+        .when(units == 0, F.lit("zero units"))
+        .otherwise(F.lit("negative revenue"))
     )
+    rejected = bronze_sales.where(~is_sale(known, known * price))
+    return rejected.groupBy(reason.alias("Reason")).agg(F.count(F.lit(1)).alias("Lines"))
 
 
 def _layer_totals(lines: DataFrame, layers: Mapping[str, Column], units: str, revenue: str) -> DataFrame:
