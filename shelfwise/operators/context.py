@@ -93,6 +93,13 @@ def latest_month(s: DataFrame) -> Column:
     return s.select(F.max(F.make_date(F.col("Year"), F.col("Month"), F.lit(1)))).scalar()
 
 
+def with_calendar(days: DataFrame) -> DataFrame:
+    """Year and month columns of a sales frame for rows that only have their date."""
+    return days.withColumns({
+        "Year": F.year("Date"), "Month": F.month("Date"), "YearMonth": F.date_format("Date", "yyyy-MM")
+    })
+
+
 def with_last_date(days: DataFrame) -> DataFrame:
     """Add the date of the last sale to a frame of at most one row per calendar day."""
     return days.withColumn("_last_date", F.max("Date").over(Window.partitionBy(F.lit(0))))
@@ -110,7 +117,7 @@ def with_sides(s: DataFrame, period: Period) -> DataFrame:
     recent = compared_years(s, period)
     if period.years() is not None:
         return recent.where(current | previous).withColumns(flags)
-    days = with_last_date(recent.select("Date", "Year", "Month").distinct())
+    days = with_last_date(with_calendar(recent.select("Date").distinct()))
     sides = days.where(current | previous).select(
         "Date", *[condition.alias(name) for name, condition in flags.items()]
     )

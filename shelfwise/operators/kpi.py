@@ -10,13 +10,13 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, functions as F
 
 from ..functions.measures import growth_pct, ratio, total, total_where
-from .context import Period, compared_years, with_last_date
+from .context import Period, compared_years, with_calendar, with_last_date
 
 
 def day_totals(s: DataFrame) -> DataFrame:
-    return s.groupBy("Date", "Year", "Month", "YearMonth").agg(
-        total("Revenue").alias("Revenue"), total("Volume").alias("Volume")
-    )
+    """Revenue and volume per day. Only the date is grouped and read; year and month follow from it."""
+    days = s.groupBy("Date").agg(total("Revenue").alias("Revenue"), total("Volume").alias("Volume"))
+    return with_calendar(days)
 
 
 def _sides(period: Period) -> tuple[Column, Column, Column]:

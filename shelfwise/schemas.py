@@ -27,6 +27,8 @@ FEEDS = {"Sales": SALES, "Items": ITEMS, "Store": STORE, "Client": CLIENT}
 STAR = ["Fact_Sales", "Dim_Item", "Dim_Store", "Dim_Date"]
 # Only tables that grow with sales are split into partitions.
 PARTITIONS = {"Fact_Sales": ["Ano", "Mes"], "Sales_Wide": ["Year", "Month"]}
+# Rows of a file are sorted by what dashboards filter on: long runs compress well, and a filter skips whole row groups.
+CLUSTERING = {"Sales_Wide": ["Brand", "City"]}
 
 
 def tables(price_scale: int = PRICE_SCALE) -> dict[str, T.StructType]:

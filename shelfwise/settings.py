@@ -73,6 +73,7 @@ def session(
         "spark.sql.adaptive.skewJoin.enabled": "true",
         # Dimensions are read from Parquet, so Spark knows their size; above this it sort-merges instead.
         "spark.sql.autoBroadcastJoinThreshold": str(128 * 1024 * 1024),
+        "spark.sql.parquet.compression.codec": "zstd",
         "spark.sql.execution.arrow.pyspark.enabled": "true",
         **(size_settings(input_bytes) if input_bytes is not None else {}),
         **conf,

@@ -16,8 +16,11 @@ def write_table(df: DataFrame, root: str, name: str, mode: str = "overwrite") ->
     """
     partitions = schemas.PARTITIONS.get(name, [])
     df = df.select([f"`{column}`" for column in schemas.tables()[name].fieldNames()])
+    clustering = schemas.CLUSTERING.get(name, [])
     if partitions:
         df = df.hint("rebalance", *partitions)
+    if clustering:
+        df = df.sortWithinPartitions(*partitions, *clustering)
     df.write.mode(mode).partitionBy(*partitions).parquet(f"{root}/{name}")
 
 
