@@ -1,5 +1,8 @@
+import random
 from decimal import Decimal
 
+import duckdb
+import pandas as pd
 import pytest
 from pyspark.sql import functions as F
 
@@ -39,6 +42,22 @@ def test_price_of_any_currency(spark):
     assert apply(spark, parse_price_any, ["free", "", None]) == [None, None, None]
 
 
+def test_numbers_equal_safe_casts_in_sql(spark):
+    """Random texts of digits, marks, signs, blanks and the euro sign."""
+    random.seed(11)
+    alphabet = "0123456789" * 2 + ".,-+ €\t"
+    texts = sorted({"".join(random.choice(alphabet) for _ in range(random.randint(1, 7))) for _ in range(20000)})
+    columns = [F.col("s"), parse_units(F.col("s")), parse_price(F.col("s"))]
+    ours = spark.createDataFrame([(text,) for text in texts], "s string").select(columns).collect()
+    connection = duckdb.connect()
+    connection.register("texts", pd.DataFrame({"s": texts}))
+    expected = connection.execute("""
+        SELECT s, TRY_CAST(replace(s, ',', '') AS INTEGER),
+               TRY_CAST(replace(replace(s, ' €', ''), '€', '') AS DECIMAL(18,2)) FROM texts""").fetchall()
+    assert sorted(map(tuple, ours), key=lambda row: row[0]) == sorted(expected, key=lambda row: row[0])
+    assert sum(row[1] is not None for row in expected) > 1000
+
+
 def test_city(spark):
     cases = {
         "Mart - Detroit": "Detroit", "Super-Max Supers - Omaha": "Omaha", "Super-Max Supers": "Max Supers",
