@@ -8,6 +8,7 @@ from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
+from ..functions.grouping import per_column
 from ..settings import LAST_YEAR
 
 # Above this many values a membership list becomes a semi join instead of one long predicate.
@@ -127,17 +128,9 @@ def with_sides(s: DataFrame, period: Period) -> DataFrame:
 def filter_options(wide: DataFrame) -> DataFrame:
     """Values to choose from per filter (one scan), with the default choice: all values, but only the last month."""
     columns = ["Client", "City", "Brand", "YearMonth"]
-    sets = wide.groupingSets([[column] for column in columns], *columns).agg(F.grouping_id().alias("_set"))
-    # grouping_id has one bit per column, set where the column is not part of the grouping.
-    by_set = {column: 15 - (8 >> position) for position, column in enumerate(columns)}
-    dimension, value = F.lit(None).cast("string"), F.lit(None).cast("string")
-    for column, bits in by_set.items():
-        dimension = F.when(F.col("_set") == bits, F.lit(column)).otherwise(dimension)
-        value = F.when(F.col("_set") == bits, F.col(column)).otherwise(value)
+    options = per_column(wide, {column: column for column in columns}).toDF("Dimension", "Value")
     is_last = F.col("Value") == F.date_format(latest_month(wide), "yyyy-MM")
-    return sets.select(dimension.alias("Dimension"), value.alias("Value")).withColumn(
-        "Is_Default", (F.col("Dimension") != "YearMonth") | is_last
-    )
+    return options.withColumn("Is_Default", (F.col("Dimension") != "YearMonth") | is_last)
 
 
 def _is_member(column: str, values: Sequence[str | None]) -> Column:

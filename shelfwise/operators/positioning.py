@@ -6,6 +6,7 @@ from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame, functions as F
 
+from ..functions.grouping import per_column
 from ..functions.measures import total, total_where
 from ..functions.ranking import ranked
 from ..settings import CITY_COORDINATES, DEFAULT_COORDINATES, UNKNOWN_BRAND, UNMAPPED_LABEL
@@ -49,17 +50,15 @@ def unmapped_revenue(p: DataFrame, label: str = UNMAPPED_LABEL) -> DataFrame:
 
 def insights(p: DataFrame, label: str = UNMAPPED_LABEL) -> DataFrame:
     """Leading city and SKU, unmapped revenue and its warning flag as one row, from one scan."""
-    sets = p.groupingSets([["City"], ["SKU"]], "City", "SKU").agg(
-        F.grouping("City").alias("_by_sku"), total("Revenue").alias("Revenue")
-    )
-    by_city, by_sku, revenue = F.col("_by_sku") == 0, F.col("_by_sku") == 1, F.col("Revenue")
-    city = F.when(by_city, F.col("City"))
-    known = F.when(by_sku & (F.col("SKU") != label), F.col("SKU"))
-    return sets.agg(
+    sums = per_column(p, {"City": "City", "SKU": "SKU"}, total("Revenue").alias("Revenue"))
+    is_sku, key, revenue = F.col("Label") == "SKU", F.col("Key"), F.col("Revenue")
+    city = F.when(~is_sku, key)
+    known = F.when(is_sku & (key != label), key)
+    return sums.agg(
         _leader(city, revenue).alias("Top_City"),
         F.coalesce(F.max(F.when(city.isNotNull(), revenue)), F.lit(0)).alias("Top_City_Revenue"),
         _leader(known, revenue).alias("Top_SKU"),
-        total_where(by_sku & (F.col("SKU") == label), "Revenue").alias("Unmapped_Revenue"),
+        total_where(is_sku & (key == label), "Revenue").alias("Unmapped_Revenue"),
     ).withColumn("Data_Quality_Warning", F.col("Unmapped_Revenue") > 0)
 
 

@@ -6,6 +6,7 @@ from collections.abc import Mapping, Sequence
 
 from pyspark.sql import Column, DataFrame, functions as F
 
+from ..functions.grouping import per_column
 from ..functions.measures import total, total_where
 from ..functions.text import date_key, parse_price, parse_units
 from ..settings import UNMAPPED_LABEL
@@ -57,23 +58,16 @@ def audit_orphans(fact: DataFrame, dims: Mapping[str, tuple[DataFrame, str]]) ->
     One scan of the fact: lines are first added up per key value of each dimension, so a hot key is one row before
     anything is shuffled or joined, and only distinct keys meet the dimensions. NULL keys count as orphans.
     """
-    keys = [key for _, key in dims.values()]
-    names = {key: name for name, (_, key) in dims.items()}
-    sums = fact.groupingSets([[key] for key in keys], *keys).agg(
-        F.grouping_id().alias("_set"), F.count(F.lit(1)).alias("_lines"), total("Vendas Valor").alias("_revenue")
+    used = per_column(
+        fact, {name: key for name, (_, key) in dims.items()},
+        F.count(F.lit(1)).alias("_lines"), total("Vendas Valor").alias("_revenue"),
     )
-    name, value = F.lit(None).cast("string"), F.lit(None).cast("string")
-    for position, key in enumerate(keys):
-        in_set = F.col("_set") == (2 ** len(keys) - 1) - (1 << (len(keys) - 1 - position))
-        name = F.when(in_set, F.lit(names[key])).otherwise(name)
-        value = F.when(in_set, F.col(key)).otherwise(value)
-    used = sums.select(name.alias("Dimension"), value.alias("_key"), "_lines", "_revenue")
     known = _union([
-        dim.select(F.lit(dim_name).alias("Dimension"), F.col(key).alias("_key")).distinct().withColumn("_known", F.lit(True))
-        for dim_name, (dim, key) in dims.items()
+        dim.select(F.lit(name).alias("Label"), F.col(key).cast("string").alias("Key")).distinct().withColumn("_known", F.lit(True))
+        for name, (dim, key) in dims.items()
     ])
     orphan = F.col("_known").isNull()
-    return used.join(known, ["Dimension", "_key"], "left").groupBy("Dimension").agg(
+    return used.join(known, ["Label", "Key"], "left").groupBy(F.col("Label").alias("Dimension")).agg(
         total_where(orphan, "_lines").cast("bigint").alias("Orphan_Lines"),
         _count(orphan).alias("Orphan_Keys"),
         total_where(orphan, "_revenue").alias("Orphan_Revenue"),

@@ -41,9 +41,11 @@ SHUFFLE_PARTITION_BYTES = 200 * 1024 * 1024
 # More partitions than this would cut each map task's output into blocks too small to fetch well; beyond it,
 # partitions grow instead and their sorts spill.
 MAX_SHUFFLE_PARTITIONS = 20_000
-# Above this input size tasks read larger splits, as a tile reads only a few columns of each.
+# Above this input size tasks read larger splits, as a tile reads only a few columns of each, and adaptive execution
+# aims at larger partitions, which also are the files that the load writes.
 LARGE_INPUT_BYTES = 1024**4
 LARGE_SPLIT_BYTES = 512 * 1024 * 1024
+LARGE_ADVISORY_BYTES = 256 * 1024 * 1024
 
 
 def size_settings(input_bytes: int) -> dict[str, str]:
@@ -53,6 +55,7 @@ def size_settings(input_bytes: int) -> dict[str, str]:
     settings = {"spark.sql.shuffle.partitions": str(partitions)}
     if input_bytes > LARGE_INPUT_BYTES:
         settings["spark.sql.files.maxPartitionBytes"] = str(LARGE_SPLIT_BYTES)
+        settings["spark.sql.adaptive.advisoryPartitionSizeInBytes"] = str(LARGE_ADVISORY_BYTES)
     return settings
 
 

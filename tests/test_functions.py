@@ -6,7 +6,7 @@ import pandas as pd
 import pytest
 from pyspark.sql import functions as F
 
-from shelfwise.functions import city_of, growth_pct, parse_day, parse_price, parse_price_any, parse_units, ranked, ratio
+from shelfwise.functions import city_of, growth_pct, parse_day, parse_price, parse_price_any, parse_units, per_column, ranked, ratio
 
 
 def apply(spark, function, values):
@@ -98,3 +98,11 @@ def test_ranked_only_some_rows(spark):
     assert [(row.k, row.Position, row.Running, row.Whole, row.Whole_v) for row in result] == [
         ("b", 1, 7, 12, 21), ("a", 2, 12, 12, 21)
     ]
+
+
+def test_per_column_groups_each_column_on_its_own(spark):
+    df = spark.createDataFrame([("x", 1, 5), ("x", None, 7), (None, 1, 9)], "a string, b int, v int")
+    rows = per_column(df, {"A": "a", "B": "b"}, F.sum("v").alias("v")).collect()
+    assert sorted((row.Label, row.Key or "", row.v) for row in rows) == [
+        ("A", "", 9), ("A", "x", 12), ("B", "", 7), ("B", "1", 14)
+    ]
