@@ -19,6 +19,7 @@ from ..settings import (
     ACTUAL_TYPE, CONTRACTION, FORECAST_DEPTH, FORECAST_SEED, FORECAST_STEPS, FORECAST_TREES, FORECAST_TYPE,
     GROWTH, INSUFFICIENT, MIN_TRAINING_MONTHS,
 )
+from ..sources.shared import materialized
 from .series import observed_months, series_window, training_months
 
 FEATURES = ["Month", "Year", "Time_Index", "Lag_1", "Lag_2", "Rolling_Mean"]
@@ -63,10 +64,18 @@ def forecast_features(
     )
 
 
-def _series_state(s: DataFrame, series_keys: Sequence[str]) -> DataFrame:
+def _trainable(observed: DataFrame, series_keys: Sequence[str]) -> DataFrame:
+    """Complete months of the series that have enough of them."""
+    months = F.count_if("Is_Complete").over(series_window(series_keys))
+    return observed.withColumn("_months", months).where(
+        F.col("Is_Complete") & (F.col("_months") >= MIN_TRAINING_MONTHS)
+    )
+
+
+def _series_state(observed: DataFrame, series_keys: Sequence[str]) -> DataFrame:
     """One row per trainable series: last observed month, training length, last three training revenues."""
     order = series_window(series_keys).orderBy("YearMonth")
-    months = observed_months(s, series_keys).withColumns({
+    months = observed.withColumns({
         "_before": F.lag("Revenue", 1).over(order), "_before_that": F.lag("Revenue", 2).over(order)
     })
     lags = {"_r1": "Revenue", "_r2": "_before", "_r3": "_before_that"}
@@ -89,7 +98,9 @@ def forecast_horizon(
     """Months to forecast: they follow the last observed month, even one too incomplete to learn from, while the
     time index continues from the training months."""
     month = F.add_months("_last_month", F.col("Step"))
-    state = _series_state(s, series_keys).withColumn("Step", F.explode(F.sequence(F.lit(1), F.lit(steps))))
+    state = _series_state(observed_months(s, series_keys), series_keys).withColumn(
+        "Step", F.explode(F.sequence(F.lit(1), F.lit(steps)))
+    )
     return state.select(
         *series_keys, "Step",
         month.alias("YearMonth"),
@@ -117,10 +128,10 @@ def fit_model(features: DataFrame, regressor: Estimator) -> Model:
         training.unpersist()
 
 
-def _predict(model: Model, s: DataFrame, series_keys: Sequence[str], steps: int) -> DataFrame:
+def _predict(model: Model, observed: DataFrame, series_keys: Sequence[str], steps: int) -> DataFrame:
     """Predict month after month, each prediction becoming the next month's lag. All series advance together: the
     loop is over the steps, its state one row per series."""
-    state = _series_state(s, series_keys)
+    state = _series_state(observed, series_keys)
     kept = [*series_keys, "_last_month", "_months"]
     predictions: list[str] = []
     for step in range(1, steps + 1):
@@ -167,17 +178,14 @@ def forecast(
 
     ``regressor`` takes any Spark ML regression estimator instead of the default boosted trees.
     """
-    observed = observed_months(s, series_keys).withColumn(
-        "_months", F.count_if("Is_Complete").over(series_window(series_keys))
-    )
-    train = observed.where(F.col("Is_Complete") & (F.col("_months") >= MIN_TRAINING_MONTHS))
-    features = forecast_features(train, series_keys, leak_free)
+    # The sales are read once; gate, fit and prediction work on the month totals.
+    observed = materialized(observed_months(s, series_keys), "months")
+    features = forecast_features(_trainable(observed, series_keys), series_keys, leak_free)
     if features.isEmpty():
-        return forecast_horizon(s, series_keys, steps).select(
-            *series_keys, "Step", "YearMonth", F.lit(0.0).alias("Revenue")
-        )
+        nothing = [F.lit(None).cast("int").alias("Step"), F.lit(None).cast("double").alias("Revenue")]
+        return observed.where("false").select(*series_keys, nothing[0], "YearMonth", nothing[1])
     model = fit_model(features, regressor or _boosted_trees(max_iter, max_depth, seed))
-    return _predict(model, s, series_keys, steps)
+    return _predict(model, observed, series_keys, steps)
 
 
 def forecast_per_series(
@@ -193,12 +201,9 @@ def forecast_per_series(
     ``lambda: XGBRegressor(n_estimators=100, max_depth=3, random_state=42)`` where that package is installed on the
     executors. Series are fitted side by side, each in one task: its input is one row per calendar month.
     """
-    whole = series_window(series_keys)
-    observed = observed_months(s, series_keys).withColumns({
-        "_last_month": F.max("YearMonth").over(whole), "_months": F.count_if("Is_Complete").over(whole)
-    })
-    train = observed.where(F.col("Is_Complete") & (F.col("_months") >= MIN_TRAINING_MONTHS))
     keys = list(series_keys)
+    observed = observed_months(s, keys).withColumn("_last_month", F.max("YearMonth").over(series_window(keys)))
+    train = _trainable(observed, keys)
     # The last observed month is the same for all rows of a series, so it can be one more key of it.
     features = forecast_features(train, [*keys, "_last_month"], leak_free).withColumns(
         {name: F.col(name).cast("double") for name in ["Revenue", *FEATURES]}
@@ -268,7 +273,7 @@ def tune_forecast(
     A random split would test on months older than those learned from. The grid is the only loop here; every fit
     and every evaluation is a Spark job.
     """
-    features = forecast_features(training_months(s, series_keys), series_keys, leak_free)
+    features = materialized(forecast_features(training_months(s, series_keys), series_keys, leak_free), "features")
     before = features.where(F.col("YearMonth") < F.lit(cutoff).cast("date"))
     after = _assemble(features.where(F.col("YearMonth") >= F.lit(cutoff).cast("date"))).select(
         "features", F.col("Revenue").cast("double").alias(_LABEL)

@@ -6,6 +6,7 @@ once per session and input folder in the shared folder, as a dashboard reads wha
 
 from __future__ import annotations
 
+import threading
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
@@ -33,16 +34,18 @@ TUNING_GRID = [{"maxIter": trees, "maxDepth": depth} for trees in (5, 20) for de
 TUNING_CUTOFF = "2000-11-01"
 
 _stored: dict[tuple[str, str, str], str] = {}
+_writing = threading.RLock()
 
 
 def _once(spark: SparkSession, folder: str, name: str, write: Callable[[str], object]) -> str:
     """Path of a table written once per session and input folder."""
     key = (spark.sparkContext.applicationId, folder, name)
-    if key not in _stored:
-        path = shared_path(spark, name)
-        write(path)
-        _stored[key] = path
-    return _stored[key]
+    with _writing:
+        if key not in _stored:
+            path = shared_path(spark, name)
+            write(path)
+            _stored[key] = path
+        return _stored[key]
 
 
 def _gold_root(spark: SparkSession, folder: str) -> str:

@@ -5,7 +5,7 @@ from __future__ import annotations
 import tempfile
 import uuid
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
 
 _CHECKPOINT_DIR = "spark.checkpoint.dir"
 _local_root: str | None = None
@@ -25,3 +25,11 @@ def shared_path(spark: SparkSession, name: str) -> str:
         _local_root = _local_root or tempfile.mkdtemp(prefix="shelfwise-")
         root = _local_root
     return f"{root.rstrip('/')}/shelfwise/{name}-{uuid.uuid4().hex}"
+
+
+def materialized(df: DataFrame, name: str) -> DataFrame:
+    """``df`` written to the shared folder and read back: later uses neither repeat its work nor depend on the
+    executors that did it."""
+    path = shared_path(df.sparkSession, name)
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)

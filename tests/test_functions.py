@@ -92,6 +92,17 @@ def test_ranked_equals_a_global_sort(spark):
         assert result[key].Whole == sum(value for _, value in rows)
 
 
+def test_ranked_random_groups(spark):
+    random.seed(3)
+    rows = [(f"k{i}", random.choice([0, 0, random.randint(-5, 5), random.randint(-10**9, 10**12)])) for i in range(3000)]
+    df = spark.createDataFrame(rows, "k string, v bigint")
+    expected = pd.DataFrame(rows, columns=["k", "v"]).sort_values(["v", "k"], ascending=[False, True])
+    result = ranked(df, "v", ["k"]).orderBy("Position").toPandas()
+    assert list(result.Position) == list(range(1, 3001))
+    assert list(result.k) == list(expected.k)
+    assert list(result.Running) == list(expected.v.cumsum())
+
+
 def test_ranked_only_some_rows(spark):
     df = spark.createDataFrame([("a", 5), (None, 9), ("b", 7)], "k string, v int")
     result = ranked(df, "v", ["k"], wholes=["v"], only=F.col("k").isNotNull()).orderBy("Position").collect()

@@ -103,7 +103,7 @@ def test_recursion_equals_a_loop_over_months(make_wide, kind, params):
     keys = ["Brand"]
     train = series.training_months(both, keys)
     model = fc.fit_model(fc.forecast_features(train, keys), kind(**params))
-    predicted = fc._predict(model, both, keys, 6).orderBy("Brand", "Step").collect()
+    predicted = fc._predict(model, series.observed_months(both, keys), keys, 6).orderBy("Brand", "Step").collect()
     expected = []
     for brand, observed in (("B1", 16), ("B2", 24)):
         known = [float(row.Revenue) for row in train.where(f"Brand = '{brand}'").orderBy("YearMonth").collect()]
