@@ -8,14 +8,15 @@ from ..functions.text import city_of
 from ..settings import UNMAPPED_BRAND, UNMAPPED_CATEGORY, UNMAPPED_LABEL, UNMAPPED_SEGMENT
 
 
-def is_sale(units: Column, revenue: Column) -> Column:
-    """What counts as a sale: units sold, at a price that may be zero but not negative."""
-    return (units > 0) & (revenue >= 0)
+def is_sale(units: Column, price: Column) -> Column:
+    """What counts as a sale: units sold for a revenue that may be zero but not negative. With positive units that
+    is a price which is not negative, so the product need not be computed to filter by it."""
+    return (units > 0) & (price >= 0)
 
 
 def fact_sales(silver_sales: DataFrame) -> DataFrame:
     """Sale lines, not aggregated. ``Ano`` and ``Mes`` are the storage partitions."""
-    return silver_sales.where(is_sale(F.col("Vendas_Unidades"), F.col("Vendas_Valor"))).select(
+    return silver_sales.where(is_sale(F.col("Vendas_Unidades"), F.col("PVP"))).select(
         "StoreID",
         "ITEMCODE",
         "DateKey",

@@ -81,7 +81,6 @@ def audit_rejects(bronze_sales: DataFrame) -> DataFrame:
     """
     raw = F.col("Vendas Unidades")
     units, price = parse_units(raw), F.coalesce(parse_price(F.col("PVP")), F.lit(0))
-    known = F.coalesce(units, F.lit(0))
     reason = (
         F.when(raw.isNull(), F.lit("missing units"))
         .when(units.isNull(), F.lit("unreadable units"))
@@ -89,7 +88,7 @@ def audit_rejects(bronze_sales: DataFrame) -> DataFrame:
         .when(units == 0, F.lit("zero units"))
         .otherwise(F.lit("negative revenue"))
     )
-    rejected = bronze_sales.where(~is_sale(known, known * price))
+    rejected = bronze_sales.where(~is_sale(F.coalesce(units, F.lit(0)), price))
     return rejected.groupBy(reason.alias("Reason")).agg(F.count(F.lit(1)).alias("Lines"))
 
 
@@ -119,7 +118,7 @@ def _layer_totals(lines: DataFrame, layers: Mapping[str, Column], units: str, re
 def control_totals(silver_sales: DataFrame, wide: DataFrame, label: str = UNMAPPED_LABEL) -> DataFrame:
     """Lines, item codes, units and revenue per layer. Equal totals of fact and wide show that mapping unmapped
     items to a label lost nothing. One scan of the cleaned sales and one of the wide frame."""
-    accepted = is_sale(F.col("Vendas_Unidades"), F.col("Vendas_Valor"))
+    accepted = is_sale(F.col("Vendas_Unidades"), F.col("PVP"))
     cleaned = _layer_totals(
         silver_sales,
         {"silver": F.lit(True), "rejected": ~accepted, "fact": accepted},
