@@ -120,12 +120,10 @@ def _boosted_trees(max_iter: int, max_depth: int, seed: int) -> GBTRegressor:
 
 
 def fit_model(features: DataFrame, regressor: Estimator) -> Model:
-    """Fit on a features frame. The month rows are kept in memory for the many passes of the fit."""
-    training = _assemble(features).select("features", F.col("Revenue").cast("double").alias(_LABEL)).persist()
-    try:
-        return regressor.copy({regressor.getParam("labelCol"): _LABEL}).fit(training)
-    finally:
-        training.unpersist()
+    """Fit on a stored features frame: stored, its partitions are as few as its size asks for, which is what the
+    many small jobs of the fit take their time from."""
+    training = _assemble(features).select("features", F.col("Revenue").cast("double").alias(_LABEL))
+    return regressor.copy({regressor.getParam("labelCol"): _LABEL}).fit(training)
 
 
 def _predict(model: Model, observed: DataFrame, series_keys: Sequence[str], steps: int) -> DataFrame:
@@ -180,7 +178,9 @@ def forecast(
     """
     # The sales are read once; gate, fit and prediction work on the month totals.
     observed = materialized(observed_months(s, series_keys), "months")
-    features = forecast_features(_trainable(observed, series_keys), series_keys, leak_free)
+    features = materialized(
+        forecast_features(_trainable(observed, series_keys), series_keys, leak_free), "features"
+    )
     if features.isEmpty():
         nothing = [F.lit(None).cast("int").alias("Step"), F.lit(None).cast("double").alias("Revenue")]
         return observed.where("false").select(*series_keys, nothing[0], "YearMonth", nothing[1])
