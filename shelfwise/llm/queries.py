@@ -6,7 +6,8 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from . import bpe as byte_pairs, line_dedup, quality_rules as rules
+from . import bpe as byte_pairs, line_dedup, quality_rules as rules, secrets
+from .spans import joined, once
 from .texts import documents
 
 VOCABULARY = "byte_bpe_50k.json"
@@ -25,6 +26,18 @@ def op1_line_dedup(spark: SparkSession, folder: str) -> DataFrame:
     )
 
 
+def op2_secrets(spark: SparkSession, folder: str) -> DataFrame:
+    docs = documents(spark, folder).select("doc_id", "text")
+    found = secrets.scan_secrets(docs, secrets.train(secrets.samples(docs)))
+    base = F.array_sort(F.concat("secrets.assign", "secrets.access", "secrets.hex"))
+    both = F.array_sort(F.concat("secrets.assign", "secrets.access", "secrets.hex", "secrets.markov"))
+    return found.select(
+        "doc_id", *[F.size(f"secrets.{kind}").cast("long").alias(f"n_{kind}") for kind in ("assign", "access", "hex")],
+        F.sha2(joined(base), 256).alias("base_sha256"), joined(both).alias("spans"),
+        F.size("secrets.markov").cast("long").alias("n_markov"),
+    )
+
+
 def op3_quality_rules(spark: SparkSession, folder: str) -> DataFrame:
     found = rules.quality_rules(documents(spark, folder).select("doc_id", "text"))
     return found.select("doc_id", "quality_rules.*")
@@ -42,6 +55,7 @@ def op6_bpe(spark: SparkSession, folder: str) -> DataFrame:
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {
         "op1_line_dedup": op1_line_dedup,
+        "op2_secrets": op2_secrets,
         "op3_quality_rules": op3_quality_rules,
         "op6_bpe": op6_bpe,
     }

@@ -26,3 +26,12 @@ def awkward():
         (1, None), (2, ""), (3, " \n\t \n"), (None, "a text without an id"), (None, None), (4, "one"), (5, "same text"),
         (5, "same text"), (6, "same text"), (7, long), (8, "é日本 ümlaut 😀 \x1f \x85 Straße\r\nİ K ſ"),
     ]
+
+
+@pytest.fixture(scope="session")
+def larger(testdata):
+    """The next larger tables, where each kind of finding occurs."""
+    import os
+
+    folder = testdata.replace("sf0.001", "sf0.01")
+    return folder if os.path.isdir(folder) else testdata
