@@ -6,8 +6,8 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from . import bpe as byte_pairs, line_dedup, quality_rules as rules, secrets
-from .spans import joined, once
+from . import bpe as byte_pairs, licenses, line_dedup, quality_rules as rules, secrets
+from .spans import joined
 from .texts import documents
 
 VOCABULARY = "byte_bpe_50k.json"
@@ -52,12 +52,22 @@ def op6_bpe(spark: SparkSession, folder: str) -> DataFrame:
     )
 
 
+def op10_licenses(spark: SparkSession, folder: str) -> DataFrame:
+    found = licenses.scan_licenses(documents(spark, folder).select("doc_id", "text"))
+    return found.select(
+        "doc_id", *[f"licenses.{name}" for name in ("n_words", "n_base", "first_word", "last_word")],
+        F.array_join("licenses.base_labels", ",").alias("base_labels"), F.array_join("licenses.labels", ",").alias("labels"),
+        "licenses.score", F.size("licenses.matches").cast("long").alias("n_matches"),
+    )
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {
         "op1_line_dedup": op1_line_dedup,
         "op2_secrets": op2_secrets,
         "op3_quality_rules": op3_quality_rules,
         "op6_bpe": op6_bpe,
+        "op10_licenses": op10_licenses,
     }
 
 
