@@ -6,11 +6,12 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from . import bpe as byte_pairs, licenses, line_dedup, quality_rules as rules, secrets
+from . import bpe as byte_pairs, licenses, line_dedup, pii, quality_rules as rules, secrets, url_lists
 from .spans import joined
 from .texts import documents
 
 VOCABULARY = "byte_bpe_50k.json"
+DEMONSTRATION_KEY = "demonstration key, use your own secret"
 
 
 def vocabulary_path() -> str:
@@ -52,6 +53,75 @@ def op6_bpe(spark: SparkSession, folder: str) -> DataFrame:
     )
 
 
+def op7_pii(spark: SparkSession, folder: str) -> DataFrame:
+    found = pii.pseudonyms(documents(spark, folder).select("doc_id", "text"), DEMONSTRATION_KEY)
+    kinds = F.transform("pii.found", lambda one: one["kind"])
+    counts = [
+        (F.size(kinds) - F.size(F.array_remove(kinds, kind))).cast("long").alias(f"n_{kind}") for kind in pii.KINDS
+    ]
+    spans = F.array_join(F.transform("pii.found", lambda one: F.concat_ws(":", one["kind"], one["start"], one["end"])), ",")
+    return found.select("doc_id", F.size("pii.found").cast("long").alias("n_found"), *counts, spans.alias("spans"), "pii.text")
+
+
+def dated_pages(spark: SparkSession, folder: str) -> DataFrame:
+    """The pages with a fetch time, which the table lacks: an hour within two years that follows from the page_id."""
+    hours = F.pmod(F.col("page_id") * 7919, F.lit(17520)).cast("int")
+    fetched = F.lit("2024-01-01").cast("timestamp_ntz") + F.make_dt_interval(hours=hours)
+    return spark.read.parquet(f"{folder}/pages.parquet").select("page_id", "url", fetched.alias("fetched"))
+
+
+def list_history(pages: DataFrame) -> DataFrame:
+    """Dated entries for hosts, their parent domains and first path segments; dates and actions follow from the key."""
+    host = url_lists.host_of(F.col("url"))
+    segment = F.regexp_extract("url", "://[^/]+/([a-z]+)", 1)
+    parent = F.regexp_replace(host, r"^[^.]+\.", "")
+    keys = pages.select(F.explode(F.array(host, parent, F.concat(host, F.lit("/"), segment))).alias("key")).distinct()
+    drawn = keys.select("key", F.explode(F.array(*map(F.lit, range(4)))).alias("i")).withColumn(
+        "h", F.conv(F.substring(F.md5(F.concat("key", F.lit(":"), F.col("i").cast("string"))), 1, 7), 16, 10).cast("int")
+    )
+    since = F.lit("2023-09-01").cast("timestamp_ntz") + F.make_dt_interval(days=F.col("h") % 850)
+    action = F.get(F.lit(url_lists.ACTIONS), F.col("h") % 17 % 3)
+    return drawn.select("key", action.alias("action"), since.alias("since"))
+
+
+def op9_url_lists(spark: SparkSession, folder: str) -> DataFrame:
+    pages = dated_pages(spark, folder)
+    found = url_lists.judge_captures(pages, list_history(pages))
+    return found.select("page_id", "fetched", "listing.*")
+
+
+OP9_SQL = r"""
+WITH pages_ AS (
+  SELECT page_id, url, TIMESTAMP '2024-01-01' + to_hours(CAST(page_id * 7919 % 17520 AS INT)) AS fetched,
+    regexp_replace(lower(regexp_extract(url, '^[A-Za-z][A-Za-z0-9+.-]*://(?:[^/?#@]*@)?([^/?#:@\[\]]+)', 1)), '\.$', '') AS host,
+    regexp_extract(url, '^[A-Za-z][A-Za-z0-9+.-]*://(?:[^/?#@]*@)?(?:[^/?#:@\[\]]+)(?::[0-9]*)?([^?#]*)', 1) AS path
+  FROM pages),
+listed AS (
+  SELECT DISTINCT unnest([host, regexp_replace(host, '^[^.]+\.', ''), host || '/' || regexp_extract(url, '://[^/]+/([a-z]+)', 1)]) AS key
+  FROM pages_),
+drawn AS (
+  SELECT key, CAST('0x' || substr(md5(key || ':' || i), 1, 7) AS INT) AS h FROM listed, range(4) AS t(i)),
+dated AS (
+  SELECT key, TIMESTAMP '2023-09-01' + to_days(h % 850) AS since, min(h % 17 % 3) AS strict FROM drawn GROUP BY ALL),
+intervals AS (
+  SELECT key, strict, since, coalesce(lead(since) OVER (PARTITION BY key ORDER BY since), TIMESTAMP '9999-12-31') AS until FROM dated),
+keys AS (
+  SELECT page_id, fetched, unnest(list_transform(range(1, len(string_split(host, '.')) + 1),
+    lambda n: {'key': array_to_string(string_split(host, '.')[-n:], '.'), 'specific': n})) AS k
+  FROM pages_ WHERE host <> ''
+  UNION ALL
+  SELECT page_id, fetched, unnest(list_transform(range(1, len(parts) + 1),
+    lambda n: {'key': host || '/' || array_to_string(parts[:n], '/'), 'specific': n + len(string_split(host, '.'))})) AS k
+  FROM (SELECT *, list_filter(string_split(path, '/'), lambda x: x <> '') AS parts FROM pages_) WHERE host <> ''),
+met AS (
+  SELECT page_id, arg_max({'key': i.key, 'strict': strict, 'since': since}, k.specific) AS best, count(*) AS n
+  FROM keys JOIN intervals AS i ON i.key = k.key AND fetched >= since AND fetched < until AND strict < 2 GROUP BY page_id)
+SELECT p.page_id, p.fetched, CASE best.strict WHEN 0 THEN 'block' WHEN 1 THEN 'allow' ELSE 'none' END AS decision,
+  best.key AS key, best.since AS valid_from, coalesce(n, 0) AS n_in_force
+FROM pages_ AS p LEFT JOIN met USING (page_id)
+"""
+
+
 def op10_licenses(spark: SparkSession, folder: str) -> DataFrame:
     found = licenses.scan_licenses(documents(spark, folder).select("doc_id", "text"))
     return found.select(
@@ -67,9 +137,11 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "op2_secrets": op2_secrets,
         "op3_quality_rules": op3_quality_rules,
         "op6_bpe": op6_bpe,
+        "op7_pii": op7_pii,
+        "op9_url_lists": op9_url_lists,
         "op10_licenses": op10_licenses,
     }
 
 
 def oracle_sql() -> dict[str, str]:
-    return {}
+    return {"op9_url_lists": OP9_SQL}
