@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from . import bpe as byte_pairs, licenses, line_dedup, ngram_join, pii, quality_rules as rules, secrets, url_lists
+from . import bpe as byte_pairs, decontamination, licenses, line_dedup, ngram_join, pii, quality_rules as rules, secrets, url_lists
 from .spans import joined
 from .texts import documents
 
@@ -44,6 +44,11 @@ def op3_quality_rules(spark: SparkSession, folder: str) -> DataFrame:
     return found.select("doc_id", "quality_rules.*")
 
 
+def op4_decontamination(spark: SparkSession, folder: str) -> DataFrame:
+    benchmark = spark.read.parquet(f"{folder}/benchmark.parquet")
+    return decontamination.leaks(documents(spark, folder), benchmark).drop("row1", "row2")
+
+
 def op5_ngram_join(spark: SparkSession, folder: str) -> DataFrame:
     return ngram_join.jaccard_components(documents(spark, folder).select("doc_id", "text"))
 
@@ -140,6 +145,7 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "op1_line_dedup": op1_line_dedup,
         "op2_secrets": op2_secrets,
         "op3_quality_rules": op3_quality_rules,
+        "op4_decontamination": op4_decontamination,
         "op5_ngram_join": op5_ngram_join,
         "op6_bpe": op6_bpe,
         "op7_pii": op7_pii,
