@@ -13,8 +13,8 @@ intersection.
 * **The boundary** between small and large is the one with the least cost: subsets enumerated against list entries times
   the mean length of the lists they stand in.
 
-Within a list no pairs are enumerated for groups of near copies. Each set is compared with the leaders of the list by a
-512-bit parity sketch, whose differing bits never outnumber the differing elements, so that no link is lost; it
+Within a list no pairs are enumerated for groups of near copies. Each set is compared with the leaders of the list by
+parity sketches, whose differing bits never outnumber the differing elements, so that no link is lost; it
 becomes a candidate of each leader it may link with, or else a leader. Candidates are verified on whole sets. After the
 components of round one, a second round compares those pairs of a list that may link and still have different labels, and
 verifies them. What is not found has no effect on the components. Long lists are cut into chunks of bounded size.
@@ -93,20 +93,37 @@ def subset_keys(shingles: np.ndarray, percent: int) -> np.ndarray:
     whole, found = mixed.sum(dtype=np.uint64), []
     for left_out in range(slack(len(shingles), percent) + 1):
         for chosen in itertools.combinations(range(len(mixed)), left_out):
-            found.append(whole - mixed[list(chosen)].sum(dtype=np.uint64) if chosen else whole)
+            found.append((int(whole) - int(mixed[list(chosen)].sum(dtype=np.uint64))) % 2**64 if chosen else int(whole))
     return spread(np.array(found, np.uint64), 22)
 
 
-def sketch(shingles: np.ndarray) -> bytes:
-    bits = (spread(shingles, 31) >> np.uint64(55)).astype(np.int64)
-    return np.packbits(np.bincount(bits, minlength=BITS) & 1).tobytes()
+def sketch(shingles: np.ndarray, bits: int = BITS) -> bytes:
+    """The parity of the number of elements on each of ``bits`` places, a power of two."""
+    places = (spread(shingles, 31) & np.uint64(bits - 1)).astype(np.int64)
+    return np.packbits(np.bincount(places, minlength=bits) & 1).tobytes()
+
+
+def long_sketch(shingles: np.ndarray) -> bytes | None:
+    """For sets that would fill the short sketch, one of as many bits as elements, at least."""
+    return sketch(shingles, 1 << (len(shingles) - 1).bit_length()) if 2 * len(shingles) > BITS else None
+
+
+def long_may_link(n: int, one: bytes | None, m: int, other: bytes | None, percent: int) -> bool:
+    """Whether the long sketches leave room for a link; the longer one is folded to the size of the shorter."""
+    if one is None or other is None:
+        return True
+    a, b = np.frombuffer(one, np.uint8), np.frombuffer(other, np.uint8)
+    while len(a) != len(b):
+        a, b = (a, b) if len(a) > len(b) else (b, a)
+        a = a[: len(a) // 2] ^ a[len(a) // 2 :]
+    return (100 + percent) * int(np.bitwise_count(a ^ b).sum(dtype=np.int64)) <= (100 - percent) * (n + m)
 
 
 def shingle_set(text: str | None, size: int, known: dict[bytes, int]) -> np.ndarray:
     return np.unique(shingle_hashes(word_hashes(words_of(folded(text)), known), size))
 
 
-SETS = "doc_id long, node binary, n_shingles long, bits binary, prefix array<long>, parts array<long>, subsets array<long>"
+SETS = "doc_id long, node binary, n_shingles long, bits binary, more binary, prefix array<long>, parts array<long>, subsets array<long>"
 
 
 def longs(arrays: list[np.ndarray]) -> pa.Array:
@@ -129,6 +146,7 @@ def described(docs: DataFrame, doc_id: str, text: str, shingle: int, percent: in
                 pa.array([xxhash.xxh3_128_digest(one.tobytes()) if len(one) else None for one in sets], pa.binary()),
                 pa.array([len(one) for one in sets], pa.int64()),
                 pa.array([sketch(one) if len(one) else None for one in sets], pa.binary()),
+                pa.array([long_sketch(one) for one in sets], pa.binary()),
                 longs([one[: slack(len(one), percent) + 1] for one in sets]),
                 longs([part_keys(one, percent) if len(one) else none for one in sets]),
                 longs([subset_keys(one, percent) if 0 < len(one) < most else none for one in sets]),
@@ -159,26 +177,30 @@ def may_link(size: np.ndarray, bits: np.ndarray, n: int, one: np.ndarray, percen
     return close & ((100 + percent) * differ <= (100 - percent) * (size + n))
 
 
-class Leaders:
-    """The leaders of a list so far."""
+class Gathered:
+    """Sets of a list gathered so far, to compare others with."""
 
     def __init__(self):
-        self.count = 0
-        self.size, self.bits, self.rows = np.empty(8, np.int64), np.empty((8, BITS // 64), np.uint64), []
+        self.count, self.codes, self.rows = 0, {}, []
+        self.size, self.label, self.bits = np.empty(8, np.int64), np.empty(8, np.int64), np.empty((8, BITS // 64), np.uint64)
 
-    def add(self, row: dict, n: int, bits: np.ndarray) -> None:
+    def add(self, node: bytes, n: int, bits: np.ndarray, more: bytes | None, label: bytes | None = None) -> None:
         if self.count == len(self.size):
-            self.size, self.bits = np.concatenate([self.size] * 2), np.concatenate([self.bits] * 2)
+            self.size, self.label, self.bits = [np.concatenate([one] * 2) for one in (self.size, self.label, self.bits)]
         self.size[self.count], self.bits[self.count] = n, bits
-        self.rows.append(row)
+        self.label[self.count] = self.codes.setdefault(label, len(self.codes))
+        self.rows.append((node, more))
         self.count += 1
 
-    def meet(self, row: tuple, n: int, bits: np.ndarray, percent: int) -> list[tuple]:
-        """The leaders that the set may link with; without any it becomes one."""
-        found = np.flatnonzero(may_link(self.size[: self.count], self.bits[: self.count], n, bits, percent)) if self.count else ()
-        if not len(found):
-            self.add(row, n, bits)
-        return [self.rows[i] for i in found]
+    def near(self, n: int, bits: np.ndarray, more: bytes | None, percent: int, label: bytes | None = b"") -> list[bytes]:
+        """The sets with other labels that may link with this one."""
+        if not self.count:
+            return []
+        fits = may_link(self.size[: self.count], self.bits[: self.count], n, bits, percent)
+        fits &= self.label[: self.count] != self.codes.get(label, -1)
+        return [
+            self.rows[i][0] for i in np.flatnonzero(fits) if long_may_link(n, more, int(self.size[i]), self.rows[i][1], percent)
+        ]
 
 
 def lists_of(batches: Iterator[pa.RecordBatch], keys: list[str]) -> Iterator[tuple]:
@@ -190,7 +212,6 @@ def lists_of(batches: Iterator[pa.RecordBatch], keys: list[str]) -> Iterator[tup
             yield row[:width], row[width:]
 
 
-ENTRY = "key long, chunk int, node binary, n_shingles long, bits binary"
 CANDIDATE = "key long, leader binary, node binary"
 
 
@@ -198,11 +219,14 @@ def scanned(lists: DataFrame, percent: int) -> DataFrame:
     """(key, leader, node) of each set that may link with a leader of its list, and (key, null, node) of the leaders."""
 
     def scan(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        last, leaders, found = None, Leaders(), []
-        for key, (node, n, bits) in lists_of(batches, ["key", "chunk"]):
+        last, leaders, found = None, Gathered(), []
+        for key, (node, n, bits, more) in lists_of(batches, ["key", "chunk"]):
             if key != last:
-                last, leaders = key, Leaders()
-            links = leaders.meet(node, n, np.frombuffer(bits, np.uint64), percent)
+                last, leaders = key, Gathered()
+            bits = np.frombuffer(bits, np.uint64)
+            links = leaders.near(n, bits, more, percent)
+            if not links:
+                leaders.add(node, n, bits, more)
             found.extend((key[0], leader, node) for leader in links or [None])
             if len(found) >= 20_000:
                 yield table_of(found)
@@ -216,38 +240,38 @@ def scanned(lists: DataFrame, percent: int) -> DataFrame:
             names=["key", "leader", "node"],
         )
 
-    ordered = lists.select("key", "chunk", "node", "n_shingles", "bits").repartition("key", "chunk")
+    ordered = lists.select("key", "chunk", "node", "n_shingles", "bits", "more").repartition("key", "chunk")
     return ordered.sortWithinPartitions("key", "chunk", "node").mapInArrow(scan, CANDIDATE)
 
 
 def apart(lists: DataFrame, percent: int) -> DataFrame:
-    """(u, v): pairs of a list that may link and have different labels. Entries that visit a chunk meet those at home."""
+    """(u, v): pairs of a list that may link and have different labels. The entries at home in a chunk, which are of
+    bounded number, are gathered first; those that visit it stream past them."""
 
     def compare(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        rows = lists_of(batches, ["key", "chunk"])
-        for _, group in itertools.groupby(rows, key=lambda row: row[0]):
-            members = [row[1] for row in group]  # bounded: CHUNK entries at home, and visitors with other labels
-            sizes = np.array([row[2] for row in members])
-            bits = np.frombuffer(b"".join(row[3] for row in members), np.uint64).reshape(-1, BITS // 64)
-            labels = np.unique([row[1] for row in members], return_inverse=True)[1]
-            home = np.array([row[4] for row in members])
-            us, vs = [], []
-            for i in range(len(members)):
-                rest = slice(i + 1, None)
-                near = may_link(sizes[rest], bits[rest], int(sizes[i]), bits[i], percent)
-                near &= (labels[rest] != labels[i]) & (home[rest] | home[i])
-                for j in np.flatnonzero(near) + i + 1:
-                    us.append(members[i][0])
-                    vs.append(members[j][0])
-            yield pa.RecordBatch.from_arrays([pa.array(us, pa.binary()), pa.array(vs, pa.binary())], names=["u", "v"])
-
-    ordered = lists.select("key", "chunk", "node", "label", "n_shingles", "bits", "home").repartition("key", "chunk")
-    return ordered.sortWithinPartitions("key", "chunk", "node").mapInArrow(compare, "u binary, v binary")
-
-
-def verified(pairs: DataFrame, docs: DataFrame, classes: DataFrame, doc_id: str, text: str, shingle: int, percent: int) -> DataFrame:
-    """The pairs (u, v) whose whole sets are linked. Only documents that stand for a class of a pair are read into sets."""
-    nodes = pairs.select(F.col("u").alias("node")).unionByName(pairs.select(F.col("v").alias("node"))).distinct()
+        last, homes, found = None, Gathered(), []
+        for key, (away, node, label, n, bits, more) in lists_of(batches, ["key", "chunk"]):
+            if key != last:
+                last, homes = key, Gathered()
+            bits = np.frombuffer(bits, np.uint64)
+            found.extend((other, node) for other in homes.near(n, bits, more, percent, label))
+            if not away:
+                homes.add(node, n, bits, more, label)
+            if len(found) >= 20_000:
+                yield pairs_of(found)
+                found = []
+        yield pairs_of(found)
+
+    def pairs_of(rows: list[tuple]) -> pa.RecordBatch:
+        columns = list(zip(*rows)) or [(), ()]
+        return pa.RecordBatch.from_arrays([pa.array(column, pa.binary()) for column in columns], names=["u", "v"])
+
+    ordered = lists.select("key", "chunk", "away", "node", "label", "n_shingles", "bits", "more").repartition("key", "chunk")
+    return ordered.sortWithinPartitions("key", "chunk", "away", "node").mapInArrow(compare, "u binary, v binary")
+
+
+def whole_sets(nodes: DataFrame, docs: DataFrame, classes: DataFrame, doc_id: str, text: str, shingle: int) -> DataFrame:
+    """(node, set) of these classes, read from the documents that stand for them."""
     needed = nodes.join(classes.select("node", "rep"), "node")
 
     def sets(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -263,7 +287,11 @@ def verified(pairs: DataFrame, docs: DataFrame, classes: DataFrame, doc_id: str,
 
     plain = docs.select(F.col(f"`{doc_id}`").alias("id"), F.col(f"`{text}`").alias("text"))
     chosen = plain.join(needed, F.col("id").eqNullSafe(F.col("rep"))).select("node", "text")
-    held = materialized(chosen.mapInArrow(sets, "node binary, set binary").dropDuplicates(["node"]), "shingle-sets")
+    return chosen.mapInArrow(sets, "node binary, set binary").dropDuplicates(["node"])
+
+
+def verified(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
+    """The pairs (u, v) whose whole sets are linked."""
 
     def link(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -276,8 +304,8 @@ def verified(pairs: DataFrame, docs: DataFrame, classes: DataFrame, doc_id: str,
                 [batch.column(name).filter(pa.array(keep, pa.bool_())) for name in ("u", "v")], names=["u", "v"]
             )
 
-    left = held.select(F.col("node").alias("u"), F.col("set").alias("left"))
-    right = held.select(F.col("node").alias("v"), F.col("set").alias("right"))
+    left = sets.select(F.col("node").alias("u"), F.col("set").alias("left"))
+    right = sets.select(F.col("node").alias("v"), F.col("set").alias("right"))
     return pairs.join(left, "u").join(right, "v").select("u", "v", "left", "right").mapInArrow(link, "u binary, v binary")
 
 
@@ -298,8 +326,9 @@ def class_links(
     shared = signatures.groupBy("key").agg(F.count("*").alias("n")).filter("n > 1")
     members = entries.filter(F.col("n") <= heavy).unionByName(signatures.join(shared, "key"))
     chunks = F.ceil(F.col("n") / chunk).cast("int")
-    lists = members.join(classes.select("node", "n_shingles", "bits"), "node").select(
-        "key", F.pmod(F.xxhash64("node"), chunks).cast("int").alias("chunk"), chunks.alias("chunks"), "node", "n_shingles", "bits"
+    lists = members.join(classes.select("node", "n_shingles", "bits", "more"), "node").select(
+        "key", F.pmod(F.xxhash64("node"), chunks).cast("int").alias("chunk"), chunks.alias("chunks"), "node", "n_shingles", "bits",
+        "more",
     )
     lists = materialized(lists, "lists")
 
@@ -311,23 +340,25 @@ def class_links(
     found = materialized(found, "candidates")
     pairs = found.select(F.least("leader", "node").alias("u"), F.greatest("leader", "node").alias("v")).distinct()
     pairs = materialized(pairs, "pairs")
-    links = materialized(verified(pairs, docs, classes, doc_id, text, shingle, percent), "links")
+    active = lists.join(found.select("key").distinct(), "key", "left_semi")
+    sets = whole_sets(active.select("node").distinct(), docs, classes, doc_id, text, shingle)
+    sets = materialized(sets, "shingle-sets")
+    links = materialized(verified(pairs, sets, percent), "links")
     labels = materialized(connected_components(links), "labels")
 
     # Round two: only lists in which some sets may link, and in these only pairs with different labels.
-    active = lists.join(found.select("key").distinct(), "key", "left_semi").join(labels, "node", "left")
-    active = active.withColumn("label", F.coalesce("label", "node"))
+    active = active.join(labels, "node", "left").withColumn("label", F.coalesce("label", "node"))
     sizes = active.groupBy("key", "label").agg(F.count("*").alias("m"))
     summary = sizes.groupBy("key").agg(F.count("*").alias("labels"), F.max_by("label", "m").alias("main")).filter("labels > 1")
     mixed = active.join(summary, "key")
-    home = mixed.withColumn("home", F.lit(True))
+    home = mixed.withColumn("away", F.lit(False))
     others = mixed.filter(F.col("label") != F.col("main")).select(
-        "*", F.lit(False).alias("home"), F.explode(F.sequence(F.lit(0), F.col("chunks") - 1)).alias("visited")
+        "*", F.lit(True).alias("away"), F.explode(F.sequence(F.lit(0), F.col("chunks") - 1)).alias("visited")
     ).filter("visited <> chunk").withColumn("chunk", F.col("visited")).drop("visited")
     rest = apart(home.unionByName(others), percent)
     rest = rest.select(F.least("u", "v").alias("u"), F.greatest("u", "v").alias("v")).distinct()
     rest = materialized(rest.join(pairs, ["u", "v"], "left_anti"), "pairs")
-    more = verified(rest, docs, classes, doc_id, text, shingle, percent)
+    more = verified(rest, sets, percent)
     return connected_components(links.unionByName(more)) if rest.take(1) else labels
 
 
@@ -341,7 +372,7 @@ def jaccard_components(
     more; texts with fewer words have their whole sequence as one shingle.
     """
     rows = materialized(described(docs, doc_id, text, shingle, percent), "sets")
-    values = [F.min(name).alias(name) for name in ("n_shingles", "bits")]
+    values = [F.min(name).alias(name) for name in ("n_shingles", "bits", "more")]
     values += [F.min(name).alias(name) for name in ("prefix", "parts", "subsets")]  # equal within a class
     classes = rows.filter("node IS NOT NULL").groupBy("node").agg(F.min("doc_id").alias("rep"), *values)
     classes = materialized(classes, "classes")
