@@ -4,9 +4,9 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame, SparkSession, functions as F
+from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
-from . import bpe as byte_pairs, decontamination, licenses, line_dedup, ngram_join, pii, quality_rules as rules, secrets, url_lists
+from . import bpe as byte_pairs, decontamination, licenses, line_dedup, ngram_join, pii, quality_rules as rules, secrets, substring_dedup, url_lists
 from .spans import joined
 from .texts import documents
 
@@ -72,6 +72,23 @@ def op7_pii(spark: SparkSession, folder: str) -> DataFrame:
     return found.select("doc_id", F.size("pii.found").cast("long").alias("n_found"), *counts, spans.alias("spans"), "pii.text")
 
 
+def op8_substring_dedup(spark: SparkSession, folder: str) -> DataFrame:
+    found = substring_dedup.repeated_passages(documents(spark, folder).select("doc_id", "text"))
+
+    def words(column: str) -> Column:
+        total = F.aggregate(column, F.lit(0), lambda sum_, span: sum_ + span["end"] - span["begin"])
+        return total.cast("long")
+
+    def listed(column: str) -> Column:
+        return F.array_join(F.transform(column, lambda span: F.concat_ws(":", span["begin"], span["end"])), ",")
+
+    return found.select(
+        "doc_id", F.size("passages").cast("long").alias("n_passages"), words("passages").alias("n_words"),
+        words("duplicates").alias("n_duplicate_words"), listed("passages").alias("passages"),
+        listed("duplicates").alias("duplicates"),
+    )
+
+
 def dated_pages(spark: SparkSession, folder: str) -> DataFrame:
     """The pages with a fetch time, which the table lacks: an hour within two years that follows from the page_id."""
     hours = F.pmod(F.col("page_id") * 7919, F.lit(17520)).cast("int")
@@ -149,6 +166,7 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "op5_ngram_join": op5_ngram_join,
         "op6_bpe": op6_bpe,
         "op7_pii": op7_pii,
+        "op8_substring_dedup": op8_substring_dedup,
         "op9_url_lists": op9_url_lists,
         "op10_licenses": op10_licenses,
     }
