@@ -1,14 +1,21 @@
-"""The training-data pipeline: documents to tokens, in stages that each write Parquet for the next."""
+"""The training-data pipeline: documents to tokens, in stages that each write Parquet for the next.
+
+Every stage works on all that its predecessor kept. Rows that share a doc_id stay apart, as decisions are joined back by
+the content of a row; only of linked documents the one with the smallest doc_id stays.
+"""
 
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from shelfwise.llm import bpe, line_dedup, quality_rules as rules
+from shelfwise.llm import bpe, decontamination, line_dedup, ngram_join, quality_rules as rules
 from shelfwise.llm.queries import vocabulary_path
-from shelfwise.llm.texts import documents
+from shelfwise.llm.texts import documents, row_key
 from shelfwise.sources.shared import materialized
 
+# Near duplicates are documents whose sets of five-word shingles have a similarity of 0.8 or more.
+NEAR_SHINGLE, NEAR_PERCENT = 5, 80
+
 
 def good_quality(spark: SparkSession, docs: DataFrame, folder: str) -> DataFrame:
     """Drops documents that the quality rules reject."""
@@ -22,8 +29,23 @@ def without_repeated_lines(spark: SparkSession, docs: DataFrame, folder: str) ->
     return found.withColumns({"text": F.col("_found.text"), "n_chars": length}).select(docs.columns)
 
 
+def one_of_each_group(spark: SparkSession, docs: DataFrame, folder: str) -> DataFrame:
+    """Of linked documents the one with the smallest doc_id stays."""
+    found = ngram_join.jaccard_components(docs, shingle=NEAR_SHINGLE, percent=NEAR_PERCENT)
+    goes = found.filter(~F.col("doc_id").eqNullSafe(F.col("component_id"))).select(F.col("doc_id").alias("_id")).distinct()
+    return docs.join(goes, F.col("doc_id").eqNullSafe(F.col("_id")), "left_anti")
+
+
+def without_benchmark(spark: SparkSession, docs: DataFrame, folder: str) -> DataFrame:
+    """Drops documents that hold items of the benchmark."""
+    leaks = decontamination.leaks(docs, spark.read.parquet(f"{folder}/benchmark.parquet"))
+    goes = leaks.select(F.col("row1").alias("_row1"), F.col("row2").alias("_row2")).distinct()
+    row1, row2 = row_key("doc_id", "text")
+    return docs.join(goes, (row1 == F.col("_row1")) & (row2 == F.col("_row2")), "left_anti")
+
+
 def tokens(spark: SparkSession, docs: DataFrame, folder: str) -> DataFrame:
-    """The documents with their tokens instead of their text."""
+    """The documents with their tokens instead of their text, and whether these decode to it."""
     found = bpe.bpe(docs, vocabulary_path(), into="_found").withColumn("ids", F.col("_found.ids"))
     found = found.withColumn("round_trip", F.col("_found.decoded").eqNullSafe(F.coalesce("text", F.lit(""))))
     return found.select("doc_id", "lang", "source", F.size("ids").cast("long").alias("n_tokens"), "ids", "round_trip")
@@ -32,9 +54,11 @@ def tokens(spark: SparkSession, docs: DataFrame, folder: str) -> DataFrame:
 STAGES = [
     ("quality_rules", good_quality),
     ("line_dedup", without_repeated_lines),
+    ("ngram_join", one_of_each_group),
+    ("decontamination", without_benchmark),
     ("bpe", tokens),
 ]
-ORACLE_SQL = None  # perfect hashing, similarity groups and BPE have no SQL; tests compare with brute force
+ORACLE_SQL = None  # compression ratios, similarity groups, BM25 and BPE have no SQL; tests compare with brute force
 
 
 def run(spark: SparkSession, folder: str) -> DataFrame:
