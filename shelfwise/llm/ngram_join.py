@@ -6,10 +6,13 @@ intersection.
 
 * **Small sets** enumerate their subsets of each size from ``n - slack`` to ``n``. Linked sets have the same subset, their
   intersection, among these.
-* **Large sets** go into inverted lists of the first ``slack + 1`` elements in the order of their hashes (linked sets
-  share one of these), which are scanned. Sets just below the boundary are in these lists too.
-* **Heavy lists** (of elements common to very many sets, such as a boilerplate line) are not scanned. Their sets are cut
-  by hash into parts, one more than linked sets can differ in, so that linked sets have an equal part; equal parts meet.
+* **Large sets** go into inverted lists of the first ``slack + 1`` elements of a common order (linked sets share one of
+  these), which are scanned. Sets just below the boundary are in these lists too.
+* **Heavy elements**, common to very many sets, such as those of a boilerplate line, come last in that order; the others
+  are ordered by their hashes. A set keeps its elements with the smallest hashes, some more than the lists need. Where
+  so many of these are heavy that the rest is too short, the set is crowded: it enters the lists of all light elements
+  that it kept, and those of its first ``slack + 1`` by hash whatever they are. With the number kept (see ``kept``), a
+  crowded set meets linked ones of either kind. Lists of heavy elements hold crowded sets only.
 * **The boundary** between small and large is the one with the least cost: subsets enumerated against list entries times
   the mean length of the lists they stand in.
 
@@ -40,7 +43,7 @@ from .components import connected_components
 from .texts import folded, shingle_hashes, spread, word_hashes, words_of
 
 SHINGLE, PERCENT = 3, 90
-HEAVY = 1000  # entries from which a list is replaced by parts
+HEAVY = 1000  # an element is heavy in more sets than this, and than a millionth of all entries
 CHUNK = 2000  # entries of a list that are compared in one go
 BITS = 512
 BOUNDARIES = (1, 10, 20, 30)  # the number of subsets jumps at multiples of 100 / (100 - PERCENT)
@@ -55,36 +58,27 @@ def subsets(n: int, percent: int) -> int:
     return sum(math.comb(n, k) for k in range(slack(n, percent) + 1))
 
 
-def size_class(n: int, percent: int) -> int:
-    """Classes of sizes such that linked sets are in the same or in neighbouring ones."""
-    number, low = 0, 1
-    while (high := 100 * low // percent) < n:
-        number, low = number + 1, high + 1
-    return number
+def reach(n: int, percent: int) -> int:
+    """Elements, by hash, among which a set that is not crowded has ``slack + 1`` light ones."""
+    return slack(n, percent) * 3 // 2 + 8
 
 
-def part_count(number: int, percent: int) -> tuple[int, int]:
-    """For pairs from size classes ``number`` and ``number + 1``: in how many parts to cut, and how many of them may be
-    empty in a set before an equal part might be an empty one only."""
-    low = 1
-    for _ in range(number + 1):
-        low = 100 * low // percent + 1
-    largest = 100 * low // percent
-    differ = 2 * largest * (100 - percent) // (100 + percent)
-    spare = 2 + differ // 20
-    return differ + 1 + spare, spare
+def kept(n: int, percent: int) -> int:
+    """Elements, by hash, that a set keeps. A light element within reach of a linked set is among them: sets differ in
+    size by the factor at most, and no more than ``slack`` other elements can come before it."""
+    return min(n, reach(100 * n // percent, percent) + slack(n, percent) + 1)
 
 
-def part_keys(shingles: np.ndarray, percent: int) -> np.ndarray:
-    own, found = size_class(len(shingles), percent), []
-    for number in {max(0, own - 1), own}:
-        parts, spare = part_count(number, percent)
-        at = (spread(shingles, 11) % np.uint64(parts)).astype(np.int64)
-        sums, held = np.zeros(parts, np.uint64), np.bincount(at, minlength=parts)
-        np.add.at(sums, at, spread(shingles, 12))
-        keys = spread(spread(np.arange(parts), number) ^ sums, 13)
-        found.append(keys if (held == 0).sum() > spare else keys[held > 0])
-    return np.concatenate(found)
+def list_keys(elements: np.ndarray, n: int, hot: np.ndarray, percent: int) -> np.ndarray:
+    """The elements whose lists a set of size ``n`` with these kept elements enters. ``hot`` is sorted."""
+    at = np.minimum(np.searchsorted(hot, elements), max(0, len(hot) - 1))
+    light = hot[at] != elements if len(hot) else np.ones(len(elements), bool)
+    first = slack(n, percent) + 1
+    near = elements[: reach(n, percent)][light[: reach(n, percent)]]
+    if len(near) >= first:
+        return near[:first]
+    light[:first] = True
+    return elements[light]
 
 
 def subset_keys(shingles: np.ndarray, percent: int) -> np.ndarray:
@@ -123,7 +117,8 @@ def shingle_set(text: str | None, size: int, known: dict[bytes, int]) -> np.ndar
     return np.unique(shingle_hashes(word_hashes(words_of(folded(text)), known), size))
 
 
-SETS = "doc_id long, node binary, n_shingles long, bits binary, more binary, prefix array<long>, parts array<long>, subsets array<long>"
+MOST_HOT = 1_000_000  # no more elements can be heavy, as each has more than this share of all entries
+SETS = "doc_id long, node binary, n_shingles long, bits binary, more binary, elements array<long>, subsets array<long>"
 
 
 def longs(arrays: list[np.ndarray]) -> pa.Array:
@@ -147,14 +142,35 @@ def described(docs: DataFrame, doc_id: str, text: str, shingle: int, percent: in
                 pa.array([len(one) for one in sets], pa.int64()),
                 pa.array([sketch(one) if len(one) else None for one in sets], pa.binary()),
                 pa.array([long_sketch(one) for one in sets], pa.binary()),
-                longs([one[: slack(len(one), percent) + 1] for one in sets]),
-                longs([part_keys(one, percent) if len(one) else none for one in sets]),
+                longs([one[: kept(len(one), percent)] for one in sets]),
                 longs([subset_keys(one, percent) if 0 < len(one) < most else none for one in sets]),
             ], names=[field.split()[0] for field in SETS.split(", ")])
 
     return docs.select(F.col(f"`{doc_id}`"), F.col(f"`{text}`")).mapInArrow(describe, SETS)
 
 
+def list_entries(rows: DataFrame, hot: np.ndarray, percent: int) -> DataFrame:
+    """(node, n_shingles, key): the lists that each document's set enters."""
+    known = rows.sparkSession.sparkContext.broadcast(hot)  # at most MOST_HOT numbers
+
+    def enter(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            sizes, lists = batch.column("n_shingles").to_numpy(), batch.column("elements")
+            flat, ends = lists.values.to_numpy().view(np.uint64), lists.offsets.to_numpy()
+            keys = [
+                list_keys(flat[ends[i] : ends[i + 1]], int(sizes[i]), known.value, percent) for i in range(batch.num_rows)
+            ]
+            owner = pa.array(np.repeat(np.arange(len(keys)), [len(one) for one in keys]))
+            flat_keys = np.concatenate(keys).view(np.int64) if keys else np.array([], np.int64)
+            yield pa.RecordBatch.from_arrays(
+                [batch.column("node").take(owner), batch.column("n_shingles").take(owner), pa.array(flat_keys)],
+                names=["node", "n_shingles", "key"],
+            )
+
+    plain = rows.filter("node IS NOT NULL").select("node", "n_shingles", "elements")
+    return plain.mapInArrow(enter, "node binary, n_shingles long, key long")
+
+
 def boundary(classes: DataFrame, counts: DataFrame, percent: int) -> int:
     """The size from which sets count as large."""
     scan = counts.agg(F.sum(F.col("n") * F.least("n", F.lit(HEAVY))) / F.sum("n")).first()[0] or 1.0
@@ -310,21 +326,27 @@ def verified(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
 
 
 def class_links(
-    docs: DataFrame, classes: DataFrame, doc_id: str, text: str, shingle: int, percent: int, heavy: int, chunk: int
+    docs: DataFrame, rows: DataFrame, classes: DataFrame, doc_id: str, text: str, shingle: int, percent: int, heavy: int,
+    chunk: int,
 ) -> DataFrame:
     """(node, label) of every class that is linked with another one."""
-    spark = docs.sparkSession
-    tokens = classes.select("node", F.explode("prefix").alias("key"))
-    counts = materialized(tokens.groupBy("key").agg(F.count("*").alias("n")).filter("n > 1"), "list-lengths")
+    held = rows.select(F.explode("elements").alias("key")).groupBy("key").agg(F.count("*").alias("n"))
+    held = materialized(held.filter(F.col("n") > heavy), "heavy")
+    total = rows.agg(F.coalesce(F.sum(F.size("elements")), F.lit(0))).first()[0]
+    hot = held.filter(F.col("n") * MOST_HOT > total).select("key").toArrow().column("key").to_numpy()
+    entries = list_entries(rows, np.sort(hot.view(np.uint64)), percent)
+
+    def several(keyed: DataFrame) -> DataFrame:
+        """Keys with more than one class, and how many rows have them."""
+        one = F.xxhash64("node")
+        counted = keyed.groupBy("key").agg(F.count("*").alias("n"), F.min(one).alias("low"), F.max(one).alias("high"))
+        return counted.filter("low <> high").select("key", "n")
+
+    counts = materialized(several(entries), "list-lengths")
     bound = boundary(classes, counts, percent)
-    large = classes.filter(100 * F.col("n_shingles") >= percent * bound)
-    entries = large.select("node", F.explode("prefix").alias("key")).join(counts, "key")
-    crowded = entries.filter(F.col("n") > heavy).select("node").distinct()
-    small = classes.filter(F.col("n_shingles") < bound).select("node", F.explode("subsets").alias("key"))
-    parts = classes.join(crowded, "node", "left_semi").select("node", F.explode("parts").alias("key"))
-    signatures = small.unionByName(parts)
-    shared = signatures.groupBy("key").agg(F.count("*").alias("n")).filter("n > 1")
-    members = entries.filter(F.col("n") <= heavy).unionByName(signatures.join(shared, "key"))
+    large = entries.filter(100 * F.col("n_shingles") >= percent * bound).select("node", "key").join(counts, "key")
+    small = rows.filter(F.col("n_shingles") < bound).select("node", F.explode("subsets").alias("key"))
+    members = large.unionByName(small.join(several(small), "key")).distinct()
     chunks = F.ceil(F.col("n") / chunk).cast("int")
     lists = members.join(classes.select("node", "n_shingles", "bits", "more"), "node").select(
         "key", F.pmod(F.xxhash64("node"), chunks).cast("int").alias("chunk"), chunks.alias("chunks"), "node", "n_shingles", "bits",
@@ -372,11 +394,10 @@ def jaccard_components(
     more; texts with fewer words have their whole sequence as one shingle.
     """
     rows = materialized(described(docs, doc_id, text, shingle, percent), "sets")
-    values = [F.min(name).alias(name) for name in ("n_shingles", "bits", "more")]
-    values += [F.min(name).alias(name) for name in ("prefix", "parts", "subsets")]  # equal within a class
+    values = [F.min(name).alias(name) for name in ("n_shingles", "bits", "more")]  # equal within a class
     classes = rows.filter("node IS NOT NULL").groupBy("node").agg(F.min("doc_id").alias("rep"), *values)
     classes = materialized(classes, "classes")
-    labels = class_links(docs, classes, doc_id, text, shingle, percent, heavy, chunk)
+    labels = class_links(docs, rows, classes, doc_id, text, shingle, percent, heavy, chunk)
     labelled = classes.select("node", "rep").join(labels, "node", "left").select(
         "node", "rep", F.coalesce("label", "node").alias("label")
     )

@@ -99,14 +99,19 @@ def test_small_sets_share_their_intersection():
 
 
 @pytest.mark.parametrize("n", [10, 57, 300])
-def test_linked_sets_share_a_part(n):
+def test_linked_sets_share_a_list(n):
     import numpy as np
 
     draw = np.random.default_rng(n)
-    for _ in range(300):
+    for i in range(400):
         base = np.unique(draw.integers(0, 2**63, n, dtype=np.uint64))
-        cut = draw.integers(0, ngram_join.slack(n, 90) + 1)
-        other = np.concatenate([base[cut:], draw.integers(0, 2**63, draw.integers(0, 3), dtype=np.uint64)])
-        common = len(base) - cut
+        cut = draw.choice(len(base), draw.integers(0, ngram_join.slack(n, 90) + 1), replace=False)
+        extra = draw.integers(0, 2**63, draw.integers(0, 3), dtype=np.uint64)
+        other = np.unique(np.concatenate([np.delete(base, cut), extra]))
+        hot = np.sort(draw.choice(base, int(len(base) * draw.choice([0, 0.1, 0.5, 0.8, 1.0])), replace=False))
+        common = len(base) - len(cut)
         if 100 * common >= 90 * (len(base) + len(other) - common):
-            assert set(ngram_join.part_keys(base, 90)) & set(ngram_join.part_keys(np.unique(other), 90))
+            keys = [
+                ngram_join.list_keys(one[: ngram_join.kept(len(one), 90)], len(one), hot, 90) for one in (base, other)
+            ]
+            assert set(keys[0]) & set(keys[1]), i
