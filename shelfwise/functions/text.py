@@ -12,9 +12,14 @@ def date_key(day: Column) -> Column:
 
 
 def parse_day(day: Column, lenient: bool = False) -> Column:
-    """yyyymmdd to a date. A malformed value fails the load; with ``lenient`` it becomes NULL."""
+    """yyyymmdd to a date. A malformed value fails the load, whatever the session's ANSI mode; with ``lenient`` it
+    becomes NULL."""
     key = date_key(day)
-    return F.try_to_date(key, "yyyyMMdd") if lenient else F.to_date(key, "yyyyMMdd")
+    parsed = F.try_to_date(key, "yyyyMMdd")
+    if lenient:
+        return parsed
+    wrong = F.raise_error(F.concat(F.lit("malformed date: "), key)).cast("date")
+    return F.when(parsed.isNull() & key.isNotNull(), wrong).otherwise(parsed)
 
 
 def parse_units(units: Column) -> Column:
@@ -25,10 +30,10 @@ def parse_units(units: Column) -> Column:
     return F.coalesce(digits.try_cast("int"), rounded)
 
 
-def parse_price(price: Column, scale: int = PRICE_SCALE) -> Column:
+def parse_price(price: Column, scale: int = PRICE_SCALE, precision: int = PRICE_PRECISION) -> Column:
     """Price without the euro mark. A decimal comma is not understood and gives NULL."""
     bare = F.replace(F.replace(price.cast("string"), F.lit(" €"), F.lit("")), F.lit("€"), F.lit(""))
-    return bare.try_cast(f"decimal({PRICE_PRECISION},{scale})")
+    return bare.try_cast(f"decimal({precision},{scale})")
 
 
 def parse_price_any(price: Column, scale: int = PRICE_SCALE) -> Column:

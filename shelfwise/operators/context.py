@@ -11,9 +11,6 @@ from pyspark.sql import Column, DataFrame, Window, functions as F
 from ..functions.grouping import per_column
 from ..settings import LAST_YEAR
 
-# Above this many values a membership list becomes a semi join instead of one long predicate.
-MAX_INLINE_VALUES = 500
-
 
 @dataclass(frozen=True)
 class Period:
@@ -140,10 +137,8 @@ def _is_member(column: str, values: Sequence[str | None]) -> Column:
 
 
 def _keep_members(wide: DataFrame, column: str, values: Sequence[str | None] | DataFrame) -> DataFrame:
-    if not isinstance(values, DataFrame) and len(values) <= MAX_INLINE_VALUES:
-        return wide.where(_is_member(column, values))
     if not isinstance(values, DataFrame):
-        values = wide.sparkSession.createDataFrame([(value,) for value in values], f"`{column}` string")
+        return wide.where(_is_member(column, values))
     chosen = values.select(F.col(values.columns[0]).alias("_chosen"))
     return wide.join(chosen, F.col(column).eqNullSafe(F.col("_chosen")), "left_semi")
 
@@ -154,7 +149,10 @@ def apply_context(
     cities: Sequence[str | None] | DataFrame | None = None,
     brands: Sequence[str | None] | DataFrame | None = None,
 ) -> DataFrame:
-    """Rows whose client, city and brand are all chosen. None means all; a list matches NULL if it holds None."""
+    """Rows whose client, city and brand are all chosen. None means all; a list matches NULL if it holds None.
+
+    A list is a predicate, by which row groups are skipped; a DataFrame of values is a semi join.
+    """
     for column, values in (("Client", clients), ("City", cities), ("Brand", brands)):
         if values is not None:
             wide = _keep_members(wide, column, values)

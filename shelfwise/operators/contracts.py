@@ -9,12 +9,14 @@ from pyspark.sql import Column, DataFrame, functions as F
 
 from ..functions.text import parse_day, parse_price, parse_units
 from ..sources.feeds import CORRUPT
+from .silver import WRONG_FIELD_COUNT
 
-MISSING, UNREADABLE, WRONG_FIELD_COUNT = "missing", "unreadable", "wrong field count"
+MISSING, UNREADABLE, INEXACT = "missing", "unreadable", "inexact"
 
 
 def contract_violations(bronze_sales: DataFrame) -> DataFrame:
-    """One row per broken rule: which field, its text, and whether it is missing or unreadable.
+    """One row per broken rule: which field, its text, and whether it is missing, unreadable or (a price with more
+    decimals than are kept) inexact.
 
     Keys and date must be present, units and price present and readable. If the feed was read with
     ``read_bronze_strict``, a line with too few or too many fields is one violation of its own.
@@ -28,16 +30,20 @@ def contract_violations(bronze_sales: DataFrame) -> DataFrame:
         "PVP": parse_price(F.col("PVP")),
     }
 
+    rounded = parse_price(F.col("PVP"), 18, 38) != fields["PVP"]
+
     def check(field: str, parsed: Column) -> Column:
         value = F.col(f"`{field}`")
         rule = F.when(value.isNull(), F.lit(MISSING)).when(parsed.isNull(), F.lit(UNREADABLE))
+        if field == "PVP":
+            rule = rule.when(rounded, F.lit(INEXACT))
         return F.struct(F.lit(field).alias("Field"), value.alias("Value"), rule.alias("Rule"))
 
     found = F.filter(
         F.array(*[check(field, parsed) for field, parsed in fields.items()]), lambda one: one["Rule"].isNotNull()
     )
     # A missing value has no parsed one either, so this alone finds the broken lines; the list is for them only.
-    is_broken = reduce(or_, [parsed.isNull() for parsed in fields.values()])
+    is_broken = reduce(or_, [parsed.isNull() for parsed in fields.values()]) | F.coalesce(rounded, F.lit(False))
     if CORRUPT in bronze_sales.columns:
         line = F.struct(
             F.lit("line").alias("Field"), F.col(CORRUPT).alias("Value"), F.lit(WRONG_FIELD_COUNT).alias("Rule")

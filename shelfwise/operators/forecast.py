@@ -5,22 +5,19 @@
 
 from __future__ import annotations
 
-from collections.abc import Callable, Sequence
-from typing import Any
+from collections.abc import Sequence
 
-import pandas as pd
 from pyspark.ml import Estimator, Model
-from pyspark.ml.evaluation import RegressionEvaluator
 from pyspark.ml.feature import VectorAssembler
 from pyspark.ml.regression import GBTRegressor
-from pyspark.sql import DataFrame, functions as F, types as T
+from pyspark.sql import Column, DataFrame, functions as F
 
 from ..settings import (
     ACTUAL_TYPE, CONTRACTION, FORECAST_DEPTH, FORECAST_SEED, FORECAST_STEPS, FORECAST_TREES, FORECAST_TYPE,
     GROWTH, INSUFFICIENT, MIN_TRAINING_MONTHS,
 )
 from ..sources.shared import materialized
-from .series import observed_months, series_window, training_months
+from .series import observed_months, series_window
 
 FEATURES = ["Month", "Year", "Time_Index", "Lag_1", "Lag_2", "Rolling_Mean"]
 TRAINED = "trained"
@@ -162,6 +159,20 @@ def _predict(model: Model, observed: DataFrame, series_keys: Sequence[str], step
     return state.select(*series_keys, F.inline(months))
 
 
+def fit_forecast(
+    s: DataFrame,
+    series_keys: Sequence[str] = (),
+    max_iter: int = FORECAST_TREES,
+    max_depth: int = FORECAST_DEPTH,
+    seed: int = FORECAST_SEED,
+    leak_free: bool = False,
+) -> Model:
+    """The model :func:`forecast` would fit, to be kept: one for all series of a panel, until new months come."""
+    train = _trainable(observed_months(s, series_keys), series_keys)
+    features = materialized(forecast_features(train, series_keys, leak_free), "features")
+    return fit_model(features, _boosted_trees(max_iter, max_depth, seed))
+
+
 def forecast(
     s: DataFrame,
     series_keys: Sequence[str] = (),
@@ -171,11 +182,15 @@ def forecast(
     seed: int = FORECAST_SEED,
     leak_free: bool = False,
     regressor: Estimator | None = None,
+    model: Model | None = None,
 ) -> DataFrame:
     """``steps`` predicted months per series; series with too few training months have none.
 
-    ``regressor`` takes any Spark ML regression estimator instead of the default boosted trees.
+    ``regressor`` takes any Spark ML regression estimator instead of the default boosted trees. A ``model`` fitted before
+    (see :func:`fit_forecast`; ``model.save`` keeps it, ``GBTRegressionModel.load`` brings it back) is used as it is.
     """
+    if model is not None:
+        return _predict(model, observed_months(s, series_keys), series_keys, steps)
     # The sales are read once; gate, fit and prediction work on the month totals.
     observed = materialized(observed_months(s, series_keys), "months")
     features = materialized(
@@ -188,48 +203,28 @@ def forecast(
     return _predict(model, observed, series_keys, steps)
 
 
-def forecast_per_series(
-    s: DataFrame,
-    make_regressor: Callable[[], Any],
-    series_keys: Sequence[str] = (),
-    steps: int = FORECAST_STEPS,
-    leak_free: bool = False,
+def forecast_baseline(
+    s: DataFrame, series_keys: Sequence[str] = (), steps: int = FORECAST_STEPS
 ) -> DataFrame:
-    """As :func:`forecast`, with a model of its own for every series.
+    """The yardstick for any model: each predicted month is the mean of the three before it, predicted or not."""
+    return _baseline(observed_months(s, series_keys), series_keys, steps)
 
-    ``make_regressor`` returns an object with ``fit(X, y)`` and ``predict(X)``, such as
-    ``lambda: XGBRegressor(n_estimators=100, max_depth=3, random_state=42)`` where that package is installed on the
-    executors. Series are fitted side by side, each in one task: its input is one row per calendar month.
-    """
-    keys = list(series_keys)
-    observed = observed_months(s, keys).withColumn("_last_month", F.max("YearMonth").over(series_window(keys)))
-    train = _trainable(observed, keys)
-    # The last observed month is the same for all rows of a series, so it can be one more key of it.
-    features = forecast_features(train, [*keys, "_last_month"], leak_free).withColumns(
-        {name: F.col(name).cast("double") for name in ["Revenue", *FEATURES]}
-    )
 
-    def fit_and_predict(history: pd.DataFrame) -> pd.DataFrame:
-        history = history.sort_values("Time_Index")
-        model = make_regressor()
-        model.fit(history[FEATURES], history["Revenue"])
-        known, rows = list(history["Revenue"]), []
-        last_month = pd.Timestamp(history["_last_month"].iloc[0])
-        for step in range(1, steps + 1):
-            month = last_month + pd.DateOffset(months=step)
-            values = [month.month, month.year, len(known), known[-1], known[-2], sum(known[-3:]) / 3]
-            known.append(float(model.predict(pd.DataFrame([values], columns=FEATURES, dtype=float))[0]))
-            rows.append([*history[keys].iloc[0], step, month.date(), known[-1]])
-        return pd.DataFrame(rows, columns=[*keys, "Step", "YearMonth", "Revenue"])
-
-    key_fields = [field for field in s.schema.fields if field.name in keys]
-    schema = T.StructType([
-        *sorted(key_fields, key=lambda field: keys.index(field.name)),
-        T.StructField("Step", T.IntegerType()),
-        T.StructField("YearMonth", T.DateType()),
-        T.StructField("Revenue", T.DoubleType()),
-    ])
-    return features.groupBy(*keys, "_last_month").applyInPandas(fit_and_predict, schema)
+def _baseline(observed: DataFrame, series_keys: Sequence[str], steps: int) -> DataFrame:
+    def step(state: Column, number: Column) -> Column:
+        mean = (state["r3"] + state["r2"] + state["r1"]) / 3
+        month = F.struct(number.alias("Step"), mean.alias("Revenue"))
+        return F.struct(
+            mean.alias("r1"), state["r1"].alias("r2"), state["r2"].alias("r3"), F.concat(state["found"], F.array(month)).alias("found")
+        )
+
+    start = F.struct(
+        F.col("_r1").alias("r1"), F.col("_r2").alias("r2"), F.col("_r3").alias("r3"),
+        F.array().cast("array<struct<Step:int,Revenue:double>>").alias("found"),
+    )
+    months = F.aggregate(F.sequence(F.lit(1), F.lit(steps)), start, step, lambda state: state["found"])
+    predicted = _series_state(observed, series_keys).select(*series_keys, "_last_month", F.inline(months))
+    return predicted.select(*series_keys, "Step", F.add_months("_last_month", F.col("Step")).alias("YearMonth"), "Revenue")
 
 
 def forecast_series(s: DataFrame, predicted: DataFrame, series_keys: Sequence[str] = ()) -> DataFrame:
@@ -268,23 +263,31 @@ def tune_forecast(
     seed: int = FORECAST_SEED,
     leak_free: bool = False,
 ) -> DataFrame:
-    """Error of each parameter set in ``grid``: fitted on the months before ``cutoff``, tested on those from it on.
+    """Error of each parameter set in ``grid``, and of the baseline, which has no trees: what would have been predicted
+    at ``cutoff``, month after month from the months before it, against the complete months from it on.
 
-    A random split would test on months older than those learned from. The grid is the only loop here; every fit
-    and every evaluation is a Spark job.
+    Only series with enough months before the cut-off take part. The grid is the only loop; every fit and every
+    evaluation is a Spark job.
     """
-    features = materialized(forecast_features(training_months(s, series_keys), series_keys, leak_free), "features")
-    before = features.where(F.col("YearMonth") < F.lit(cutoff).cast("date"))
-    after = _assemble(features.where(F.col("YearMonth") >= F.lit(cutoff).cast("date"))).select(
-        "features", F.col("Revenue").cast("double").alias(_LABEL)
+    observed = materialized(observed_months(s, series_keys), "months")
+    at = F.lit(cutoff).cast("date")
+    before = observed.where(F.col("YearMonth") < at).withColumn("Is_Complete", F.lit(True))
+    actual = observed.where((F.col("YearMonth") >= at) & F.col("Is_Complete")).select(
+        *series_keys, "YearMonth", F.col("Revenue").cast("double").alias("_actual")
     )
-    rmse = RegressionEvaluator(labelCol=_LABEL, metricName="rmse")
-    rows = []
+    features = materialized(forecast_features(_trainable(before, series_keys), series_keys, leak_free), "features")
+    span = F.months_between(F.max("YearMonth"), F.min("YearMonth")).cast("int") + 1
+    steps = observed.where(F.col("YearMonth") >= F.add_months(at, -1)).agg(span).first()[0] or 0
+
+    def error(predicted: DataFrame) -> float | None:
+        both = predicted.join(actual, [*series_keys, "YearMonth"])
+        return both.agg(F.sqrt(F.avg(F.pow(F.col("Revenue") - F.col("_actual"), 2)))).first()[0]
+
+    rows = [(0, 0, error(_baseline(before, series_keys, steps)))]
     for params in grid:
-        model = fit_model(before, _boosted_trees(FORECAST_TREES, FORECAST_DEPTH, seed).copy().setParams(**params))
+        model = fit_model(features, _boosted_trees(FORECAST_TREES, FORECAST_DEPTH, seed).copy().setParams(**params))
         rows.append((
             int(params.get("maxIter", FORECAST_TREES)), int(params.get("maxDepth", FORECAST_DEPTH)),
-            float(rmse.evaluate(model.transform(after))),
+            error(_predict(model, before, series_keys, steps)),
         ))
     return s.sparkSession.createDataFrame(rows, "Trees int, Depth int, RMSE double")
-

@@ -1,22 +1,17 @@
-"""Incremental load: only what is newer than the stored sales."""
+"""Which lines of a feed of whole days an incremental load takes (see ``plans.build.load_increment``)."""
 
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, functions as F
 
-from ..sources.store import write_table
-from .gold import fact_sales
-
 
 def incremental_rows(silver_sales: DataFrame, stored_fact: DataFrame) -> DataFrame:
-    """Cleaned sales dated after the last stored sale; all of them if nothing is stored.
+    """Cleaned sales from the last stored day on, as lines of that day may have arrived since; all of them, with or
+    without a date, if nothing is stored.
 
-    ``DateKey`` is yyyymmdd, so its maximum is the latest day. A rerun after a finished load finds nothing new.
+    The day is the parsed date, not its text, and is looked up in the newest stored month only.
     """
-    last_key = stored_fact.select(F.max("DateKey")).scalar()
-    return silver_sales.where(F.col("DateKey") > F.coalesce(last_key, F.lit("")))
-
-
-def append_fact(silver_sales: DataFrame, stored_fact: DataFrame, root: str) -> None:
-    """Add the new sale lines to the stored fact below ``root``; files already there are not rewritten."""
-    write_table(fact_sales(incremental_rows(silver_sales, stored_fact)), root, "Fact_Sales", mode="append")
+    month = F.col("Ano") * 12 + F.col("Mes")
+    newest = stored_fact.select(F.max(month)).scalar()
+    last = stored_fact.where(month == newest).select(F.max(F.try_to_date("DateKey", "yyyyMMdd"))).scalar()
+    return silver_sales.where(last.isNull() | (F.col("Data") >= last))

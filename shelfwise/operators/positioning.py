@@ -50,7 +50,7 @@ def unmapped_revenue(p: DataFrame, label: str = UNMAPPED_LABEL) -> DataFrame:
 
 def insights(p: DataFrame, label: str = UNMAPPED_LABEL) -> DataFrame:
     """Leading city and SKU, unmapped revenue and its warning flag as one row, from one scan."""
-    sums = per_column(p, {"City": "City", "SKU": "SKU"}, total("Revenue").alias("Revenue"))
+    sums = per_column(p, {"City": "City", "SKU": "SKU"}, {"Revenue": "Revenue"})
     is_sku, key, revenue = F.col("Label") == "SKU", F.col("Key"), F.col("Revenue")
     city = F.when(~is_sku, key)
     known = F.when(is_sku & (key != label), key)

@@ -6,7 +6,6 @@ from collections.abc import Mapping, Sequence
 
 from pyspark.sql import Column, DataFrame, functions as F
 
-from ..functions.grouping import per_column
 from ..functions.measures import total, total_where
 from ..functions.text import date_key, parse_price, parse_units
 from ..settings import UNMAPPED_LABEL
@@ -55,19 +54,32 @@ def audit_grain(fact: DataFrame, keys: Sequence[str] = ("StoreID", "ITEMCODE", "
 def audit_orphans(fact: DataFrame, dims: Mapping[str, tuple[DataFrame, str]]) -> DataFrame:
     """Per dimension of ``{name: (frame, key)}``: sale lines, their codes and revenue without a dimension row.
 
-    One scan of the fact: lines are first added up per key value of each dimension, so a hot key is one row before
-    anything is shuffled or joined, and only distinct keys meet the dimensions. NULL keys count as orphans.
+    Lines are first added up per key value of each dimension, so a hot key is one row before anything is shuffled or
+    joined, and only distinct keys meet the dimensions. NULL keys count as orphans.
     """
-    used = per_column(
-        fact, {name: key for name, (_, key) in dims.items()},
-        F.count(F.lit(1)).alias("_lines"), total("Vendas Valor").alias("_revenue"),
-    )
+    return audit_orphan_scopes(fact, {"": dims}).drop("Scope")
+
+
+def audit_orphan_scopes(fact: DataFrame, scopes: Mapping[str, Mapping[str, tuple[DataFrame, str]]]) -> DataFrame:
+    """As :func:`audit_orphans` against several sets of dimensions of the same names and keys, by ``Scope``. Each
+    key column of the fact is read and added up once for all of them."""
+    keys = {name: key for dims in scopes.values() for name, (_, key) in dims.items()}
+    used = _union([
+        fact.groupBy(F.col(key).cast("string").alias("Key"))
+        .agg(F.count(F.lit(1)).alias("_lines"), total("Vendas Valor").alias("_revenue"))
+        .select(F.lit(name).alias("Label"), "*")
+        for name, key in keys.items()
+    ])
     known = _union([
-        dim.select(F.lit(name).alias("Label"), F.col(key).cast("string").alias("Key")).distinct().withColumn("_known", F.lit(True))
-        for name, (dim, key) in dims.items()
+        dim.select(F.lit(name).alias("Label"), F.col(key).cast("string").alias("Key"), F.lit(scope).alias("Scope"))
+        for scope, dims in scopes.items() for name, (dim, key) in dims.items()
     ])
-    orphan = F.col("_known").isNull()
-    return used.join(known, ["Label", "Key"], "left").groupBy(F.col("Label").alias("Dimension")).agg(
+    known = known.groupBy("Label", "Key").agg(F.collect_set("Scope").alias("_scopes"))  # no more than there are scopes
+    met = used.join(known, ["Label", "Key"], "left").select(
+        "*", F.explode(F.array(*map(F.lit, scopes))).alias("Scope")
+    )
+    orphan = ~F.coalesce(F.array_contains("_scopes", F.col("Scope")), F.lit(False))
+    return met.groupBy("Scope", F.col("Label").alias("Dimension")).agg(
         total_where(orphan, "_lines").cast("bigint").alias("Orphan_Lines"),
         _count(orphan).alias("Orphan_Keys"),
         total_where(orphan, "_revenue").alias("Orphan_Revenue"),
@@ -115,18 +127,20 @@ def _layer_totals(lines: DataFrame, layers: Mapping[str, Column], units: str, re
     return totals.select(F.inline(F.array(*layers)))
 
 
-def control_totals(silver_sales: DataFrame, wide: DataFrame, label: str = UNMAPPED_LABEL) -> DataFrame:
-    """Lines, item codes, units and revenue per layer. Equal totals of fact and wide show that mapping unmapped
-    items to a label lost nothing. One scan of the cleaned sales and one of the wide frame."""
+def control_totals(
+    silver_sales: DataFrame, fact: DataFrame, wide: DataFrame, label: str = UNMAPPED_LABEL
+) -> DataFrame:
+    """Lines, item codes, units and revenue per layer, each read from its own table. What silver has beyond the
+    rejected lines must be in the fact as stored; equal totals of fact and wide show that mapping unmapped items to a
+    label lost nothing."""
     accepted = is_sale(F.col("Vendas_Unidades"), F.col("PVP"))
     cleaned = _layer_totals(
-        silver_sales,
-        {"silver": F.lit(True), "rejected": ~accepted, "fact": accepted},
-        "Vendas_Unidades", "Vendas_Valor",
+        silver_sales, {"silver": F.lit(True), "rejected": ~accepted}, "Vendas_Unidades", "Vendas_Valor"
     )
+    stored = _layer_totals(fact, {"fact": F.lit(True)}, "Vendas Unidades", "Vendas Valor")
     unmapped = F.coalesce(F.col("SKU") == label, F.lit(False))
     joined = _layer_totals(wide, {"wide": F.lit(True), "unmapped": unmapped}, "Volume", "Revenue")
-    return cleaned.unionByName(joined)
+    return cleaned.unionByName(stored).unionByName(joined)
 
 
 def _union(frames: Sequence[DataFrame]) -> DataFrame:

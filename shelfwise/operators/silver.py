@@ -2,20 +2,26 @@
 
 from __future__ import annotations
 
+from collections.abc import Sequence
+
 from pyspark.sql import DataFrame, functions as F
 
 from ..functions.text import date_key, parse_day, parse_price, parse_units
-from ..settings import PRICE_SCALE
+from ..schemas import SALES
+from ..settings import PRICE_PRECISION, PRICE_SCALE
+from ..sources.feeds import CORRUPT
+
+WRONG_FIELD_COUNT, MISSING_DATE, UNREADABLE_DATE = "wrong field count", "missing date", "unreadable date"
 
 
 def clean_sales(
-    bronze_sales: DataFrame, *, lenient_dates: bool = False, price_scale: int = PRICE_SCALE
+    bronze_sales: DataFrame, *, lenient_dates: bool = False, price_scale: int = PRICE_SCALE, also: Sequence[str] = ()
 ) -> DataFrame:
-    """Typed sale lines with revenue. Unreadable units and prices count as 0; a malformed date fails the load
+    """Typed sale lines with revenue, and the columns ``also`` as they are. Unreadable units and prices count as 0; a malformed date fails the load
     unless ``lenient_dates``. One projection, no shuffle, works on streams too."""
     day = F.col("SALESDATE")
     units = F.coalesce(parse_units(F.col("Vendas Unidades")), F.lit(0))
-    price = F.coalesce(parse_price(F.col("PVP"), price_scale), F.lit(0).cast(f"decimal(18,{price_scale})"))
+    price = F.coalesce(parse_price(F.col("PVP"), price_scale), F.lit(0).cast(f"decimal({PRICE_PRECISION},{price_scale})"))
     typed = bronze_sales.select(
         date_key(day).alias("DateKey"),
         parse_day(day, lenient_dates).alias("Data"),
@@ -23,10 +29,37 @@ def clean_sales(
         "ITEMCODE",
         units.alias("Vendas_Unidades"),
         price.alias("PVP"),
+        *also,
     )
     return typed.withColumn("Vendas_Valor", F.col("Vendas_Unidades") * F.col("PVP"))
 
 
+def stage_sales(
+    bronze_sales: DataFrame, load: str = "full", *, lenient_dates: bool = False, price_scale: int = PRICE_SCALE
+) -> DataFrame:
+    """Every line of the feed as it is stored: cleaned, with its month and the name of the ``load`` that brings it.
+
+    A line with a wrong number of fields (if the feed was read with ``read_bronze_strict``) or without a readable
+    date has a ``Reason``, its text and no month: it is in quarantine. With ``lenient_dates`` the date is no reason.
+    """
+    day = F.col("SALESDATE")
+    broken = F.col(CORRUPT) if CORRUPT in bronze_sales.columns else F.lit(None).cast("string")
+    reason = F.when(broken.isNotNull(), F.lit(WRONG_FIELD_COUNT))
+    if not lenient_dates:
+        reason = reason.when(day.isNull(), F.lit(MISSING_DATE)).when(parse_day(day, True).isNull(), F.lit(UNREADABLE_DATE))
+    text = F.to_csv(F.struct(*[F.col(f"`{name}`") for name in SALES.fieldNames()]))
+    marked = bronze_sales.withColumns({
+        "_Reason": reason, "_Line": F.when(reason.isNotNull(), F.coalesce(broken, text)),
+    })
+    cleaned = clean_sales(marked, lenient_dates=True, price_scale=price_scale, also=["_Reason", "_Line"])
+    dated = F.col("_Reason").isNull()
+    return cleaned.select(
+        *[column for column in cleaned.columns if not column.startswith("_")], F.lit(load).alias("Load"),
+        F.col("_Reason").alias("Reason"), F.col("_Line").alias("Line"),
+        F.when(dated, F.year("Data")).alias("Ano"), F.when(dated, F.month("Data")).alias("Mes"),
+    )
+
+
 def clean_items(bronze_items: DataFrame) -> DataFrame:
     """Item master without its blank rows."""
     return bronze_items.where(F.col("ITEMCODE").isNotNull())

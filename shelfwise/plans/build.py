@@ -2,11 +2,17 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+import datetime as dt
+from functools import reduce
+from operator import or_
 
+from pyspark.sql import DataFrame, SparkSession, functions as F
+
+from .. import schemas
 from ..operators import gold, silver
 from ..settings import PRICE_SCALE
-from ..sources.store import read_star, read_table, write_table
+from ..sources.shared import materialized
+from ..sources.store import drop_month, has_table, read_star, read_table, write_table
 
 
 def gold_layer(feeds: dict[str, DataFrame], sales: DataFrame | None = None, **labels: str) -> dict[str, DataFrame]:
@@ -30,27 +36,119 @@ def build_gold(
     feeds: dict[str, DataFrame],
     root: str,
     *,
+    load: str = "full",
     lenient_dates: bool = False,
     price_scale: int = PRICE_SCALE,
     **labels: str,
 ) -> dict[str, DataFrame]:
     """Full refresh of all tables below ``root``; returns the star as stored.
 
-    Cleaned sales are stored once as Parquet: the item dimension then reads its one code column and the calendar
-    its one date column, instead of parsing the whole text feed once per table. The wide frame is stored last, from
-    the stored star, whose dimension sizes Spark knows: this is the only join of sale lines there is.
+    The feed is parsed once and stored by month, broken lines in quarantine (see ``silver.stage_sales``). The item
+    dimension then reads its one code column and the calendar its one date column; the fact comes from month files and
+    needs no shuffle. The wide frame is stored last, from the stored star, whose dimension sizes Spark knows: this is
+    the only join of sale lines there is.
     """
-    cleaned = silver.clean_sales(feeds["Sales"], lenient_dates=lenient_dates, price_scale=price_scale)
-    write_table(cleaned, root, "Silver_Sales")
+    staged = silver.stage_sales(feeds["Sales"], load, lenient_dates=lenient_dates, price_scale=price_scale)
+    write_table(staged, root, "Silver_Sales")
     for name, table in gold_layer(feeds, read_silver(spark, root, price_scale), **labels).items():
-        write_table(table, root, name)
+        write_table(table, root, name, spread=False)
     star = read_star(spark, root, price_scale)
     write_table(wide_frame(star), root, "Sales_Wide")
     return star
 
 
+def load_increment(
+    spark: SparkSession,
+    feeds: dict[str, DataFrame],
+    root: str,
+    load: str,
+    *,
+    whole_days: bool = True,
+    lenient_dates: bool = False,
+    price_scale: int = PRICE_SCALE,
+    **labels: str,
+) -> None:
+    """Bring new sales into every table below ``root``, up to the wide frame; the first load builds them.
+
+    With ``whole_days`` the feed holds whole days: its days from the last stored day on replace these days, and older
+    lines are left out. Without it, all lines are added, whatever their date. Only the months concerned are written
+    again. New item codes enter the item dimension (as unmapped, if the master lacks them), new years the calendar.
+
+    ``load`` names the run. A run that failed, or is repeated under its name, starts from the same day and replaces its
+    own lines.
+    """
+    if not has_table(spark, root, "Sales_Wide"):
+        build_gold(spark, feeds, root, load=load, lenient_dates=lenient_dates, price_scale=price_scale, **labels)
+        return
+    staged = silver.stage_sales(feeds["Sales"], load, lenient_dates=lenient_dates, price_scale=price_scale)
+    stored = read_table(spark, root, "Silver_Sales", price_scale)
+    kept = stored.where(F.col("Load") != load)
+    if whole_days:
+        since = F.lit(_since(spark, root, load, price_scale))
+        staged = staged.where((F.col("Data") >= since) | F.col("Ano").isNull())
+    fresh = materialized(staged, "increment")
+    if whole_days:
+        days = fresh.where(F.col("Ano").isNotNull()).select("Data").distinct()  # calendar days
+        kept = kept.join(F.broadcast(days), "Data", "left_anti")
+    before = stored.where(F.col("Load") == load)
+    months = [tuple(row) for row in fresh.unionByName(before).select("Ano", "Mes").distinct().collect()]
+    concerned = reduce(or_, [
+        F.col("Ano").eqNullSafe(F.lit(year)) & F.col("Mes").eqNullSafe(F.lit(month)) for year, month in months
+    ], F.lit(False))
+    # Written elsewhere first: a month is not read while it is replaced.
+    content = materialized(kept.where(concerned).unionByName(fresh), "months")
+    write_table(content, root, "Silver_Sales", months_only=True)
+
+    cleaned = content.where(F.col("Reason").isNull()).select(schemas.tables()["Cleaned_Sales"].fieldNames())
+    star = read_star(spark, root, price_scale)
+    known = star["Dim_Item"].select("ITEMCODE")
+    codes = fresh.where(F.col("Reason").isNull()).select("ITEMCODE").distinct()
+    new_codes = codes.join(known, codes["ITEMCODE"].eqNullSafe(known["ITEMCODE"]), "left_anti")
+    items = silver.clean_items(feeds["Items"])
+    new_items = gold.unmapped_items(new_codes, items, **labels).unionByName(items.join(new_codes, "ITEMCODE", "left_semi"))
+    write_table(materialized(new_items, "items"), root, "Dim_Item", mode="append")
+    days = gold.dim_date(cleaned.select("Data").unionByName(star["Dim_Date"].select("Data")))
+    new_days = days.join(star["Dim_Date"], "DateKey", "left_anti")
+    write_table(materialized(new_days, "days"), root, "Dim_Date", mode="append")
+
+    star = {**read_star(spark, root, price_scale), "Fact_Sales": gold.fact_sales(cleaned)}
+    write_table(star["Fact_Sales"], root, "Fact_Sales", months_only=True)
+    write_table(wide_frame(star), root, "Sales_Wide", months_only=True)
+    sold = {tuple(row) for row in star["Fact_Sales"].select("Ano", "Mes").distinct().collect()}
+    for year, month in set(months) - sold - {(None, None)}:
+        for name in ("Fact_Sales", "Sales_Wide"):
+            drop_month(spark, root, name, year, month)
+
+
+def _since(spark: SparkSession, root: str, load: str, price_scale: int) -> dt.date:
+    """The day from which a load replaces what is stored: noted before it changes anything, so that a repeated run does
+    not take its own lines for stored ones."""
+    if has_table(spark, root, "Loads"):
+        noted = read_table(spark, root, "Loads").where(F.col("Load") == load).first()
+        if noted:
+            return noted.Since
+    day = last_stored_day(read_wide(spark, root, price_scale))
+    write_table(spark.createDataFrame([(load, day)], schemas.tables()["Loads"]), root, "Loads", mode="append")
+    return day
+
+
+def last_stored_day(wide: DataFrame) -> dt.date:
+    """The day of the last stored sale, from the newest month only."""
+    month = F.col("Year") * 12 + F.col("Month")
+    newest = wide.select(F.max(month)).scalar()
+    return wide.where(month == newest).agg(F.max("Date")).first()[0] or dt.date.min
+
+
 def read_silver(spark: SparkSession, root: str, price_scale: int = PRICE_SCALE) -> DataFrame:
-    return read_table(spark, root, "Silver_Sales", price_scale)
+    """The cleaned sales, without lines in quarantine."""
+    stored = read_table(spark, root, "Silver_Sales", price_scale).where(F.col("Reason").isNull())
+    return stored.select(schemas.tables(price_scale)["Cleaned_Sales"].fieldNames())
+
+
+def read_quarantine(spark: SparkSession, root: str) -> DataFrame:
+    """Lines that the loads did not understand: which load, why, and their text."""
+    stored = read_table(spark, root, "Silver_Sales").where(F.col("Ano").isNull() & F.col("Reason").isNotNull())
+    return stored.select("Load", "Reason", "Line")
 
 
 def read_wide(spark: SparkSession, root: str, price_scale: int = PRICE_SCALE) -> DataFrame:

@@ -18,10 +18,10 @@ from ..operators import (
 from ..operators.context import Period
 from ..sources import trade_tables as tables
 from ..sources.feeds import read_bronze, read_bronze_strict
-from ..sources.store import read_table, read_star, write_table
+from ..sources.store import read_table, read_star
 from ..sources.shared import shared_path
-from ..streaming.feed_stream import load_available, read_streamed_fact, sales_stream
-from .build import build_gold, gold_layer, read_silver, read_wide, wide_frame
+from ..streaming.feed_stream import load_available, sales_stream
+from .build import build_gold, gold_layer, load_increment, read_quarantine, read_silver, read_wide, wide_frame
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -30,7 +30,7 @@ YEAR = Period.of_year(tables.REPORT_YEAR)
 MONTH = Period.of_month(tables.REPORT_MONTH)
 PANEL = ["Client"]
 CLIENTS, CITIES, BRANDS = ["ASIA", "EUROPE", None], ["Unknown", "NATION_2", "NATION_8", "NATION_12"], ["Brand#1", "Brand#12"]
-TUNING_GRID = [{"maxIter": trees, "maxDepth": depth} for trees in (5, 20) for depth in (2, 3)]
+TUNING_GRID = [{"maxIter": trees, "maxDepth": depth} for trees, depth in ((20, 2), (20, 3), (100, 3))]
 TUNING_CUTOFF = "2000-11-01"
 
 _stored: dict[tuple[str, str, str], str] = {}
@@ -119,7 +119,7 @@ def _forecast(spark: SparkSession, folder: str) -> DataFrame:
 
 
 def _forecast_panel(spark: SparkSession, folder: str) -> DataFrame:
-    return fc.forecast(wide(spark, folder), PANEL, max_iter=20)
+    return fc.forecast(wide(spark, folder), PANEL)
 
 
 def _dims(spark: SparkSession, folder: str) -> dict[str, DataFrame]:
@@ -146,18 +146,19 @@ def _dq_orphans(spark: SparkSession, folder: str) -> DataFrame:
     stored = star(spark, folder)
     master = silver.clean_items(tables.items_feed(spark, folder))
 
-    def audit(scope: str, items: DataFrame) -> DataFrame:
-        dims = {
+    def dims(items: DataFrame) -> dict[str, tuple[DataFrame, str]]:
+        return {
             "Date": (stored["Dim_Date"], "DateKey"), "Item": (items, "ITEMCODE"), "Store": (stored["Dim_Store"], "StoreID")
         }
-        return quality.audit_orphans(stored["Fact_Sales"], dims).withColumn("Scope", F.lit(scope))
 
-    return audit("dimensions", stored["Dim_Item"]).unionByName(audit("master", master))
+    return quality.audit_orphan_scopes(
+        stored["Fact_Sales"], {"dimensions": dims(stored["Dim_Item"]), "master": dims(master)}
+    )
 
 
 def _control_totals(spark: SparkSession, folder: str) -> DataFrame:
     root = _gold_root(spark, folder)
-    return quality.control_totals(read_silver(spark, root), read_wide(spark, root))
+    return quality.control_totals(read_silver(spark, root), read_table(spark, root, "Fact_Sales"), read_wide(spark, root))
 
 
 def _contract_violations(spark: SparkSession, folder: str) -> DataFrame:
@@ -181,24 +182,46 @@ def _incremental_rows(spark: SparkSession, folder: str) -> DataFrame:
     return incremental.incremental_rows(cleaned, gold.fact_sales(earlier))
 
 
-def _incremental_load(spark: SparkSession, folder: str) -> DataFrame:
+def _increments(spark: SparkSession, folder: str) -> str:
+    """Tables loaded in two steps: a feed of whole days up to a day, then one of all days, which is tried twice."""
     def write(root: str) -> None:
-        cleaned, earlier = _loaded_before(spark, folder)
-        write_table(gold.fact_sales(earlier), root, "Fact_Sales")
-        # Twice: the second run must find nothing left to add.
+        feeds = tables.feeds(spark, folder)
+        until = F.date_format(F.lit(tables.LOADED_UNTIL).cast("date"), "yyyyMMdd")
+        earlier = feeds["Sales"].where(F.col("SALESDATE") <= until)
+        load_increment(spark, {**feeds, "Sales": earlier}, root, "first", **LABELS)
         for _ in range(2):
-            incremental.append_fact(cleaned, read_table(spark, root, "Fact_Sales"), root)
+            load_increment(spark, feeds, root, "second", **LABELS)
+
+    return _once(spark, folder, "incremental", write)
+
+
+def _incremental_load(spark: SparkSession, folder: str) -> DataFrame:
+    return read_table(spark, _increments(spark, folder), "Fact_Sales")
+
 
-    path = _once(spark, folder, "incremental", write)
-    return read_table(spark, path, "Fact_Sales")
+def _incremental_wide(spark: SparkSession, folder: str) -> DataFrame:
+    return read_wide(spark, _increments(spark, folder))
 
 
 def _stream_load(spark: SparkSession, folder: str) -> DataFrame:
     def write(root: str) -> None:
+        masters = {name: feed for name, feed in tables.feeds(spark, folder).items() if name != "Sales"}
         stream = sales_stream(spark, f"{_csv(spark, folder)}/Sales.csv")
-        load_available(stream, root, f"{root}/_progress").awaitTermination()
+        load_available(stream, masters, root, f"{root}/_progress", **LABELS).awaitTermination()
 
-    return read_streamed_fact(spark, _once(spark, folder, "streamed", write))
+    return read_table(spark, _once(spark, folder, "streamed", write), "Fact_Sales")
+
+
+def _quarantined_sales(spark: SparkSession, folder: str) -> DataFrame:
+    """The sales as a file in which some lines have an unquoted thousands comma, some are cut short, and some have a
+    month 13; loaded, and what is in quarantine. The file is written as text, a line per sale."""
+    def write(root: str) -> None:
+        lines = tables.broken_sales(spark, folder)
+        lines.select("Line").write.text(f"{root}/Sales.csv")
+        feeds = {**tables.feeds(spark, folder), "Sales": read_bronze_strict(spark, f"{root}/Sales.csv", "Sales", header=False)}
+        build_gold(spark, feeds, f"{root}/tables", **LABELS)
+
+    return read_quarantine(spark, f"{_once(spark, folder, 'quarantine', write)}/tables").drop("Load")
 
 
 def _queries() -> dict[str, Query]:
@@ -230,6 +253,9 @@ def _queries() -> dict[str, Query]:
         "period_month_latest": _in_period(lambda p: p, Period.of_month()),
         # KPIs
         "kpi_totals": _on_wide(kpi.kpi_totals),
+        "empty_selection": lambda spark, folder: kpi.kpi_totals(
+            context.apply_context(wide(spark, folder), brands=["no such brand"])
+        ),
         "kpi_totals_year": _in_period(kpi.kpi_totals, YEAR),
         "yoy_ytd": _on_wide(kpi.yoy),
         "yoy_year": _on_wide(kpi.yoy, YEAR),
@@ -255,6 +281,13 @@ def _queries() -> dict[str, Query]:
         "forecast_series": lambda spark, folder: fc.forecast_series(wide(spark, folder), _forecast(spark, folder)),
         "forecast_direction": lambda spark, folder: fc.forecast_direction(_forecast(spark, folder)),
         "forecast_panel": _forecast_panel,
+        "forecast_baseline": _on_wide(fc.forecast_baseline),
+        "forecast_baseline_series": lambda spark, folder: fc.forecast_series(
+            wide(spark, folder), fc.forecast_baseline(wide(spark, folder))
+        ),
+        "forecast_baseline_direction": lambda spark, folder: fc.forecast_direction(
+            fc.forecast_baseline(wide(spark, folder), PANEL), PANEL, fc.forecast_gate(wide(spark, folder), PANEL)
+        ),
         "forecast_tuning": _on_wide(fc.tune_forecast, TUNING_GRID, TUNING_CUTOFF),
         # Ranking, contribution, positioning
         "top_city": _in_period(pos.top_city, YEAR),
@@ -281,6 +314,8 @@ def _queries() -> dict[str, Query]:
         "price_regex_parse": _price_regex,
         "incremental_rows": _incremental_rows,
         "incremental_load": _incremental_load,
+        "incremental_wide": _incremental_wide,
+        "quarantined_sales": _quarantined_sales,
         "stream_fact_load": _stream_load,
     }
 

@@ -26,7 +26,7 @@ FEEDS = {"Sales": SALES, "Items": ITEMS, "Store": STORE, "Client": CLIENT}
 
 STAR = ["Fact_Sales", "Dim_Item", "Dim_Store", "Dim_Date"]
 # Only tables that grow with sales are split into partitions.
-PARTITIONS = {"Fact_Sales": ["Ano", "Mes"], "Sales_Wide": ["Year", "Month"]}
+PARTITIONS = {"Silver_Sales": ["Ano", "Mes"], "Fact_Sales": ["Ano", "Mes"], "Sales_Wide": ["Year", "Month"]}
 # Rows of a file are sorted by what dashboards filter on: long runs compress well, and a filter skips whole row groups.
 CLUSTERING = {"Sales_Wide": ["Brand", "City"]}
 
@@ -36,11 +36,15 @@ def tables(price_scale: int = PRICE_SCALE) -> dict[str, T.StructType]:
     price = T.DecimalType(PRICE_PRECISION, price_scale)
     # units (int) x price: Spark's own result type for the product, so no sale line can overflow it.
     revenue = T.DecimalType(PRICE_PRECISION + 11, price_scale)
+    cleaned = {
+        "DateKey": TEXT, "Data": DATE, "StoreID": TEXT, "ITEMCODE": TEXT,
+        "Vendas_Unidades": WHOLE, "PVP": price, "Vendas_Valor": revenue,
+    }
     return {
-        "Silver_Sales": _struct({
-            "DateKey": TEXT, "Data": DATE, "StoreID": TEXT, "ITEMCODE": TEXT,
-            "Vendas_Unidades": WHOLE, "PVP": price, "Vendas_Valor": revenue,
-        }),
+        # With the load that brought a line, and for lines in quarantine the reason and the text. They have no month.
+        "Silver_Sales": _struct({**cleaned, "Load": TEXT, "Reason": TEXT, "Line": TEXT, "Ano": WHOLE, "Mes": WHOLE}),
+        "Cleaned_Sales": _struct(cleaned),
+        "Loads": _struct({"Load": TEXT, "Since": DATE}),
         "Fact_Sales": _struct({
             "StoreID": TEXT, "ITEMCODE": TEXT, "DateKey": TEXT,
             "Vendas Unidades": WHOLE, "PVP": price, "Vendas Valor": revenue, "Ano": WHOLE, "Mes": WHOLE,

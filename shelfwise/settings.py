@@ -33,30 +33,24 @@ FORECAST_SEED = 42
 
 # Money is summed as decimals: the sum does not depend on row order, so a retried task gives the same cents.
 PRICE_PRECISION = 18
-PRICE_SCALE = 2
+PRICE_SCALE = 6
 
 
 # Bytes a shuffle partition should hold: sorts and hash tables of that size stay in executor memory.
 SHUFFLE_PARTITION_BYTES = 200 * 1024 * 1024
-# More partitions than this would cut each map task's output into blocks too small to fetch well; beyond it,
-# partitions grow instead and their sorts spill.
-MAX_SHUFFLE_PARTITIONS = 20_000
-# Above this input size tasks read larger splits, as a tile reads only a few columns of each, and adaptive execution
-# aims at larger partitions, which also are the files that the load writes.
-LARGE_INPUT_BYTES = 1024**4
-LARGE_SPLIT_BYTES = 512 * 1024 * 1024
-LARGE_ADVISORY_BYTES = 256 * 1024 * 1024
+# Splits and merged partitions, whatever the size of the input: a tile reads a few columns of each split.
+SPLIT_BYTES = 256 * 1024 * 1024
+ADVISORY_BYTES = 128 * 1024 * 1024
+# Spark judges a dimension by the size of its Parquet files. As rows in memory, names and categories that repeat take
+# some thirty times as much, so sizes are multiplied by this before they are compared with the broadcast threshold.
+IN_MEMORY_FACTOR = 30
+BROADCAST_BYTES = 128 * 1024 * 1024
 
 
 def size_settings(input_bytes: int) -> dict[str, str]:
     """Settings that depend on the size of the sales feed. Adaptive execution merges partitions that end up small,
     so the number only has to be large enough."""
-    partitions = min(MAX_SHUFFLE_PARTITIONS, max(200, -(-input_bytes // SHUFFLE_PARTITION_BYTES)))
-    settings = {"spark.sql.shuffle.partitions": str(partitions)}
-    if input_bytes > LARGE_INPUT_BYTES:
-        settings["spark.sql.files.maxPartitionBytes"] = str(LARGE_SPLIT_BYTES)
-        settings["spark.sql.adaptive.advisoryPartitionSizeInBytes"] = str(LARGE_ADVISORY_BYTES)
-    return settings
+    return {"spark.sql.shuffle.partitions": str(max(200, -(-input_bytes // SHUFFLE_PARTITION_BYTES)))}
 
 
 def session(
@@ -75,7 +69,10 @@ def session(
         # Splits the partition of a hot key when a dimension is too large to broadcast.
         "spark.sql.adaptive.skewJoin.enabled": "true",
         # Dimensions are read from Parquet, so Spark knows their size; above this it sort-merges instead.
-        "spark.sql.autoBroadcastJoinThreshold": str(128 * 1024 * 1024),
+        "spark.sql.autoBroadcastJoinThreshold": str(BROADCAST_BYTES),
+        "spark.sql.sources.fileCompressionFactor": str(IN_MEMORY_FACTOR),
+        "spark.sql.files.maxPartitionBytes": str(SPLIT_BYTES),
+        "spark.sql.adaptive.advisoryPartitionSizeInBytes": str(ADVISORY_BYTES),
         "spark.sql.parquet.compression.codec": "zstd",
         "spark.sql.execution.arrow.pyspark.enabled": "true",
         **(size_settings(input_bytes) if input_bytes is not None else {}),

@@ -20,16 +20,19 @@ def read_bronze(spark: SparkSession, path: str, feed: str) -> DataFrame:
     return _reader(spark, schemas.FEEDS[feed]).csv(path)
 
 
-def read_bronze_strict(spark: SparkSession, path: str, feed: str) -> DataFrame:
+def read_bronze_strict(spark: SparkSession, path: str, feed: str, header: bool = True) -> DataFrame:
     """As :func:`read_bronze`, plus ``_corrupt_record`` with the whole line where the field count is wrong."""
     schema = T.StructType([*schemas.FEEDS[feed].fields, T.StructField(CORRUPT, T.StringType())])
     return (
         _reader(spark, schema)
         .option("mode", "PERMISSIVE")
+        .option("header", header)
         .option("columnNameOfCorruptRecord", CORRUPT)
         .csv(path)
     )
 
 
 def read_feeds(spark: SparkSession, folder: str) -> dict[str, DataFrame]:
-    return {feed: read_bronze(spark, f"{folder}/{feed}.csv", feed) for feed in schemas.FEEDS}
+    """The four feeds; sales with their broken lines marked, for the load to put them in quarantine."""
+    masters = {feed: read_bronze(spark, f"{folder}/{feed}.csv", feed) for feed in schemas.FEEDS if feed != "Sales"}
+    return {"Sales": read_bronze_strict(spark, f"{folder}/Sales.csv", "Sales"), **masters}

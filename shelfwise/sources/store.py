@@ -8,20 +8,45 @@ from .. import schemas
 from ..settings import PRICE_SCALE
 
 
-def write_table(df: DataFrame, root: str, name: str, mode: str = "overwrite") -> None:
-    """Full refresh (or, with ``mode='append'``, an addition) of one table.
+def write_table(
+    df: DataFrame, root: str, name: str, mode: str = "overwrite", *, months_only: bool = False, spread: bool = True
+) -> None:
+    """Full refresh (or, with ``mode='append'``, an addition) of one table; with ``months_only`` of the partitions that
+    ``df`` has rows for.
 
     A partitioned table is rebalanced first: every output file then holds one month, small months end in one
-    file and large ones are split over many tasks at the advisory partition size.
+    file and large ones are split over many tasks at the advisory partition size. ``spread=False`` leaves that out,
+    for rows that already come from month files.
     """
     partitions = schemas.PARTITIONS.get(name, [])
     df = df.select([f"`{column}`" for column in schemas.tables()[name].fieldNames()])
     clustering = schemas.CLUSTERING.get(name, [])
-    if partitions:
+    if partitions and spread:
         df = df.hint("rebalance", *partitions)
     if clustering:
         df = df.sortWithinPartitions(*partitions, *clustering)
-    df.write.mode(mode).partitionBy(*partitions).parquet(f"{root}/{name}")
+    writer = df.write.mode(mode).partitionBy(*partitions)
+    if months_only:
+        writer = writer.option("partitionOverwriteMode", "dynamic")
+    writer.parquet(f"{root}/{name}")
+
+
+def _file_system(spark: SparkSession, path: str):
+    """The file system of a path, local or not, and the path for it."""
+    place = spark._jvm.org.apache.hadoop.fs.Path(path)
+    return place.getFileSystem(spark._jsc.hadoopConfiguration()), place
+
+
+def has_table(spark: SparkSession, root: str, name: str) -> bool:
+    files, place = _file_system(spark, f"{root}/{name}/_SUCCESS")
+    return files.exists(place)
+
+
+def drop_month(spark: SparkSession, root: str, name: str, year: int, month: int) -> None:
+    """Remove one month of a partitioned table, where it exists."""
+    first, second = schemas.PARTITIONS[name]
+    files, place = _file_system(spark, f"{root}/{name}/{first}={year}/{second}={month}")
+    files.delete(place, True)
 
 
 def read_table(spark: SparkSession, root: str, name: str, price_scale: int = PRICE_SCALE) -> DataFrame:

@@ -1,7 +1,8 @@
 """Raw sell-out feeds derived from order-line tables, with every kind of dirt the cleansing has to handle.
 
 Every order line becomes one sale line. The key arithmetic only decides which dirt a line carries; no line is
-left out. One part in twenty has no master row, which is what the unmapped-item operator looks for.
+left out. The master row of one part in twenty has another code, and one region's client another banner, which is what
+the operators for unmapped items and unmatched clients look for.
 """
 
 from __future__ import annotations
@@ -43,10 +44,23 @@ def sales_feed(spark: SparkSession, folder: str) -> DataFrame:
     )
 
 
+def broken_sales(spark: SparkSession, folder: str) -> DataFrame:
+    """The sales feed as lines of text, with three kinds of broken lines among them."""
+    order, number = F.col("l_orderkey"), F.col("l_linenumber")
+    day, store, item = F.date_format("l_shipdate", "yyyyMMdd"), _code("ST", "l_suppkey"), _code("IT", "l_partkey")
+    units, price = F.col("l_quantity").cast("int").cast("string"), F.col("l_extendedprice").cast("decimal(12,2)").cast("string")
+    line = (
+        F.when(order % 101 == 0, F.concat_ws(",", day, store, item, F.concat(F.lit("1,"), number.cast("string"), F.lit("00")), price))
+        .when(order % 103 == 0, F.concat_ws(",", day, store, item))
+        .when(order % 107 == 0, F.concat_ws(",", F.concat(F.year("l_shipdate").cast("string"), F.lit("1301")), store, item, units, price))
+        .otherwise(F.concat_ws(",", day, store, item, units, price))
+    )
+    return _table(spark, folder, "lineitem").select(line.alias("Line"))
+
+
 def items_feed(spark: SparkSession, folder: str) -> DataFrame:
-    parts = _table(spark, folder, "part").where(F.col("p_partkey") % 20 != 0)
-    master = parts.select(
-        _code("IT", "p_partkey").alias("ITEMCODE"),
+    master = _table(spark, folder, "part").select(
+        F.when(F.col("p_partkey") % 20 == 0, _code("OLD", "p_partkey")).otherwise(_code("IT", "p_partkey")).alias("ITEMCODE"),
         F.col("p_name").alias("SKU"),
         F.col("p_type").alias("Category"),
         F.col("p_brand").alias("Brand"),
@@ -74,8 +88,9 @@ def store_feed(spark: SparkSession, folder: str) -> DataFrame:
 
 
 def client_feed(spark: SparkSession, folder: str) -> DataFrame:
-    return _table(spark, folder, "region").where(F.col("r_regionkey") != 4).select(
-        F.concat(F.lit("B"), F.col("r_regionkey").cast("string")).alias("BannerID"),
+    key = F.col("r_regionkey")
+    return _table(spark, folder, "region").select(
+        F.concat(F.lit("B"), F.when(key == 4, key + 90).otherwise(key).cast("string")).alias("BannerID"),
         F.concat("r_name", F.lit(" Supers")).alias("BannerName"),
         F.col("r_name").alias("Cliente"),
         F.lit("GOLD").alias("Store Type"),

@@ -2,44 +2,35 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, types as T
 from pyspark.sql.streaming import StreamingQuery
 
 from .. import schemas
-from ..operators.gold import fact_sales
-from ..operators.silver import clean_sales
-from ..sources.feeds import CSV_OPTIONS
+from ..plans.build import load_increment
+from ..sources.feeds import CORRUPT, CSV_OPTIONS
 
 
 def sales_stream(spark: SparkSession, folder: str, max_files: int | None = None) -> DataFrame:
-    """Sales files of a folder as a stream of feed rows."""
-    reader = spark.readStream.schema(schemas.SALES).options(**CSV_OPTIONS)
+    """Sales files of a folder as a stream of feed rows, with broken lines marked."""
+    schema = T.StructType([*schemas.SALES.fields, T.StructField(CORRUPT, T.StringType())])
+    reader = spark.readStream.schema(schema).options(**CSV_OPTIONS).option("columnNameOfCorruptRecord", CORRUPT)
     if max_files is not None:
         reader = reader.option("maxFilesPerTrigger", max_files)
     return reader.csv(folder)
 
 
-# The file sink keeps its own list of valid files, so a folder it writes to must not hold batch-written ones.
-STREAMED_FACT = "Fact_Sales_Streamed"
+def load_available(
+    stream: DataFrame, masters: dict[str, DataFrame], root: str, checkpoint: str, **labels: str
+) -> StreamingQuery:
+    """Bring all files that have arrived since the last run into the tables below ``root``, and stop.
 
+    Each batch is an incremental load of its own, named by its number: the checkpoint remembers which files are loaded,
+    and a batch that is tried again after a failure replaces its own lines, so none is dropped or repeated. Files
+    are taken whatever dates they hold; broken lines go to quarantine and do not stop the stream.
+    """
 
-def load_available(stream: DataFrame, root: str, checkpoint: str) -> StreamingQuery:
-    """Clean all files that have arrived since the last run, append them to the streamed fact, and stop.
+    def load(batch: DataFrame, number: int) -> None:
+        feeds = {**masters, "Sales": batch}
+        load_increment(batch.sparkSession, feeds, root, f"stream-{number}", whole_days=False, **labels)
 
-    The checkpoint remembers which files are loaded, and the file sink records each batch once, so a restart after
-    a lost executor or driver neither drops nor repeats lines. Files are picked up whatever dates they hold.
-    """
-    return (
-        fact_sales(clean_sales(stream))
-        .writeStream.format("parquet")
-        .outputMode("append")
-        .partitionBy(*schemas.PARTITIONS["Fact_Sales"])
-        .option("path", f"{root}/{STREAMED_FACT}")
-        .option("checkpointLocation", checkpoint)
-        .trigger(availableNow=True)
-        .start()
-    )
-
-
-def read_streamed_fact(spark: SparkSession, root: str) -> DataFrame:
-    return spark.read.schema(schemas.tables()["Fact_Sales"]).parquet(f"{root}/{STREAMED_FACT}")
+    return stream.writeStream.foreachBatch(load).option("checkpointLocation", checkpoint).trigger(availableNow=True).start()

@@ -34,7 +34,7 @@ def test_no_cross_join_and_no_python(spark, testdata, name):
 def test_year_reads_only_its_partitions(table_wide):
     plan = plan_of(apply_period(table_wide, YEAR).agg(F.sum("Revenue")))
     assert re.search(r"PartitionFilters: \[[^\n]*\(Year#\d+ = 2000\)", plan)
-    assert re.search(r"ReadSchema: struct<Revenue:decimal\(29,2\)>", plan)
+    assert re.search(r"ReadSchema: struct<Revenue:decimal\(29,6\)>", plan)
 
 
 def test_a_year_of_the_star_reads_only_its_partitions(spark, testdata):
@@ -49,7 +49,7 @@ def test_a_month_reads_only_its_partition(table_wide):
     assert re.search(r"PartitionFilters: \[[^\n]*\(Year#\d+ = 2000\)[^\n]*\(Month#\d+ = 6\)", chosen)
     latest = plan_of(apply_period(table_wide, Period.of_month()).agg(F.sum("Revenue")))
     assert re.search(r"PartitionFilters: \[[^\n]*\(Year#\d+ = year\(Subquery", latest)
-    assert "ReadSchema: struct<>" in latest and "ReadSchema: struct<Revenue:decimal(29,2)>" in latest
+    assert "ReadSchema: struct<>" in latest and "ReadSchema: struct<Revenue:decimal(29,6)>" in latest
 
 
 def test_growth_of_a_year_reads_two_years(table_wide):

@@ -1,5 +1,5 @@
 from shelfwise import schemas
-from shelfwise.operators import positioning as pos, quality, silver
+from shelfwise.operators import gold, positioning as pos, quality, silver
 from shelfwise.operators.context import Period
 from shelfwise.settings import UNMAPPED_LABEL
 
@@ -109,7 +109,8 @@ def test_rejects_by_reason_and_control_totals(spark, make_wide):
         "zero units": 2, "returned units": 1, "unreadable units": 1, "missing units": 1, "negative revenue": 1
     }
     wide = make_wide(("2020-01-01", 2), ("2020-01-01", 0, {"ITEMCODE": "I2", "SKU": UNMAPPED_LABEL}))
-    totals = {row.Layer: tuple(row)[1:] for row in quality.control_totals(silver.clean_sales(bronze), wide).collect()}
+    cleaned = silver.clean_sales(bronze)
+    totals = {row.Layer: tuple(row)[1:] for row in quality.control_totals(cleaned, gold.fact_sales(cleaned), wide).collect()}
     assert {name: (lines, codes, units, float(revenue)) for name, (lines, codes, units, revenue) in totals.items()} == {
         "silver": (8, 1, 2, -2.0), "rejected": (6, 1, 0, -4.0), "fact": (2, 1, 2, 2.0), "wide": (2, 2, 2, 2.0),
         "unmapped": (1, 1, 1, 0.0),

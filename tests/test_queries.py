@@ -2,6 +2,7 @@
 
 import datetime as dt
 import math
+import re
 
 import duckdb
 import pytest
@@ -40,7 +41,8 @@ def test_matches_sql(spark, testdata, engine, name):
 
 
 def test_only_the_fitted_models_have_no_sql():
-    assert set(QUERIES) - set(SQL) == {
+    own = {name for name in QUERIES if not re.match(r"op\d+_|pipeline$", name)}
+    assert own - set(SQL) == {
         "forecast_6m", "forecast_series", "forecast_direction", "forecast_panel", "forecast_tuning"
     }
 

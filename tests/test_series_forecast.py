@@ -5,6 +5,7 @@ import pandas as pd
 import pytest
 from pyspark.ml.linalg import Vectors
 from pyspark.ml.regression import GBTRegressor, LinearRegression
+from pyspark.sql import functions as F
 
 from shelfwise.operators import forecast as fc, series
 
@@ -118,41 +119,6 @@ def test_recursion_equals_a_loop_over_months(make_wide, kind, params):
     assert [row.Revenue for row in predicted] == pytest.approx([row[3] for row in expected])
 
 
-def mean_and_lag():
-    """A regressor made in a function, so that workers, which cannot import tests, get it by value."""
-    names = list(fc.FEATURES)
-
-    class MeanAndLag:
-        def fit(self, features, target):
-            assert list(features.columns) == names and len(features) == len(target)
-            self.mean = target.mean()
-
-        def predict(self, x):
-            return self.mean / 2 + x["Lag_1"] / 3 + x["Rolling_Mean"] / 7 + x["Month"] + x["Time_Index"]
-
-    return MeanAndLag
-
-
-@pytest.mark.parametrize("keys", [[], ["Brand"]])
-def test_one_model_per_series_equals_a_loop_over_months(make_wide, keys):
-    s = history(make_wide, 16, 15)
-    if keys:
-        short = make_wide(("2018-01-01", 5, {"Brand": "short"}))
-        s = s.unionByName(history(make_wide, 24, 31, brand="B2", seed=2)).unionByName(short)
-    rows = fc.forecast_per_series(s, mean_and_lag(), keys).orderBy(*keys, "Step").collect()
-    expected = []
-    for brand, observed in (("B1", 16), ("B2", 24)) if keys else (("B1", 16),):
-        train = series.training_months(s.where(f"Brand = '{brand}'")).orderBy("YearMonth").collect()
-        known = [float(row.Revenue) for row in train]
-        mean, length = sum(known) / len(known), len(known)
-        for step in range(6):
-            at = month(2018 + (observed + step) // 12, (observed + step) % 12 + 1)
-            known.append(mean / 2 + known[-1] / 3 + sum(known[-3:]) / 21 + at.month + length + step)
-            expected.append((step + 1, at, known[-1]))
-    assert [(row.Step, row.YearMonth) for row in rows] == [row[:2] for row in expected]
-    assert [row.Revenue for row in rows] == pytest.approx([row[2] for row in expected])
-
-
 def test_forecast_is_repeatable_and_continues_the_history(make_wide):
     s = history(make_wide, 20, 10)
     first = fc.forecast(s, max_iter=5).orderBy("Step").collect()
@@ -178,5 +144,28 @@ def test_direction(spark):
 def test_tuning_reports_each_parameter_set(make_wide):
     grid = [{"maxIter": 2, "maxDepth": 1}, {"maxIter": 5, "maxDepth": 2}]
     rows = fc.tune_forecast(history(make_wide, 24, 31), grid, "2019-07-01").collect()
-    assert [(row.Trees, row.Depth) for row in rows] == [(2, 1), (5, 2)]
+    assert [(row.Trees, row.Depth) for row in rows] == [(0, 0), (2, 1), (5, 2)]
     assert all(row.RMSE > 0 for row in rows)
+
+
+def test_tuning_does_not_see_what_it_predicts(make_wide):
+    s = history(make_wide, 24, 31)
+    changed = s.withColumn("Revenue", F.when(F.col("Date") >= "2019-07-01", F.col("Revenue") + 1_000_000).otherwise(F.col("Revenue")))
+    grid = [{"maxIter": 2, "maxDepth": 1}]
+    plain, shifted = (fc.tune_forecast(frame, grid, "2019-07-01").collect() for frame in (s, changed))
+    for before, after in zip(plain, shifted):
+        assert after.RMSE > 900_000 > before.RMSE  # the predictions did not follow the change
+
+
+def test_kept_model_predicts_the_same(make_wide):
+    s = history(make_wide, 20, 10)
+    kept = fc.fit_forecast(s, max_iter=3)
+    assert fc.forecast(s, model=kept).collect() == fc.forecast(s, max_iter=3).collect()
+
+
+def test_baseline_equals_a_loop(make_wide):
+    s = history(make_wide, 16, 15)
+    known = [float(row.Revenue) for row in series.training_months(s).orderBy("YearMonth").collect()]
+    for row in fc.forecast_baseline(s).orderBy("Step").collect():
+        known.append(sum(known[-3:]) / 3)
+        assert row.Revenue == pytest.approx(known[-1])

@@ -4,11 +4,13 @@ import pytest
 
 from shelfwise import schemas
 from shelfwise.operators import contracts, gold, incremental, silver
-from shelfwise.plans.build import build_gold, gold_layer, wide_frame
+from shelfwise.plans.build import (
+    build_gold, gold_layer, load_increment, read_quarantine, read_silver, read_wide, wide_frame,
+)
 from shelfwise.sources.feeds import read_bronze, read_bronze_strict, read_feeds
-from shelfwise.sources.store import read_table, write_table
+from shelfwise.sources.store import read_star, read_table
 from shelfwise.sources.shared import shared_path
-from shelfwise.streaming.feed_stream import load_available, read_streamed_fact, sales_stream
+from shelfwise.streaming.feed_stream import load_available, sales_stream
 
 SALES_HEADER = "SALESDATE,StoreID,ITEMCODE,Vendas Unidades,PVP\n"
 
@@ -71,35 +73,116 @@ def cleaned(spark, *days):
     return silver.clean_sales(spark.createDataFrame([(day, "S1", "I1", "1", "2") for day in days], schemas.SALES))
 
 
-def test_incremental_load_adds_only_newer_days_once(spark, tmp_path):
-    root = str(tmp_path)
-    write_table(gold.fact_sales(cleaned(spark, "20200101", "20200110")), root, "Fact_Sales")
-    feed = cleaned(spark, "20200101", "20200109", "20200110", "20200111", "20200201", "20200201")
-    for _ in range(2):
-        incremental.append_fact(feed, read_table(spark, root, "Fact_Sales"), root)
-        days = sorted(row.DateKey for row in read_table(spark, root, "Fact_Sales").collect())
-        assert days == ["20200101", "20200110", "20200111", "20200201", "20200201"]
+ITEMS = [("I1", "Cola", "Drinks", "B1", "Small"), ("I3", "Tea", "Drinks", "B1", "Small")]
+
+
+def feeds_of(spark, *lines):
+    """Feeds with sale lines of (day, item, units)."""
+    rows = [(day, "S1", item, units, "2") for day, item, units in lines]
+    return {
+        "Sales": spark.createDataFrame(rows, schemas.SALES), "Items": spark.createDataFrame(ITEMS, schemas.ITEMS),
+        "Store": spark.createDataFrame([("S1", "X", "X - Oslo", "A", "B1")], schemas.STORE),
+        "Client": spark.createDataFrame([("B1", "X", "X", "A")], schemas.CLIENT),
+    }
+
 
+def stored_lines(spark, root):
+    wide = sorted((row.DateKey, row.ITEMCODE, row.Volume, row.SKU) for row in read_wide(spark, root).collect())
+    fact = sorted((row.DateKey, row.ITEMCODE, row["Vendas Unidades"]) for row in read_table(spark, root, "Fact_Sales").collect())
+    assert [line[:3] for line in wide] == fact
+    joined = wide_frame(read_star(spark, root))
+    assert sorted((row.DateKey, row.ITEMCODE, row.Volume, row.SKU) for row in joined.collect()) == wide
+    return wide
 
-def test_incremental_load_into_nothing_takes_all(spark):
-    feed = cleaned(spark, "20200101", "20200102")
-    assert incremental.incremental_rows(feed, gold.fact_sales(feed.where("false"))).count() == 2
+
+def test_increment_reaches_every_table_once(spark, tmp_path):
+    root, unmapped = str(tmp_path), "⚠️ UNMAPPED (Missing SKU)"
+    load_increment(spark, feeds_of(spark, ("20200101", "I1", "1"), ("20200110", "I1", "1")), root, "a")
+    # The last day again with a line more, older days left out, a new code, a code of the master, a new year, bad dates.
+    feed = feeds_of(
+        spark, ("20200101", "I1", "5"), ("20200110", "I1", "1"), ("20200110", "I1", "2"), ("20200111", "NEW", "3"),
+        ("20210201", "I3", "4"), ("n/a", "I1", "9"), (None, "I1", "9"),
+    )
+    for _ in range(2):
+        load_increment(spark, feed, root, "b")
+        assert stored_lines(spark, root) == [
+            ("20200101", "I1", 1, "Cola"), ("20200110", "I1", 1, "Cola"), ("20200110", "I1", 2, "Cola"),
+            ("20200111", "NEW", 3, unmapped), ("20210201", "I3", 4, "Tea"),
+        ]
+        assert sorted(row.Reason for row in read_quarantine(spark, root).collect()) == ["missing date", "unreadable date"]
+        days = read_table(spark, root, "Dim_Date")
+        assert days.count() == 366 + 365 and days.select("DateKey").distinct().count() == 366 + 365
+        assert read_table(spark, root, "Dim_Item").count() == 3
+    # The last day without any sale: its month goes.
+    load_increment(spark, feeds_of(spark, ("20210201", "I3", "0")), root, "c")
+    assert [line[0] for line in stored_lines(spark, root)] == ["20200101", "20200110", "20200110", "20200111"]
+
+
+def test_lenient_increment_keeps_its_place(spark, tmp_path):
+    root = str(tmp_path)
+    load_increment(spark, feeds_of(spark, ("n/a", "I1", "1"), ("20200101", "I1", "1")), root, "a", lenient_dates=True)
+    assert read_silver(spark, root).count() == 2
+    load_increment(spark, feeds_of(spark, ("20200102", "I1", "1")), root, "b", lenient_dates=True)
+    assert sorted(row.DateKey for row in read_wide(spark, root).collect()) == ["20200101", "20200102"]
+    assert sorted(row.DateKey for row in read_silver(spark, root).collect()) == ["20200101", "20200102", "n/a"]
+
+
+def test_incremental_rows(spark):
+    def cleaned(*days):
+        rows = [(day, "S1", "I1", "1", "2") for day in days]
+        return silver.clean_sales(spark.createDataFrame(rows, schemas.SALES), lenient_dates=True)
+
+    feed = cleaned("20200101", "20200110", "20200111", None)
+    assert incremental.incremental_rows(feed, gold.fact_sales(feed.where("false"))).count() == 4
+    stored = gold.fact_sales(cleaned("20191231", "20200110", "n/a"))
+    assert sorted(row.DateKey for row in incremental.incremental_rows(feed, stored).collect()) == ["20200110", "20200111"]
+
+
+def test_broken_lines_never_reach_silver(spark, tmp_path):
+    raw, root = tmp_path / "raw", str(tmp_path / "tables")
+    raw.mkdir()
+    bad = ["20200101,S1,I1,1,200,5.00 €", "20200101,S1,I1", "20201345,S1,I1,1,2", ",S1,I1,1,2"]
+    write(raw / "Sales.csv", SALES_HEADER + "\n".join(["20200101,S1,I1,1,2", *bad, '20200102,S1,I1,"1,000",2']) + "\n")
+    feeds = {**feeds_of(spark), "Sales": read_bronze_strict(spark, str(raw / "Sales.csv"), "Sales")}
+    for ansi in ("true", "false"):
+        before = spark.conf.get("spark.sql.ansi.enabled")
+        spark.conf.set("spark.sql.ansi.enabled", ansi)
+        try:
+            build_gold(spark, feeds, root)
+            assert sorted((row.DateKey, row.Vendas_Unidades) for row in read_silver(spark, root).collect()) == [
+                ("20200101", 1), ("20200102", 1000)
+            ]
+            assert sorted(row.Reason for row in read_quarantine(spark, root).collect()) == [
+                "missing date", "unreadable date", "wrong field count", "wrong field count"
+            ]
+            with pytest.raises(Exception, match="malformed date"):
+                silver.clean_sales(feeds["Sales"]).select("Data").collect()
+        finally:
+            spark.conf.set("spark.sql.ansi.enabled", before)
+
+
+def test_prices_that_lose_decimals_are_reported(spark):
+    rows = [("20200101", "S1", "I1", "1", price) for price in ("0.333", "0.1234567", "2", "1.50 €")]
+    found = contracts.contract_violations(spark.createDataFrame(rows, schemas.SALES)).collect()
+    assert [(row.Field, row.Value, row.Rule) for row in found] == [("PVP", "0.1234567", "inexact")]
 
 
 def test_stream_loads_each_file_once(spark, tmp_path):
     arriving, root, progress = tmp_path / "in", str(tmp_path / "gold"), str(tmp_path / "progress")
     arriving.mkdir()
+    masters = {name: feed for name, feed in feeds_of(spark).items() if name != "Sales"}
 
     def load():
-        load_available(sales_stream(spark, str(arriving), max_files=1), root, progress).awaitTermination()
-        return sorted(row.DateKey for row in read_streamed_fact(spark, root).collect())
+        load_available(sales_stream(spark, str(arriving), max_files=1), masters, root, progress).awaitTermination()
+        return [line[0] for line in stored_lines(spark, root)]
 
-    write(arriving / "a.csv", SALES_HEADER + "20200101,S1,I1,1,2\n20200102,S1,I1,-1,2\n")
-    write(arriving / "b.csv", SALES_HEADER + "20200105,S1,I1,1,2\n")
+    write(arriving / "a.csv", SALES_HEADER + "20200101,S1,I1,1,2\n20200102,S1,I1,-1,2\n20200102,S1\n")
+    write(arriving / "b.csv", SALES_HEADER + "20200105,S1,I1,1,2\nn/a,S1,I1,1,2\n")
     assert load() == ["20200101", "20200105"]
     assert load() == ["20200101", "20200105"]
-    write(arriving / "c.csv", SALES_HEADER + "20191231,S1,I1,1,2\n")
-    assert load() == ["20191231", "20200101", "20200105"]
+    write(arriving / "c.csv", SALES_HEADER + "20191231,S1,NEW,1,2\n20200105,S1,I1,1,2\n")
+    assert load() == ["20191231", "20200101", "20200105", "20200105"]
+    assert read_quarantine(spark, root).count() == 2
 
 
 def test_shared_path_follows_the_session(spark):
