@@ -37,9 +37,10 @@ UNIT, PASSAGE, STRIDE = 64, 128, 64
 MIN_SCORE = 0.5
 SHINGLE, OVERLAP, PARTIAL = 5, 0.8, 0.5
 MIN_WORDS = 5
-BLOCK_UNITS = 8
+BLOCK_UNITS = 2
 INDEX_WORDS = 1_000_000  # words of the items that one pass holds in memory
-WIDE = 0.25  # words in more than this share of the blocks count with their largest impact in the first look
+FEW_BLOCKS = 256
+WIDE = 0.25  # words in more blocks than that, and in more than this share, count with their largest impact in the first look
 
 # Letters and digits, in lower case, and all bytes beyond ASCII; everything else separates words.
 _FOLD = bytes(
@@ -89,7 +90,7 @@ class BlockMaxIndex:
                 most[unit // BLOCK_UNITS] = max(impact, most.get(unit // BLOCK_UNITS, 0.0))
             self.block_most.append(most)
         sizes = [len(most) for most in self.block_most]
-        self.wide = np.array([size > max(1, WIDE * self.blocks) for size in sizes] or [True])
+        self.wide = np.array([size > max(FEW_BLOCKS, WIDE * self.blocks) for size in sizes] or [True])
         narrow = [most if not wide else {} for most, wide in zip(self.block_most, self.wide)]
         self.starts = np.cumsum([0, *map(len, narrow)])
         self.block_of = np.array([block for most in narrow for block in most], np.int64)
