@@ -1,7 +1,7 @@
 """The training-data pipeline: documents to tokens, in stages that each write Parquet for the next.
 
 Every stage works on all that its predecessor kept. Rows that share a doc_id stay apart, as decisions are joined back by
-the content of a row; only of linked documents the one with the smallest doc_id stays.
+the content of a row; of each group of linked documents one row stays, that with the smallest doc_id.
 """
 
 from __future__ import annotations
@@ -30,10 +30,24 @@ def without_repeated_lines(spark: SparkSession, docs: DataFrame, folder: str) ->
 
 
 def one_of_each_group(spark: SparkSession, docs: DataFrame, folder: str) -> DataFrame:
-    """Of linked documents the one with the smallest doc_id stays."""
-    found = ngram_join.jaccard_components(docs, shingle=NEAR_SHINGLE, percent=NEAR_PERCENT)
-    goes = found.filter(~F.col("doc_id").eqNullSafe(F.col("component_id"))).select(F.col("doc_id").alias("_id")).distinct()
-    return docs.join(goes, F.col("doc_id").eqNullSafe(F.col("_id")), "left_anti")
+    """Of linked documents the one with the smallest doc_id stays (a null one only if no other has an id); of several such
+    the one with the smallest row key, and of equal rows one."""
+    found = ngram_join.labelled_rows(docs, shingle=NEAR_SHINGLE, percent=NEAR_PERCENT).filter("label IS NOT NULL")
+    rows = found.groupBy("label", "doc_id", "row1", "row2").agg(F.count("*").alias("copies"))
+    rows = materialized(rows, "group-rows")
+    order = F.struct(F.col("doc_id").isNull().alias("none"), "doc_id", "row1", "row2")
+    stays = rows.groupBy("label").agg(F.min(order).alias("first"))
+    same = (F.col("row1") == F.col("first.row1")) & (F.col("row2") == F.col("first.row2"))
+    marks = rows.join(stays, "label").withColumn("goes", ~same).filter("goes OR copies > 1")
+    marks = marks.select(F.col("row1").alias("_row1"), F.col("row2").alias("_row2"), F.col("goes").alias("_goes"))
+    marks = materialized(marks, "group-marks")
+    row1, row2 = row_key("doc_id", "text")
+    alone = docs.join(marks, (row1 == F.col("_row1")) & (row2 == F.col("_row2")), "left_anti")
+    again = marks.filter("NOT _goes")
+    if not again.take(1):
+        return alone
+    equal = docs.join(again, (row1 == F.col("_row1")) & (row2 == F.col("_row2")))
+    return alone.unionByName(equal.dropDuplicates(["_row1", "_row2"]).select(docs.columns))
 
 
 def without_benchmark(spark: SparkSession, docs: DataFrame, folder: str) -> DataFrame:

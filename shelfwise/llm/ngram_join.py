@@ -40,7 +40,7 @@ from pyspark.sql import DataFrame, functions as F
 
 from ..sources.shared import materialized
 from .components import connected_components
-from .texts import folded, shingle_hashes, spread, word_hashes, words_of
+from .texts import folded, row_key, shingle_hashes, spread, word_hashes, words_of
 
 SHINGLE, PERCENT = 3, 90
 HEAVY = 1000  # an element is heavy in more sets than this, and than a millionth of all entries
@@ -118,7 +118,7 @@ def shingle_set(text: str | None, size: int, known: dict[bytes, int]) -> np.ndar
 
 
 MOST_HOT = 1_000_000  # no more elements can be heavy, as each has more than this share of all entries
-SETS = "doc_id long, node binary, n_shingles long, bits binary, more binary, elements array<long>, subsets array<long>"
+SETS = "doc_id long, node binary, n_shingles long, bits binary, more binary, elements array<long>, subsets array<long>, row1 long, row2 long"
 
 
 def longs(arrays: list[np.ndarray]) -> pa.Array:
@@ -144,9 +144,10 @@ def described(docs: DataFrame, doc_id: str, text: str, shingle: int, percent: in
                 pa.array([long_sketch(one) for one in sets], pa.binary()),
                 longs([one[: kept(len(one), percent)] for one in sets]),
                 longs([subset_keys(one, percent) if 0 < len(one) < most else none for one in sets]),
+                batch.column(2), batch.column(3),
             ], names=[field.split()[0] for field in SETS.split(", ")])
 
-    return docs.select(F.col(f"`{doc_id}`"), F.col(f"`{text}`")).mapInArrow(describe, SETS)
+    return docs.select(F.col(f"`{doc_id}`"), F.col(f"`{text}`"), *row_key(doc_id, text)).toDF("id", "text", "row1", "row2").mapInArrow(describe, SETS)
 
 
 def list_entries(rows: DataFrame, hot: np.ndarray, percent: int) -> DataFrame:
@@ -384,15 +385,12 @@ def class_links(
     return connected_components(links.unionByName(more)) if rest.take(1) else labels
 
 
-def jaccard_components(
+def labelled_rows(
     docs: DataFrame, doc_id: str = "doc_id", text: str = "text", shingle: int = SHINGLE, percent: int = PERCENT,
     heavy: int = HEAVY, chunk: int = CHUNK,
 ) -> DataFrame:
-    """(doc_id, n_shingles, component_id) for each document; the component is named by the smallest doc_id in it.
-
-    Documents are linked when their sets of shingles of ``shingle`` words have a Jaccard similarity of ``percent`` or
-    more; texts with fewer words have their whole sequence as one shingle.
-    """
+    """(doc_id, row1, row2, n_shingles, label, component): each document with its row key, what its component is called
+    internally (null for an empty set) and the smallest doc_id there."""
     rows = materialized(described(docs, doc_id, text, shingle, percent), "sets")
     values = [F.min(name).alias(name) for name in ("n_shingles", "bits", "more")]  # equal within a class
     classes = rows.filter("node IS NOT NULL").groupBy("node").agg(F.min("doc_id").alias("rep"), *values)
@@ -402,7 +400,19 @@ def jaccard_components(
         "node", "rep", F.coalesce("label", "node").alias("label")
     )
     smallest = labelled.groupBy("label").agg(F.min("rep").alias("component"))
-    named = materialized(labelled.join(smallest, "label").select("node", "component"), "components")
-    found = rows.select("doc_id", "n_shingles", "node").join(named, "node", "left")
-    own = F.when(F.col("node").isNull(), F.col("doc_id")).otherwise(F.col("component"))
+    named = materialized(labelled.join(smallest, "label").select("node", "label", "component"), "components")
+    return rows.select("doc_id", "row1", "row2", "n_shingles", "node").join(named, "node", "left").drop("node")
+
+
+def jaccard_components(
+    docs: DataFrame, doc_id: str = "doc_id", text: str = "text", shingle: int = SHINGLE, percent: int = PERCENT,
+    heavy: int = HEAVY, chunk: int = CHUNK,
+) -> DataFrame:
+    """(doc_id, n_shingles, component_id) for each document; the component is named by the smallest doc_id in it.
+
+    Documents are linked when their sets of shingles of ``shingle`` words have a Jaccard similarity of ``percent`` or
+    more; texts with fewer words have their whole sequence as one shingle.
+    """
+    found = labelled_rows(docs, doc_id, text, shingle, percent, heavy, chunk)
+    own = F.when(F.col("label").isNull(), F.col("doc_id")).otherwise(F.col("component"))
     return found.select("doc_id", "n_shingles", own.alias("component_id"))

@@ -87,3 +87,18 @@ def test_rows_that_share_an_id_or_have_none(spark, make_docs, testdata):
     left = {row.text for row in pipeline.without_benchmark(spark, docs, testdata).collect()}
     assert left == {f"{words} stays", f"{words} as well"}
     assert decontamination.MIN_SCORE <= 0.5
+
+
+def test_groups_with_shared_and_missing_ids(spark, make_docs, testdata):
+    words = {name: " ".join(f"{name}{i}" for i in range(80)) for name in "abcdef"}
+    docs = make_docs(
+        (None, words["a"]), (3, words["a"] + " more"), (None, words["b"]), (None, words["b"] + " more"), (None, words["c"]),
+        (7, words["d"]), (7, words["d"] + " more"), (7, words["e"]), (2, words["e"] + " more"), (7, words["f"]), (7, words["f"]),
+        (None, None), (None, ""),
+    )
+    rows = pipeline.one_of_each_group(spark, docs, testdata).collect()
+    groups = sorted((row.text or "-")[0] for row in rows)
+    assert groups == ["-", "-", *"abcdef"] and len(rows) == 8
+    assert {(row.doc_id, row.text[0]) for row in rows if row.text} == {
+        (3, "a"), (None, "b"), (None, "c"), (7, "d"), (2, "e"), (7, "f")
+    }
