@@ -19,10 +19,16 @@ from pyspark.sql import Column, DataFrame, functions as F
 from .spans import once
 
 ROUNDS = 10
+QUADS_LENGTH = 19  # characters of four times four digits
+AGAIN = 40  # permutations until the first 16 of 17 to 19 digits are not valid; each is with one chance in ten
 FIRST_DAY, DAYS = "1800-01-01", (189, 773)  # 400 years have 189 * 773 days
 
 # The formats, in the order in which they are tried at a place.
 _OPEN, _CLOSE = r"(?<![0-9A-Za-z])", r"(?![0-9A-Za-z])"
+# Cards as they are printed: 4-4-4-4, of up to 19 digits if nothing else can begin there; 4-6-5; unbroken. Other digits
+# beside these are not part of them.
+_QUADS, _TAIL = r"[0-9]{4}(?:[ -][0-9]{4}){3}", r"[ -][0-9]{1,3}(?![ ./-]?[0-9])"
+_PRINTED = rf"(?:{_QUADS}(?:{_TAIL}{_CLOSE})?|[0-9]{{4}}[ -][0-9]{{6}}[ -][0-9]{{5}}|[0-9]{{13,19}}){_CLOSE}"
 PATTERNS = {
     "email": r"(?<![A-Za-z0-9._%+-])[A-Za-z0-9._%+-]+@[A-Za-z0-9-]+(?:\.[A-Za-z0-9-]+)*\.[A-Za-z]{2,}" + _CLOSE,
     "iban": _OPEN + r"[A-Z]{2}[0-9]{2}(?: ?[A-Z0-9]{4}){2,7}(?: ?[A-Z0-9]{1,3})?" + _CLOSE,
@@ -31,7 +37,7 @@ PATTERNS = {
     "ssn": r"(?<![0-9A-Za-z-])[0-9]{3}-[0-9]{2}-[0-9]{4}(?![0-9A-Za-z]|-[0-9])",
     "phone": r"(?<![0-9A-Za-z+])(?:\+1[ .-]?)?(?:\([2-9][0-9]{2}\) ?|[2-9][0-9]{2}[ .-])[2-9][0-9]{2}[ .-]?[0-9]{4}" + _CLOSE
     + r"|(?<![0-9A-Za-z+])\+[2-9][0-9]{1,2}(?:[ .-]?\(?[0-9]{2,4}\)?){2,4}" + _CLOSE,
-    "card": r"(?<![0-9A-Za-z+])[0-9](?:[ -]?[0-9]){12,18}" + _CLOSE,
+    "card": rf"(?<![0-9A-Za-z+])(?:{_PRINTED}|[0-9](?:(?![ -]{_PRINTED})[ -]?[0-9]){{12,18}}{_CLOSE})",
 }
 ANY = "|".join(f"(?:{pattern})" for pattern in PATTERNS.values())
 KINDS = list(PATTERNS)
@@ -271,19 +277,45 @@ def luhn(digits: Column) -> Column:
     return F.call_function("luhn_check", digits)
 
 
+def card_length(value: Column) -> Column:
+    """Characters of the card number in a candidate: the first 16 digits of four, four, four, four and some more, if these
+    are valid; else all."""
+    short = value.rlike(f"^{_QUADS}[ -]") & luhn(digits_of(F.substr(value, F.lit(1), F.lit(QUADS_LENGTH))))
+    return F.when(short, F.lit(QUADS_LENGTH)).otherwise(F.char_length(value))
+
+
 def card(value: Column, key: str, inverse: bool) -> Column:
-    """The first digit, which names the kind of issuer, stays; the last one is the check digit."""
+    """The first digit, which names the kind of issuer, stays; the last one is the check digit. A longer number whose first
+    16 digits would be valid is permuted again, so that the way back finds the same digits."""
 
     def payload(digits: Column) -> Column:
         inner = permuted_digits(F.substr(digits, F.lit(2), F.length(digits) - 2), key, "card", inverse)
-        return F.when(luhn(digits), F.concat(F.substr(digits, F.lit(1), F.lit(1)), inner))
+        return F.concat(F.substr(digits, F.lit(1), F.lit(1)), inner)
 
     def checked(part: Column) -> Column:
         check = F.get(F.filter(F.sequence(F.lit(0), F.lit(9)), lambda d: luhn(F.concat(part, d.cast("string")))), F.lit(0))
         return F.concat(part, check.cast("string"))
 
-    fresh = let(let(digits_of(value), payload), checked)
-    return let(fresh, lambda digits: F.when(digits.isNotNull(), refill(value, digits)))
+    def moved(digits: Column) -> Column:
+        return let(payload(digits), checked)
+
+    def written(number_: Column) -> Column:
+        quads = number_.rlike(f"^{_QUADS}[ -]")
+
+        def again(state: Column, _: Column) -> Column:
+            return F.when(quads & luhn(F.substr(state, F.lit(1), F.lit(16))), moved(state)).otherwise(state)
+
+        def stable(digits: Column) -> Column:
+            return F.when(quads, F.aggregate(F.sequence(F.lit(1), F.lit(AGAIN)), digits, again)).otherwise(digits)
+
+        fresh = let(digits_of(number_), lambda digits: F.when(luhn(digits), let(moved(digits), stable)))
+        return let(fresh, lambda digits: F.when(digits.isNotNull(), refill(number_, digits)))
+
+    def split(length: Column) -> Column:
+        fresh = let(F.substr(value, F.lit(1), length), written)
+        return F.concat(fresh, F.substr(value, length + 1, F.char_length(value)))
+
+    return let(card_length(value), split)
 
 
 MOVES = {"email": email, "iban": iban, "date": date, "ip": ip, "ssn": ssn, "phone": phone, "card": card}
@@ -309,10 +341,13 @@ def pseudonyms(
             fresh = F.when(one["kind"] == name, MOVES[name](one["match"], key, inverse)).otherwise(fresh)
         return F.struct(one["match"].alias("match"), one["kind"].alias("kind"), fresh.alias("fresh"))
 
+    def length(one: Column) -> Column:
+        return F.when(one["kind"] == "card", card_length(one["match"])).otherwise(F.char_length(one["match"]))
+
     def placed(state: Column, one: Column) -> Column:
         start = state["at"] + one["gap"]
         end = start + F.coalesce(F.char_length(one["match"]), F.lit(0))
-        span = F.array(F.struct(start.alias("start"), end.alias("end"), one["kind"].alias("kind")))
+        span = F.array(F.struct(start.alias("start"), (start + one["length"]).alias("end"), one["kind"].alias("kind")))
         found = F.when(one["fresh"].isNotNull(), F.concat(state["found"], span)).otherwise(state["found"])
         return F.struct(end.alias("at"), found.alias("found"))
 
@@ -321,7 +356,8 @@ def pseudonyms(
     second = once(first, _gaps=F.when(some, F.split(original, ANY, -1)))
     fresh = F.zip_with("_gaps", "_matches", lambda gap, one: F.concat(gap, F.coalesce(one["fresh"], one["match"], F.lit(""))))
     pieces = F.zip_with("_gaps", "_matches", lambda gap, one: F.struct(
-        F.char_length(gap).alias("gap"), one["match"].alias("match"), one["kind"].alias("kind"), one["fresh"].alias("fresh")
+        F.char_length(gap).alias("gap"), one["match"].alias("match"), one["kind"].alias("kind"), one["fresh"].alias("fresh"),
+        length(one).alias("length"),
     ))
     none = F.array().cast("array<struct<start:int,end:int,kind:string>>")
     start = F.struct(F.lit(0).alias("at"), none.alias("found"))

@@ -58,6 +58,23 @@ def test_invalid_values_stay(make_docs):
     assert [row.text for row in rows] == INVALID and not any(row.found for row in rows)
 
 
+def test_cards_beside_other_digits(make_docs):
+    card, rest = "4111 1111 1111 1111", "6304 0000 0000 0001"
+    longer = next(f"{rest} {i:03}" for i in range(1000) if luhn(f"{rest}{i:03}".replace(" ", "")))
+    around = [("", " 123"), ("", " 12/26"), ("1 ", ""), ("12 3 ", " 456"), ("", " 192.168.0.1"), ("", " 123-45-6789"), ("1234567 ", " 9")]
+    texts = [f"{before}{value}{after}" for before, after in around for value in (card, "4111111111111111", "3782 822463 10005")]
+    kept = [value for _ in around for value in (card, "4111111111111111", "3782 822463 10005")]
+    df = make_docs(*enumerate([*texts, longer, *[f"{card} {i:03}" for i in range(30)]]))
+    rows = run(df)
+    for text, value, row in zip(texts, kept, rows):
+        begin = text.index(value)
+        assert (begin, begin + len(value), "card") in map(tuple, row.found), (text, row)
+        assert value not in row.text and luhn(re.sub(r"\D", "", row.text[begin : begin + len(value)]))
+    assert [tuple(span) for span in rows[len(texts)].found] == [(0, len(longer), "card")]
+    moved = pii.pseudonyms(df.select("doc_id", "text"), "k1").select("doc_id", "pii.text")
+    assert [row.text for row in run(moved, inverse=True)] == [row.text for row in df.orderBy("doc_id").collect()]
+
+
 @pytest.mark.parametrize("size", [1, 2, 3])
 def test_permutation_of_all_digits(spark, size):
     df = spark.range(10**size).select(F.lpad(F.col("id").cast("string"), size, "0").alias("digits"))
