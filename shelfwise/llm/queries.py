@@ -40,7 +40,8 @@ def op2_secrets(spark: SparkSession, folder: str) -> DataFrame:
 
 
 def op3_quality_rules(spark: SparkSession, folder: str) -> DataFrame:
-    found = rules.quality_rules(documents(spark, folder).select("doc_id", "text"))
+    docs = documents(spark, folder).select("doc_id", "text")
+    found = rules.quality_rules(docs, most_bad=rules.MAX_BAD_DERIVED, limits=rules.derived_limits(docs))
     return found.select("doc_id", "quality_rules.*")
 
 

@@ -37,6 +37,15 @@ def test_clean_documents_stay(spark, testdata):
     assert len(rows) > 50 and all(row.kept for row in rows)
 
 
+def test_derived_limits_reject_bad_documents_and_keep_clean_ones(spark, larger):
+    labels = spark.read.parquet(f"{larger}/labels.parquet")
+    rows = op3_quality_rules(spark, larger).join(labels, "doc_id").filter("NOT base_failed").collect()
+    clean = [row.kept for row in rows if row.quality == 1 and row.toxic == 0]
+    bad = [row.kept for row in rows if row.quality == 0]
+    assert len(clean) > 50 and all(clean)
+    assert len(bad) > 10 and sum(bad) < 0.7 * len(bad)
+
+
 def verdict(make_docs, *texts):
     rows = quality_rules(make_docs(*enumerate(texts))).select("doc_id", "quality_rules.*").orderBy("doc_id").collect()
     return [row.reason for row in rows], [row.kept for row in rows]
