@@ -6,7 +6,10 @@ from collections.abc import Callable
 
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
-from . import bpe as byte_pairs, decontamination, licenses, line_dedup, ngram_join, pii, quality_rules as rules, secrets, substring_dedup, url_lists
+from . import (
+    bpe as byte_pairs, decontamination, exact_dedup, fill_in_middle, licenses, line_dedup, ngram_join, pii,
+    quality_rules as rules, secrets, substring_dedup, url_lists, vector_codes,
+)
 from .spans import joined
 from .texts import documents
 
@@ -158,6 +161,99 @@ def op10_licenses(spark: SparkSession, folder: str) -> DataFrame:
     )
 
 
+def op11_exact_dedup(spark: SparkSession, folder: str) -> DataFrame:
+    found = exact_dedup.exact_dedup(documents(spark, folder).select("doc_id", "text"))
+    return found.select(
+        "doc_id", *[f"exact_dedup.{name}" for name in ("keep_id", "group_size", "kept")],
+        F.col("exact_dedup.sha256").alias("text_sha256"),
+    )
+
+
+OP11_SQL = """
+SELECT doc_id, max(doc_id) OVER same AS keep_id, count(*) OVER same AS group_size,
+  doc_id = max(doc_id) OVER same AS kept, sha256(coalesce(text, '')) AS text_sha256
+FROM documents WINDOW same AS (PARTITION BY coalesce(text, ''))
+"""
+
+
+def op12_vector_codes(spark: SparkSession, folder: str) -> DataFrame:
+    vectors = spark.read.parquet(f"{folder}/embeddings.parquet").select("vec_id", "label", "embedding")
+    codebooks = vector_codes.trained(vectors, "vec_id", "embedding")
+    found = vector_codes.compressed(vectors, codebooks, into="_code").select("vec_id", "label", "_code.*")
+    found = vector_codes.with_label_error(found, "label", "error", "label_error")
+    digest = F.lit(vector_codes.codebooks_sha256(codebooks)).alias("codebooks_sha256")
+    return found.select("vec_id", "code", "error", "label_error", digest)
+
+
+def op12_sql(parts: int = vector_codes.PARTS, rounds: int = vector_codes.ROUNDS) -> str:
+    """The rounds of the training as one SQL statement."""
+    steps = [f"""
+WITH kept AS MATERIALIZED (
+  SELECT row_number() OVER (ORDER BY vec_id, embedding) AS r, vec_id, label,
+    list_transform(embedding, lambda x: CAST(floor(4096 * CAST(x AS DOUBLE)) AS BIGINT)) AS v
+  FROM embeddings WHERE len(list_filter(embedding, lambda x: x IS NOT NULL AND isfinite(x))) = len(embedding)),
+cut AS MATERIALIZED (
+  SELECT r, p, v[p * (len(v) // {parts}) + 1 : (p + 1) * (len(v) // {parts})] AS x FROM kept, range({parts}) AS t(p)),
+c0 AS MATERIALIZED (SELECT p, r - 1 AS e, x AS c FROM cut WHERE r <= {vector_codes.ENTRIES})"""]
+    nearest = """
+a{i} AS MATERIALIZED (
+  SELECT r, p, x, min({{'d': list_sum(list_transform(list_zip(x, c), lambda z: (z[1] - z[2]) * (z[1] - z[2]))), 'e': e}}) AS best
+  FROM cut JOIN c{i} USING (p) GROUP BY r, p, x)"""
+    mean = """
+m{i} AS MATERIALIZED (
+  SELECT p, e, list(CAST((s - ((s % n) + n) % n) // n AS BIGINT) ORDER BY i) AS c FROM (
+    SELECT p, best.e AS e, i, sum(x[i]) AS s, count(*) AS n
+    FROM a{i}, unnest(range(1, len(x) + 1)) AS t(i) GROUP BY ALL) GROUP BY p, e),
+c{j} AS MATERIALIZED (SELECT p, e, coalesce(m.c, o.c) AS c FROM c{i} AS o LEFT JOIN m{i} AS m USING (p, e))"""
+    for i in range(rounds):
+        steps += [nearest.format(i=i), mean.format(i=i, j=i + 1)]
+    steps.append(nearest.format(i=rounds))
+    return ",".join(steps) + f""",
+books AS (
+  SELECT sha256(string_agg(array_to_string(c, ','), ',' ORDER BY p, e)) AS codebooks_sha256 FROM c{rounds}),
+coded AS (
+  SELECT r, string_agg(printf('%02x', best.e), '' ORDER BY p) AS code, CAST(sum(best.d) AS BIGINT) AS error
+  FROM a{rounds} GROUP BY r)
+SELECT vec_id, code, error, CAST(sum(error) OVER (PARTITION BY label) AS BIGINT) AS label_error, codebooks_sha256
+FROM kept JOIN coded USING (r), books
+"""
+
+
+def op13_fill_in_middle(spark: SparkSession, folder: str) -> DataFrame:
+    found = fill_in_middle.fill_in_middle(documents(spark, folder).select("doc_id", "text"))
+    back = fill_in_middle.restored(F.col("fim.output"), F.col("fim.form"))
+    return found.select(
+        "doc_id", F.col("fim.n_units").alias("n"), "fim.form", "fim.prefix_chars", "fim.middle_chars",
+        F.sha2("fim.output", 256).alias("output_sha256"), F.sha2(back, 256).alias("restored_sha256"),
+    )
+
+
+OP13_SQL = """
+WITH units AS (
+  SELECT doc_id, coalesce(text, '') AS text, regexp_extract_all(coalesce(text, ''), '[A-Za-z]+|[^A-Za-z]') AS u,
+    sha256('1:' || coalesce(CAST(doc_id AS VARCHAR), '')) AS h
+  FROM documents),
+drawn AS (
+  SELECT *, len(u) AS n, CAST('0x' || h[1:8] AS BIGINT) % (len(u) + 1) AS one,
+    CAST('0x' || h[9:16] AS BIGINT) % (len(u) + 1) AS two,
+    CASE WHEN text = '' OR contains(text, '<P>') OR contains(text, '<S>') OR contains(text, '<M>')
+      OR CAST('0x' || h[17:24] AS BIGINT) % 100 >= 90 THEN 'plain'
+      WHEN CAST('0x' || h[25:32] AS BIGINT) % 100 < 20 THEN 'spm' ELSE 'psm' END AS form
+  FROM units),
+cut AS (
+  SELECT *, array_to_string(u[1 : least(one, two)], '') AS prefix,
+    array_to_string(u[least(one, two) + 1 : greatest(one, two)], '') AS middle,
+    array_to_string(u[greatest(one, two) + 1 : n], '') AS suffix
+  FROM drawn)
+SELECT doc_id, n, form, CASE WHEN form <> 'plain' THEN length(prefix) END AS prefix_chars,
+  CASE WHEN form <> 'plain' THEN length(middle) END AS middle_chars,
+  sha256(CASE form WHEN 'plain' THEN text WHEN 'psm' THEN '<P>' || prefix || '<S>' || suffix || '<M>' || middle
+    ELSE '<S>' || suffix || '<P>' || prefix || '<M>' || middle END) AS output_sha256,
+  sha256(CASE form WHEN 'plain' THEN text ELSE prefix || middle || suffix END) AS restored_sha256
+FROM cut
+"""
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {
         "op1_line_dedup": op1_line_dedup,
@@ -170,8 +266,16 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "op8_substring_dedup": op8_substring_dedup,
         "op9_url_lists": op9_url_lists,
         "op10_licenses": op10_licenses,
+        "op11_exact_dedup": op11_exact_dedup,
+        "op12_vector_codes": op12_vector_codes,
+        "op13_fill_in_middle": op13_fill_in_middle,
     }
 
 
 def oracle_sql() -> dict[str, str]:
-    return {"op9_url_lists": OP9_SQL}
+    return {
+        "op9_url_lists": OP9_SQL,
+        "op11_exact_dedup": OP11_SQL,
+        "op12_vector_codes": op12_sql(),
+        "op13_fill_in_middle": OP13_SQL,
+    }

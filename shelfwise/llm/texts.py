@@ -2,12 +2,12 @@
 
 from __future__ import annotations
 
-from collections.abc import Iterable, Iterator
+from collections.abc import Callable, Iterable, Iterator
 
 import numpy as np
 import pyarrow as pa
 import xxhash
-from pyspark.sql import Column, DataFrame, SparkSession, functions as F
+from pyspark.sql import Column, DataFrame, SparkSession, functions as F, types as T
 
 # The white space of every contract here, and how upper case is folded.
 WHITE_SPACE = " \t\n\x0b\x0c\r"
@@ -88,3 +88,30 @@ def with_struct(df: DataFrame, into: str, value: Column) -> DataFrame:
     """``df`` with ``value`` as column ``into``; a column of that name, in either case, is replaced."""
     kept = [F.col(f"`{name}`") for name in df.columns if name.lower() != into.lower()]
     return df.select(*kept, value.alias(into))
+
+
+def appended(
+    df: DataFrame, into: str, kind: str, run: Callable[[pa.RecordBatch], pa.Array], text: str | None = None,
+    most_rows: int = 4096,
+) -> DataFrame:
+    """``df`` with ``run`` of its rows as column ``into`` of the type ``kind``; a column of that name, in either case, is
+    replaced. ``run`` gets pieces of a batch of at most ``most_rows`` rows or, with ``text``, of about two million
+    characters, and each piece leaves the worker before the next is begun."""
+    names = [name for name in df.columns if name.lower() != into.lower()]
+    schema = T.StructType([df.schema[name] for name in names]).add(into, T.DataType.fromDDL(kind))
+
+    def sizes(batch: pa.RecordBatch) -> Iterator[int]:
+        if text is not None:
+            yield from (len(part) for part in portions(batch.column(batch.schema.get_field_index(text))))
+        else:
+            yield from (min(most_rows, batch.num_rows - at) for at in range(0, batch.num_rows, most_rows))
+
+    def emit(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            start = 0
+            for size in sizes(batch):
+                piece = batch.slice(start, size)
+                start += size
+                yield pa.RecordBatch.from_arrays([*piece.columns, run(piece)], names=[*names, into])
+
+    return df.select([F.col(f"`{name}`") for name in names]).mapInArrow(emit, schema)
