@@ -1,6 +1,8 @@
-"""Command line: load the raw feeds, then show a dashboard.
+"""Command line: load the raw feeds, bring in more of them, then show a dashboard.
 
     python -m shelfwise load RAW_FOLDER TABLES_FOLDER
+    python -m shelfwise add RAW_FOLDER TABLES_FOLDER LOAD_NAME [--merge] [--lateness DAYS]
+    python -m shelfwise masters RAW_FOLDER TABLES_FOLDER LOAD_NAME
     python -m shelfwise show TABLES_FOLDER [--year 2019 | --month 2019-06 | --latest-month]
                              [--client C]... [--city C]... [--brand B]... [--no-forecast]
 """
@@ -12,7 +14,7 @@ import argparse
 from . import session
 from .functions import report
 from .operators.context import Period
-from .plans.build import build_gold, read_wide
+from .plans.build import build_gold, load_increment, load_masters, read_daily
 from .plans.dashboard import dashboard
 from .sources.feeds import read_feeds
 
@@ -21,9 +23,18 @@ def _arguments() -> argparse.Namespace:
     parser = argparse.ArgumentParser(prog="shelfwise", description="Retail sell-out analytics on Spark")
     commands = parser.add_subparsers(dest="command", required=True)
     load = commands.add_parser("load", help="full refresh from Sales.csv, Items.csv, Store.csv and Client.csv")
-    load.add_argument("raw")
-    load.add_argument("tables")
-    load.add_argument("--lenient-dates", action="store_true", help="keep lines with a malformed date, without one")
+    add = commands.add_parser("add", help="new sales, of whole days unless --merge is given")
+    masters = commands.add_parser("masters", help="changed items, stores and clients, also in old sales")
+    for command in (load, add, masters):
+        command.add_argument("raw")
+        command.add_argument("tables")
+        command.add_argument("--input-bytes", type=int, help="size of the sales feed, from which shuffles are sized")
+    for command in (add, masters):
+        command.add_argument("name", help="a run repeated under its name replaces its own lines")
+    for command in (load, add):
+        command.add_argument("--lenient-dates", action="store_true", help="keep lines with a malformed date, without one")
+    add.add_argument("--merge", action="store_true", help="add all lines that are not stored yet, whatever their date")
+    add.add_argument("--lateness", type=int, metavar="DAYS", help="lines that much older than the last day go to quarantine")
     show = commands.add_parser("show", help="print all result tables of a filter context")
     show.add_argument("tables")
     period = show.add_mutually_exclusive_group()
@@ -38,17 +49,27 @@ def _arguments() -> argparse.Namespace:
 
 def main() -> None:
     arguments = _arguments()
-    spark = session()
+    spark = session(input_bytes=getattr(arguments, "input_bytes", None))
     if arguments.command == "load":
         build_gold(spark, read_feeds(spark, arguments.raw), arguments.tables, lenient_dates=arguments.lenient_dates)
         return
+    if arguments.command == "add":
+        load_increment(
+            spark, read_feeds(spark, arguments.raw), arguments.tables, arguments.name, whole_days=not arguments.merge,
+            merge=arguments.merge, lateness=arguments.lateness, lenient_dates=arguments.lenient_dates,
+        )
+        return
+    if arguments.command == "masters":
+        months = load_masters(spark, read_feeds(spark, arguments.raw), arguments.tables, arguments.name)
+        print(f"{len(months)} months written again")
+        return
     period = Period()
     if arguments.year is not None:
         period = Period.of_year(arguments.year)
     elif arguments.month or arguments.latest_month:
         period = Period.of_month(arguments.month)
     results = dashboard(
-        read_wide(spark, arguments.tables), period, clients=arguments.client, cities=arguments.city,
+        read_daily(spark, arguments.tables), period, clients=arguments.client, cities=arguments.city,
         brands=arguments.brand, with_forecast=not arguments.no_forecast,
     )
     for name, table in results.items():

@@ -6,14 +6,7 @@ from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
-# Bands per doubling of the value. Doubles of a 38-digit decimal span at most 127 doublings on each side of
-# zero, so there are at most 2 * 127 * 32 + 1 bands however many rows are ranked.
-BANDS_PER_DOUBLING = 32
-
-
-def _band(value: Column) -> Column:
-    magnitude = F.floor(F.log2(F.abs(value.cast("double")) + 1) * BANDS_PER_DOUBLING)
-    return F.when(value < 0, -magnitude).otherwise(magnitude)
+from ..sources.shared import materialized
 
 
 def ranked(
@@ -21,45 +14,45 @@ def ranked(
 ) -> DataFrame:
     """Add ``Position`` (1 = largest ``value``), ``Running`` (sum down to this row) and ``Whole`` (sum of all).
 
-    Rows are split into bands of similar value. Each band is ranked in its own task; what precedes a band is
-    added from the band totals, a table whose size is bounded by the number format (see above), so a plain
-    one-task window over it and a broadcast of it are safe.
+    A distributed prefix sum: rows are dealt into ranges of (value, tie break), so that equal values are dealt by their
+    keys, and stored with the number of their range, as ranges drawn a second time may differ. Each range is ranked in
+    its own task; what precedes it is added from the totals of the ranges, of which there is one per shuffle partition.
 
     ``wholes`` names further columns to sum over all rows (``Whole_<name>``). Rows where ``only`` is false are in
-    these sums but are not ranked and not in the result; dropping them last lets both uses of ``df`` share one
-    shuffle.
+    these sums but are not ranked and not in the result.
     """
     ranks = F.lit(True) if only is None else only
-    banded = df.withColumns({"_band": _band(F.col(value)), "_ranks": ranks.cast("int")})
-    within = Window.partitionBy("_band").orderBy(
-        F.col(value).desc(), *[F.col(column).asc_nulls_last() for column in tie_break]
-    ).rowsBetween(Window.unboundedPreceding, Window.currentRow)
-    before = Window.orderBy(F.col("_band").desc()).rowsBetween(Window.unboundedPreceding, -1)
+    order = [F.col(value).desc(), *[F.col(column).asc_nulls_last() for column in tie_break]]
+    ranges = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    dealt = df.withColumn("_ranks", ranks.cast("int")).repartitionByRange(ranges, *order)
+    dealt = materialized(dealt.withColumn("_range", F.spark_partition_id()), "ranges")
+    within = Window.partitionBy("_range").orderBy(*order).rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    before = Window.orderBy("_range").rowsBetween(Window.unboundedPreceding, -1)
     everything = Window.partitionBy(F.lit(0))
     ranked_value = F.when(F.col("_ranks") == 1, F.col(value)).otherwise(F.lit(0))
-    bands = (
-        banded.groupBy("_band")
+    totals = (
+        dealt.groupBy("_range")
         .agg(
             F.sum("_ranks").alias("_rows"),
             F.sum(ranked_value).alias("_sum"),
             *[F.sum(column).alias(f"_{column}") for column in wholes],
         )
         .select(
-            "_band",
+            "_range",
             F.coalesce(F.sum("_rows").over(before), F.lit(0)).alias("_rows_before"),
             F.coalesce(F.sum("_sum").over(before), F.lit(0)).alias("_sum_before"),
             F.sum("_sum").over(everything).alias("Whole"),
             *[F.sum(f"_{column}").over(everything).alias(f"Whole_{column}") for column in wholes],
         )
     )
-    ranked_rows = banded.withColumns({
+    ranked_rows = dealt.withColumns({
         "_rank": F.sum("_ranks").over(within), "_running": F.sum(ranked_value).over(within)
     })
     if only is not None:
         ranked_rows = ranked_rows.where(F.col("_ranks") == 1)
-    return ranked_rows.join(F.broadcast(bands), "_band").select(
-        *df.columns,
-        (F.col("_rows_before") + F.col("_rank")).cast("int").alias("Position"),
+    return ranked_rows.join(F.broadcast(totals), "_range").select(
+        *[f"`{column}`" for column in df.columns],
+        (F.col("_rows_before") + F.col("_rank")).alias("Position"),
         (F.col("_sum_before") + F.col("_running")).alias("Running"),
         "Whole",
         *[f"Whole_{column}" for column in wholes],

@@ -1,9 +1,14 @@
-"""Which lines of a feed of whole days an incremental load takes (see ``plans.build.load_increment``)."""
+"""Which lines of a feed an increment takes (see ``plans.build.load_increment``)."""
 
 from __future__ import annotations
 
+from collections.abc import Sequence
+
 from pyspark.sql import DataFrame, functions as F
 
+# What tells lines apart, as a feed has no number for a line; lines that agree in all of it are told apart by counting.
+LINE_KEY = ("DateKey", "StoreID", "ITEMCODE", "Vendas_Unidades", "PVP")
+
 
 def incremental_rows(silver_sales: DataFrame, stored_fact: DataFrame) -> DataFrame:
     """Cleaned sales from the last stored day on, as lines of that day may have arrived since; all of them, with or
@@ -15,3 +20,18 @@ def incremental_rows(silver_sales: DataFrame, stored_fact: DataFrame) -> DataFra
     newest = stored_fact.select(F.max(month)).scalar()
     last = stored_fact.where(month == newest).select(F.max(F.try_to_date("DateKey", "yyyyMMdd"))).scalar()
     return silver_sales.where(last.isNull() | (F.col("Data") >= last))
+
+
+def beyond_stored(lines: DataFrame, stored: DataFrame, key: Sequence[str] = LINE_KEY) -> DataFrame:
+    """The lines that ``stored`` does not have: of n equal lines, where m are stored, n - m.
+
+    Loading a feed again therefore adds nothing, whatever it is called. Both sides are counted on the map side first:
+    a line that is there a million times leaves each task as one row, and no line is compared with another.
+    """
+    others = [name for name in lines.columns if name not in key]
+    new = lines.groupBy(*key).agg(F.count(F.lit(1)).alias("_new"), *[F.first(name).alias(name) for name in others])
+    old = stored.groupBy(*[F.col(name).alias(f"_{name}") for name in key]).agg(F.count(F.lit(1)).alias("_old"))
+    same = [F.col(name).eqNullSafe(F.col(f"_{name}")) for name in key]
+    left = F.col("_new") - F.coalesce(F.col("_old"), F.lit(0))
+    found = new.join(old, same, "left").withColumn("_left", left.cast("int")).where("_left > 0")
+    return found.withColumn("_copy", F.explode(F.sequence(F.lit(1), "_left"))).select(lines.columns)

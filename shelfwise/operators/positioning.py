@@ -48,18 +48,22 @@ def unmapped_revenue(p: DataFrame, label: str = UNMAPPED_LABEL) -> DataFrame:
     return p.agg(total_where(F.col("SKU") == label, "Revenue").alias("Unmapped_Revenue"))
 
 
-def insights(p: DataFrame, label: str = UNMAPPED_LABEL) -> DataFrame:
-    """Leading city and SKU, unmapped revenue and its warning flag as one row, from one scan."""
+def insights(p: DataFrame, label: str = UNMAPPED_LABEL, direction: DataFrame | None = None) -> DataFrame:
+    """Leading city and SKU, unmapped revenue and its warning flag as one row, from one scan; and, with the one row of
+    ``forecast.forecast_direction``, where the forecast points."""
     sums = per_column(p, {"City": "City", "SKU": "SKU"}, {"Revenue": "Revenue"})
     is_sku, key, revenue = F.col("Label") == "SKU", F.col("Key"), F.col("Revenue")
     city = F.when(~is_sku, key)
     known = F.when(is_sku & (key != label), key)
-    return sums.agg(
+    found = sums.agg(
         _leader(city, revenue).alias("Top_City"),
         F.coalesce(F.max(F.when(city.isNotNull(), revenue)), F.lit(0)).alias("Top_City_Revenue"),
         _leader(known, revenue).alias("Top_SKU"),
         total_where(is_sku & (key == label), "Revenue").alias("Unmapped_Revenue"),
     ).withColumn("Data_Quality_Warning", F.col("Unmapped_Revenue") > 0)
+    if direction is None:
+        return found
+    return found.withColumn("Direction", direction.select("Direction").scalar())
 
 
 def yoy_bridge(s: DataFrame, period: Period = Period(), by: str = "Brand") -> DataFrame:
@@ -73,7 +77,7 @@ def yoy_bridge(s: DataFrame, period: Period = Period(), by: str = "Brand") -> Da
         total_where(F.col("_is_previous"), "Revenue").alias("py"),
     )
     totals = sides.agg(
-        total("cy").alias("cy"), total("py").alias("py"), F.count(by).cast("int").alias("steps")
+        total("cy").alias("cy"), total("py").alias("py"), F.count(by).alias("steps")
     ).where((F.col("cy") > 0) & (F.col("py") > 0))
 
     def bound(position: Column, label: str, measure: str, value: str) -> Column:
@@ -83,7 +87,7 @@ def yoy_bridge(s: DataFrame, period: Period = Period(), by: str = "Brand") -> Da
         )
 
     bounds = totals.select(F.inline(F.array(
-        bound(F.lit(0), "Previous Year", "absolute", "py"),
+        bound(F.lit(0).cast("long"), "Previous Year", "absolute", "py"),
         bound(F.col("steps") + 1, "Current Year", "total", "cy"),
     )))
     steps = ranked(

@@ -1,18 +1,24 @@
-"""From raw feeds to a stored star schema."""
+"""From raw feeds to a stored star schema, in loads that are seen whole or not at all (see ``sources.store``)."""
 
 from __future__ import annotations
 
 import datetime as dt
+from collections.abc import Iterable, Sequence
 from functools import reduce
 from operator import or_
 
-from pyspark.sql import DataFrame, SparkSession, functions as F
+from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from .. import schemas
 from ..operators import gold, silver
-from ..settings import PRICE_SCALE
+from ..operators.daily import sales_daily
+from ..operators.incremental import LINE_KEY, beyond_stored
+from ..settings import IN_MEMORY_FACTOR, PRICE_SCALE
 from ..sources.shared import materialized
-from ..sources.store import drop_month, has_table, read_star, read_table, write_table
+from ..sources.store import Load, read_table
+
+LATE = "late"
+Months = Sequence[tuple[int | None, int | None]]
 
 
 def gold_layer(feeds: dict[str, DataFrame], sales: DataFrame | None = None, **labels: str) -> dict[str, DataFrame]:
@@ -43,18 +49,74 @@ def build_gold(
 ) -> dict[str, DataFrame]:
     """Full refresh of all tables below ``root``; returns the star as stored.
 
-    The feed is parsed once and stored by month, broken lines in quarantine (see ``silver.stage_sales``). The item
-    dimension then reads its one code column and the calendar its one date column; the fact comes from month files and
-    needs no shuffle. The wide frame is stored last, from the stored star, whose dimension sizes Spark knows: this is
-    the only join of sale lines there is.
+    The feed is parsed once and stored by month, broken lines in quarantine (see ``silver.stage_sales``). One scan of its
+    two code columns gives the months each code was sold in, from which item dimension and calendar follow. The fact
+    comes from month files and needs no shuffle. The wide frame is the only join of sale lines there is, and its totals
+    per day the only thing dashboards read.
     """
+    run = Load(spark, root, load)
+    run.tables.clear()
     staged = silver.stage_sales(feeds["Sales"], load, lenient_dates=lenient_dates, price_scale=price_scale)
-    write_table(staged, root, "Silver_Sales")
-    for name, table in gold_layer(feeds, read_silver(spark, root, price_scale), **labels).items():
-        write_table(table, root, name, spread=False)
-    star = read_star(spark, root, price_scale)
-    write_table(wide_frame(star), root, "Sales_Wide")
-    return star
+    run.write(staged, "Silver_Sales")
+    cleaned = _cleaned(run.table("Silver_Sales", price_scale), price_scale)
+    run.write(sold_months(cleaned), "Sold_Months")
+    _write_dimensions(run, feeds, cleaned, **labels)
+    run.write(gold.fact_sales(cleaned), "Fact_Sales", spread=False)
+    _write_wide(run, None, price_scale)
+    return run.commit().star(price_scale)
+
+
+def sold_months(cleaned: DataFrame) -> DataFrame:
+    """(Kind, Code, Ano, Mes): the months in which each item and each store has lines, rejected ones included."""
+    codes = F.array(
+        F.struct(F.lit("item").alias("Kind"), F.col("ITEMCODE").alias("Code")),
+        F.struct(F.lit("store").alias("Kind"), F.col("StoreID").alias("Code")),
+    )
+    lines = cleaned.select(F.year("Data").alias("Ano"), F.month("Data").alias("Mes"), "ITEMCODE", "StoreID").distinct()
+    return lines.select(F.inline(codes), "Ano", "Mes").distinct()
+
+
+def _sold_items(sold: DataFrame) -> DataFrame:
+    return sold.where(F.col("Kind") == "item").select(F.col("Code").alias("ITEMCODE")).distinct()
+
+
+def _write_dimensions(run: Load, feeds: dict[str, DataFrame], cleaned: DataFrame, **labels: str) -> None:
+    sold = run.table("Sold_Months")
+    run.write(gold.dim_item(_sold_items(sold), silver.clean_items(feeds["Items"]), **labels), "Dim_Item")
+    run.write(gold.dim_store(feeds["Store"], feeds["Client"]), "Dim_Store")
+    run.write(_calendar(sold), "Dim_Date")
+
+
+def _calendar(sold: DataFrame) -> DataFrame:
+    """The days of all years with sales, of which only partition values are read."""
+    return gold.dim_date(sold.select(F.make_date(F.col("Ano"), F.col("Mes"), F.lit(1)).alias("Data")))
+
+
+def _write_wide(run: Load, months: Months | None, price_scale: int) -> None:
+    """The wide frame and its daily totals, of these months or all, from the star that the load has written so far."""
+    state = run.state()
+    star = state.star(price_scale)
+    if months is not None:
+        star["Fact_Sales"] = star["Fact_Sales"].where(_in_months(months, "Ano", "Mes"))
+    # Joined to broadcast dimensions, lines stay in the tasks that read their month; a sort-merge join deals them anew.
+    threshold = run.spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    largest = max(state.stored_bytes(name) for name in ("Dim_Item", "Dim_Store", "Dim_Date")) * IN_MEMORY_FACTOR
+    stays = threshold.isdigit() and largest < int(threshold)
+    run.write(wide_frame(star), "Sales_Wide", months=months, spread=not stays)
+    wide = run.table("Sales_Wide", price_scale)
+    if months is not None:
+        wide = wide.where(_in_months(months, "Year", "Month"))
+    run.write(sales_daily(wide, price_scale), "Sales_Daily", months=months)
+
+
+def _in_months(months: Iterable[tuple[int | None, int | None]], year: str, month: str) -> Column:
+    """Of these months: a condition on partition values, as there are few months for even the longest history."""
+    chosen = [F.col(year).eqNullSafe(F.lit(y)) & F.col(month).eqNullSafe(F.lit(m)) for y, m in months]
+    return reduce(or_, chosen, F.lit(False))
+
+
+def _months_of(df: DataFrame) -> list[tuple[int | None, int | None]]:
+    return [tuple(row) for row in df.select("Ano", "Mes").distinct().collect()]
 
 
 def load_increment(
@@ -64,92 +126,155 @@ def load_increment(
     load: str,
     *,
     whole_days: bool = True,
+    merge: bool = False,
+    lateness: int | None = None,
     lenient_dates: bool = False,
     price_scale: int = PRICE_SCALE,
     **labels: str,
 ) -> None:
-    """Bring new sales into every table below ``root``, up to the wide frame; the first load builds them.
+    """Bring new sales into every table below ``root``, up to the daily totals; the first load builds them.
 
-    With ``whole_days`` the feed holds whole days: its days from the last stored day on replace these days, and older
-    lines are left out. Without it, all lines are added, whatever their date. Only the months concerned are written
-    again. New item codes enter the item dimension (as unmapped, if the master lacks them), new years the calendar.
+    With ``whole_days`` the feed holds whole days: its days from the last stored day on replace these days. Its older
+    lines are late: those that are not stored yet (``incremental.beyond_stored``) reach their month or, if they are more
+    than ``lateness`` days older than the last stored day, the quarantine with the reason 'late'; no line is left out.
+    Without ``whole_days`` all lines are added, whatever their date, or with ``merge`` all that are not stored yet, in both
+    cases with the same rule for late ones. Lines in quarantine that are there already are not added again.
 
-    ``load`` names the run. A run that failed, or is repeated under its name, starts from the same day and replaces its
-    own lines.
+    Only the months concerned are written again. New item codes enter the item dimension (as unmapped, if the master
+    lacks them), new years the calendar. ``load`` names the run; repeated under its name, it starts from the same day and
+    replaces its own lines. A run that is broken off changes nothing.
     """
-    if not has_table(spark, root, "Sales_Wide"):
+    run = Load(spark, root, load)
+    if run.base is None:
         build_gold(spark, feeds, root, load=load, lenient_dates=lenient_dates, price_scale=price_scale, **labels)
         return
     staged = silver.stage_sales(feeds["Sales"], load, lenient_dates=lenient_dates, price_scale=price_scale)
-    stored = read_table(spark, root, "Silver_Sales", price_scale)
+    staged = materialized(staged, "increment")
+    stored = run.table("Silver_Sales", price_scale)
     kept = stored.where(F.col("Load") != load)
+    since = _since(run, load, price_scale)
+    day, dated = F.lit(since), F.col("Ano").isNotNull()
+    recent = staged.where(dated & (F.col("Data") >= day)) if whole_days else staged.where(dated)
+    late = staged.where(dated & (F.col("Data") < day)) if whole_days else staged.where("false")
+    if merge and not whole_days:
+        recent, late = recent.where("false"), recent
+    if lateness is not None:
+        last = day - F.make_dt_interval(days=F.lit(lateness))
+        recent, late = _quarantined(recent, last), _quarantined(late, last)
+
+    # Stored lines of the feed's days, in their months or in quarantine, are what late lines are compared with.
+    late_months = _months_of(late.withColumns({"Ano": F.year("Data"), "Mes": F.month("Data")}))
+    held = kept.where(_in_months(late_months, "Ano", "Mes") | (F.col("Reason") == LATE))
+    fresh = recent.unionByName(beyond_stored(late, held))
+    undated = kept.where(F.col("Ano").isNull())
+    fresh = fresh.unionByName(beyond_stored(staged.where(~dated), undated, [*LINE_KEY, "Reason", "Line"]))
+    fresh = materialized(fresh, "fresh")
     if whole_days:
-        since = F.lit(_since(spark, root, load, price_scale))
-        staged = staged.where((F.col("Data") >= since) | F.col("Ano").isNull())
-    fresh = materialized(staged, "increment")
-    if whole_days:
-        days = fresh.where(F.col("Ano").isNotNull()).select("Data").distinct()  # calendar days
+        days = recent.select("Data").distinct()  # calendar days
         kept = kept.join(F.broadcast(days), "Data", "left_anti")
-    before = stored.where(F.col("Load") == load)
-    months = [tuple(row) for row in fresh.unionByName(before).select("Ano", "Mes").distinct().collect()]
-    concerned = reduce(or_, [
-        F.col("Ano").eqNullSafe(F.lit(year)) & F.col("Mes").eqNullSafe(F.lit(month)) for year, month in months
-    ], F.lit(False))
-    # Written elsewhere first: a month is not read while it is replaced.
-    content = materialized(kept.where(concerned).unionByName(fresh), "months")
-    write_table(content, root, "Silver_Sales", months_only=True)
-
-    cleaned = content.where(F.col("Reason").isNull()).select(schemas.tables()["Cleaned_Sales"].fieldNames())
-    star = read_star(spark, root, price_scale)
-    known = star["Dim_Item"].select("ITEMCODE")
-    codes = fresh.where(F.col("Reason").isNull()).select("ITEMCODE").distinct()
-    new_codes = codes.join(known, codes["ITEMCODE"].eqNullSafe(known["ITEMCODE"]), "left_anti")
+    months = sorted({*_months_of(fresh), *_months_of(stored.where(F.col("Load") == load))}, key=str)
+    run.write(kept.where(_in_months(months, "Ano", "Mes")).unionByName(fresh), "Silver_Sales", months=months)
+
+    silver_now = run.table("Silver_Sales", price_scale).where(_in_months(months, "Ano", "Mes"))
+    cleaned = _cleaned(silver_now, price_scale)
+    run.write(sold_months(cleaned), "Sold_Months", months=months)
+    known = run.table("Dim_Item").select(F.col("ITEMCODE").alias("_known"))
+    codes = cleaned.select("ITEMCODE").distinct()
+    new_codes = codes.join(known, codes["ITEMCODE"].eqNullSafe(known["_known"]), "left_anti")
     items = silver.clean_items(feeds["Items"])
     new_items = gold.unmapped_items(new_codes, items, **labels).unionByName(items.join(new_codes, "ITEMCODE", "left_semi"))
-    write_table(materialized(new_items, "items"), root, "Dim_Item", mode="append")
-    days = gold.dim_date(cleaned.select("Data").unionByName(star["Dim_Date"].select("Data")))
-    new_days = days.join(star["Dim_Date"], "DateKey", "left_anti")
-    write_table(materialized(new_days, "days"), root, "Dim_Date", mode="append")
-
-    star = {**read_star(spark, root, price_scale), "Fact_Sales": gold.fact_sales(cleaned)}
-    write_table(star["Fact_Sales"], root, "Fact_Sales", months_only=True)
-    write_table(wide_frame(star), root, "Sales_Wide", months_only=True)
-    sold = {tuple(row) for row in star["Fact_Sales"].select("Ano", "Mes").distinct().collect()}
-    for year, month in set(months) - sold - {(None, None)}:
-        for name in ("Fact_Sales", "Sales_Wide"):
-            drop_month(spark, root, name, year, month)
-
-
-def _since(spark: SparkSession, root: str, load: str, price_scale: int) -> dt.date:
-    """The day from which a load replaces what is stored: noted before it changes anything, so that a repeated run does
-    not take its own lines for stored ones."""
-    if has_table(spark, root, "Loads"):
-        noted = read_table(spark, root, "Loads").where(F.col("Load") == load).first()
+    run.write(new_items, "Dim_Item", add=True)
+    calendar = _calendar(run.table("Sold_Months"))
+    run.write(calendar.join(run.table("Dim_Date"), "DateKey", "left_anti"), "Dim_Date", add=True)
+    run.write(gold.fact_sales(cleaned), "Fact_Sales", months=months, spread=False)
+    _write_wide(run, months, price_scale)
+    run.commit()
+
+
+def _quarantined(lines: DataFrame, last: Column) -> DataFrame:
+    """Lines of days before ``last`` without a month and with the reason, as lines in quarantine are."""
+    is_late = F.col("Data") < last
+    text = F.to_csv(F.struct("DateKey", "StoreID", "ITEMCODE", "Vendas_Unidades", "PVP"))
+    return lines.withColumns({
+        "Reason": F.when(is_late, F.lit(LATE)).otherwise(F.col("Reason")),
+        "Line": F.when(is_late, text).otherwise(F.col("Line")),
+        "Ano": F.when(~is_late, F.col("Ano")), "Mes": F.when(~is_late, F.col("Mes")),
+    })
+
+
+def load_masters(
+    spark: SparkSession, feeds: dict[str, DataFrame], root: str, load: str, *, price_scale: int = PRICE_SCALE, **labels: str
+) -> list[tuple[int | None, int | None]]:
+    """Bring changed item, store and client masters into the dimensions and into the old rows they concern.
+
+    Codes whose rows differ from the stored ones, such as an item that was sold unmapped and is in the master now, are
+    looked up among the months each code was sold in; only these months of the wide frame and its daily totals are
+    written again, from the fact as stored. Returns them.
+    """
+    run = Load(spark, root, load)
+    if run.base is None:
+        raise FileNotFoundError(f"nothing is loaded below {root}")
+    sold = run.table("Sold_Months")
+    before = {"item": run.table("Dim_Item"), "store": run.table("Dim_Store")}
+    run.write(gold.dim_item(_sold_items(sold), silver.clean_items(feeds["Items"]), **labels), "Dim_Item")
+    run.write(gold.dim_store(feeds["Store"], feeds["Client"]), "Dim_Store")
+    after = {"item": run.table("Dim_Item"), "store": run.table("Dim_Store")}
+    changed = reduce(DataFrame.unionByName, [
+        _changed(before[kind], after[kind], key).select(F.lit(kind).alias("Kind"), F.col(key).alias("Code"))
+        for kind, key in (("item", "ITEMCODE"), ("store", "StoreID"))
+    ])
+    months = sorted(_months_of(sold.join(changed, ["Kind", "Code"], "left_semi")), key=str)
+    if months:
+        _write_wide(run, months, price_scale)
+    run.commit()
+    return months
+
+
+def _changed(before: DataFrame, after: DataFrame, key: str) -> DataFrame:
+    """Keys whose rows are not the same on both sides, counted, so that repeated rows matter too."""
+    both = before.withColumn("_n", F.lit(-1)).unionByName(after.withColumn("_n", F.lit(1)))
+    rows = both.groupBy(*before.columns).agg(F.sum("_n").alias("_n"))
+    return rows.where("_n <> 0").select(key).distinct()
+
+
+def _since(run: Load, load: str, price_scale: int) -> dt.date:
+    """The day from which a load replaces what is stored. It is stored with the load, so that a load that is repeated
+    does not take its own lines for stored ones."""
+    if run.base.has("Loads"):
+        noted = run.table("Loads").where(F.col("Load") == load).first()
         if noted:
             return noted.Since
-    day = last_stored_day(read_wide(spark, root, price_scale))
-    write_table(spark.createDataFrame([(load, day)], schemas.tables()["Loads"]), root, "Loads", mode="append")
+    day = last_stored_day(run.table("Sales_Daily", price_scale))
+    run.write(run.spark.createDataFrame([(load, day)], schemas.tables()["Loads"]), "Loads", add=True)
     return day
 
 
-def last_stored_day(wide: DataFrame) -> dt.date:
+def last_stored_day(daily: DataFrame) -> dt.date:
     """The day of the last stored sale, from the newest month only."""
     month = F.col("Year") * 12 + F.col("Month")
-    newest = wide.select(F.max(month)).scalar()
-    return wide.where(month == newest).agg(F.max("Date")).first()[0] or dt.date.min
+    newest = daily.select(F.max(month)).scalar()
+    return daily.where(month == newest).agg(F.max("Date")).first()[0] or dt.date.min
 
 
-def read_silver(spark: SparkSession, root: str, price_scale: int = PRICE_SCALE) -> DataFrame:
+def _cleaned(stored: DataFrame, price_scale: int) -> DataFrame:
     """The cleaned sales, without lines in quarantine."""
-    stored = read_table(spark, root, "Silver_Sales", price_scale).where(F.col("Reason").isNull())
-    return stored.select(schemas.tables(price_scale)["Cleaned_Sales"].fieldNames())
+    return stored.where(F.col("Reason").isNull()).select(schemas.tables(price_scale)["Cleaned_Sales"].fieldNames())
+
+
+def read_silver(spark: SparkSession, root: str, price_scale: int = PRICE_SCALE) -> DataFrame:
+    return _cleaned(read_table(spark, root, "Silver_Sales", price_scale), price_scale)
 
 
 def read_quarantine(spark: SparkSession, root: str) -> DataFrame:
-    """Lines that the loads did not understand: which load, why, and their text."""
+    """Lines that the loads did not understand or that came too late: which load, why, and their text."""
     stored = read_table(spark, root, "Silver_Sales").where(F.col("Ano").isNull() & F.col("Reason").isNotNull())
     return stored.select("Load", "Reason", "Line")
 
 
 def read_wide(spark: SparkSession, root: str, price_scale: int = PRICE_SCALE) -> DataFrame:
     return read_table(spark, root, "Sales_Wide", price_scale)
+
+
+def read_daily(spark: SparkSession, root: str, price_scale: int = PRICE_SCALE) -> DataFrame:
+    """What ``plans.dashboard`` shows: totals per day, client, city, SKU and brand."""
+    return read_table(spark, root, "Sales_Daily", price_scale)

@@ -4,15 +4,17 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
+from pyspark.ml import Model
 from pyspark.sql import DataFrame
 
 from ..operators import forecast as fc, kpi, positioning as pos, series
 from ..operators.context import Period, apply_context, apply_period
 from ..settings import UNMAPPED_LABEL
+from ..sources.shared import materialized
 
 
 def dashboard(
-    wide: DataFrame,
+    daily: DataFrame,
     period: Period = Period(),
     *,
     clients: Sequence[str | None] | None = None,
@@ -20,15 +22,18 @@ def dashboard(
     brands: Sequence[str | None] | None = None,
     label: str = UNMAPPED_LABEL,
     with_forecast: bool = True,
+    model: Model | None = None,
 ) -> dict[str, DataFrame]:
-    """Lazy result tables for a filter context and period. Only the forecast runs jobs (its fit) right away.
+    """Result tables for a filter context and period, from the stored daily totals (``plans.build.read_daily``) or any
+    frame of their columns, such as the wide one.
 
-    Tiles, growth, targets and monthly series share one frame of day totals, kept for the session because it has
-    at most one row per calendar day; the rankings each scan the columns they need.
+    Tiles, growth, targets and monthly series share one frame of day totals, stored because it has at most one row per
+    calendar day; the other tables each scan the columns they need. With a ``model`` that ``forecast.fit_forecast`` gave
+    after the last load, no look at the dashboard fits one.
     """
-    s = apply_context(wide, clients, cities, brands)
+    s = apply_context(daily, clients, cities, brands)
     p = apply_period(s, period)
-    days = kpi.day_totals(s).persist()
+    days = materialized(kpi.day_totals(s), "day-totals")
     tables = {
         "totals": kpi.kpi_totals(apply_period(days, period)),
         "growth": kpi.yoy(days, period),
@@ -37,15 +42,15 @@ def dashboard(
         "tiles": kpi.tile_reference(days, period),
         "revenue_months": series.monthly_last(days, "Revenue"),
         "volume_months": series.monthly_last(days, "Volume"),
-        "insights": pos.insights(p, label),
         "bridge": pos.yoy_bridge(s, period),
         "city_map": pos.city_map(p),
         "pareto": pos.pareto(p),
         "brands": pos.brand_positioning(p),
         "skus": pos.sku_positioning(p),
     }
+    direction = None
     if with_forecast:
-        predicted = fc.forecast(days)
-        tables["forecast"] = fc.forecast_series(days, predicted)
-        tables["direction"] = fc.forecast_direction(predicted)
-    return tables
+        predicted = materialized(fc.forecast(days, model=model), "forecast")
+        direction = fc.forecast_direction(predicted)
+        tables |= {"forecast": fc.forecast_series(days, predicted), "direction": direction}
+    return tables | {"insights": pos.insights(p, label, direction)}

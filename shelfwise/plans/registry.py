@@ -18,10 +18,10 @@ from ..operators import (
 from ..operators.context import Period
 from ..sources import trade_tables as tables
 from ..sources.feeds import read_bronze, read_bronze_strict
-from ..sources.store import read_table, read_star
+from ..sources.store import Snapshot, open_snapshot
 from ..sources.shared import shared_path
 from ..streaming.feed_stream import load_available, sales_stream
-from .build import build_gold, gold_layer, load_increment, read_quarantine, read_silver, read_wide, wide_frame
+from .build import build_gold, gold_layer, load_increment, load_masters, read_quarantine, read_silver, wide_frame
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -34,6 +34,7 @@ TUNING_GRID = [{"maxIter": trees, "maxDepth": depth} for trees, depth in ((20, 2
 TUNING_CUTOFF = "2000-11-01"
 
 _stored: dict[tuple[str, str, str], str] = {}
+_opened: dict[tuple[str, str], Snapshot] = {}
 _writing = threading.RLock()
 
 
@@ -54,12 +55,25 @@ def _gold_root(spark: SparkSession, folder: str) -> str:
     )
 
 
+def _snapshot(spark: SparkSession, root: str) -> Snapshot:
+    """The tables below ``root``, whose loads are all done; opened once, so that their files are listed once."""
+    key = (spark.sparkContext.applicationId, root)
+    with _writing:
+        if key not in _opened:
+            _opened[key] = open_snapshot(spark, root)
+        return _opened[key]
+
+
 def star(spark: SparkSession, folder: str) -> dict[str, DataFrame]:
-    return read_star(spark, _gold_root(spark, folder))
+    return _snapshot(spark, _gold_root(spark, folder)).star()
 
 
 def wide(spark: SparkSession, folder: str) -> DataFrame:
-    return read_wide(spark, _gold_root(spark, folder))
+    return _snapshot(spark, _gold_root(spark, folder)).table("Sales_Wide")
+
+
+def daily(spark: SparkSession, folder: str) -> DataFrame:
+    return _snapshot(spark, _gold_root(spark, folder)).table("Sales_Daily")
 
 
 def _silver(spark: SparkSession, folder: str) -> DataFrame:
@@ -100,26 +114,30 @@ def _wide_city_fallback(spark: SparkSession, folder: str) -> DataFrame:
     return wide_frame({**stored, "Dim_Store": stored["Dim_Store"].drop("City")})
 
 
-def _on_wide(operator: Callable[..., DataFrame], *args, **kwargs) -> Query:
-    return lambda spark, folder: operator(wide(spark, folder), *args, **kwargs)
+def _on_daily(operator: Callable[..., DataFrame], *args, **kwargs) -> Query:
+    return lambda spark, folder: operator(daily(spark, folder), *args, **kwargs)
 
 
 def _in_period(operator: Callable[..., DataFrame], period: Period, *args, **kwargs) -> Query:
     return lambda spark, folder: operator(
-        context.apply_period(wide(spark, folder), period), *args, **kwargs
+        context.apply_period(daily(spark, folder), period), *args, **kwargs
     )
 
 
+def _lines_in(period: Period) -> Query:
+    return lambda spark, folder: context.apply_period(wide(spark, folder), period)
+
+
 def _forecast(spark: SparkSession, folder: str) -> DataFrame:
     """The fitted forecast is stored, so that the three queries on it share one fit."""
     path = _once(
-        spark, folder, "forecast", lambda root: fc.forecast(wide(spark, folder)).write.parquet(root)
+        spark, folder, "forecast", lambda root: fc.forecast(daily(spark, folder)).write.parquet(root)
     )
     return spark.read.parquet(path)
 
 
 def _forecast_panel(spark: SparkSession, folder: str) -> DataFrame:
-    return fc.forecast(wide(spark, folder), PANEL)
+    return fc.forecast(daily(spark, folder), PANEL)
 
 
 def _dims(spark: SparkSession, folder: str) -> dict[str, DataFrame]:
@@ -158,7 +176,7 @@ def _dq_orphans(spark: SparkSession, folder: str) -> DataFrame:
 
 def _control_totals(spark: SparkSession, folder: str) -> DataFrame:
     root = _gold_root(spark, folder)
-    return quality.control_totals(read_silver(spark, root), read_table(spark, root, "Fact_Sales"), read_wide(spark, root))
+    return quality.control_totals(read_silver(spark, root), star(spark, folder)["Fact_Sales"], wide(spark, folder))
 
 
 def _contract_violations(spark: SparkSession, folder: str) -> DataFrame:
@@ -196,11 +214,38 @@ def _increments(spark: SparkSession, folder: str) -> str:
 
 
 def _incremental_load(spark: SparkSession, folder: str) -> DataFrame:
-    return read_table(spark, _increments(spark, folder), "Fact_Sales")
+    return _snapshot(spark, _increments(spark, folder)).table("Fact_Sales")
 
 
 def _incremental_wide(spark: SparkSession, folder: str) -> DataFrame:
-    return read_wide(spark, _increments(spark, folder))
+    return _snapshot(spark, _increments(spark, folder)).table("Sales_Wide")
+
+
+def _incremental_daily(spark: SparkSession, folder: str) -> DataFrame:
+    return _snapshot(spark, _increments(spark, folder)).table("Sales_Daily")
+
+
+def _late_lines(spark: SparkSession, folder: str) -> DataFrame:
+    """Sales of which one store in seven reports after all others: a first load without these stores, then a feed of
+    everything, twice. What came late has reached its month or, from before the first day allowed, the quarantine."""
+    def write(root: str) -> None:
+        feeds = tables.feeds(spark, folder)
+        load_increment(spark, {**feeds, "Sales": feeds["Sales"].where(~tables.reports_late())}, root, "first", **LABELS)
+        for load in ("second", "second under another name"):
+            load_increment(spark, feeds, root, load, lateness=tables.LATENESS_DAYS, **LABELS)
+
+    stored = _snapshot(spark, _once(spark, folder, "late-lines", write)).table("Silver_Sales")
+    return stored.select("DateKey", "StoreID", "ITEMCODE", "Vendas_Unidades", "PVP", "Reason", "Line")
+
+
+def _late_master(spark: SparkSession, folder: str) -> DataFrame:
+    """The wide frame after the items, stores and clients that the first load lacked have come into the masters."""
+    def write(root: str) -> None:
+        feeds = tables.feeds(spark, folder)
+        build_gold(spark, {**feeds, **tables.early_masters(feeds)}, root, **LABELS)
+        load_masters(spark, feeds, root, "masters", **LABELS)
+
+    return _snapshot(spark, _once(spark, folder, "late-master", write)).table("Sales_Wide")
 
 
 def _stream_load(spark: SparkSession, folder: str) -> DataFrame:
@@ -209,7 +254,7 @@ def _stream_load(spark: SparkSession, folder: str) -> DataFrame:
         stream = sales_stream(spark, f"{_csv(spark, folder)}/Sales.csv")
         load_available(stream, masters, root, f"{root}/_progress", **LABELS).awaitTermination()
 
-    return read_table(spark, _once(spark, folder, "streamed", write), "Fact_Sales")
+    return _snapshot(spark, _once(spark, folder, "streamed", write)).table("Fact_Sales")
 
 
 def _quarantined_sales(spark: SparkSession, folder: str) -> DataFrame:
@@ -246,62 +291,64 @@ def _queries() -> dict[str, Query]:
         "sales_wide_stored": wide,
         "sales_wide_city_fallback": _wide_city_fallback,
         # Filter context and period
-        "filter_options": _on_wide(context.filter_options),
-        "filter_context": _on_wide(context.apply_context, CLIENTS, CITIES, BRANDS),
-        "period_year": _in_period(lambda p: p, YEAR),
-        "period_month": _in_period(lambda p: p, MONTH),
-        "period_month_latest": _in_period(lambda p: p, Period.of_month()),
+        "filter_options": _on_daily(context.filter_options),
+        "filter_context": lambda spark, folder: context.apply_context(wide(spark, folder), CLIENTS, CITIES, BRANDS),
+        "period_year": _lines_in(YEAR),
+        "period_month": _lines_in(MONTH),
+        "period_month_latest": _lines_in(Period.of_month()),
         # KPIs
-        "kpi_totals": _on_wide(kpi.kpi_totals),
+        "kpi_totals": _on_daily(kpi.kpi_totals),
         "empty_selection": lambda spark, folder: kpi.kpi_totals(
-            context.apply_context(wide(spark, folder), brands=["no such brand"])
+            context.apply_context(daily(spark, folder), brands=["no such brand"])
         ),
         "kpi_totals_year": _in_period(kpi.kpi_totals, YEAR),
-        "yoy_ytd": _on_wide(kpi.yoy),
-        "yoy_year": _on_wide(kpi.yoy, YEAR),
-        "yoy_month": _on_wide(kpi.yoy, MONTH),
-        "yoy_month_latest": _on_wide(kpi.yoy, Period.of_month()),
-        "best_year": _on_wide(kpi.best_year),
-        "gauge_target": _on_wide(kpi.gauge, YEAR),
-        "kpi_tile_reference": _on_wide(kpi.tile_reference),
+        "yoy_ytd": _on_daily(kpi.yoy),
+        "yoy_year": _on_daily(kpi.yoy, YEAR),
+        "yoy_month": _on_daily(kpi.yoy, MONTH),
+        "yoy_month_latest": _on_daily(kpi.yoy, Period.of_month()),
+        "best_year": _on_daily(kpi.best_year),
+        "gauge_target": _on_daily(kpi.gauge, YEAR),
+        "kpi_tile_reference": _on_daily(kpi.tile_reference),
         # Monthly series
-        "monthly_last12": _on_wide(series.monthly_last, "Revenue"),
-        "monthly_last12_volume": _on_wide(series.monthly_last, "Volume"),
-        "monthly_revenue": _on_wide(series.monthly_revenue),
-        "monthly_revenue_panel": _on_wide(series.monthly_revenue, ["Brand", "City"]),
-        "training_months": _on_wide(series.training_months),
+        "monthly_last12": _on_daily(series.monthly_last, "Revenue"),
+        "monthly_last12_volume": _on_daily(series.monthly_last, "Volume"),
+        "monthly_revenue": _on_daily(series.monthly_revenue),
+        "monthly_revenue_panel": _on_daily(series.monthly_revenue, ["Brand", "City"]),
+        "training_months": _on_daily(series.training_months),
         # Forecast
-        "forecast_gate": _on_wide(fc.forecast_gate, PANEL),
-        "forecast_features": lambda spark, folder: fc.forecast_features(series.training_months(wide(spark, folder))),
+        "forecast_gate": _on_daily(fc.forecast_gate, PANEL),
+        "forecast_features": lambda spark, folder: fc.forecast_features(series.training_months(daily(spark, folder))),
         "forecast_features_leak_free": lambda spark, folder: fc.forecast_features(
-            series.training_months(wide(spark, folder), PANEL), PANEL, leak_free=True
+            series.training_months(daily(spark, folder), PANEL), PANEL, leak_free=True
         ),
-        "forecast_horizon": _on_wide(fc.forecast_horizon),
+        "forecast_horizon": _on_daily(fc.forecast_horizon),
         "forecast_6m": _forecast,
-        "forecast_series": lambda spark, folder: fc.forecast_series(wide(spark, folder), _forecast(spark, folder)),
+        "forecast_series": lambda spark, folder: fc.forecast_series(daily(spark, folder), _forecast(spark, folder)),
         "forecast_direction": lambda spark, folder: fc.forecast_direction(_forecast(spark, folder)),
         "forecast_panel": _forecast_panel,
-        "forecast_baseline": _on_wide(fc.forecast_baseline),
+        "forecast_baseline": _on_daily(fc.forecast_baseline),
         "forecast_baseline_series": lambda spark, folder: fc.forecast_series(
-            wide(spark, folder), fc.forecast_baseline(wide(spark, folder))
+            daily(spark, folder), fc.forecast_baseline(daily(spark, folder))
         ),
         "forecast_baseline_direction": lambda spark, folder: fc.forecast_direction(
-            fc.forecast_baseline(wide(spark, folder), PANEL), PANEL, fc.forecast_gate(wide(spark, folder), PANEL)
+            fc.forecast_baseline(daily(spark, folder), PANEL), PANEL, fc.forecast_gate(daily(spark, folder), PANEL)
         ),
-        "forecast_tuning": _on_wide(fc.tune_forecast, TUNING_GRID, TUNING_CUTOFF),
+        "forecast_tuning": _on_daily(fc.tune_forecast, TUNING_GRID, TUNING_CUTOFF),
         # Ranking, contribution, positioning
         "top_city": _in_period(pos.top_city, YEAR),
         "top_sku": _in_period(pos.top_sku, YEAR),
         "unmapped_revenue": _in_period(pos.unmapped_revenue, YEAR),
-        "insights": _on_wide(pos.insights),
-        "yoy_bridge": _on_wide(pos.yoy_bridge),
-        "yoy_bridge_year": _on_wide(pos.yoy_bridge, YEAR),
-        "yoy_bridge_sku": _on_wide(pos.yoy_bridge, MONTH, "SKU"),
-        "city_map": _on_wide(pos.city_map, CITY_POINTS),
-        "pareto_brand": _on_wide(pos.pareto),
-        "pareto_sku": _on_wide(pos.pareto, "SKU"),
-        "price_volume_brand": _on_wide(pos.brand_positioning),
-        "price_volume_sku": _on_wide(pos.sku_positioning),
+        "insights": lambda spark, folder: pos.insights(
+            daily(spark, folder), direction=fc.forecast_direction(fc.forecast_baseline(daily(spark, folder)))
+        ),
+        "yoy_bridge": _on_daily(pos.yoy_bridge),
+        "yoy_bridge_year": _on_daily(pos.yoy_bridge, YEAR),
+        "yoy_bridge_sku": _on_daily(pos.yoy_bridge, MONTH, "SKU"),
+        "city_map": _on_daily(pos.city_map, CITY_POINTS),
+        "pareto_brand": _on_daily(pos.pareto),
+        "pareto_sku": _on_daily(pos.pareto, "SKU"),
+        "price_volume_brand": _on_daily(pos.brand_positioning),
+        "price_volume_sku": _on_daily(pos.sku_positioning),
         # Data quality
         "dq_keys": _dq_keys,
         "dq_dim_duplicates": _dq_duplicates,
@@ -315,6 +362,10 @@ def _queries() -> dict[str, Query]:
         "incremental_rows": _incremental_rows,
         "incremental_load": _incremental_load,
         "incremental_wide": _incremental_wide,
+        "incremental_daily": _incremental_daily,
+        "sales_daily": daily,
+        "late_lines": _late_lines,
+        "late_master": _late_master,
         "quarantined_sales": _quarantined_sales,
         "stream_fact_load": _stream_load,
     }

@@ -6,7 +6,7 @@ from pyspark.sql import types as T
 
 from .settings import PRICE_PRECISION, PRICE_SCALE
 
-TEXT, WHOLE, DATE = T.StringType(), T.IntegerType(), T.DateType()
+TEXT, WHOLE, LONG, DATE = T.StringType(), T.IntegerType(), T.LongType(), T.DateType()
 
 
 def _struct(fields: dict[str, T.DataType]) -> T.StructType:
@@ -26,13 +26,16 @@ FEEDS = {"Sales": SALES, "Items": ITEMS, "Store": STORE, "Client": CLIENT}
 
 STAR = ["Fact_Sales", "Dim_Item", "Dim_Store", "Dim_Date"]
 # Only tables that grow with sales are split into partitions.
-PARTITIONS = {"Silver_Sales": ["Ano", "Mes"], "Fact_Sales": ["Ano", "Mes"], "Sales_Wide": ["Year", "Month"]}
+PARTITIONS = {
+    "Silver_Sales": ["Ano", "Mes"], "Fact_Sales": ["Ano", "Mes"], "Sold_Months": ["Ano", "Mes"],
+    "Sales_Wide": ["Year", "Month"], "Sales_Daily": ["Year", "Month"],
+}
 # Rows of a file are sorted by what dashboards filter on: long runs compress well, and a filter skips whole row groups.
-CLUSTERING = {"Sales_Wide": ["Brand", "City"]}
+CLUSTERING = {"Sales_Wide": ["Brand", "City"], "Sales_Daily": ["Brand", "City"]}
 
 
 def tables(price_scale: int = PRICE_SCALE) -> dict[str, T.StructType]:
-    """Cleaned sales, star schema, and the star joined once per load."""
+    """Cleaned sales, star schema, the star joined once per load, and its totals per day."""
     price = T.DecimalType(PRICE_PRECISION, price_scale)
     # units (int) x price: Spark's own result type for the product, so no sale line can overflow it.
     revenue = T.DecimalType(PRICE_PRECISION + 11, price_scale)
@@ -55,6 +58,13 @@ def tables(price_scale: int = PRICE_SCALE) -> dict[str, T.StructType]:
             "Data": DATE, "DateKey": TEXT, "Ano": WHOLE, "Mes": WHOLE, "Dia": WHOLE, "Trimestre": WHOLE,
             "Nome_Mes": TEXT, "AnoMes": TEXT,
         }),
+        # In which months a code was sold, rejected lines included: Kind is 'item' or 'store'.
+        "Sold_Months": _struct({"Kind": TEXT, "Code": TEXT, "Ano": WHOLE, "Mes": WHOLE}),
+        # What dashboards add up. A revenue beyond 18 digits is split over several rows, so that sums work on longs.
+        "Sales_Daily": _struct({
+            "Date": DATE, "YearMonth": TEXT, "Client": TEXT, "City": TEXT, "SKU": TEXT, "Brand": TEXT,
+            "Revenue": price, "Volume": LONG, "Lines": LONG, "Year": WHOLE, "Month": WHOLE,
+        }),
         "Sales_Wide": _struct({
             "DateKey": TEXT, "StoreID": TEXT, "ITEMCODE": TEXT, "Revenue": revenue, "Volume": WHOLE,
             "Date": DATE, "YearMonth": TEXT, "Month": WHOLE, "Year": WHOLE, "MonthName": TEXT,

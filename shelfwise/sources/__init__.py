@@ -1,7 +1,8 @@
 from .feeds import read_bronze, read_bronze_strict, read_feeds
 from .shared import shared_path
-from .store import read_star, read_table, write_table
+from .store import Load, Snapshot, open_snapshot, read_star, read_table
 
 __all__ = [
-    "read_bronze", "read_bronze_strict", "read_feeds", "read_star", "read_table", "shared_path", "write_table",
+    "Load", "Snapshot", "open_snapshot", "read_bronze", "read_bronze_strict", "read_feeds", "read_star", "read_table",
+    "shared_path",
 ]

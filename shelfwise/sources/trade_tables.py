@@ -15,6 +15,7 @@ PARENT_CATEGORY = "ECONOMY"
 REPORT_YEAR = 2000
 REPORT_MONTH = "2000-06"
 LOADED_UNTIL = "2001-06-30"
+LATENESS_DAYS = 700
 
 
 def _table(spark: SparkSession, folder: str, name: str) -> DataFrame:
@@ -104,3 +105,23 @@ def feeds(spark: SparkSession, folder: str) -> dict[str, DataFrame]:
         "Store": store_feed(spark, folder),
         "Client": client_feed(spark, folder),
     }
+
+
+def reports_late() -> Column:
+    """Sale lines of one store in seven."""
+    return F.substring("StoreID", 3, 6).cast("int") % 7 == 0
+
+
+def early_masters(feeds: dict[str, DataFrame]) -> dict[str, DataFrame]:
+    """The masters as they may have been before: without one item and one store in six, with other names for one item in
+    eleven, and without a client."""
+    def number(column: str) -> Column:
+        return F.substring(column, -6, 6).cast("int")
+
+    items = feeds["Items"].where(F.col("ITEMCODE").isNull() | (number("ITEMCODE") % 6 != 0))
+    renamed = F.when(number("ITEMCODE") % 11 == 0, F.concat(F.lit("former "), "SKU")).otherwise(F.col("SKU"))
+    return {
+        "Items": items.withColumn("SKU", renamed),
+        "Store": feeds["Store"].where(number("StoreID") % 6 != 0),
+        "Client": feeds["Client"].where(F.col("BannerID") != "B1"),
+    }

@@ -20,17 +20,22 @@ def sales_stream(spark: SparkSession, folder: str, max_files: int | None = None)
 
 
 def load_available(
-    stream: DataFrame, masters: dict[str, DataFrame], root: str, checkpoint: str, **labels: str
+    stream: DataFrame, masters: dict[str, DataFrame], root: str, checkpoint: str, *, merge: bool = False,
+    lateness: int | None = None, name: str = "stream", **labels: str,
 ) -> StreamingQuery:
     """Bring all files that have arrived since the last run into the tables below ``root``, and stop.
 
     Each batch is an incremental load of its own, named by its number: the checkpoint remembers which files are loaded,
     and a batch that is tried again after a failure replaces its own lines, so none is dropped or repeated. Files
-    are taken whatever dates they hold; broken lines go to quarantine and do not stop the stream.
+    are taken whatever dates they hold; broken lines go to quarantine and do not stop the stream. With ``merge`` a file
+    that arrives again under another name adds nothing. ``lateness`` is the watermark: lines that many days older than
+    the last stored day go to quarantine as late. ``name`` tells the loads of several streams into one root apart.
     """
 
     def load(batch: DataFrame, number: int) -> None:
         feeds = {**masters, "Sales": batch}
-        load_increment(batch.sparkSession, feeds, root, f"stream-{number}", whole_days=False, **labels)
+        load_increment(
+            batch.sparkSession, feeds, root, f"{name}-{number}", whole_days=False, merge=merge, lateness=lateness, **labels
+        )
 
     return stream.writeStream.foreachBatch(load).option("checkpointLocation", checkpoint).trigger(availableNow=True).start()

@@ -7,6 +7,7 @@ import re
 import pytest
 from pyspark.sql import functions as F
 
+from shelfwise.functions.ranking import ranked
 from shelfwise.operators import gold, kpi, positioning as pos, quality, series, silver
 from shelfwise.operators.context import Period, apply_period
 from shelfwise.plans import registry
@@ -15,6 +16,13 @@ from shelfwise.sources import trade_tables as tables
 YEAR = Period.of_year(2000)
 
 
+ON_LINES = {"period_year", "period_month", "period_month_latest", "filter_context"}
+DASHBOARD = sorted(
+    name for name, query in registry._queries().items()
+    if {"daily", "operator"} & {*query.__code__.co_names, *query.__code__.co_freevars} and name not in ON_LINES
+)
+
+
 def plan_of(df):
     text = io.StringIO()
     with contextlib.redirect_stdout(text):
@@ -25,8 +33,9 @@ def plan_of(df):
 @pytest.mark.parametrize("name", sorted(set(registry.queries()) - {
     "forecast_6m", "forecast_series", "forecast_direction", "forecast_panel", "forecast_tuning",
 }))
-def test_no_cross_join_and_no_python(spark, testdata, name):
+def test_no_cross_join_no_python_and_dashboards_on_daily_totals(spark, testdata, name):
     plan = plan_of(registry.queries()[name](spark, testdata))
+    assert name not in DASHBOARD or "Sales_Wide" not in plan
     for operator in ("CartesianProduct", "BroadcastNestedLoopJoin", "Python", "Pandas"):
         assert operator not in plan
 
@@ -72,11 +81,32 @@ def test_one_read_of_the_fact_per_tile(table_wide):
         assert len(re.findall(r"Location: [^\n]*Sales_Wide", plan_of(df))) == 1
 
 
-def test_ranking_shares_one_shuffle(table_wide):
-    df = pos.pareto(table_wide)
-    df.collect()
-    executed = plan_of(df).split("== Initial Plan ==")[0]
-    assert "ReusedExchange" in executed
+def test_equal_values_are_ranked_in_many_tasks(spark):
+    """200,000 groups of the same value, in no order: ranges of the key, not one task."""
+    keys = spark.range(200_000).select(
+        F.format_string("%06d", F.pmod(F.col("id") * 7919, F.lit(200_000))).alias("SKU"), F.lit(2).cast("decimal(18,6)").alias("Revenue")
+    )
+    merged = "spark.sql.adaptive.coalescePartitions.enabled"
+    spark.conf.set(merged, "false")
+    try:
+        found = ranked(keys, "Revenue", ["SKU"], only=F.col("SKU") != "000007")
+        tasks = [len(part) for part in found.select("SKU").rdd.glom().collect() if part]
+    finally:
+        spark.conf.unset(merged)
+    assert len(tasks) > 2 and max(tasks) < 150_000
+    assert dict(found.dtypes)["Position"] == "bigint"
+    row = found.agg(
+        F.count("*").alias("n"), F.min("Position").alias("first"), F.max("Position").alias("last"),
+        F.countDistinct("Position").alias("positions"), F.max("Running").alias("running"), F.max("Whole").alias("whole"),
+    ).first()
+    assert tuple(row)[:4] == (199_999, 1, 199_999, 199_999) and row.running == row.whole == 399_998
+    place = {row.SKU: row.Position for row in found.where("SKU IN ('000000', '000006', '000008', '199999')").collect()}
+    assert place == {"000000": 1, "000006": 7, "000008": 8, "199999": 199_999}
+
+
+def test_dashboard_queries_are_known():
+    assert {"kpi_totals", "yoy_bridge_sku", "insights", "filter_options", "monthly_revenue_panel", "city_map"} <= set(DASHBOARD)
+    assert len(DASHBOARD) > 30
 
 
 def test_sale_lines_are_added_up_before_they_are_shuffled(table_wide):
