@@ -72,8 +72,7 @@ def sold_months(cleaned: DataFrame) -> DataFrame:
         F.struct(F.lit("item").alias("Kind"), F.col("ITEMCODE").alias("Code")),
         F.struct(F.lit("store").alias("Kind"), F.col("StoreID").alias("Code")),
     )
-    lines = cleaned.select(F.year("Data").alias("Ano"), F.month("Data").alias("Mes"), "ITEMCODE", "StoreID").distinct()
-    return lines.select(F.inline(codes), "Ano", "Mes").distinct()
+    return cleaned.select(F.inline(codes), F.year("Data").alias("Ano"), F.month("Data").alias("Mes")).distinct()
 
 
 def _sold_items(sold: DataFrame) -> DataFrame:

@@ -92,6 +92,10 @@ class Snapshot:
             self._read[name, price_scale] = stored.select([f"`{column}`" for column in contract.fieldNames()])
         return self._read[name, price_scale]
 
+    def share(self, other: Snapshot) -> None:
+        """Takes over the tables that another snapshot has opened and that are the same here."""
+        self._read |= {key: df for key, df in other._read.items() if self.tables.get(key[0]) == other.tables.get(key[0])}
+
     def star(self, price_scale: int = PRICE_SCALE) -> dict[str, DataFrame]:
         return {name: self.table(name, price_scale) for name in schemas.STAR}
 
@@ -124,9 +128,16 @@ class Load:
         self.base = open_snapshot(spark, root)
         self.number = self.base.number + 1 if self.base else 1
         self.tables = {key: dict(parts) for key, parts in self.base.tables.items()} if self.base else {}
+        self._state: Snapshot | None = None
 
     def state(self) -> Snapshot:
-        return Snapshot(self.spark, self.root, self.number, {key: dict(parts) for key, parts in self.tables.items()})
+        """The tables as this load has written them so far."""
+        if self._state is None or self._state.tables != self.tables:
+            now = Snapshot(self.spark, self.root, self.number, {key: dict(parts) for key, parts in self.tables.items()})
+            if self._state is not None:
+                now.share(self._state)
+            self._state = now
+        return self._state
 
     def table(self, name: str, price_scale: int = PRICE_SCALE) -> DataFrame:
         return self.state().table(name, price_scale)
