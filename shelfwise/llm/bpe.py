@@ -19,9 +19,9 @@ import re
 import numpy as np
 import pyarrow as pa
 import regex
-from pyspark.sql import DataFrame, functions as F
+from pyspark.sql import DataFrame
 
-from .texts import portions, with_struct
+from .texts import appended
 
 # How this kind of vocabulary cuts text into words before merging, with white space as Unicode defines it.
 SPACE = r"\t-\r \x85\xa0  -     　"
@@ -29,7 +29,7 @@ WORDS = (
     rf"'s|'t|'re|'ve|'m|'ll|'d| ?\p{{L}}+| ?\p{{N}}+| ?[^{SPACE}\p{{L}}\p{{N}}]+|[{SPACE}]+(?![^{SPACE}])|[{SPACE}]+"
 )
 PIECES = re.compile(rf" ?[^{SPACE}]+|[{SPACE}]+(?![^{SPACE}])|[{SPACE}]+")
-REMEMBERED = 300_000
+REMEMBERED = 8_000_000  # characters of pieces, and of words, remembered with their ids; each counts as 50 more
 SHIFT = 32
 
 
@@ -63,6 +63,7 @@ class Vocabulary:
         self.cut = regex.compile("(" + "|".join(map(regex.escape, longest_first)) + ")") if self.special else None
         self.known = {token: np.int32(number).tobytes() for token, number in self.special.items()}
         self.of_word: dict[str, bytes] = {}
+        self.known_size = self.of_word_size = 0
 
     def pieces(self, text: str) -> list[str]:
         """The text in pieces whose encoding does not depend on their neighbours: special tokens, runs of white space,
@@ -76,15 +77,18 @@ class Vocabulary:
 
     def learn(self, pieces: list[str]) -> None:
         """Remembers the ids of each piece, as bytes of int32; its words are encoded where they are new."""
-        if len(self.known) > REMEMBERED:
+        if self.known_size > REMEMBERED:
             self.known.clear()
             self.known |= {token: np.int32(number).tobytes() for token, number in self.special.items()}
-        if len(self.of_word) > REMEMBERED:
+            self.known_size = 0
+        if self.of_word_size > REMEMBERED:
             self.of_word.clear()
+            self.of_word_size = 0
         of_word = self.of_word
         words = [self.words.findall(piece) for piece in pieces]
         new = [word for word in set(itertools.chain.from_iterable(words)) if word not in of_word]
         if new:
+            self.of_word_size += sum(map(len, new)) + 50 * len(new)
             raw = [word.encode() for word in new]
             sizes = np.fromiter(map(len, raw), np.int64, len(raw))
             symbols, ends = self.merge(self.of_byte[np.frombuffer(b"".join(raw), np.uint8)], sizes)
@@ -92,6 +96,7 @@ class Vocabulary:
             for word, end in zip(new, (4 * ends).tolist()):
                 of_word[word] = data[start:end]
                 start = end
+        self.known_size += sum(map(len, pieces)) + 50 * len(pieces)
         for piece, parts in zip(pieces, words):
             self.known[piece] = of_word[parts[0]] if len(parts) == 1 else b"".join([of_word[part] for part in parts])
 
@@ -164,24 +169,18 @@ def vocabulary(path: str) -> Vocabulary:
     return Vocabulary(path)
 
 
-TYPE = pa.struct([("ids", pa.list_(pa.int32())), ("decoded", pa.string())])
-
-
 def bpe(docs: DataFrame, path: str, text: str = "text", into: str = "bpe") -> DataFrame:
     """``docs`` with a struct ``into`` of the token ids and the text decoded from them.
 
     ``path`` names a vocabulary file that every executor has, as a tokenizer library would need it too.
     """
 
-    @F.arrow_udf("struct<ids:array<int>,decoded:string>")
-    def run(texts: pa.Array) -> pa.Array:
+    def run(piece: pa.RecordBatch) -> pa.Array:
         words = vocabulary(path)
-        ids = [one for part in portions(texts) for one in words.encode(part)]
+        ids = words.encode([one.as_py() or "" for one in piece.column(piece.schema.get_field_index(text))])
         ends = np.cumsum([0, *map(len, ids)]).astype(np.int32)
-        lists = pa.ListArray.from_arrays(
-            pa.array(ends), pa.array(np.concatenate(ids) if ids else np.array([], np.int32))
-        )
+        lists = pa.ListArray.from_arrays(pa.array(ends), pa.array(np.concatenate(ids)))
         decoded = pa.array([words.decode(one) for one in ids], pa.string())
         return pa.StructArray.from_arrays([lists, decoded], names=["ids", "decoded"])
 
-    return with_struct(docs, into, run(F.col(text)))
+    return appended(docs, into, "struct<ids:array<int>,decoded:string>", run, text)

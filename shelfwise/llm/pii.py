@@ -16,7 +16,7 @@ from collections.abc import Callable
 
 from pyspark.sql import Column, DataFrame, functions as F
 
-from .spans import once
+from .spans import add, let, once, running
 
 ROUNDS = 10
 QUADS_LENGTH = 19  # characters of four times four digits
@@ -30,7 +30,8 @@ _OPEN, _CLOSE = r"(?<![0-9A-Za-z])", r"(?![0-9A-Za-z])"
 _QUADS, _TAIL = r"[0-9]{4}(?:[ -][0-9]{4}){3}", r"[ -][0-9]{1,3}(?![ ./-]?[0-9])"
 _PRINTED = rf"(?:{_QUADS}(?:{_TAIL}{_CLOSE})?|[0-9]{{4}}[ -][0-9]{{6}}[ -][0-9]{{5}}|[0-9]{{13,19}}){_CLOSE}"
 PATTERNS = {
-    "email": r"(?<![A-Za-z0-9._%+-])[A-Za-z0-9._%+-]+@[A-Za-z0-9-]+(?:\.[A-Za-z0-9-]+)*\.[A-Za-z]{2,}" + _CLOSE,
+    # A host has at most 127 labels; the pattern library recurses over repeated groups, so they need a bound.
+    "email": r"(?<![A-Za-z0-9._%+-])[A-Za-z0-9._%+-]+@[A-Za-z0-9-]+(?:\.[A-Za-z0-9-]+){0,125}\.[A-Za-z]{2,}" + _CLOSE,
     "iban": _OPEN + r"[A-Z]{2}[0-9]{2}(?: ?[A-Z0-9]{4}){2,7}(?: ?[A-Z0-9]{1,3})?" + _CLOSE,
     "date": _OPEN + r"(?:[0-9]{4}-[0-9]{2}-[0-9]{2}|[0-9]{2}/[0-9]{2}/[0-9]{4}|[0-9]{2}\.[0-9]{2}\.[0-9]{4})" + _CLOSE,
     "ip": r"(?<![0-9A-Za-z.])[0-9]{1,3}(?:\.[0-9]{1,3}){3}(?![0-9A-Za-z]|\.[0-9])",
@@ -43,11 +44,6 @@ ANY = "|".join(f"(?:{pattern})" for pattern in PATTERNS.values())
 KINDS = list(PATTERNS)
 
 
-def let(value: Column, use: Callable[[Column], Column]) -> Column:
-    """``use(value)`` with the value computed once, however often it is used."""
-    return F.transform(F.array(value), use)[0]
-
-
 def number(text: Column) -> Column:
     return F.when(F.length(text) == 0, F.lit(0)).otherwise(text.cast("long")).cast("long")
 
@@ -344,25 +340,24 @@ def pseudonyms(
     def length(one: Column) -> Column:
         return F.when(one["kind"] == "card", card_length(one["match"])).otherwise(F.char_length(one["match"]))
 
-    def placed(state: Column, one: Column) -> Column:
-        start = state["at"] + one["gap"]
-        end = start + F.coalesce(F.char_length(one["match"]), F.lit(0))
-        span = F.array(F.struct(start.alias("start"), (start + one["length"]).alias("end"), one["kind"].alias("kind")))
-        found = F.when(one["fresh"].isNotNull(), F.concat(state["found"], span)).otherwise(state["found"])
-        return F.struct(end.alias("at"), found.alias("found"))
+    def span(at: Column, one: Column) -> Column:
+        start = at + one["gap"]
+        return F.when(one["fresh"].isNotNull(), F.struct(
+            start.alias("start"), (start + one["length"]).alias("end"), one["kind"].alias("kind")
+        ))
 
     first = once(docs, _matches=F.transform(F.transform(F.regexp_extract_all(original, F.lit(ANY), F.lit(0)), judged), moved))
     some = F.exists("_matches", lambda one: one["fresh"].isNotNull())
     second = once(first, _gaps=F.when(some, F.split(original, ANY, -1)))
     fresh = F.zip_with("_gaps", "_matches", lambda gap, one: F.concat(gap, F.coalesce(one["fresh"], one["match"], F.lit(""))))
     pieces = F.zip_with("_gaps", "_matches", lambda gap, one: F.struct(
-        F.char_length(gap).alias("gap"), one["match"].alias("match"), one["kind"].alias("kind"), one["fresh"].alias("fresh"),
-        length(one).alias("length"),
+        F.char_length(gap).alias("gap"), F.coalesce(F.char_length(one["match"]), F.lit(0)).alias("size"),
+        one["kind"].alias("kind"), one["fresh"].alias("fresh"), length(one).alias("length"),
     ))
-    none = F.array().cast("array<struct<start:int,end:int,kind:string>>")
-    start = F.struct(F.lit(0).alias("at"), none.alias("found"))
+    kind = "array<struct<start:int,end:int,kind:string>>"
+    found = F.filter(running(pieces, F.lit(0), lambda one: one["gap"] + one["size"], add, span), lambda one: one.isNotNull())
     third = once(second, **{into: F.struct(
         F.when(some, F.array_join(fresh, "")).otherwise(original).alias("text"),
-        F.when(some, F.aggregate(pieces, start, placed, lambda state: state["found"])).otherwise(none).alias("found"),
+        F.when(some, found.cast(kind)).otherwise(F.array().cast(kind)).alias("found"),
     )})
     return third.drop("_matches", "_gaps")

@@ -13,7 +13,7 @@ from __future__ import annotations
 import numpy as np
 from pyspark.sql import Column, DataFrame, functions as F
 
-from .spans import once, spans
+from .spans import apart, once, spans
 
 # The base patterns, their order, and the smallest length of what they must match.
 ASSIGN = r"""((?i:password|passwd|secret|token|api_?key))["']?\x20*[:=]\x20*["']?([A-Za-z0-9+/_.=-]+)"""
@@ -63,9 +63,13 @@ def samples(docs: DataFrame, text: str = "text", sample_docs: int = SAMPLE_DOCS)
 
 def codes(value: Column) -> Column:
     """Each pair of neighbouring characters, edges included, as one number."""
-    edged = F.concat(F.lit(chr(EDGE)), value, F.lit(chr(EDGE)))
-    places = F.sequence(F.lit(1), F.char_length(value) + 1)
-    return F.transform(places, lambda i: F.ascii(F.substr(edged, i, F.lit(1))) * 128 + F.ascii(F.substr(edged, i + 1, F.lit(1))))
+    edge, size = F.array(F.lit(EDGE)), F.char_length(value) + 1
+    numbers = F.concat(edge, F.transform(F.split(value, ""), F.ascii), edge)  # an empty pattern splits into characters
+
+    def pairs(all_: Column) -> Column:
+        return F.zip_with(F.slice(all_, F.lit(1), size), F.slice(all_, F.lit(2), size), lambda one, next_: one * 128 + next_)
+
+    return F.transform(F.array(numbers), pairs)[0]
 
 
 def train(labelled: DataFrame) -> np.ndarray:
@@ -107,8 +111,5 @@ def scan_secrets(
     found = base_spans(value) | {"markov": spans(value, CANDIDATE, "markov", 3, random)}
     first = once(docs, **{into: F.struct(*[column.alias(name) for name, column in found.items()])})
     base = F.concat(*[F.col(f"`{into}`.{name}") for name in ("assign", "access", "hex")])
-    apart = F.filter(
-        F.col(f"`{into}`.markov"),
-        lambda s: ~F.exists(base, lambda b: (b["start"] < s["end"]) & (s["start"] < b["end"])),
-    )
-    return first.withColumn(into, F.col(f"`{into}`").withField("markov", apart))
+    rest = apart(F.col(f"`{into}`.markov"), base)
+    return first.withColumn(into, F.col(f"`{into}`").withField("markov", rest))

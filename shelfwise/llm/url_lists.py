@@ -78,13 +78,11 @@ def judge_captures(
     ``captures`` must have a timestamp without time zone in ``fetched``; ``entries`` has key, action and since.
     """
     time = F.col(f"`{fetched}`")
-    bounds = captures.agg(F.min(month_of(time)).alias("first"), F.max(month_of(time)).alias("last")).first()
-    first, last = (bounds.first, bounds.last) if bounds.first is not None else (0, 0)
-    months = F.sequence(
-        F.greatest(month_of(F.col("valid_from")), F.lit(first)), F.least(month_of(F.col("valid_to")), F.lit(last))
-    )
-    overlap = (month_of(F.col("valid_from")) <= last) & (month_of(F.col("valid_to")) >= first)
-    monthly = intervals(entries).filter(overlap).select("*", F.explode(months).alias("month"))
+    # The months that captures have: no more than a calendar has, and nearly always a few hundred at most.
+    months = sorted(row.month for row in captures.select(month_of(time).alias("month")).distinct().collect() if row.month is not None)
+    first, last = month_of(F.col("valid_from")), month_of(F.col("valid_to"))
+    held = F.filter(F.array(*map(F.lit, months)).cast("array<int>"), lambda month: (month >= first) & (month <= last))
+    monthly = intervals(entries).select("*", F.explode(held).alias("month"))
     different = captures.select(F.col(f"`{url}`").alias("url"), time.alias("at")).filter("at IS NOT NULL").distinct()
     probes = different.select(
         *[F.xxhash64(F.lit(seed), "url", "at").alias(f"row{seed}") for seed in (1, 2)], "at", month_of(F.col("at")).alias("month"),
