@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import gc
 import tempfile
 import uuid
 
@@ -32,4 +33,20 @@ def materialized(df: DataFrame, name: str) -> DataFrame:
     executors that did it."""
     path = shared_path(df.sparkSession, name)
     df.write.parquet(path)
-    return df.sparkSession.read.schema(df.schema).parquet(path)
+    stored = df.sparkSession.read.schema(df.schema).parquet(path)
+    stored._shared_path = path
+    return stored
+
+
+def discard(*tables: DataFrame) -> None:
+    """Deletes what ``materialized`` wrote, once all that reads it is stored itself."""
+    for table in tables:
+        place = table.sparkSession._jvm.org.apache.hadoop.fs.Path(table._shared_path)
+        place.getFileSystem(table.sparkSession._jsc.hadoopConfiguration()).delete(place, True)
+
+
+def release_shuffles(spark: SparkSession) -> None:
+    """Lets Spark delete the shuffle files of queries that are done. It does so when the driver collects garbage, which
+    a driver with little to do puts off while the disks of the executors fill."""
+    gc.collect()
+    spark._jvm.System.gc()
