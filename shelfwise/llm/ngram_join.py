@@ -38,7 +38,7 @@ import pyarrow as pa
 import xxhash
 from pyspark.sql import DataFrame, functions as F
 
-from ..sources.shared import materialized
+from ..sources.shared import discard, materialized, release_shuffles
 from .components import connected_components
 from .texts import folded, row_key, shingle_hashes, spread, word_hashes, words_of
 
@@ -289,7 +289,7 @@ def apart(lists: DataFrame, percent: int) -> DataFrame:
 
 def whole_sets(nodes: DataFrame, docs: DataFrame, classes: DataFrame, doc_id: str, text: str, shingle: int) -> DataFrame:
     """(node, set) of these classes, read from the documents that stand for them."""
-    needed = nodes.join(classes.select("node", "rep"), "node")
+    needed = nodes.join(classes.select("node", "row1"), "node")
 
     def sets(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         known: dict[bytes, int] = {}
@@ -297,13 +297,13 @@ def whole_sets(nodes: DataFrame, docs: DataFrame, classes: DataFrame, doc_id: st
             nodes, sets = [], []
             for node, one in zip(batch.column("node"), batch.column("text")):
                 found = shingle_set(one.as_py(), shingle, known).tobytes()
-                if xxhash.xxh3_128_digest(found) == node.as_py():  # rows may share a doc_id
+                if xxhash.xxh3_128_digest(found) == node.as_py():  # half a row key may be that of another row too
                     nodes.append(node.as_py())
                     sets.append(found)
             yield pa.RecordBatch.from_arrays([pa.array(nodes, pa.binary()), pa.array(sets, pa.binary())], names=["node", "set"])
 
-    plain = docs.select(F.col(f"`{doc_id}`").alias("id"), F.col(f"`{text}`").alias("text"))
-    chosen = plain.join(needed, F.col("id").eqNullSafe(F.col("rep"))).select("node", "text")
+    plain = docs.select(row_key(doc_id, text)[0].alias("row1"), F.col(f"`{text}`").alias("text"))
+    chosen = plain.join(needed, "row1").select("node", "text")
     return chosen.mapInArrow(sets, "node binary, set binary").dropDuplicates(["node"])
 
 
@@ -330,7 +330,8 @@ def class_links(
     docs: DataFrame, rows: DataFrame, classes: DataFrame, doc_id: str, text: str, shingle: int, percent: int, heavy: int,
     chunk: int,
 ) -> DataFrame:
-    """(node, label) of every class that is linked with another one."""
+    """(node, label) of every class that is linked with another one. ``rows`` is deleted when its lists are stored."""
+    spark = rows.sparkSession
     held = rows.select(F.explode("elements").alias("key")).groupBy("key").agg(F.count("*").alias("n"))
     held = materialized(held.filter(F.col("n") > heavy), "heavy")
     total = rows.agg(F.coalesce(F.sum(F.size("elements")), F.lit(0))).first()[0]
@@ -354,6 +355,8 @@ def class_links(
         "more",
     )
     lists = materialized(lists, "lists")
+    discard(rows, held, counts)
+    release_shuffles(spark)
 
     first = materialized(scanned(lists, percent), "leaders")
     several = lists.filter("chunks > 1")
@@ -361,13 +364,17 @@ def class_links(
     again = several.join(leading, ["key", "node"], "left_semi").withColumn("chunk", F.lit(-1))
     found = first.unionByName(scanned(again, percent)).filter("leader IS NOT NULL")
     found = materialized(found, "candidates")
+    discard(first)
+    release_shuffles(spark)
     pairs = found.select(F.least("leader", "node").alias("u"), F.greatest("leader", "node").alias("v")).distinct()
     pairs = materialized(pairs, "pairs")
     active = lists.join(found.select("key").distinct(), "key", "left_semi")
     sets = whole_sets(active.select("node").distinct(), docs, classes, doc_id, text, shingle)
     sets = materialized(sets, "shingle-sets")
+    release_shuffles(spark)
     links = materialized(verified(pairs, sets, percent), "links")
     labels = materialized(connected_components(links), "labels")
+    release_shuffles(spark)
 
     # Round two: only lists in which some sets may link, and in these only pairs with different labels.
     active = active.join(labels, "node", "left").withColumn("label", F.coalesce("label", "node"))
@@ -391,17 +398,23 @@ def labelled_rows(
 ) -> DataFrame:
     """(doc_id, row1, row2, n_shingles, label, component): each document with its row key, what its component is called
     internally (null for an empty set) and the smallest doc_id there."""
+    spark = docs.sparkSession
     rows = materialized(described(docs, doc_id, text, shingle, percent), "sets")
     values = [F.min(name).alias(name) for name in ("n_shingles", "bits", "more")]  # equal within a class
-    classes = rows.filter("node IS NOT NULL").groupBy("node").agg(F.min("doc_id").alias("rep"), *values)
+    classes = rows.filter("node IS NOT NULL").groupBy("node").agg(
+        F.min("doc_id").alias("rep"), F.min("row1").alias("row1"), *values  # a row that stands for the class, by its key
+    )
     classes = materialized(classes, "classes")
+    slim = materialized(rows.select("doc_id", "row1", "row2", "n_shingles", "node"), "row-classes")
     labels = class_links(docs, rows, classes, doc_id, text, shingle, percent, heavy, chunk)
     labelled = classes.select("node", "rep").join(labels, "node", "left").select(
         "node", "rep", F.coalesce("label", "node").alias("label")
     )
     smallest = labelled.groupBy("label").agg(F.min("rep").alias("component"))
     named = materialized(labelled.join(smallest, "label").select("node", "label", "component"), "components")
-    return rows.select("doc_id", "row1", "row2", "n_shingles", "node").join(named, "node", "left").drop("node")
+    discard(classes)
+    release_shuffles(spark)
+    return slim.join(named, "node", "left").drop("node")
 
 
 def jaccard_components(
