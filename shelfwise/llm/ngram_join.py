@@ -293,22 +293,39 @@ def whole_sets(nodes: DataFrame, docs: DataFrame, classes: DataFrame, doc_id: st
 
     def sets(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         known: dict[bytes, int] = {}
+        seen: set[bytes] = set()  # equal rows come to one task, but for a few splits; a node more than once does no harm
         for batch in batches:
             nodes, sets = [], []
-            for node, one in zip(batch.column("node"), batch.column("text")):
+            for node, one in zip(batch.column("node").to_pylist(), batch.column("text")):
+                if node in seen:
+                    continue
                 found = shingle_set(one.as_py(), shingle, known).tobytes()
-                if xxhash.xxh3_128_digest(found) == node.as_py():  # half a row key may be that of another row too
-                    nodes.append(node.as_py())
+                if xxhash.xxh3_128_digest(found) == node:  # half a row key may be that of another row too
+                    seen.add(node)
+                    nodes.append(node)
                     sets.append(found)
             yield pa.RecordBatch.from_arrays([pa.array(nodes, pa.binary()), pa.array(sets, pa.binary())], names=["node", "set"])
 
     plain = docs.select(row_key(doc_id, text)[0].alias("row1"), F.col(f"`{text}`").alias("text"))
     chosen = plain.join(needed, "row1").select("node", "text")
-    return chosen.mapInArrow(sets, "node binary, set binary").dropDuplicates(["node"])
+    return chosen.mapInArrow(sets, "node binary, set binary")
+
+
+def linked(
+    pairs: DataFrame, docs: DataFrame, classes: DataFrame, doc_id: str, text: str, shingle: int, percent: int
+) -> DataFrame:
+    """The pairs (u, v) whose whole sets are linked. Only the sets of these pairs are read; they are deleted at the end."""
+    nodes = pairs.select(F.col("u").alias("node")).unionByName(pairs.select(F.col("v").alias("node"))).distinct()
+    sets = materialized(whole_sets(nodes, docs, classes, doc_id, text, shingle), "shingle-sets")
+    release_shuffles(docs.sparkSession)
+    links = materialized(verified(pairs, sets, percent), "links")
+    discard(sets)
+    release_shuffles(docs.sparkSession)
+    return links
 
 
 def verified(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
-    """The pairs (u, v) whose whole sets are linked."""
+    """The pairs (u, v) whose whole ``sets`` are linked."""
 
     def link(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -369,10 +386,7 @@ def class_links(
     pairs = found.select(F.least("leader", "node").alias("u"), F.greatest("leader", "node").alias("v")).distinct()
     pairs = materialized(pairs, "pairs")
     active = lists.join(found.select("key").distinct(), "key", "left_semi")
-    sets = whole_sets(active.select("node").distinct(), docs, classes, doc_id, text, shingle)
-    sets = materialized(sets, "shingle-sets")
-    release_shuffles(spark)
-    links = materialized(verified(pairs, sets, percent), "links")
+    links = linked(pairs, docs, classes, doc_id, text, shingle, percent)
     labels = materialized(connected_components(links), "labels")
     release_shuffles(spark)
 
@@ -388,8 +402,12 @@ def class_links(
     rest = apart(home.unionByName(others), percent)
     rest = rest.select(F.least("u", "v").alias("u"), F.greatest("u", "v").alias("v")).distinct()
     rest = materialized(rest.join(pairs, ["u", "v"], "left_anti"), "pairs")
-    more = verified(rest, sets, percent)
-    return connected_components(links.unionByName(more)) if rest.take(1) else labels
+    discard(lists)
+    release_shuffles(spark)
+    if not rest.take(1):
+        return labels
+    more = linked(rest, docs, classes, doc_id, text, shingle, percent)
+    return connected_components(links.unionByName(more))
 
 
 def labelled_rows(
