@@ -385,16 +385,20 @@ def class_links(
     release_shuffles(spark)
     pairs = found.select(F.least("leader", "node").alias("u"), F.greatest("leader", "node").alias("v")).distinct()
     pairs = materialized(pairs, "pairs")
-    active = lists.join(found.select("key").distinct(), "key", "left_semi")
     links = linked(pairs, docs, classes, doc_id, text, shingle, percent)
     labels = materialized(connected_components(links), "labels")
     release_shuffles(spark)
 
     # Round two: only lists in which some sets may link, and in these only pairs with different labels.
-    active = active.join(labels, "node", "left").withColumn("label", F.coalesce("label", "node"))
+    active = lists.select("key", "node").join(found.select("key").distinct(), "key", "left_semi").join(labels, "node", "left")
+    active = materialized(active.withColumn("label", F.coalesce("label", "node")), "active")
     sizes = active.groupBy("key", "label").agg(F.count("*").alias("m"))
     summary = sizes.groupBy("key").agg(F.count("*").alias("labels"), F.max_by("label", "m").alias("main")).filter("labels > 1")
-    mixed = active.join(summary, "key")
+    summary = materialized(summary.select("key", "main"), "mixed-keys")
+    release_shuffles(spark)
+    mixed = materialized(lists.join(active.join(summary, "key"), ["key", "node"]), "mixed")
+    discard(lists, active)
+    release_shuffles(spark)
     home = mixed.withColumn("away", F.lit(False))
     others = mixed.filter(F.col("label") != F.col("main")).select(
         "*", F.lit(True).alias("away"), F.explode(F.sequence(F.lit(0), F.col("chunks") - 1)).alias("visited")
@@ -402,7 +406,7 @@ def class_links(
     rest = apart(home.unionByName(others), percent)
     rest = rest.select(F.least("u", "v").alias("u"), F.greatest("u", "v").alias("v")).distinct()
     rest = materialized(rest.join(pairs, ["u", "v"], "left_anti"), "pairs")
-    discard(lists)
+    discard(mixed)
     release_shuffles(spark)
     if not rest.take(1):
         return labels
