@@ -18,8 +18,10 @@ NEAR_SHINGLE, NEAR_PERCENT = 5, 80
 
 
 def good_quality(spark: SparkSession, docs: DataFrame, folder: str) -> DataFrame:
-    """Drops documents that the quality rules reject."""
-    return rules.quality_rules(docs, into="_found").filter("_found.kept").drop("_found")
+    """Drops documents that the quality rules reject, by the limits that all documents give."""
+    limits = rules.derived_limits(docs)
+    found = rules.quality_rules(docs, into="_found", most_bad=rules.MAX_BAD_DERIVED, limits=limits)
+    return found.filter("_found.kept").drop("_found")
 
 
 def without_repeated_lines(spark: SparkSession, docs: DataFrame, folder: str) -> DataFrame:
