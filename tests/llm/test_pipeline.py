@@ -47,8 +47,8 @@ def groups(docs):
     return {i for i in label if root(i) == i}
 
 
-def expected(docs, items):
-    kept = [(i, t) for i, t in docs if quality_rules.judged(t or "", 3, 4096, quality_rules.BANDS, 0.5)[-1]]
+def expected(docs, items, limits):
+    kept = [(i, t) for i, t in docs if quality_rules.judged(t or "", 3, 4096, quality_rules.BANDS, 0.25, limits)[-1]]
     after = [(i, text) for i, _, _, text in test_line_dedup.brute(kept)]
     stay = groups(after)
     after = [(i, text) for i, text in after if i in stay]
@@ -61,13 +61,23 @@ def test_pipeline_against_brute_force(spark, larger):
     items = [tuple(row) for row in spark.read.parquet(f"{larger}/benchmark.parquet").collect()]
     library = Tokenizer.from_file(vocabulary_path())
     rows = {row.doc_id: row for row in pipeline.run(spark, larger).collect()}
-    left = expected(docs, items)
+    left = expected(docs, items, quality_rules.derived_limits(documents(spark, larger)))
     assert set(rows) == set(left) and 0 < len(left) < len(docs)
     for i, row in rows.items():
         assert row.round_trip and row.n_tokens == len(row.ids)
         assert row.ids == library.encode(left[i], add_special_tokens=False).ids
 
 
+def test_quality_stage_rejects_by_derived_limits(spark, larger):
+    docs = documents(spark, larger)
+    stays = pipeline.good_quality(spark, docs, larger).select("doc_id")
+    base = quality_rules.quality_rules(docs).filter("NOT quality_rules.base_failed")
+    labels = spark.read.parquet(f"{larger}/labels.parquet")
+    lost = base.join(stays, "doc_id", "left_anti")
+    quality = {row.quality: row["count"] for row in lost.join(labels, "doc_id").groupBy("quality").count().collect()}
+    assert quality.get(0, 0) >= 10 and set(quality) == {0}
+
+
 def test_stages_keep_the_columns(spark, make_docs, awkward, testdata):
     benchmark_folder = testdata
     docs = make_docs(*awkward)
