@@ -6,11 +6,12 @@
 from __future__ import annotations
 
 from collections.abc import Sequence
+from concurrent.futures import ThreadPoolExecutor
 
 from pyspark.ml import Estimator, Model
 from pyspark.ml.feature import VectorAssembler
 from pyspark.ml.regression import GBTRegressor
-from pyspark.sql import Column, DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, Row, functions as F
 
 from ..settings import (
     ACTUAL_TYPE, CONTRACTION, FORECAST_DEPTH, FORECAST_SEED, FORECAST_STEPS, FORECAST_TREES, FORECAST_TYPE,
@@ -18,6 +19,7 @@ from ..settings import (
 )
 from ..sources.shared import materialized
 from .series import observed_months, series_window
+from .trees import is_tree_model, leaves_of, prediction_sql
 
 FEATURES = ["Month", "Year", "Time_Index", "Lag_1", "Lag_2", "Rolling_Mean"]
 TRAINED = "trained"
@@ -123,10 +125,44 @@ def fit_model(features: DataFrame, regressor: Estimator) -> Model:
     return regressor.copy({regressor.getParam("labelCol"): _LABEL}).fit(training)
 
 
-def _predict(model: Model, observed: DataFrame, series_keys: Sequence[str], steps: int) -> DataFrame:
-    """Predict month after month, each prediction becoming the next month's lag. All series advance together: the
-    loop is over the steps, its state one row per series."""
+def _predict(model: Model | DataFrame, observed: DataFrame, series_keys: Sequence[str], steps: int) -> DataFrame:
+    """Predict month after month, each prediction becoming the next month's lag.
+
+    Trees, fitted or as a table of leaves, are one expression per series. Other models transform the state of all series,
+    one row each, once per step.
+    """
     state = _series_state(observed, series_keys)
+    if isinstance(model, DataFrame):
+        return _predict_by_leaves(model.collect(), state, series_keys, steps)
+    if is_tree_model(model):
+        return _predict_by_leaves(leaves_of(model), state, series_keys, steps)
+    return _predict_by_transform(model, state, series_keys, steps)
+
+
+def _predict_by_leaves(leaves: Sequence[Row], state: DataFrame, series_keys: Sequence[str], steps: int) -> DataFrame:
+    """The recursion as an aggregate over the steps, in the task that holds the series."""
+    month = "add_months(_last_month, step)"
+    values = {
+        "Month": f"month({month})", "Year": f"year({month})", "Time_Index": "_months + step - 1",
+        "Lag_1": "last.r1", "Lag_2": "last.r2", "Rolling_Mean": "(last.r3 + last.r2 + last.r1) / 3",
+    }
+    row = ", ".join(f"'{name}', CAST({values[name]} AS DOUBLE)" for name in FEATURES)
+    # An array of one element names what the model reads many times, so that it is worked out once.
+    predicted = f"transform(array(named_struct({row})), f -> {prediction_sql(leaves, FEATURES, 'f')})"
+    advanced = "named_struct('r1', p, 'r2', last.r1, 'r3', last.r2, 'found', concat(last.found, array(p)))"
+    found = F.expr(f"""aggregate(
+        {f'sequence(1, {steps})' if steps > 0 else 'CAST(array() AS array<int>)'},
+        named_struct('r1', _r1, 'r2', _r2, 'r3', _r3, 'found', CAST(array() AS array<double>)),
+        (last, step) -> transform({predicted}, p -> {advanced})[0],
+        last -> last.found)""")
+    months = state.select(*series_keys, "_last_month", F.posexplode(found).alias("_step", "Revenue"))
+    step = F.col("_step") + 1
+    return months.select(
+        *series_keys, step.alias("Step"), F.add_months("_last_month", step).alias("YearMonth"), "Revenue"
+    )
+
+
+def _predict_by_transform(model: Model, state: DataFrame, series_keys: Sequence[str], steps: int) -> DataFrame:
     kept = [*series_keys, "_last_month", "_months"]
     predictions: list[str] = []
     for step in range(1, steps + 1):
@@ -182,12 +218,13 @@ def forecast(
     seed: int = FORECAST_SEED,
     leak_free: bool = False,
     regressor: Estimator | None = None,
-    model: Model | None = None,
+    model: Model | DataFrame | None = None,
 ) -> DataFrame:
     """``steps`` predicted months per series; series with too few training months have none.
 
     ``regressor`` takes any Spark ML regression estimator instead of the default boosted trees. A ``model`` fitted before
-    (see :func:`fit_forecast`; ``model.save`` keeps it, ``GBTRegressionModel.load`` brings it back) is used as it is.
+    (see :func:`fit_forecast`) is used as it is, also as its table of leaves (``trees.leaf_table``), which can be stored
+    like any other table.
     """
     if model is not None:
         return _predict(model, observed_months(s, series_keys), series_keys, steps)
@@ -291,3 +328,52 @@ def tune_forecast(
             error(_predict(model, before, series_keys, steps)),
         ))
     return s.sparkSession.createDataFrame(rows, "Trees int, Depth int, RMSE double")
+
+
+def rolling_origin(
+    s: DataFrame,
+    grid: Sequence[dict[str, int | float]],
+    cutoffs: Sequence[str],
+    series_keys: Sequence[str] = (),
+    steps: int = FORECAST_STEPS,
+    seed: int = FORECAST_SEED,
+    leak_free: bool = False,
+    parallel_fits: int = 4,
+) -> DataFrame:
+    """Errors by cut-off and step ahead, of each parameter set in ``grid`` and of the baseline (0 trees of depth 0).
+
+    The months before a cut-off make a fold, which is one more series key: features, states and errors of all folds come
+    from the same jobs. Only fits are apart, ``parallel_fits`` at a time, as each is a chain of small jobs that leaves
+    most of a cluster idle. A fold takes part with the series that have enough months in it; steps without a complete
+    month to compare with are left out, and so are folds in which no series can be learned from.
+
+    ``Series`` is the number of series compared, ``RMSE`` and ``MAE`` are over them.
+    """
+    spark, keys = s.sparkSession, ["Cutoff", *series_keys]
+    observed = materialized(observed_months(s, series_keys), "months")
+    folds = F.array(*[F.lit(cutoff).cast("date") for cutoff in sorted(set(cutoffs))])
+    later = F.filter(folds, lambda cutoff: F.col("YearMonth") < cutoff)
+    before = observed.withColumns({"Cutoff": F.explode(later), "Is_Complete": F.lit(True)})
+    actual = observed.where("Is_Complete").select(*series_keys, "YearMonth", F.col("Revenue").cast("double").alias("_actual"))
+    features = materialized(forecast_features(_trainable(before, keys), keys, leak_free), "features")
+    learnable = [row.Cutoff for row in features.select("Cutoff").distinct().collect()] if grid else []
+
+    def labelled(predicted: DataFrame, trees: int, depth: int) -> DataFrame:
+        return predicted.withColumns({"Trees": F.lit(trees), "Depth": F.lit(depth)})
+
+    def fitted(job: tuple) -> DataFrame:
+        cutoff, params = job
+        regressor = _boosted_trees(FORECAST_TREES, FORECAST_DEPTH, seed).setParams(**params)
+        model = fit_model(features.where(F.col("Cutoff") == cutoff), regressor)
+        predicted = _predict(model, before.where(F.col("Cutoff") == cutoff), keys, steps)
+        return labelled(predicted, regressor.getMaxIter(), regressor.getMaxDepth())
+
+    predicted = labelled(_baseline(before, keys, steps), 0, 0)
+    with ThreadPoolExecutor(parallel_fits) as pool:
+        for one in pool.map(fitted, [(cutoff, params) for cutoff in sorted(learnable) for params in grid]):
+            predicted = predicted.unionByName(one)
+    both = predicted.where(F.col("YearMonth") >= F.col("Cutoff")).join(actual, [*series_keys, "YearMonth"])
+    error = F.col("Revenue") - F.col("_actual")
+    return both.groupBy("Cutoff", "Step", "Trees", "Depth").agg(
+        F.count("*").alias("Series"), F.sqrt(F.avg(error * error)).alias("RMSE"), F.avg(F.abs(error)).alias("MAE")
+    )

@@ -22,14 +22,14 @@ def dashboard(
     brands: Sequence[str | None] | None = None,
     label: str = UNMAPPED_LABEL,
     with_forecast: bool = True,
-    model: Model | None = None,
+    model: Model | DataFrame | None = None,
 ) -> dict[str, DataFrame]:
     """Result tables for a filter context and period, from the stored daily totals (``plans.build.read_daily``) or any
     frame of their columns, such as the wide one.
 
     Tiles, growth, targets and monthly series share one frame of day totals, stored because it has at most one row per
     calendar day; the other tables each scan the columns they need. With a ``model`` that ``forecast.fit_forecast`` gave
-    after the last load, no look at the dashboard fits one.
+    after the last load, or its stored table of leaves, no look at the dashboard fits one.
     """
     s = apply_context(daily, clients, cities, brands)
     p = apply_period(s, period)

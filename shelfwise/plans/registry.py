@@ -13,7 +13,7 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from ..functions import city_of, parse_price_any, report
 from ..operators import (
-    context, contracts, forecast as fc, gold, incremental, kpi, positioning as pos, quality, series, silver,
+    context, contracts, forecast as fc, gold, incremental, kpi, positioning as pos, quality, series, silver, trees,
 )
 from ..operators.context import Period
 from ..sources import trade_tables as tables
@@ -32,6 +32,19 @@ PANEL = ["Client"]
 CLIENTS, CITIES, BRANDS = ["ASIA", "EUROPE", None], ["Unknown", "NATION_2", "NATION_8", "NATION_12"], ["Brand#1", "Brand#12"]
 TUNING_GRID = [{"maxIter": trees, "maxDepth": depth} for trees, depth in ((20, 2), (20, 3), (100, 3))]
 TUNING_CUTOFF = "2000-11-01"
+ROLLING_CUTOFFS = ["2000-05-01", "2000-11-01", "2001-05-01"]
+# A kept model as fixed values: per leaf the tree, the bounds of its features and what it adds.
+KEPT_MODEL = [
+    (0, {"Lag_1": (None, 1.2e10)}, 1.0e10),
+    (0, {"Lag_1": (1.2e10, 1.8e10)}, 1.5e10),
+    (0, {"Lag_1": (1.8e10, None)}, 2.2e10),
+    (1, {"Rolling_Mean": (None, 1.5e10), "Month": (None, 2.5)}, -5e8),
+    (1, {"Rolling_Mean": (None, 1.5e10), "Month": (2.5, None)}, 2.5e9),
+    (1, {"Rolling_Mean": (1.5e10, None), "Lag_2": (None, 2.0e10)}, 1.25e9),
+    (1, {"Rolling_Mean": (1.5e10, None), "Lag_2": (2.0e10, None)}, -4.5e9),
+    (2, {"Time_Index": (None, 84.5)}, 1e8),
+    (2, {"Time_Index": (84.5, None)}, -2.5e8),
+]
 
 _stored: dict[tuple[str, str, str], str] = {}
 _opened: dict[tuple[str, str], Snapshot] = {}
@@ -140,6 +153,18 @@ def _forecast_panel(spark: SparkSession, folder: str) -> DataFrame:
     return fc.forecast(daily(spark, folder), PANEL)
 
 
+def kept_model(spark: SparkSession) -> DataFrame:
+    rows = []
+    for number, (tree, bounds, value) in enumerate(KEPT_MODEL):
+        low, high = zip(*[bounds.get(feature, (None, None)) for feature in fc.FEATURES])
+        rows.append((tree, number, list(low), list(high), value))
+    return spark.createDataFrame(rows, trees.LEAVES)
+
+
+def _forecast_kept(spark: SparkSession, folder: str) -> DataFrame:
+    return fc.forecast(daily(spark, folder), PANEL, model=kept_model(spark))
+
+
 def _dims(spark: SparkSession, folder: str) -> dict[str, DataFrame]:
     stored = star(spark, folder)
     return {name: stored[name] for name in ("Dim_Date", "Dim_Item", "Dim_Store")}
@@ -333,6 +358,10 @@ def _queries() -> dict[str, Query]:
         "forecast_baseline_direction": lambda spark, folder: fc.forecast_direction(
             fc.forecast_baseline(daily(spark, folder), PANEL), PANEL, fc.forecast_gate(daily(spark, folder), PANEL)
         ),
+        "forecast_kept_model": _forecast_kept,
+        "forecast_kept_direction": lambda spark, folder: fc.forecast_direction(_forecast_kept(spark, folder), PANEL),
+        "forecast_rolling": _on_daily(fc.rolling_origin, TUNING_GRID[:1], ROLLING_CUTOFFS, PANEL),
+        "forecast_rolling_baseline": _on_daily(fc.rolling_origin, [], ROLLING_CUTOFFS),
         "forecast_tuning": _on_daily(fc.tune_forecast, TUNING_GRID, TUNING_CUTOFF),
         # Ranking, contribution, positioning
         "top_city": _in_period(pos.top_city, YEAR),

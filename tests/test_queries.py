@@ -43,7 +43,7 @@ def test_matches_sql(spark, testdata, engine, name):
 def test_only_the_fitted_models_have_no_sql():
     own = {name for name in QUERIES if not re.match(r"op\d+_|pipeline$", name)}
     assert own - set(SQL) == {
-        "forecast_6m", "forecast_series", "forecast_direction", "forecast_panel", "forecast_tuning"
+        "forecast_6m", "forecast_series", "forecast_direction", "forecast_panel", "forecast_tuning", "forecast_rolling"
     }
 
 
