@@ -17,7 +17,7 @@ from ..operators import (
 )
 from ..operators.context import Period
 from ..sources import trade_tables as tables
-from ..sources.feeds import read_bronze, read_bronze_strict
+from ..sources.feeds import read_bronze, read_bronze_by_name, read_bronze_strict
 from ..sources.store import Snapshot, open_snapshot
 from ..sources.shared import shared_path
 from ..streaming.feed_stream import load_available, sales_stream
@@ -101,6 +101,16 @@ def _csv(spark: SparkSession, folder: str) -> str:
     return _once(spark, folder, "feeds", write)
 
 
+def _schema_drift(spark: SparkSession, folder: str) -> DataFrame:
+    """Cleaned sales from files of three contract versions."""
+    def write(root: str) -> None:
+        for version, df in tables.versions_of_sales(spark, folder).items():
+            df.write.option("header", True).option("escape", '"').csv(f"{root}/{version}")
+
+    path = _once(spark, folder, "feed-versions", write)
+    return silver.clean_sales(read_bronze_by_name(spark, path, "Sales", tables.RENAMED))
+
+
 def _bronze(feed: str) -> Query:
     return lambda spark, folder: read_bronze(spark, f"{_csv(spark, folder)}/{feed}.csv", feed)
 
@@ -387,6 +397,7 @@ def _queries() -> dict[str, Query]:
         "control_totals": _control_totals,
         # Contracts and incremental load
         "contract_violations": _contract_violations,
+        "schema_drift": _schema_drift,
         "price_regex_parse": _price_regex,
         "incremental_rows": _incremental_rows,
         "incremental_load": _incremental_load,

@@ -107,6 +107,21 @@ def feeds(spark: SparkSession, folder: str) -> dict[str, DataFrame]:
     }
 
 
+# What the columns of the sales feed are called in its third version.
+RENAMED = {"Day": "SALESDATE", "Store": "StoreID", "Units": "Vendas Unidades", "Price": "PVP"}
+
+
+def versions_of_sales(spark: SparkSession, folder: str) -> dict[str, DataFrame]:
+    """The sales feed as three groups of stores deliver it: as agreed; in another order; renamed, with two more columns."""
+    sales, group = sales_feed(spark, folder), F.substring("StoreID", 3, 6).cast("int") % 3
+    agreed, other, third = [sales.where(group == number) for number in range(3)]
+    renamed = third.select(
+        F.col("PVP").alias("Price"), F.col("SALESDATE").alias("Day"), F.lit("a, \"b\"").alias("Remark"),
+        F.col("Vendas Unidades").alias("Units"), "ITEMCODE", F.col("StoreID").alias("Store"), F.lit("till").alias("Channel"),
+    )
+    return {"agreed": agreed, "reordered": other.select(*reversed(other.columns)), "renamed": renamed}
+
+
 def reports_late() -> Column:
     """Sale lines of one store in seven."""
     return F.substring("StoreID", 3, 6).cast("int") % 7 == 0

@@ -3,6 +3,7 @@ import sys
 import pytest
 
 from shelfwise import __main__ as command
+from shelfwise.settings import CONTRACTION, GROWTH
 from shelfwise.operators import context, forecast as fc, kpi, positioning as pos, series
 from shelfwise.operators.context import Period
 from shelfwise.plans.build import build_gold, read_silver, read_wide
@@ -47,6 +48,22 @@ def test_load_and_show_commands(spark, testdata, tmp_path, monkeypatch, capsys):
     assert "pareto" in capsys.readouterr().out
 
 
+def test_commands_with_another_column_order_and_a_kept_model(spark, testdata, tmp_path, monkeypatch, capsys):
+    raw, stored, model = tmp_path / "raw", str(tmp_path / "tables"), str(tmp_path / "model")
+    for name, feed in tables.feeds(spark, testdata).items():
+        feed = feed.select(*reversed(feed.columns)).withColumnRenamed("SALESDATE", "Day")
+        feed.write.option("header", True).csv(str(raw / f"{name}.csv"))
+    for line in (["load", str(raw), stored, "--renamed", "Day=SALESDATE"], ["fit", stored, model, "--brand", "Brand#2"]):
+        monkeypatch.setattr(sys, "argv", ["shelfwise", *line])
+        command.main()
+    assert read_silver(spark, stored).count() == tables.sales_feed(spark, testdata).count()
+    monkeypatch.setattr(fc, "fit_model", None)
+    monkeypatch.setattr(sys, "argv", ["shelfwise", "show", stored, "--brand", "Brand#2", "--model", model])
+    command.main()
+    shown = capsys.readouterr().out
+    assert "direction" in shown and (GROWTH in shown or CONTRACTION in shown)
+
+
 def test_finer_prices_are_stored_and_summed_exactly(spark, tmp_path):
     from shelfwise import schemas
 
