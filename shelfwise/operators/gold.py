@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, functions as F
 
-from ..functions.text import city_of
+from ..functions.text import city_of, parse_units
 from ..settings import UNMAPPED_BRAND, UNMAPPED_CATEGORY, UNMAPPED_LABEL, UNMAPPED_SEGMENT
 
 
@@ -14,6 +14,18 @@ def is_sale(units: Column, price: Column) -> Column:
     return (units > 0) & (price >= 0)
 
 
+def reject_reason(raw_units: Column) -> Column:
+    """Why a line that is no sale is none, from its units as they came: there a zero and an unreadable text differ."""
+    units = parse_units(raw_units)
+    return (
+        F.when(raw_units.isNull(), F.lit("missing units"))
+        .when(units.isNull(), F.lit("unreadable units"))
+        .when(units < 0, F.lit("returned units"))
+        .when(units == 0, F.lit("zero units"))
+        .otherwise(F.lit("negative revenue"))
+    )
+
+
 def fact_sales(silver_sales: DataFrame) -> DataFrame:
     """Sale lines, not aggregated. ``Ano`` and ``Mes`` are the storage partitions."""
     return silver_sales.where(is_sale(F.col("Vendas_Unidades"), F.col("PVP"))).select(

@@ -7,9 +7,11 @@ from collections.abc import Mapping, Sequence
 from pyspark.sql import Column, DataFrame, functions as F
 
 from ..functions.measures import total, total_where
-from ..functions.text import date_key, parse_price, parse_units
+from ..functions.text import parse_price, parse_units
 from ..settings import UNMAPPED_LABEL
-from .gold import is_sale
+from .gold import is_sale, reject_reason
+
+KIND_OF_KEY = {"ITEMCODE": "item", "StoreID": "store", "DateKey": "day"}  # in the totals by code and month
 
 
 def _count(condition: Column) -> Column:
@@ -70,6 +72,23 @@ def audit_orphan_scopes(fact: DataFrame, scopes: Mapping[str, Mapping[str, tuple
         .select(F.lit(name).alias("Label"), "*")
         for name, key in keys.items()
     ])
+    return _orphans(used, scopes)
+
+
+def stored_orphans(months: DataFrame, scopes: Mapping[str, Mapping[str, tuple[DataFrame, str]]]) -> DataFrame:
+    """As :func:`audit_orphan_scopes`, from the totals by code and month that loads maintain instead of sale lines.
+    ``Orphan_Revenue`` of all months is the same decimal sum."""
+    labels = {KIND_OF_KEY[key]: name for dims in scopes.values() for name, (_, key) in dims.items()}
+    label = F.coalesce(*[F.when(F.col("Kind") == kind, F.lit(name)) for kind, name in labels.items()])
+    sold = months.where(F.col("Kind").isin(*labels) & (F.col("Sold") > 0))
+    used = sold.groupBy(label.alias("Label"), F.col("Code").alias("Key")).agg(
+        F.sum("Sold").alias("_lines"), total("Revenue").alias("_revenue")
+    )
+    return _orphans(used, scopes)
+
+
+def _orphans(used: DataFrame, scopes: Mapping[str, Mapping[str, tuple[DataFrame, str]]]) -> DataFrame:
+    """Of codes by ``Label`` and ``Key`` with their lines and revenue: what no dimension row stands for."""
     known = _union([
         dim.select(F.lit(name).alias("Label"), F.col(key).cast("string").alias("Key"), F.lit(scope).alias("Scope"))
         for scope, dims in scopes.items() for name, (dim, key) in dims.items()
@@ -93,15 +112,14 @@ def audit_rejects(bronze_sales: DataFrame) -> DataFrame:
     """
     raw = F.col("Vendas Unidades")
     units, price = parse_units(raw), F.coalesce(parse_price(F.col("PVP")), F.lit(0))
-    reason = (
-        F.when(raw.isNull(), F.lit("missing units"))
-        .when(units.isNull(), F.lit("unreadable units"))
-        .when(units < 0, F.lit("returned units"))
-        .when(units == 0, F.lit("zero units"))
-        .otherwise(F.lit("negative revenue"))
-    )
     rejected = bronze_sales.where(~is_sale(F.coalesce(units, F.lit(0)), price))
-    return rejected.groupBy(reason.alias("Reason")).agg(F.count(F.lit(1)).alias("Lines"))
+    return rejected.groupBy(reject_reason(raw).alias("Reason")).agg(F.count(F.lit(1)).alias("Lines"))
+
+
+def stored_rejects(months: DataFrame) -> DataFrame:
+    """As :func:`audit_rejects`, from the totals by reason and month that loads maintain."""
+    rejected = months.where(F.col("Kind") == "rejected").groupBy(F.col("Code").alias("Reason"))
+    return rejected.agg(F.sum("Lines").alias("Lines"))
 
 
 def _layer_totals(lines: DataFrame, layers: Mapping[str, Column], units: str, revenue: str) -> DataFrame:

@@ -10,6 +10,7 @@ from ..functions.text import date_key, parse_day, parse_price, parse_units
 from ..schemas import SALES
 from ..settings import PRICE_PRECISION, PRICE_SCALE
 from ..sources.feeds import CORRUPT
+from .gold import is_sale, reject_reason
 
 WRONG_FIELD_COUNT, MISSING_DATE, UNREADABLE_DATE = "wrong field count", "missing date", "unreadable date"
 
@@ -41,6 +42,7 @@ def stage_sales(
 
     A line with a wrong number of fields (if the feed was read with ``read_bronze_strict``) or without a readable
     date has a ``Reason``, its text and no month: it is in quarantine. With ``lenient_dates`` the date is no reason.
+    ``Rejected`` says why a line that is understood is no sale; only such lines are parsed again for it.
     """
     day = F.col("SALESDATE")
     broken = F.col(CORRUPT) if CORRUPT in bronze_sales.columns else F.lit(None).cast("string")
@@ -51,11 +53,13 @@ def stage_sales(
     marked = bronze_sales.withColumns({
         "_Reason": reason, "_Line": F.when(reason.isNotNull(), F.coalesce(broken, text)),
     })
-    cleaned = clean_sales(marked, lenient_dates=True, price_scale=price_scale, also=["_Reason", "_Line"])
+    cleaned = clean_sales(marked, lenient_dates=True, price_scale=price_scale, also=["_Reason", "_Line", "Vendas Unidades"])
+    sale = is_sale(F.col("Vendas_Unidades"), F.col("PVP"))
     dated = F.col("_Reason").isNull()
     return cleaned.select(
-        *[column for column in cleaned.columns if not column.startswith("_")], F.lit(load).alias("Load"),
+        *[column for column in cleaned.columns if column != "Vendas Unidades" and not column.startswith("_")], F.lit(load).alias("Load"),
         F.col("_Reason").alias("Reason"), F.col("_Line").alias("Line"),
+        F.when(~sale, reject_reason(F.col("Vendas Unidades"))).alias("Rejected"),
         F.when(dated, F.year("Data")).alias("Ano"), F.when(dated, F.month("Data")).alias("Mes"),
     )
 

@@ -10,12 +10,14 @@ from operator import or_
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from .. import schemas
+from ..functions import zorder
 from ..operators import gold, silver
 from ..operators.daily import sales_daily
 from ..operators.incremental import LINE_KEY, beyond_stored
+from ..operators.quality import audit_grain
 from ..settings import IN_MEMORY_FACTOR, PRICE_SCALE
 from ..sources.shared import materialized
-from ..sources.store import Load, read_table
+from ..sources.store import KEPT, Load, month_of, read_table
 
 LATE = "late"
 Months = Sequence[tuple[int | None, int | None]]
@@ -59,20 +61,32 @@ def build_gold(
     staged = silver.stage_sales(feeds["Sales"], load, lenient_dates=lenient_dates, price_scale=price_scale)
     run.write(staged, "Silver_Sales")
     cleaned = _cleaned(run.table("Silver_Sales", price_scale), price_scale)
-    run.write(sold_months(cleaned), "Sold_Months")
+    run.write(sold_months(run.table("Silver_Sales", price_scale)), "Sold_Months")
     _write_dimensions(run, feeds, cleaned, **labels)
     run.write(gold.fact_sales(cleaned), "Fact_Sales", spread=False)
     _write_wide(run, None, price_scale)
     return run.commit().star(price_scale)
 
 
-def sold_months(cleaned: DataFrame) -> DataFrame:
-    """(Kind, Code, Ano, Mes): the months in which each item and each store has lines, rejected ones included."""
-    codes = F.array(
-        F.struct(F.lit("item").alias("Kind"), F.col("ITEMCODE").alias("Code")),
-        F.struct(F.lit("store").alias("Kind"), F.col("StoreID").alias("Code")),
+def sold_months(stored: DataFrame) -> DataFrame:
+    """What each item, store and day has in each month, and each reason for which the fact leaves lines out.
+
+    These are mergeable: an increment makes those of its months again, and audits add up months (``quality.stored_orphans``,
+    ``stored_rejects``). One scan, added up on the map side. Lines in quarantine are not in it.
+    """
+    lines, sold = stored.where(F.col("Reason").isNull()), F.col("Rejected").isNull()
+    codes = F.array(*[
+        F.struct(F.lit(kind).alias("Kind"), F.col(key).alias("Code"))
+        for kind, key in (("item", "ITEMCODE"), ("store", "StoreID"), ("day", "DateKey"), ("rejected", "Rejected"))
+    ])
+    listed = lines.select(
+        F.inline(codes), F.year("Data").alias("Ano"), F.month("Data").alias("Mes"), sold.alias("_sold"),
+        F.when(sold, F.col("Vendas_Unidades")).alias("_units"), F.when(sold, F.col("Vendas_Valor")).alias("_revenue"),
+    )
+    return listed.where(~(F.col("_sold") & (F.col("Kind") == "rejected"))).groupBy("Kind", "Code", "Ano", "Mes").agg(
+        F.count(F.lit(1)).alias("Lines"), F.count_if("_sold").alias("Sold"),
+        F.coalesce(F.sum("_units"), F.lit(0)).alias("Units"), F.coalesce(F.sum("_revenue"), F.lit(0)).alias("Revenue"),
     )
-    return cleaned.select(F.inline(codes), F.year("Data").alias("Ano"), F.month("Data").alias("Mes")).distinct()
 
 
 def _sold_items(sold: DataFrame) -> DataFrame:
@@ -101,11 +115,14 @@ def _write_wide(run: Load, months: Months | None, price_scale: int) -> None:
     threshold = run.spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
     largest = max(state.stored_bytes(name) for name in ("Dim_Item", "Dim_Store", "Dim_Date")) * IN_MEMORY_FACTOR
     stays = threshold.isdigit() and largest < int(threshold)
-    run.write(wide_frame(star), "Sales_Wide", months=months, spread=not stays)
+    cell = zorder.cell({
+        "Client": star["Dim_Store"].select(F.col("Cliente").alias("Client")), "City": star["Dim_Store"], "Brand": star["Dim_Item"],
+    })
+    run.write(wide_frame(star), "Sales_Wide", months=months, spread=not stays, cell=cell)
     wide = run.table("Sales_Wide", price_scale)
     if months is not None:
         wide = wide.where(_in_months(months, "Year", "Month"))
-    run.write(sales_daily(wide, price_scale), "Sales_Daily", months=months)
+    run.write(sales_daily(wide, price_scale), "Sales_Daily", months=months, cell=cell)
 
 
 def _in_months(months: Iterable[tuple[int | None, int | None]], year: str, month: str) -> Column:
@@ -164,7 +181,7 @@ def load_increment(
     # Stored lines of the feed's days, in their months or in quarantine, are what late lines are compared with.
     late_months = _months_of(late.withColumns({"Ano": F.year("Data"), "Mes": F.month("Data")}))
     held = kept.where(_in_months(late_months, "Ano", "Mes") | (F.col("Reason") == LATE))
-    fresh = recent.unionByName(beyond_stored(late, held))
+    fresh = recent.unionByName(beyond_stored(late, held, [*LINE_KEY, "Rejected"]))
     undated = kept.where(F.col("Ano").isNull())
     fresh = fresh.unionByName(beyond_stored(staged.where(~dated), undated, [*LINE_KEY, "Reason", "Line"]))
     fresh = materialized(fresh, "fresh")
@@ -176,7 +193,7 @@ def load_increment(
 
     silver_now = run.table("Silver_Sales", price_scale).where(_in_months(months, "Ano", "Mes"))
     cleaned = _cleaned(silver_now, price_scale)
-    run.write(sold_months(cleaned), "Sold_Months", months=months)
+    run.write(sold_months(silver_now), "Sold_Months", months=months)
     known = run.table("Dim_Item").select(F.col("ITEMCODE").alias("_known"))
     codes = cleaned.select("ITEMCODE").distinct()
     new_codes = codes.join(known, codes["ITEMCODE"].eqNullSafe(known["_known"]), "left_anti")
@@ -229,6 +246,26 @@ def load_masters(
     return months
 
 
+def refresh_grain(spark: SparkSession, root: str) -> list[tuple[int | None, ...]]:
+    """Bring the stored audit of the fact's grain up to date; returns the months that were audited again.
+
+    The manifest lists the folders of each month that the audit was made from. Loads write a changed month into new ones,
+    so that only these are read and grouped, and a load itself does not wait for it.
+    """
+    run = Load(spark, root, "grain audit")
+    if run.base is None:
+        raise FileNotFoundError(f"nothing is loaded below {root}")
+    fact = run.tables["Fact_Sales"]
+    parts = [part for part in {**fact, **run.audited} if fact.get(part) != run.audited.get(part)]
+    months = sorted(map(month_of, parts), key=str)
+    if months:
+        changed = run.table("Fact_Sales").where(_in_months(months, "Ano", "Mes"))
+        run.write(audit_grain(changed, ["StoreID", "ITEMCODE", "DateKey", "Ano", "Mes"]), "Audit_Grain", months=months)
+        run.audited = {part: list(versions) for part, versions in fact.items()}
+        run.commit(KEPT + 1)  # an audit changes no sales: the snapshots that a load keeps stay
+    return months
+
+
 def _changed(before: DataFrame, after: DataFrame, key: str) -> DataFrame:
     """Keys whose rows are not the same on both sides, counted, so that repeated rows matter too."""
     both = before.withColumn("_n", F.lit(-1)).unionByName(after.withColumn("_n", F.lit(1)))

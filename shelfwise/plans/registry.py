@@ -21,7 +21,7 @@ from ..sources.feeds import read_bronze, read_bronze_by_name, read_bronze_strict
 from ..sources.store import Snapshot, open_snapshot
 from ..sources.shared import shared_path
 from ..streaming.feed_stream import load_available, sales_stream
-from .build import build_gold, gold_layer, load_increment, load_masters, read_quarantine, read_silver, wide_frame
+from .build import build_gold, gold_layer, load_increment, load_masters, read_quarantine, read_silver, refresh_grain, wide_frame
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -197,16 +197,34 @@ def _dq_duplicates(spark: SparkSession, folder: str) -> DataFrame:
 def _dq_orphans(spark: SparkSession, folder: str) -> DataFrame:
     """Against the item master before unmapped items are added, where orphans exist, and against the dimensions."""
     stored = star(spark, folder)
-    master = silver.clean_items(tables.items_feed(spark, folder))
+    return quality.audit_orphan_scopes(stored["Fact_Sales"], _orphan_scopes(spark, folder, stored))
 
+
+def _orphan_scopes(
+    spark: SparkSession, folder: str, stored: dict[str, DataFrame]
+) -> dict[str, dict[str, tuple[DataFrame, str]]]:
     def dims(items: DataFrame) -> dict[str, tuple[DataFrame, str]]:
         return {
             "Date": (stored["Dim_Date"], "DateKey"), "Item": (items, "ITEMCODE"), "Store": (stored["Dim_Store"], "StoreID")
         }
 
-    return quality.audit_orphan_scopes(
-        stored["Fact_Sales"], {"dimensions": dims(stored["Dim_Item"]), "master": dims(master)}
-    )
+    return {
+        "dimensions": dims(stored["Dim_Item"]), "master": dims(silver.clean_items(tables.items_feed(spark, folder)))
+    }
+
+
+def _dq_orphans_stored(spark: SparkSession, folder: str) -> DataFrame:
+    """After two increments, from what the loads keep for each code and month."""
+    now = _snapshot(spark, _increments(spark, folder))
+    return quality.stored_orphans(now.table("Sold_Months"), _orphan_scopes(spark, folder, now.star()))
+
+
+def _dq_rejects_stored(spark: SparkSession, folder: str) -> DataFrame:
+    return quality.stored_rejects(_snapshot(spark, _increments(spark, folder)).table("Sold_Months"))
+
+
+def _dq_grain_stored(spark: SparkSession, folder: str) -> DataFrame:
+    return _snapshot(spark, _increments(spark, folder)).table("Audit_Grain").drop("Ano", "Mes")
 
 
 def _control_totals(spark: SparkSession, folder: str) -> DataFrame:
@@ -242,8 +260,10 @@ def _increments(spark: SparkSession, folder: str) -> str:
         until = F.date_format(F.lit(tables.LOADED_UNTIL).cast("date"), "yyyyMMdd")
         earlier = feeds["Sales"].where(F.col("SALESDATE") <= until)
         load_increment(spark, {**feeds, "Sales": earlier}, root, "first", **LABELS)
+        refresh_grain(spark, root)
         for _ in range(2):
             load_increment(spark, feeds, root, "second", **LABELS)
+            refresh_grain(spark, root)
 
     return _once(spark, folder, "incremental", write)
 
@@ -394,6 +414,9 @@ def _queries() -> dict[str, Query]:
         "dq_fact_grain": lambda spark, folder: quality.audit_grain(star(spark, folder)["Fact_Sales"]),
         "dq_orphans": _dq_orphans,
         "dq_rejects": lambda spark, folder: quality.audit_rejects(tables.sales_feed(spark, folder)),
+        "dq_orphans_stored": _dq_orphans_stored,
+        "dq_rejects_stored": _dq_rejects_stored,
+        "dq_grain_stored": _dq_grain_stored,
         "control_totals": _control_totals,
         # Contracts and incremental load
         "contract_violations": _contract_violations,

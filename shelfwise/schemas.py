@@ -28,10 +28,8 @@ STAR = ["Fact_Sales", "Dim_Item", "Dim_Store", "Dim_Date"]
 # Only tables that grow with sales are split into partitions.
 PARTITIONS = {
     "Silver_Sales": ["Ano", "Mes"], "Fact_Sales": ["Ano", "Mes"], "Sold_Months": ["Ano", "Mes"],
-    "Sales_Wide": ["Year", "Month"], "Sales_Daily": ["Year", "Month"],
+    "Sales_Wide": ["Year", "Month"], "Sales_Daily": ["Year", "Month"], "Audit_Grain": ["Ano", "Mes"],
 }
-# Rows of a file are sorted by what dashboards filter on: long runs compress well, and a filter skips whole row groups.
-CLUSTERING = {"Sales_Wide": ["Brand", "City"], "Sales_Daily": ["Brand", "City"]}
 
 
 def tables(price_scale: int = PRICE_SCALE) -> dict[str, T.StructType]:
@@ -45,7 +43,8 @@ def tables(price_scale: int = PRICE_SCALE) -> dict[str, T.StructType]:
     }
     return {
         # With the load that brought a line, and for lines in quarantine the reason and the text. They have no month.
-        "Silver_Sales": _struct({**cleaned, "Load": TEXT, "Reason": TEXT, "Line": TEXT, "Ano": WHOLE, "Mes": WHOLE}),
+        # ``Rejected``: why the fact leaves a line out.
+        "Silver_Sales": _struct({**cleaned, "Load": TEXT, "Reason": TEXT, "Line": TEXT, "Rejected": TEXT, "Ano": WHOLE, "Mes": WHOLE}),
         "Cleaned_Sales": _struct(cleaned),
         "Loads": _struct({"Load": TEXT, "Since": DATE}),
         "Fact_Sales": _struct({
@@ -58,8 +57,16 @@ def tables(price_scale: int = PRICE_SCALE) -> dict[str, T.StructType]:
             "Data": DATE, "DateKey": TEXT, "Ano": WHOLE, "Mes": WHOLE, "Dia": WHOLE, "Trimestre": WHOLE,
             "Nome_Mes": TEXT, "AnoMes": TEXT,
         }),
-        # In which months a code was sold, rejected lines included: Kind is 'item' or 'store'.
-        "Sold_Months": _struct({"Kind": TEXT, "Code": TEXT, "Ano": WHOLE, "Mes": WHOLE}),
+        # What each code has in each month: Kind is 'item', 'store', 'day' or, for lines the fact leaves out, 'rejected'
+        # with the reason as code. Lines are all understood ones; Sold of them are in the fact, with Units and Revenue.
+        "Sold_Months": _struct({
+            "Kind": TEXT, "Code": TEXT, "Lines": LONG, "Sold": LONG, "Units": LONG,
+            "Revenue": T.DecimalType(38, price_scale), "Ano": WHOLE, "Mes": WHOLE,
+        }),
+        # Keys of several sale lines, and how many; a day belongs to one month only.
+        "Audit_Grain": _struct({
+            "StoreID": TEXT, "ITEMCODE": TEXT, "DateKey": TEXT, "Lines": LONG, "Ano": WHOLE, "Mes": WHOLE,
+        }),
         # What dashboards add up. A revenue beyond 18 digits is split over several rows, so that sums work on longs.
         "Sales_Daily": _struct({
             "Date": DATE, "YearMonth": TEXT, "Client": TEXT, "City": TEXT, "SKU": TEXT, "Brand": TEXT,

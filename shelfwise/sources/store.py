@@ -13,7 +13,7 @@ import json
 import uuid
 from collections.abc import Iterable, Sequence
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 
 from .. import schemas
 from ..settings import PRICE_SCALE
@@ -66,11 +66,21 @@ def _partition(name: str, month: Sequence[int | None]) -> str:
     )
 
 
-class Snapshot:
-    """The tables of one load, as {table: {folder of a month, or '': [versions]}}."""
+def month_of(part: str) -> tuple[int | None, ...]:
+    """The month whose folder that is."""
+    values = [step.split("=", 1)[1] for step in part.split("/")]
+    return tuple(None if value == NO_VALUE else int(value) for value in values)
+
 
-    def __init__(self, spark: SparkSession, root: str, number: int, tables: dict[str, dict[str, list[str]]]):
-        self.spark, self.root, self.number, self.tables = spark, root, number, tables
+class Snapshot:
+    """The tables of one load, as {table: {folder of a month, or '': [versions]}}; ``audited`` has the folders of the
+    fact that the stored audit of its grain was made from."""
+
+    def __init__(
+        self, spark: SparkSession, root: str, number: int, tables: dict[str, dict[str, list[str]]],
+        audited: dict[str, list[str]] | None = None,
+    ):
+        self.spark, self.root, self.number, self.tables, self.audited = spark, root, number, tables, audited or {}
         self._read: dict[tuple[str, int], DataFrame] = {}
 
     def has(self, name: str) -> bool:
@@ -117,7 +127,7 @@ def open_snapshot(spark: SparkSession, root: str, number: int | None = None) ->
             return None
         number = numbers[-1]
     manifest = json.loads(Files(spark, root).read(f"{root}/{MANIFESTS}/{number:09d}.json"))
-    return Snapshot(spark, root, number, manifest["tables"])
+    return Snapshot(spark, root, number, manifest["tables"], manifest.get("audited"))
 
 
 class Load:
@@ -128,12 +138,13 @@ class Load:
         self.base = open_snapshot(spark, root)
         self.number = self.base.number + 1 if self.base else 1
         self.tables = {key: dict(parts) for key, parts in self.base.tables.items()} if self.base else {}
+        self.audited = dict(self.base.audited) if self.base else {}
         self._state: Snapshot | None = None
 
     def state(self) -> Snapshot:
         """The tables as this load has written them so far."""
         if self._state is None or self._state.tables != self.tables:
-            now = Snapshot(self.spark, self.root, self.number, {key: dict(parts) for key, parts in self.tables.items()})
+            now = Snapshot(self.spark, self.root, self.number, {key: dict(parts) for key, parts in self.tables.items()}, self.audited)
             if self._state is not None:
                 now.share(self._state)
             self._state = now
@@ -144,21 +155,21 @@ class Load:
 
     def write(
         self, df: DataFrame, name: str, *, months: Iterable[Sequence[int | None]] | None = None, add: bool = False,
-        spread: bool = True,
+        spread: bool = True, cell: Column | None = None,
     ) -> None:
         """Replaces a table, or with ``months`` these of its months, which may end without rows; with ``add`` nothing.
 
         A partitioned table is rebalanced first: every output file then holds one month, small months end in one
         file and large ones are split over many tasks at the advisory partition size. ``spread=False`` leaves that
-        out, for rows that already come from month files.
+        out, for rows that already come from month files. Rows of a file are sorted by month and
+        ``cell`` (see ``functions.zorder``), which is computed once for each row.
         """
         partitions = schemas.PARTITIONS.get(name, [])
         df = df.select([f"`{column}`" for column in schemas.tables()[name].fieldNames()])
-        clustering = schemas.CLUSTERING.get(name, [])
         if partitions and spread:
             df = df.hint("rebalance", *partitions)
-        if clustering:
-            df = df.sortWithinPartitions(*partitions, *clustering)
+        if cell is not None:
+            df = df.withColumn("_cell", cell).sortWithinPartitions(*partitions, "_cell").drop("_cell")
         version = f"v{self.number}_{uuid.uuid4().hex[:12]}"
         folder = f"{self.root}/{name}/version={version}"
         df.write.partitionBy(*partitions).parquet(folder)
@@ -178,7 +189,7 @@ class Load:
     def commit(self, keep: int = KEPT) -> Snapshot:
         """Shows what was written, in one step, and removes what only older snapshots need. Fails if another load was
         committed since this one began."""
-        manifest = {"number": self.number, "load": self.name, "tables": self.tables}
+        manifest = {"number": self.number, "load": self.name, "tables": self.tables, "audited": self.audited}
         path = f"{self.root}/{MANIFESTS}/{self.number:09d}.json"
         Files(self.spark, self.root).publish(json.dumps(manifest, indent=1), path)
         clean_up(self.spark, self.root, keep)

@@ -7,12 +7,12 @@ import pytest
 from pyspark.sql import functions as F
 
 from shelfwise import schemas
-from shelfwise.operators import gold
+from shelfwise.operators import gold, quality
 from shelfwise.operators.daily import KEYS, sales_daily
 from shelfwise.operators.incremental import beyond_stored
 from shelfwise.plans import build
 from shelfwise.plans.build import (
-    build_gold, load_increment, load_masters, read_daily, read_quarantine, read_wide, wide_frame,
+    build_gold, load_increment, load_masters, read_daily, read_quarantine, read_wide, refresh_grain, wide_frame,
 )
 from shelfwise.sources.store import Load, clean_up, open_snapshot, read_star, snapshot_numbers
 
@@ -181,3 +181,66 @@ def test_revenue_beyond_18_digits_is_split_exactly(spark, make_wide, revenue):
     row = sums.first()
     assert (row.r, row.v, row.l) == (decimal.Decimal(revenue), 1, 1)
     assert (row.n > 1) == (abs(decimal.Decimal(revenue)) >= 500_000_000_000)
+
+
+def audits(spark, root, feed):
+    """Stored audits after all loads, and the same from all stored sale lines and the whole feed."""
+    now = open_snapshot(spark, root)
+    star, months = now.star(), now.table("Sold_Months")
+    scopes = {"master": {
+        "Item": (feed["Items"], "ITEMCODE"), "Store": (feed["Store"], "StoreID"), "Date": (star["Dim_Date"], "DateKey")
+    }}
+    keys = ["StoreID", "ITEMCODE", "DateKey", "Lines"]
+    stored = quality.stored_orphans(months, scopes), quality.stored_rejects(months), now.table("Audit_Grain").select(keys)
+    full = (
+        quality.audit_orphan_scopes(star["Fact_Sales"], scopes), quality.audit_rejects(feed["Sales"]),
+        quality.audit_grain(star["Fact_Sales"]),
+    )
+
+    def rows(frame):
+        return sorted(tuple(str(float(v)) if isinstance(v, decimal.Decimal) else str(v) for v in row) for row in frame.collect())
+
+    for one, other in zip(stored, full):
+        assert rows(one) == rows(other)
+    return [rows(one) for one in stored]
+
+
+def test_stored_audits_equal_full_ones_after_increments(spark, tmp_path):
+    root = str(tmp_path)
+    first = [
+        ("20200101", "S1", "I1", "1"), ("20200101", "S1", "I1", "3"), ("20200101", "S9", "I1", "n/a"),
+        ("20200201", "S1", "NEW", "2"), ("20200201", None, "I1", "0"),
+    ]
+    load_increment(spark, feeds_of(spark, *first), root, "a")
+    assert refresh_grain(spark, root) == [(2020, 1), (2020, 2)]
+    assert refresh_grain(spark, root) == []
+    assert audits(spark, root, feeds_of(spark, *first))[2] == [("S1", "I1", "20200101", "2")]
+
+    # The last day again and a third month: January's totals and its grain are not made again.
+    before = open_snapshot(spark, root)
+    more = [("20200201", "S1", "NEW", "2"), ("20200201", "S1", "NEW", "-4"), ("20200201", None, "I1", "5"), ("20200301", "S8", "I3", None)]
+    load_increment(spark, feeds_of(spark, *more), root, "b")
+    assert refresh_grain(spark, root) == [(2020, 2), (2020, 3)]
+    after = open_snapshot(spark, root)
+    for name in ("Sold_Months", "Audit_Grain"):
+        assert after.tables[name]["Ano=2020/Mes=1"] == before.tables[name]["Ano=2020/Mes=1"]
+    orphans, rejects, _ = audits(spark, root, feeds_of(spark, *first[:3], *more))
+    assert rejects == [("missing units", "1"), ("returned units", "1"), ("unreadable units", "1")]
+    assert ("master", "Item", "1", "1", "4.0") in orphans and ("master", "Store", "1", "1", "10.0") in orphans
+
+    # A line that was one of several of its key is gone: so is its month's row.
+    load_increment(spark, feeds_of(spark, ("20200301", "S1", "I3", "1"), ("20200301", "S1", "I3", "1")), root, "c")
+    assert refresh_grain(spark, root) == [(2020, 3)]
+    load_increment(spark, feeds_of(spark, ("20200301", "S1", "I3", "1")), root, "d")
+    assert refresh_grain(spark, root) == [(2020, 3)]
+    assert [row.DateKey for row in open_snapshot(spark, root).table("Audit_Grain").collect()] == ["20200101"]
+
+
+def test_late_lines_with_other_reasons_are_other_lines(spark, tmp_path):
+    root = str(tmp_path)
+    load_increment(spark, feeds_of(spark, ("20200101", "S1", "I1", "0"), ("20200301", "S1", "I1", "1")), root, "a")
+    late = feeds_of(spark, ("20200101", "S1", "I1", "0"), ("20200101", "S1", "I1", "?"), ("20200301", "S1", "I1", "1"))
+    for load in ("b", "c"):
+        load_increment(spark, late, root, load)
+    refresh_grain(spark, root)
+    assert audits(spark, root, late)[1] == [("unreadable units", "1"), ("zero units", "1")]
