@@ -220,7 +220,7 @@ def test_stored_audits_equal_full_ones_after_increments(spark, tmp_path):
     before = open_snapshot(spark, root)
     more = [("20200201", "S1", "NEW", "2"), ("20200201", "S1", "NEW", "-4"), ("20200201", None, "I1", "5"), ("20200301", "S8", "I3", None)]
     load_increment(spark, feeds_of(spark, *more), root, "b")
-    assert refresh_grain(spark, root) == [(2020, 2), (2020, 3)]
+    assert refresh_grain(spark, root) == [(2020, 2)]  # March has no sale yet
     after = open_snapshot(spark, root)
     for name in ("Sold_Months", "Audit_Grain"):
         assert after.tables[name]["Ano=2020/Mes=1"] == before.tables[name]["Ano=2020/Mes=1"]
