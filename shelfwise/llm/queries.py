@@ -30,6 +30,23 @@ def op1_line_dedup(spark: SparkSession, folder: str) -> DataFrame:
     )
 
 
+OP1_SQL = r"""
+WITH cut AS (
+  SELECT doc_id, unnest(lines) AS line, unnest(range(len(lines))) AS i
+  FROM (SELECT doc_id, string_split(coalesce(text, ''), chr(10)) AS lines FROM documents)),
+keyed AS (
+  SELECT *, translate(trim(line, ' ' || chr(9) || chr(10) || chr(11) || chr(12) || chr(13)),
+    'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS key FROM cut),
+shared AS (
+  SELECT key, max(doc_id) AS holder FROM keyed WHERE length(key) >= 20 GROUP BY key HAVING count(DISTINCT doc_id) >= 3),
+judged AS (
+  SELECT doc_id, line, i, coalesce(doc_id <> holder, false) AS gone FROM keyed LEFT JOIN shared USING (key))
+SELECT doc_id, count(*) AS n_lines, CAST(count(*) FILTER (WHERE gone) AS BIGINT) AS n_dropped,
+  sha256(coalesce(string_agg(line, chr(10) ORDER BY i) FILTER (WHERE NOT gone), '')) AS kept_sha256
+FROM judged GROUP BY doc_id
+"""
+
+
 def op2_secrets(spark: SparkSession, folder: str) -> DataFrame:
     docs = documents(spark, folder).select("doc_id", "text")
     found = secrets.scan_secrets(docs, secrets.train(secrets.samples(docs)))
@@ -57,6 +74,29 @@ def op5_ngram_join(spark: SparkSession, folder: str) -> DataFrame:
     return ngram_join.jaccard_components(documents(spark, folder).select("doc_id", "text"))
 
 
+OP5_SQL = r"""
+WITH RECURSIVE worded AS (
+  SELECT doc_id, list_filter(regexp_split_to_array(
+    translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[\x20\x09-\x0D]+'),
+    lambda x: x <> '') AS w
+  FROM documents),
+sets AS (
+  SELECT doc_id, CASE WHEN len(w) = 0 THEN [] WHEN len(w) < 3 THEN [array_to_string(w, ' ')] ELSE list_distinct(
+    list_transform(range(1, len(w) - 1), lambda i: w[i] || ' ' || w[i + 1] || ' ' || w[i + 2])) END AS s
+  FROM worded),
+held AS (SELECT doc_id, len(s) AS n, unnest(s) AS shingle FROM sets),
+links AS (
+  SELECT a.doc_id AS x, b.doc_id AS y FROM held AS a JOIN held AS b USING (shingle) WHERE a.doc_id <> b.doc_id
+  GROUP BY a.doc_id, b.doc_id, a.n, b.n HAVING 100 * count(*) >= 90 * (a.n + b.n - count(*))),
+reached AS (
+  SELECT doc_id AS x, doc_id AS y FROM sets
+  UNION
+  SELECT reached.x, links.y FROM reached JOIN links ON reached.y = links.x)
+SELECT doc_id, CAST(len(s) AS BIGINT) AS n_shingles, component_id
+FROM sets JOIN (SELECT x AS doc_id, min(y) AS component_id FROM reached GROUP BY x) USING (doc_id)
+"""
+
+
 def op6_bpe(spark: SparkSession, folder: str) -> DataFrame:
     found = byte_pairs.bpe(documents(spark, folder).select("doc_id", "text"), vocabulary_path())
     return found.select(
@@ -274,6 +314,8 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
 
 def oracle_sql() -> dict[str, str]:
     return {
+        "op1_line_dedup": OP1_SQL,
+        "op5_ngram_join": OP5_SQL,
         "op9_url_lists": OP9_SQL,
         "op11_exact_dedup": OP11_SQL,
         "op12_vector_codes": op12_sql(),
