@@ -8,7 +8,9 @@ that the words after the last common one in both prefixes can still make up ``ne
 Templates are parameters, so their words, and the counts gathered for them, are bounded; texts are neither exploded nor
 shuffled, and a document without any template's rare words is never cut into blocks.
 
-Blocks are overlapping windows: a passage of up to ``block_words / 2`` words lies in a block as a whole.
+Blocks are overlapping windows: a passage of up to half a block lies in a block as a whole. A template of more than
+``block_words / 2`` words is compared with longer blocks, doubled until they are twice its length, so that a text that
+holds all of it always matches; ``matches`` number the blocks of each length for themselves.
 
 Defined results: a null or blank text has no words and no places. Every row is scanned by itself, so repeated rows
 and null ids need no care. Without documents all template words are equally rare.
@@ -65,11 +67,22 @@ def word_list(padded: Column) -> Column:
     return F.when(padded == " ", F.array().cast("array<string>")).otherwise(F.split(F.trim(padded), " "))
 
 
-def template_words(templates: dict[str, str]) -> dict[str, set[str]]:
+def template_words(templates: dict[str, str]) -> dict[str, list[str]]:
     def plain(text: str) -> str:
         return "".join(letter if letter.isalnum() or ord(letter) > 127 else " " for letter in text.lower())
 
-    return {label: set(plain(text).split()) for label, text in templates.items()}
+    return {label: plain(text).split() for label, text in templates.items()}
+
+
+def by_block_length(templates: dict[str, list[str]], block_words: int) -> dict[int, dict[str, set[str]]]:
+    """The templates' different words, by the length of the blocks they are compared with."""
+    groups: dict[int, dict[str, set[str]]] = {}
+    for label, words in templates.items():
+        length = block_words
+        while length < 2 * len(words):
+            length *= 2
+        groups.setdefault(length, {})[label] = set(words)
+    return groups
 
 
 def token_order(docs: DataFrame, text: str, vocabulary: list[str]) -> list[str]:
@@ -155,14 +168,19 @@ def scan_licenses(
 
     ``score`` is 1 with a base phrase, else the largest containment of a match, else 0.
     """
-    held = template_words(TEMPLATES if templates is None else templates)
-    order = token_order(docs, text, sorted(set().union(*held.values())))
+    held = by_block_length(template_words(TEMPLATES if templates is None else templates), block_words)
+    order = token_order(docs, text, sorted({word for group in held.values() for words in group.values() for word in words}))
     padded = once(docs, _padded=normalized(F.col(f"`{text}`")))
     listed = once(padded, _words=word_list(F.col("_padded")), **{into: F.struct(
         F.when(F.col("_padded") == " ", 0).otherwise(spaces(F.col("_padded")) - 1).cast("long").alias("n_words"),
         *[value.alias(name) for name, value in base_places(F.col("_padded")).items()],
     )}).drop("_padded")
-    matched = once(listed, _matches=template_matches(F.col("_words"), held, order, threshold, block_words)).drop("_words")
+    matches = []
+    for length, group in held.items():
+        used = set().union(*group.values())
+        ranked = [word for word in order if word in used]
+        matches.append(template_matches(F.col("_words"), group, ranked, threshold, length))
+    matched = once(listed, _matches=matches[0] if len(matches) == 1 else F.concat(*matches)).drop("_words")
     found = F.col(f"`{into}`")
     labels = F.concat(found["base_labels"], F.transform("_matches", lambda one: one["label"]))
     best = F.coalesce(F.array_max(F.transform("_matches", lambda one: one["containment"])), F.lit(0.0))

@@ -57,7 +57,8 @@ def test_places(make_docs):
 
 
 def test_every_block_over_the_threshold(make_docs):
-    chooser, held = random.Random(2), licenses.template_words(licenses.TEMPLATES)
+    chooser = random.Random(2)
+    held = {label: set(words) for label, words in licenses.template_words(licenses.TEMPLATES).items()}
     common = sorted(set().union(*held.values()))
     docs = []
     for i in range(150):
@@ -80,6 +81,30 @@ def test_every_block_over_the_threshold(make_docs):
     assert all(math.isclose(row.score, 1 if row.n_base else max([m.containment for m in row.matches], default=0)) for row in rows)
 
 
+def test_templates_longer_than_a_block(make_docs):
+    chooser = random.Random(5)
+    long = {f"long {n}": " ".join(f"w{n}x{i}" for i in range(n)) for n in (90, 101, 300, 1500)}
+    templates = {**long, "short": licenses.TEMPLATES["isc"]}
+    texts = []
+    for label, template in templates.items():
+        for before in (0, 1, 99, 150, 777):
+            words = template.split()
+            for i in chooser.sample(range(len(words)), len(words) // 10):
+                words[i] = "changed"
+            texts.append((label, " ".join(["prose"] * before + words + ["prose"] * chooser.randint(0, 300))))
+    half = " ".join(long["long 300"].split()[:150])
+    docs = make_docs(*enumerate([text for _, text in texts] + [half, None, ""]))
+    rows = {row.doc_id: row for row in licenses.scan_licenses(docs, templates=templates).select("doc_id", "licenses.*").collect()}
+    for i, (label, text) in enumerate(texts):
+        assert rows[i].labels == [label] and rows[i].score >= 0.8
+        size = 200
+        while size < 2 * len(licenses.template_words(templates)[label]):
+            size *= 2
+        held = {label: set(licenses.template_words(templates)[label])}
+        assert {(m.block, m.label, round(m.containment, 9)) for m in rows[i].matches} == brute_matches(text, held, size=size)
+    assert all(rows[len(texts) + i].labels == [] and rows[len(texts) + i].score == 0 for i in range(3))
+
+
 def test_awkward_rows(make_docs, awkward):
     df = make_docs(*awkward)
     rows = licenses.scan_licenses(df).select("text", "licenses.*").collect()
