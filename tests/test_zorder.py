@@ -1,7 +1,6 @@
 """Row groups that a filter on one of several columns can leave out."""
 
 import glob
-import itertools
 
 import pyarrow.parquet as pq
 import pytest
@@ -84,3 +83,18 @@ def test_many_values_are_cut_evenly(spark):
     cell = zorder.cell({"City": values(spark, "City", 5000)})
     counts = [row["count"] for row in values(spark, "City", 5000).groupBy(cell.alias("c")).count().collect()]
     assert len(counts) == 2**zorder.BITS and max(counts) < 3 * 5000 / len(counts)
+
+
+def test_months_of_one_task_are_each_in_order(spark, make_wide, tmp_path):
+    month = F.when(F.xxhash64("ITEMCODE") % 2 == 0, F.lit(1)).otherwise(F.lit(2))
+    wide = lines(spark, make_wide, 8).withColumn("Month", month)
+    cell = zorder.cell({name: values(spark, name, 8) for name in COLUMNS})
+    run = Load(spark, str(tmp_path), "z")
+    run.write(wide, "Sales_Wide", spread=False, cell=cell)
+    numbers = {tuple(row[:3]): row.cell for row in wide.select(*COLUMNS, cell.alias("cell")).distinct().collect()}
+    files = glob.glob(f"{tmp_path}/Sales_Wide/**/*.parquet", recursive=True)
+    assert len(files) == 2  # one for each month: the writer has not sorted them again
+    for path in files:
+        stored = pq.ParquetFile(path).read(list(COLUMNS)).to_pydict()
+        found = [numbers[key] for key in zip(*(stored[name] for name in COLUMNS))]
+        assert found == sorted(found) and len(set(found)) > 400
