@@ -7,7 +7,8 @@ intersection.
 * **Small sets** enumerate their subsets of each size from ``n - slack`` to ``n``. Linked sets have the same subset, their
   intersection, among these.
 * **Large sets** go into inverted lists of the first ``slack + 1`` elements of a common order (linked sets share one of
-  these), which are scanned. Sets just below the boundary are in these lists too.
+  these), which are scanned. Sets just below the boundary are in these lists too. A list holds sets of two neighbouring
+  classes of sizes only, as others cannot link.
 * **Heavy elements**, common to very many sets, such as those of a boilerplate line, come last in that order; the others
   are ordered by their hashes. A set keeps its elements with the smallest hashes, some more than the lists need. Where
   so many of these are heavy that the rest is too short, the set is crowded: it enters the lists of all light elements
@@ -81,6 +82,17 @@ def list_keys(elements: np.ndarray, n: int, hot: np.ndarray, percent: int) -> np
     return elements[light]
 
 
+def size_class(n: int, percent: int) -> int:
+    """Linked sets are in the same class of sizes, or in neighbouring ones."""
+    return math.floor(math.log(n) / max(1.000001 * math.log(100 / percent), 1e-6))
+
+
+def sized_keys(keys: np.ndarray, n: int, percent: int) -> np.ndarray:
+    """The lists of these elements for the class of a set of size ``n``, then those for the class above it."""
+    own = size_class(n, percent)
+    return np.concatenate([spread(keys, 100 + one) for one in (own, own + 1)])
+
+
 def subset_keys(shingles: np.ndarray, percent: int) -> np.ndarray:
     """Keys of all subsets that an intersection with a linked set may be: sums of hashes, less those left out."""
     mixed = spread(shingles, 21)
@@ -151,7 +163,7 @@ def described(docs: DataFrame, doc_id: str, text: str, shingle: int, percent: in
 
 
 def list_entries(rows: DataFrame, hot: np.ndarray, percent: int) -> DataFrame:
-    """(node, n_shingles, key): the lists that each document's set enters."""
+    """(node, n_shingles, key, own): the lists that each document's set enters, and whether they are of its class of sizes."""
     known = rows.sparkSession.sparkContext.broadcast(hot)  # at most MOST_HOT numbers
 
     def enter(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -159,17 +171,20 @@ def list_entries(rows: DataFrame, hot: np.ndarray, percent: int) -> DataFrame:
             sizes, lists = batch.column("n_shingles").to_numpy(), batch.column("elements")
             flat, ends = lists.values.to_numpy().view(np.uint64), lists.offsets.to_numpy()
             keys = [
-                list_keys(flat[ends[i] : ends[i + 1]], int(sizes[i]), known.value, percent) for i in range(batch.num_rows)
+                sized_keys(list_keys(flat[ends[i] : ends[i + 1]], int(sizes[i]), known.value, percent), int(sizes[i]), percent)
+                for i in range(batch.num_rows)
             ]
+            own = [np.arange(len(one)) < len(one) // 2 for one in keys]
             owner = pa.array(np.repeat(np.arange(len(keys)), [len(one) for one in keys]))
             flat_keys = np.concatenate(keys).view(np.int64) if keys else np.array([], np.int64)
             yield pa.RecordBatch.from_arrays(
-                [batch.column("node").take(owner), batch.column("n_shingles").take(owner), pa.array(flat_keys)],
-                names=["node", "n_shingles", "key"],
+                [batch.column("node").take(owner), batch.column("n_shingles").take(owner), pa.array(flat_keys),
+                 pa.array(np.concatenate(own) if own else np.array([], bool))],
+                names=["node", "n_shingles", "key", "own"],
             )
 
     plain = rows.filter("node IS NOT NULL").select("node", "n_shingles", "elements")
-    return plain.mapInArrow(enter, "node binary, n_shingles long, key long")
+    return plain.mapInArrow(enter, "node binary, n_shingles long, key long, own boolean")
 
 
 def boundary(classes: DataFrame, counts: DataFrame, percent: int) -> int:
@@ -356,16 +371,19 @@ def class_links(
     entries = list_entries(rows, np.sort(hot.view(np.uint64)), percent)
 
     def several(keyed: DataFrame) -> DataFrame:
-        """Keys with more than one class, and how many rows have them."""
+        """Keys with more than one class, and how many rows have them. Where all sets are of the class of sizes below, they
+        meet in the list of that one."""
         one = F.xxhash64("node")
-        counted = keyed.groupBy("key").agg(F.count("*").alias("n"), F.min(one).alias("low"), F.max(one).alias("high"))
-        return counted.filter("low <> high").select("key", "n")
+        counted = keyed.groupBy("key").agg(
+            F.count("*").alias("n"), F.min(one).alias("low"), F.max(one).alias("high"), F.max("own").alias("own")
+        )
+        return counted.filter("low <> high AND own").select("key", "n")
 
     counts = materialized(several(entries), "list-lengths")
     bound = boundary(classes, counts, percent)
     large = entries.filter(100 * F.col("n_shingles") >= percent * bound).select("node", "key").join(counts, "key")
-    small = rows.filter(F.col("n_shingles") < bound).select("node", F.explode("subsets").alias("key"))
-    members = large.unionByName(small.join(several(small), "key")).distinct()
+    small = rows.filter(F.col("n_shingles") < bound).select("node", F.explode("subsets").alias("key")).withColumn("own", F.lit(True))
+    members = large.unionByName(small.select("node", "key").join(several(small), "key")).distinct()
     chunks = F.ceil(F.col("n") / chunk).cast("int")
     lists = members.join(classes.select("node", "n_shingles", "bits", "more"), "node").select(
         "key", F.pmod(F.xxhash64("node"), chunks).cast("int").alias("chunk"), chunks.alias("chunks"), "node", "n_shingles", "bits",

@@ -115,3 +115,21 @@ def test_linked_sets_share_a_list(n):
                 ngram_join.list_keys(one[: ngram_join.kept(len(one), 90)], len(one), hot, 90) for one in (base, other)
             ]
             assert set(keys[0]) & set(keys[1]), i
+
+
+@pytest.mark.parametrize("percent", [50, 80, 90, 100])
+def test_lists_hold_sets_of_sizes_that_may_link(percent):
+    import numpy as np
+
+    elements = np.arange(1, 40, dtype=np.uint64)
+
+    def lists(n):
+        keys = ngram_join.sized_keys(elements, n, percent)
+        return keys[: len(elements)], keys
+
+    for n in (1, 2, 9, 10, 50, 99, 100, 101, 1000, 12345):
+        least = -(-percent * n // 100)
+        for m in {least, (least + n) // 2, n}:
+            own, all_ = lists(n)
+            assert len(np.intersect1d(own, lists(m)[1])) == len(elements)  # at home in the list of the larger one
+        assert not len(np.intersect1d(all_, lists(5 * n)[1]))
