@@ -5,8 +5,9 @@ from __future__ import annotations
 import pytest
 from pyspark.sql import functions as F
 
+from shelfwise import schemas
 from shelfwise.operators import gold, silver
-from shelfwise.operators.incremental import beyond_stored
+from shelfwise.operators.incremental import beyond_stored, differing_days
 from shelfwise.plans import build
 from shelfwise.sources import trade_tables as tables
 from shelfwise.sources.feeds import CORRUPT
@@ -45,6 +46,36 @@ def test_stored_lines_are_counted_in_one_aggregation(spark):
     assert "Union" in plan_of(found) and "LeftOuter" not in plan_of(found)
 
 
+def test_days_that_differ_are_told_from_equal_ones(spark):
+    schema = "Data int, k string, n int"
+    lines = [(1, "a", 1), (1, "a", 1), (2, "a", 1), (3, None, 1), (4, "b", None), (4, None, 2), (5, "a", 1), (5, "b", 2)]
+    stored = [(1, "a", 1), (1, "a", 1), (2, "a", 1), (2, "a", 1), (3, "a", None), (4, None, 2), (4, "b", None), (5, "a", 2), (5, "b", 1), (6, "a", 1)]
+    found = differing_days(spark.createDataFrame(lines, schema), spark.createDataFrame(stored, schema), ["k", "n"])
+    assert sorted(row.Data for row in found.collect()) == [2, 3, 5]
+
+
+def test_lines_of_a_day_that_is_stored_are_not_compared_again(spark, tmp_path, monkeypatch):
+    sales = [(f"201901{day:02}", "S1", item, "1", "2") for day in (1, 2, 3) for item in ("I1", "I1", None)]
+    feeds = {
+        "Sales": spark.createDataFrame(sales, schemas.SALES), "Items": spark.createDataFrame([("I1", "a", "b", "c", "d")], schemas.ITEMS),
+        "Store": spark.createDataFrame([("S1", "X", "X - Y", "A", "B")], schemas.STORE), "Client": spark.createDataFrame([("B", "X", "X", "A")], schemas.CLIENT),
+    }
+    root, compared = str(tmp_path), []
+    build.load_increment(spark, feeds, root, "first")
+
+    def noted(lines, stored, key):
+        compared.append((lines.count(), stored.count()))
+        return beyond_stored(lines, stored, key)
+
+    monkeypatch.setattr(build, "beyond_stored", noted)
+    build.load_increment(spark, feeds, root, "second")
+    assert compared[0] == (0, 0) and build.read_silver(spark, root).count() == 9
+    compared.clear()
+    more = {**feeds, "Sales": spark.createDataFrame([*sales, ("20190102", "S1", "I1", "1", "2")], schemas.SALES)}
+    build.load_increment(spark, more, root, "third")
+    assert compared[0] == (4, 3) and build.read_silver(spark, root).count() == 10
+
+
 @pytest.mark.parametrize("text, number", [
     ("10485760b", 10485760), ("256k", 262144), ("128MB", 2**27), ("134217728", 2**27), ("-1", 0), ("-1b", 0),
 ])
