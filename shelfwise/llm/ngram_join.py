@@ -10,12 +10,13 @@ intersection.
   these), which are scanned. Sets just below the boundary are in these lists too. A list holds sets of two neighbouring
   classes of sizes only, as others cannot link.
 * **Heavy elements**, common to very many sets, such as those of a boilerplate line, come last in that order; the others
-  are ordered by their hashes. A set keeps its elements with the smallest hashes, some more than the lists need. Where
+  are ordered by their hashes. They are found by the counts of blocks of elements, where a frequent one is frequent in
+  some block, so that elements are not shuffled for it. A set keeps its elements with the smallest hashes, some more than the lists need. Where
   so many of these are heavy that the rest is too short, the set is crowded: it enters the lists of all light elements
   that it kept, and those of its first ``slack + 1`` by hash whatever they are. With the number kept (see ``kept``), a
   crowded set meets linked ones of either kind. Lists of heavy elements hold crowded sets only.
-* **The boundary** between small and large is the one with the least cost: subsets enumerated against list entries times
-  the mean length of the lists they stand in.
+* **The boundary** between small and large is the one with the least cost: subsets enumerated against list entries, with
+  the comparisons in lists of the mean length they stand in, of which many take the time of a row.
 
 Within a list no pairs are enumerated for groups of near copies. Each set is compared with the leaders of the list by
 parity sketches, whose differing bits never outnumber the differing elements, so that no link is lost; it
@@ -23,6 +24,9 @@ becomes a candidate of each leader it may link with, or else a leader. Candidate
 components of round one, a second round compares those pairs of a list that may link and still have different labels, and
 verifies them. What is not found has no effect on the components. Long lists are cut into chunks of bounded size.
 
+Entries are dealt by element once, and only those of elements in several sets go into lists. Lists are stored without
+sketches, which are added where lists are compared, to a share of them at a time, as they take most of the room.
+
 Defined results: a null, empty or blank text has an empty set, is linked with nothing and is its own component. Every row
 is a document; a null doc_id counts only where a component has no other. Sets are told apart by 128-bit, shingles by
 64-bit hashes. An empty table gives an empty result.
@@ -33,18 +37,22 @@ from __future__ import annotations
 import itertools
 import math
 from collections.abc import Callable, Iterator
+from functools import reduce
 
 import numpy as np
 import pyarrow as pa
 import xxhash
-from pyspark.sql import DataFrame, functions as F
+from pyspark.sql import DataFrame, Window, functions as F
 
 from ..sources.shared import discard, materialized, release_shuffles
 from .components import connected_components
 from .texts import folded, row_key, shingle_hashes, spread, word_hashes, words_of
 
 SHINGLE, PERCENT = 3, 90
-HEAVY = 1000  # an element is heavy in more sets than this, and than a millionth of all entries
+HEAVY = 1000  # a heavy element is in more sets than this, and than a millionth of all entries; one in twice as many is heavy
+BLOCK = 2_000_000  # elements that are counted in one go
+COMPARED = 100  # sketches that are compared in the time of one row
+PASSES = 3  # shares of the lists that are made, and compared, one after the other
 CHUNK = 2000  # entries of a list that are compared in one go
 BITS = 512
 BOUNDARIES = (1, 10, 20, 30)  # the number of subsets jumps at multiples of 100 / (100 - PERCENT)
@@ -130,7 +138,8 @@ def shingle_set(text: str | None, size: int, known: dict[bytes, int]) -> np.ndar
 
 
 MOST_HOT = 1_000_000  # no more elements can be heavy, as each has more than this share of all entries
-SETS = "doc_id long, node binary, n_shingles long, bits binary, more binary, elements array<long>, subsets array<long>, row1 long, row2 long"
+SETS = "doc_id long, node binary, n_shingles long, bits binary, more binary, elements array<long>, row1 long, row2 long"
+ENTRY = "key long, node binary, n_shingles long"
 
 
 def longs(arrays: list[np.ndarray]) -> pa.Array:
@@ -140,62 +149,163 @@ def longs(arrays: list[np.ndarray]) -> pa.Array:
 
 
 def described(docs: DataFrame, doc_id: str, text: str, shingle: int, percent: int) -> DataFrame:
-    """A row for each document with what the join needs of its set; the set itself is not kept."""
+    """A row for each document with what the join needs of its set; only small sets are kept whole."""
     most = max(BOUNDARIES)
 
     def describe(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         known: dict[bytes, int] = {}
         for batch in batches:
             sets = [shingle_set(one.as_py(), shingle, known) for one in batch.column(1)]
-            none = np.array([], np.uint64)
             yield pa.RecordBatch.from_arrays([
                 batch.column(0).cast(pa.int64()),
                 pa.array([xxhash.xxh3_128_digest(one.tobytes()) if len(one) else None for one in sets], pa.binary()),
                 pa.array([len(one) for one in sets], pa.int64()),
                 pa.array([sketch(one) if len(one) else None for one in sets], pa.binary()),
                 pa.array([long_sketch(one) for one in sets], pa.binary()),
-                longs([one[: kept(len(one), percent)] for one in sets]),
-                longs([subset_keys(one, percent) if 0 < len(one) < most else none for one in sets]),
+                longs([one if len(one) < most else one[: kept(len(one), percent)] for one in sets]),
                 batch.column(2), batch.column(3),
             ], names=[field.split()[0] for field in SETS.split(", ")])
 
     return docs.select(F.col(f"`{doc_id}`"), F.col(f"`{text}`"), *row_key(doc_id, text)).toDF("id", "text", "row1", "row2").mapInArrow(describe, SETS)
 
 
-def list_entries(rows: DataFrame, hot: np.ndarray, percent: int) -> DataFrame:
-    """(node, n_shingles, key, own): the lists that each document's set enters, and whether they are of its class of sizes."""
+def heavy_elements(rows: DataFrame, heavy: int) -> np.ndarray:
+    """The heavy elements, sorted. Each block of elements counts those that take more of it than the limit is of all; what
+    an element is in other blocks is less than the limit in all, so one in twice as many sets is always found."""
+    total = rows.agg(F.coalesce(F.sum(F.size("elements")), F.lit(0))).first()[0]
+    limit = max(heavy, total / MOST_HOT)
+
+    def counted(block: list[np.ndarray]) -> pa.RecordBatch:
+        keys, n = np.unique(np.concatenate(block), return_counts=True)
+        often = n * total > limit * sum(map(len, block))
+        return pa.RecordBatch.from_arrays([pa.array(keys[often]), pa.array(n[often])], names=["key", "n"])
+
+    def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        block = []
+        for batch in batches:
+            block.append(batch.column(0).flatten().to_numpy())
+            if sum(map(len, block)) >= BLOCK:
+                yield counted(block)
+                block = []
+        if block:
+            yield counted(block)
+
+    found = rows.select("elements").mapInArrow(count, "key long, n long").groupBy("key").agg(F.sum("n").alias("n"))
+    hot = found.filter(F.col("n") > limit).select("key").toArrow().column("key").to_numpy()  # no more than MOST_HOT
+    return np.sort(hot.view(np.uint64))
+
+
+def elements_of(batch: pa.RecordBatch) -> list[tuple[int, np.ndarray]]:
+    """Size and elements of each set."""
+    flat, ends = batch.column("elements").values.to_numpy().view(np.uint64), batch.column("elements").offsets.to_numpy()
+    return [(n, flat[ends[i] : ends[i + 1]]) for i, n in enumerate(batch.column("n_shingles").to_pylist())]
+
+
+def entries_of(
+    batch: pa.RecordBatch, keys: list[np.ndarray], chosen: Callable[[np.ndarray], np.ndarray] | None = None
+) -> pa.RecordBatch:
+    owner = np.repeat(np.arange(len(keys)), [len(one) for one in keys])
+    flat = np.concatenate(keys) if keys else np.array([], np.uint64)
+    if chosen:
+        keep = chosen(flat)
+        owner, flat = owner[keep], flat[keep]
+    return pa.RecordBatch.from_arrays(
+        [pa.array(flat.view(np.int64)), batch.column("node").take(pa.array(owner)), batch.column("n_shingles").take(pa.array(owner))],
+        names=["key", "node", "n_shingles"],
+    )
+
+
+def list_entries(rows: DataFrame, hot: np.ndarray, percent: int, share: int | None = None) -> DataFrame:
+    """(key, node, n_shingles): the elements by which each document's set enters lists, the heavy ones or a share of the
+    others."""
     known = rows.sparkSession.sparkContext.broadcast(hot)  # at most MOST_HOT numbers
 
+    def chosen(keys: np.ndarray) -> np.ndarray:
+        heavy = np.zeros(len(keys), bool)
+        if len(known.value):
+            heavy = known.value[np.minimum(np.searchsorted(known.value, keys), len(known.value) - 1)] == keys
+        return heavy if share is None else ~heavy & (keys % np.uint64(PASSES) == share)
+
+    def enter(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            keys = [list_keys(one[: kept(n, percent)], n, known.value, percent) for n, one in elements_of(batch)]
+            yield entries_of(batch, keys, chosen)
+
+    return rows.filter("node IS NOT NULL").select("node", "n_shingles", "elements").mapInArrow(enter, ENTRY)
+
+
+def subset_entries(rows: DataFrame, bound: int, percent: int) -> DataFrame:
+    """(key, node, n_shingles): the subsets of each document's set of less than ``bound`` elements."""
+
+    def enter(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            yield entries_of(batch, [subset_keys(one, percent) for _, one in elements_of(batch)])
+
+    small = rows.filter("node IS NOT NULL").filter(F.col("n_shingles") < bound)
+    return small.select("node", "n_shingles", "elements").mapInArrow(enter, ENTRY)
+
+
+def met(entries: DataFrame) -> DataFrame:
+    """The entries of keys that several sets have, each once."""
+    one, by_key = F.xxhash64("node"), Window.partitionBy("key")
+    dealt = entries.repartition("key").withColumns({"low": F.min(one).over(by_key), "high": F.max(one).over(by_key)})
+    several = dealt.filter("low <> high").select("key", "node", "n_shingles").distinct()
+    several = materialized(several, "shared-entries")
+    release_shuffles(entries.sparkSession)
+    return several
+
+
+def sized_entries(entries: DataFrame, percent: int) -> DataFrame:
+    """(key, node, n_shingles, own): the lists of the entries by classes of sizes, and whether they are of the set's own."""
+
     def enter(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            sizes, lists = batch.column("n_shingles").to_numpy(), batch.column("elements")
-            flat, ends = lists.values.to_numpy().view(np.uint64), lists.offsets.to_numpy()
-            keys = [
-                sized_keys(list_keys(flat[ends[i] : ends[i + 1]], int(sizes[i]), known.value, percent), int(sizes[i]), percent)
-                for i in range(batch.num_rows)
-            ]
-            own = [np.arange(len(one)) < len(one) // 2 for one in keys]
-            owner = pa.array(np.repeat(np.arange(len(keys)), [len(one) for one in keys]))
-            flat_keys = np.concatenate(keys).view(np.int64) if keys else np.array([], np.int64)
+            elements = batch.column("key").to_numpy().view(np.uint64)
+            sizes, which = np.unique(batch.column("n_shingles").to_numpy(), return_inverse=True)
+            keys = np.empty((2, len(elements)), np.uint64)
+            for i, n in enumerate(sizes):
+                at = np.flatnonzero(which == i)
+                keys[:, at] = sized_keys(elements[at], int(n), percent).reshape(2, -1)
+            twice = pa.array(np.tile(np.arange(len(elements)), 2))
             yield pa.RecordBatch.from_arrays(
-                [batch.column("node").take(owner), batch.column("n_shingles").take(owner), pa.array(flat_keys),
-                 pa.array(np.concatenate(own) if own else np.array([], bool))],
-                names=["node", "n_shingles", "key", "own"],
+                [pa.array(keys.reshape(-1).view(np.int64)), batch.column("node").take(twice), batch.column("n_shingles").take(twice),
+                 pa.array(np.arange(2 * len(elements)) < len(elements))],
+                names=["key", "node", "n_shingles", "own"],
             )
 
-    plain = rows.filter("node IS NOT NULL").select("node", "n_shingles", "elements")
-    return plain.mapInArrow(enter, "node binary, n_shingles long, key long, own boolean")
+    return entries.mapInArrow(enter, ENTRY + ", own boolean")
+
+
+LISTED = "any_own AND n > 1"  # where all sets are of the class of sizes below, they meet in the list of that one
+
+
+def light_members(shared: DataFrame, percent: int) -> DataFrame:
+    """(key, node, n_shingles, n): the lists of light elements, from the entries of those that several sets have, and how
+    many entries each list has."""
+    by_key = Window.partitionBy("key")
+    listed = sized_entries(shared, percent).withColumns({"n": F.count("*").over(by_key), "any_own": F.max("own").over(by_key)})
+    return listed.filter(LISTED).select("key", "node", "n_shingles", "n")
 
 
-def boundary(classes: DataFrame, counts: DataFrame, percent: int) -> int:
+def heavy_members(entries: DataFrame, percent: int) -> DataFrame:
+    """The same of heavy elements, which may have very many entries: equal ones and numbers are combined before they are dealt."""
+    listed = sized_entries(entries.distinct(), percent)
+    counts = listed.groupBy("key").agg(F.count("*").alias("n"), F.max("own").alias("any_own")).filter(LISTED)
+    return listed.join(counts, "key").select("key", "node", "n_shingles", "n")
+
+
+def boundary(classes: DataFrame, members: DataFrame, percent: int) -> int:
     """The size from which sets count as large."""
-    scan = counts.agg(F.sum(F.col("n") * F.least("n", F.lit(HEAVY))) / F.sum("n")).first()[0] or 1.0
+    scan = members.agg(F.avg(F.least("n", F.lit(HEAVY)))).first()[0] or 1.0
     most = max(BOUNDARIES)
     sizes = dict(classes.filter(F.col("n_shingles") < most).groupBy("n_shingles").count().collect())  # below ``most`` rows
 
     def cost(bound: int) -> float:
         return sum(
-            number * ((subsets(n, percent) if n < bound else 0) + ((slack(n, percent) + 1) * (1 + scan) if 100 * n >= percent * bound else 0))
+            number * (
+                (subsets(n, percent) if n < bound else 0)
+                + (2 * (slack(n, percent) + 1) * (1 + scan / COMPARED) if 100 * n >= percent * bound else 0)
+            )
             for n, number in sizes.items()
         )
 
@@ -364,42 +474,42 @@ def class_links(
 ) -> DataFrame:
     """(node, label) of every class that is linked with another one. ``rows`` is deleted when its lists are stored."""
     spark = rows.sparkSession
-    held = rows.select(F.explode("elements").alias("key")).groupBy("key").agg(F.count("*").alias("n"))
-    held = materialized(held.filter(F.col("n") > heavy), "heavy")
-    total = rows.agg(F.coalesce(F.sum(F.size("elements")), F.lit(0))).first()[0]
-    hot = held.filter(F.col("n") * MOST_HOT > total).select("key").toArrow().column("key").to_numpy()
-    entries = list_entries(rows, np.sort(hot.view(np.uint64)), percent)
-
-    def several(keyed: DataFrame) -> DataFrame:
-        """Keys with more than one class, and how many rows have them. Where all sets are of the class of sizes below, they
-        meet in the list of that one."""
-        one = F.xxhash64("node")
-        counted = keyed.groupBy("key").agg(
-            F.count("*").alias("n"), F.min(one).alias("low"), F.max(one).alias("high"), F.max("own").alias("own")
-        )
-        return counted.filter("low <> high AND own").select("key", "n")
-
-    counts = materialized(several(entries), "list-lengths")
-    bound = boundary(classes, counts, percent)
-    large = entries.filter(100 * F.col("n_shingles") >= percent * bound).select("node", "key").join(counts, "key")
-    small = rows.filter(F.col("n_shingles") < bound).select("node", F.explode("subsets").alias("key")).withColumn("own", F.lit(True))
-    members = large.unionByName(small.select("node", "key").join(several(small), "key")).distinct()
+    hot = heavy_elements(rows, heavy)
+    parts = []
+    for share in range(PASSES):
+        shared = met(list_entries(rows, hot, percent, share))
+        parts.append(materialized(light_members(shared, percent), "list-members"))
+        discard(shared)
+        release_shuffles(spark)
+    if len(hot):
+        parts.append(materialized(heavy_members(list_entries(rows, hot, percent), percent), "list-members"))
+        release_shuffles(spark)
+    members = reduce(DataFrame.unionByName, parts)
+    bound = boundary(classes, members, percent)
+    shared = met(subset_entries(rows, bound, percent))
+    small = materialized(shared.withColumn("n", F.count("*").over(Window.partitionBy("key"))), "small-members")
+    discard(rows, shared)
+    release_shuffles(spark)
     chunks = F.ceil(F.col("n") / chunk).cast("int")
-    lists = members.join(classes.select("node", "n_shingles", "bits", "more"), "node").select(
-        "key", F.pmod(F.xxhash64("node"), chunks).cast("int").alias("chunk"), chunks.alias("chunks"), "node", "n_shingles", "bits",
-        "more",
+    lists = members.filter(100 * F.col("n_shingles") >= percent * bound).unionByName(small).select(
+        "key", F.pmod(F.xxhash64("node"), chunks).cast("int").alias("chunk"), chunks.alias("chunks"), "node"
     )
-    lists = materialized(lists, "lists")
-    discard(rows, held, counts)
-    release_shuffles(spark)
 
-    first = materialized(scanned(lists, percent), "leaders")
+    def sketched(some: DataFrame) -> DataFrame:
+        return some.join(classes.select("node", "n_shingles", "bits", "more"), "node")
+
+    shares = []
+    for share in range(PASSES):
+        some = lists.filter(F.pmod("key", F.lit(PASSES)) == share)
+        shares.append(materialized(scanned(sketched(some), percent), "leaders"))
+        release_shuffles(spark)
+    first = reduce(DataFrame.unionByName, shares)
     several = lists.filter("chunks > 1")
     leading = first.filter("leader IS NULL").select("key", "node").distinct()
     again = several.join(leading, ["key", "node"], "left_semi").withColumn("chunk", F.lit(-1))
-    found = first.unionByName(scanned(again, percent)).filter("leader IS NOT NULL")
+    found = first.unionByName(scanned(sketched(again), percent)).filter("leader IS NOT NULL")
     found = materialized(found, "candidates")
-    discard(first)
+    discard(*shares)
     release_shuffles(spark)
     pairs = found.select(F.least("leader", "node").alias("u"), F.greatest("leader", "node").alias("v")).distinct()
     pairs = materialized(pairs, "pairs")
@@ -408,14 +518,14 @@ def class_links(
     release_shuffles(spark)
 
     # Round two: only lists in which some sets may link, and in these only pairs with different labels.
-    active = lists.select("key", "node").join(found.select("key").distinct(), "key", "left_semi").join(labels, "node", "left")
+    active = lists.join(found.select("key").distinct(), "key", "left_semi").join(labels, "node", "left")
     active = materialized(active.withColumn("label", F.coalesce("label", "node")), "active")
     sizes = active.groupBy("key", "label").agg(F.count("*").alias("m"))
     summary = sizes.groupBy("key").agg(F.count("*").alias("labels"), F.max_by("label", "m").alias("main")).filter("labels > 1")
     summary = materialized(summary.select("key", "main"), "mixed-keys")
     release_shuffles(spark)
-    mixed = materialized(lists.join(active.join(summary, "key"), ["key", "node"]), "mixed")
-    discard(lists, active)
+    mixed = materialized(sketched(active.join(summary, "key")), "mixed")
+    discard(*parts, small, active)
     release_shuffles(spark)
     home = mixed.withColumn("away", F.lit(False))
     others = mixed.filter(F.col("label") != F.col("main")).select(

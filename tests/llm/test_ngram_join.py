@@ -133,3 +133,24 @@ def test_lists_hold_sets_of_sizes_that_may_link(percent):
             own, all_ = lists(n)
             assert len(np.intersect1d(own, lists(m)[1])) == len(elements)  # at home in the list of the larger one
         assert not len(np.intersect1d(all_, lists(5 * n)[1]))
+
+
+def test_long_lists_do_not_make_sets_enumerate_hundreds_of_subsets(spark):
+    classes = spark.range(1000).selectExpr("id % 20 + 10 AS n_shingles")
+    lists = spark.range(1000).selectExpr("1000L AS n")
+    bound = ngram_join.boundary(classes, lists, 90)
+    assert max(ngram_join.subsets(n, 90) for n in range(1, max(2, bound))) <= 20
+
+
+@pytest.mark.parametrize("block", [7, 100, 10_000])
+def test_heavy_elements_are_found_from_blocks(spark, monkeypatch, block):
+    monkeypatch.setattr(ngram_join, "BLOCK", block)
+    chooser = random.Random(block)
+    often = {element: chooser.choice([1, 2, 5, 6, 11, 12, 40]) for element in range(-30, 300)}
+    held = [element for element, n in often.items() for _ in range(n)]
+    chooser.shuffle(held)
+    rows = [(held[i : i + 9],) for i in range(0, len(held), 9)]
+    df = spark.createDataFrame(rows, "elements array<long>").repartition(3)
+    hot = set(ngram_join.heavy_elements(df, 5).view("int64").tolist())
+    assert {element for element, n in often.items() if n > 10} <= hot
+    assert hot <= {element for element, n in often.items() if n > 5}
