@@ -2,6 +2,9 @@
 
 from __future__ import annotations
 
+import glob
+import os
+
 import pytest
 from pyspark.sql import functions as F
 
@@ -10,6 +13,7 @@ from shelfwise.operators import gold, silver
 from shelfwise.operators.incremental import beyond_stored, differing_days
 from shelfwise.plans import build
 from shelfwise.sources import trade_tables as tables
+from shelfwise.sources import shared, store
 from shelfwise.sources.feeds import CORRUPT
 
 SALES = "SALESDATE string, StoreID string, ITEMCODE string, `Vendas Unidades` string, PVP string"
@@ -102,3 +106,77 @@ def test_codes_are_padded_as_by_a_formatter(spark):
     keys = spark.createDataFrame([(0,), (7,), (-7,), (999999,), (1000000,), (-1234567,), (2**63 - 1,), (-(2**63),), (None,)], "k long")
     rows = keys.select(tables._code("ST", "k").alias("a"), F.format_string("ST%06d", "k").alias("b")).collect()
     assert all(row.a == row.b for row in rows) and "format_string" not in plan_of(keys.select(tables._code("ST", "k")))
+
+
+def feeds_of(spark, sales):
+    return {
+        "Sales": spark.createDataFrame(sales, schemas.SALES), "Items": spark.createDataFrame([("I1", "a", "b", "c", "d")], schemas.ITEMS),
+        "Store": spark.createDataFrame([("S1", "X", "X - Y", "A", "B")], schemas.STORE), "Client": spark.createDataFrame([("B", "X", "X", "A")], schemas.CLIENT),
+    }
+
+
+def stored_rows(spark, root):
+    now = store.open_snapshot(spark, root)
+    return {name: sorted(map(str, now.table(name).collect())) for name in now.tables}
+
+
+def test_months_are_joined_and_added_up_in_portions(spark, tmp_path, monkeypatch):
+    sales = [(f"2019{month:02}{day:02}", "S1", item, "1", "2") for month in range(1, 8) for day in (1, 1, 2) for item in ("I1", "I9", None)]
+    sales += [("20190101", "S1", "I1", "-1", "2"), (None, "S1", "I1", "1", "2"), ("20191301", "S1", "I1", "1", "2")]
+    expected, written = {}, []
+    load_write = store.Load.write
+
+    def noted(run, df, name, **options):
+        written.append((name, options.get("months")))
+        load_write(run, df, name, **options)
+
+    for at_most, least in ((1, 1), (3, 1), (100, 1)):
+        monkeypatch.setattr(build, "PORTIONS", at_most)
+        monkeypatch.setattr(build, "PORTION_BYTES", least)
+        monkeypatch.setattr(store.Load, "write", noted)
+        root = str(tmp_path / str(at_most))
+        written.clear()
+        build.load_increment(spark, feeds_of(spark, sales), root, "first")
+        build.refresh_grain(spark, root)
+        for name in ("Sold_Months", "Sales_Wide", "Sales_Daily", "Audit_Grain"):
+            months = [months for table, months in written if table == name]
+            assert 1 <= len(months) <= at_most and sum(len(one) for one in months) == len({month for one in months for month in one})
+            assert len(months) > 1 or at_most == 1
+        more = [*sales, ("20190203", "S1", "I9", "5", "2"), ("20190801", "S1", "I7", "5", "2")]
+        build.load_increment(spark, feeds_of(spark, more), root, "second")
+        build.refresh_grain(spark, root)
+        expected = expected or stored_rows(spark, root)
+        assert stored_rows(spark, root) == expected
+    assert len(expected["Sales_Wide"]) == 44 and len(expected["Silver_Sales"]) == 68
+
+
+def test_an_empty_feed_is_loaded(spark, tmp_path):
+    build.build_gold(spark, feeds_of(spark, []), str(tmp_path))
+    assert stored_rows(spark, str(tmp_path))["Sales_Wide"] == []
+
+
+def test_an_increment_leaves_no_intermediate_tables(spark, tmp_path, monkeypatch):
+    monkeypatch.setattr(shared, "shared_path", lambda spark, name: f"{tmp_path}/shared/{name}-{len(os.listdir(tmp_path))}{os.urandom(4).hex()}")
+    sales = [(f"2019010{day}", "S1", "I1", "1", "2") for day in (1, 2, 3)]
+    for load in ("first", "second", "third"):
+        build.load_increment(spark, feeds_of(spark, [*sales, ("20190101", "S1", load, "1", "2")]), str(tmp_path / "tables"), load)
+    assert build.read_silver(spark, str(tmp_path / "tables")).count() == 6
+    assert glob.glob(f"{tmp_path}/shared/*") == []
+
+
+def test_shuffle_files_are_given_back_with_each_table(spark, tmp_path, monkeypatch):
+    released = []
+    monkeypatch.setattr(store, "release_shuffles", lambda spark: released.append(1))
+    monkeypatch.setattr(store, "PORTION_BYTES", 1)
+    build.build_gold(spark, feeds_of(spark, [("20190101", "S1", "I1", "1", "2")]), str(tmp_path))
+    assert len(released) >= 5  # tables with lines or totals of months
+
+
+def test_lines_reach_their_month_without_what_follows_from_other_columns(spark, tmp_path):
+    run = store.Load(spark, str(tmp_path), "one")
+    staged = silver.stage_sales(spark.createDataFrame([("20190101", "S", "I", "3", "2 €")], SALES), "one")
+    run.write(staged.drop("Load", "Vendas_Valor"), "Silver_Sales", after=build._after("one"))
+    assert run.table("Silver_Sales").select("Load", "Vendas_Valor").collect() == staged.select("Load", "Vendas_Valor").collect()
+    assert run.table("Silver_Sales").schema == schemas.tables()["Silver_Sales"]
+    files = glob.glob(f"{tmp_path}/Silver_Sales/**/*.parquet", recursive=True)
+    assert files and all(".zstd." in file for file in files)
