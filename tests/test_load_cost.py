@@ -11,10 +11,10 @@ from pyspark.sql import functions as F
 from shelfwise import schemas
 from shelfwise.operators import gold, silver
 from shelfwise.operators.incremental import beyond_stored, differing_days
-from shelfwise.plans import build
+from shelfwise.plans import build, registry
 from shelfwise.sources import trade_tables as tables
 from shelfwise.sources import shared, store
-from shelfwise.sources.feeds import CORRUPT
+from shelfwise.sources.feeds import CORRUPT, read_bronze
 
 SALES = "SALESDATE string, StoreID string, ITEMCODE string, `Vendas Unidades` string, PVP string"
 
@@ -180,3 +180,28 @@ def test_lines_reach_their_month_without_what_follows_from_other_columns(spark,
     assert run.table("Silver_Sales").schema == schemas.tables()["Silver_Sales"]
     files = glob.glob(f"{tmp_path}/Silver_Sales/**/*.parquet", recursive=True)
     assert files and all(".zstd." in file for file in files)
+
+
+def test_feeds_as_files_are_compressed(spark, tmp_path):
+    rows = {
+        "lineitem": ([(key, key % 3, key % 2, 1 + key % 2, 5.0, 1234.5) for key in range(70, 110)],
+                     "l_orderkey long, l_partkey long, l_suppkey long, l_linenumber int, l_quantity double, l_extendedprice double"),
+        "part": ([(1, "a, \"b\"", "T", "Brand#1", 3)], "p_partkey long, p_name string, p_type string, p_brand string, p_size int"),
+        "supplier": ([(0, 1), (1, 1)], "s_suppkey long, s_nationkey long"), "nation": ([(1, "N", 2)], "n_nationkey long, n_name string, n_regionkey long"),
+        "region": ([(2, "R")], "r_regionkey long, r_name string"),
+    }
+    for name, (values, schema) in rows.items():
+        df = spark.createDataFrame(values, schema)
+        df = df.withColumn("l_shipdate", F.lit("1999-02-03").cast("timestamp_ntz")) if name == "lineitem" else df
+        df.write.parquet(f"{tmp_path}/{name}.parquet")
+    path = registry._csv(spark, str(tmp_path))
+    for feed, df in tables.feeds(spark, str(tmp_path)).items():
+        assert sorted(map(str, read_bronze(spark, f"{path}/{feed}.csv", feed).collect())) == sorted(map(str, df.collect()))
+    files = [file for file in glob.glob(f"{path}/**/part-*", recursive=True)]
+    assert files and all(file.endswith(".csv.gz") for file in files)
+    assert registry._stream_load(spark, str(tmp_path)).count() == len(
+        registry._incremental_load(spark, str(tmp_path)).collect()
+    ) > 0
+    registry._quarantined_sales(spark, str(tmp_path)).collect()
+    found = registry._stored[spark.sparkContext.applicationId, str(tmp_path), "quarantine"]
+    assert all(file.endswith(".txt.gz") for file in glob.glob(f"{found}/Sales.csv/part-*"))
